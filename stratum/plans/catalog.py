@@ -38,7 +38,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def R(select_sql: str, doubles: list[str]) -> str:
     """Wrap a SELECT so that the listed double columns are rounded to 6 decimals."""
-    rep = ", ".join(f"round({c}, 6) AS {c}" for c in doubles)
+    rep = ", ".join(f'round("{c}", 6) AS "{c}"' for c in doubles)
     return f"SELECT * REPLACE ({rep}) FROM ({select_sql}) AS _q" if doubles else select_sql
 
 
@@ -59,7 +59,7 @@ def union_per_column(cols: list[str], body: Callable[[str], str]) -> str:
 
 
 # Import the query modules so their @query decorators populate REGISTRY.
-from . import q_profile, q_evaluate  # noqa: E402,F401
+from . import q_profile, q_evaluate, q_clean  # noqa: E402,F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
