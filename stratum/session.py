@@ -23,6 +23,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+        if master.startswith("local"):
+            b = b.config("spark.driver.memory", os.environ.get("STRATUM_DRIVER_MEMORY", "16g"))
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
     if shuffle_partitions:
