@@ -39,7 +39,7 @@ def _edges(df: DataFrame, cols: list[str], n_cells: int) -> dict[str, list[float
 def _cell(x, edges: list[float]):
     if not edges:
         return F.when(x.isNotNull(), F.lit(0))
-    return F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda b: b <= x))
+    return F.when(x.isNotNull(), F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda b: b <= x)))
 
 
 def _bits(mask: int, p: int) -> list[int]:
@@ -47,14 +47,20 @@ def _bits(mask: int, p: int) -> list[int]:
 
 
 def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_id",
-                   cell_rows: int = 64, max_rounds: int = 16) -> DataFrame:
+                   cell_rows: int = 64, max_rounds: int = 16, donor: str | None = None,
+                   receiver: str | None = None) -> DataFrame:
     """Exact k nearest donors per (receiver key, missing column).
 
+    ``donor`` / ``receiver``: optional boolean columns restricting which rows may give or
+    receive values (e.g. training fold vs held-out fold); by default every row may do both.
+
     Returns ``(key, column, donor, dist, value, rank)`` with the donor's value of ``column``.
     Receivers sharing no column with any donor are absent (callers use the column mean)."""
     spark = df.sparkSession
     p = len(cols)
-    base = df.select(qcol(key).alias("_id"), *[qcol(c).cast("double").alias(f"x{j}") for j, c in enumerate(cols)])
+    base = df.select(qcol(key).alias("_id"), *[qcol(c).cast("double").alias(f"x{j}") for j, c in enumerate(cols)],
+                     (qcol(donor) if donor else F.lit(True)).alias("_isd"),
+                     (qcol(receiver) if receiver else F.lit(True)).alias("_isr"))
     n = base.count()
     n_cells = max(1, min(256, round((n / max(cell_rows, 1)) ** (1.0 / p))))
     edges = _edges(base.select(*[F.col(f"x{j}").alias(c) for j, c in enumerate(cols)]), cols, n_cells)
@@ -62,11 +68,12 @@ def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_i
     pat = sum((F.col(f"x{j}").isNotNull().cast("int") * (1 << j) for j in range(p)), F.lit(0))
     base = cut_lineage(base.select("*", pat.alias("_pat"),
                                    *[_cell(F.col(f"x{j}"), edges[c]).alias(f"i{j}") for j, c in enumerate(cols)]))
-    pats = sorted(r[0] for r in base.select("_pat").distinct().collect())
+    pr_pats = sorted(r[0] for r in base.where("_isr").select("_pat").distinct().collect())
+    pd_pats = sorted(r[0] for r in base.where("_isd").select("_pat").distinct().collect())
     # per dimension, min and max value held by each cell (empty cells: +inf/-inf)
     cell_min, cell_max = [], []
     for j in range(p):
-        mm = {r[0]: (r[1], r[2]) for r in base.where(F.col(f"i{j}").isNotNull())
+        mm = {r[0]: (r[1], r[2]) for r in base.where(F.col(f"x{j}").isNotNull())
               .groupBy(f"i{j}").agg(F.min(f"x{j}"), F.max(f"x{j}")).collect()}
         lo = [mm.get(t, (INF, -INF))[0] for t in range(ncell[j])]
         hi = [mm.get(t, (INF, -INF))[1] for t in range(ncell[j])]
@@ -77,10 +84,10 @@ def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_i
 
     pairs = {}  # (c, receiver pattern, donor pattern) -> common set S
     for c in range(p):
-        for pr in pats:
+        for pr in pr_pats:
             if pr >> c & 1:
                 continue
-            for pd in pats:
+            for pd in pd_pats:
                 if pd >> c & 1 and (pr & pd):
                     pairs[(c, pr, pd)] = pr & pd
     if not pairs:
@@ -94,7 +101,7 @@ def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_i
     d_map = F.create_map(*[v for pd, lst in d_opts.items() for v in (
         F.lit(pd), F.array(*[F.struct(F.lit(c).alias("c"), F.lit(pr).alias("pr"), F.lit(sm).alias("s"))
                              for c, pr, sm in lst]))])
-    don = (base.where(F.col("_pat").isin(list(d_opts)))
+    don = (base.where(F.col("_isd") & F.col("_pat").isin(list(d_opts)))
                .select("*", F.explode(d_map[F.col("_pat")]).alias("o"))
                .select(F.col("_id").alias("_did"), F.col("_pat").alias("_pd"), F.col("o.c").alias("_c"),
                        F.col("o.pr").alias("_pr"), *[F.col(f"x{j}").alias(f"y{j}") for j in range(p)],
@@ -111,7 +118,7 @@ def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_i
     for (c, pr, pd), sm in pairs.items():
         r_opts.setdefault(pr * 64 + c, []).append((pd, sm))
     rc = F.array(*[F.lit(c) for c in range(p)])
-    pending = (base.select("*", F.explode(rc).alias("_c"))
+    pending = (base.where("_isr").select("*", F.explode(rc).alias("_c"))
                    .where(F.expr("shiftright(_pat, _c) % 2 = 0"))
                    .where((F.col("_pat") * 64 + F.col("_c")).isin(list(r_opts)))
                    .select(F.col("_id").alias("_rid"), F.col("_pat").alias("_pr"), "_c",
@@ -182,3 +189,47 @@ def impute_knn(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_id",
     j = df.join(fill, key, "left")
     return j.select(*[F.coalesce(qcol(c), F.col(f"_f_{c}"), F.lit(means[c])).alias(c) if c in cols else qcol(c)
                       for c in df.columns])
+
+
+def tune_knn_k(df: DataFrame, cols: list[str], k_values=range(3, 20, 2), folds: int = 5,
+               hide: float = 0.2, metric: str = "rmse", key: str = "row_id", seed: int = 42) -> DataFrame:
+    """Choose k for KNN imputation by hiding cells of held-out complete rows.
+
+    Complete rows get a hash fold; in each held-out fold ``hide`` of the cells (hash per
+    row and column) are hidden and imputed from the other folds' rows. The neighbour list is
+    computed once per fold for ``max(k)`` and every k is scored from its prefix. Returns
+    ``(k, mean, std, best)`` with the population std over folds; folds without hidden cells
+    are skipped; the smallest mean wins (ties: smaller k)."""
+    from ..functions.hashing import portable_hash
+    k_values = sorted(k_values)
+    kmax = k_values[-1]
+    comp = df.dropna(subset=cols).select(qcol(key).alias(key), *[qcol(c) for c in cols])
+    comp = comp.withColumn("_fold", F.pmod(portable_hash(key, seed), F.lit(folds)).cast("int"))
+    spark = df.sparkSession
+    per_fold = []
+    for f in range(folds):
+        u = lambda c: portable_hash(F.concat(F.col(key).cast("string"), F.lit("|" + c)), seed) / F.lit(4294967296.0)  # noqa
+        held = F.col("_fold") == f
+        masked = comp.select(key, "_fold", *[F.when(held & (u(c) < hide), F.lit(None)).otherwise(F.col(c)).alias(c)
+                                             for c in cols],
+                             (~held).alias("_isd"), held.alias("_isr"))
+        nb = knn_neighbours(masked, cols, kmax, key, donor="_isd", receiver="_isr")
+        truth = comp.where(held).select(key, F.inline(F.array(*[F.struct(F.lit(c).alias("column"),
+                                                                        F.col(c).cast("double").alias("truth"))
+                                                               for c in cols])))
+        ks = F.array(*[F.lit(k) for k in k_values])
+        est = (nb.select("*", F.explode(ks).alias("k")).where(F.col("rank") <= F.col("k"))
+                 .groupBy(key, "column", "k").agg(F.avg("value").alias("est")))
+        err = est.join(truth, [key, "column"])
+        e = err.select("k", (F.col("est") - F.col("truth")).alias("e"))
+        agg = e.groupBy("k").agg(F.avg(F.col("e") ** 2).alias("mse"), F.avg(F.abs("e")).alias("mae"),
+                                 F.count(F.lit(1)).alias("n_cells"))
+        per_fold.append(agg.withColumn("fold", F.lit(f)))
+    allf = per_fold[0]
+    for a in per_fold[1:]:
+        allf = allf.unionByName(a)
+    allf = allf.withColumn("rmse", F.sqrt("mse")).where(F.col("n_cells") > 0)
+    res = allf.groupBy("k").agg(F.avg(metric).alias("mean"), F.stddev_pop(metric).alias("std"))
+    best = res.orderBy("mean", "k").limit(1).select(F.col("k").alias("_best"))
+    return res.join(best, F.col("k") == F.col("_best"), "left").select(
+        "k", "mean", "std", F.col("_best").isNotNull().alias("best"))
