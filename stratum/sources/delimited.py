@@ -129,3 +129,14 @@ def peek_structure(spark: SparkSession, path: str, target: str | None = None, n:
     names = clean_column_names(_fields(lines[0], sep)) if lines else []
     return {"separator": sep, "columns": names, "n_columns": len(names),
             "has_target": (target in names) if target else None}
+
+
+def clean_column_names_df(df: DataFrame) -> DataFrame:
+    """DataFrame form: rename every column to its cleaned name."""
+    return df.toDF(*clean_column_names(df.columns))
+
+
+def drop_duplicate_columns_df(df: DataFrame) -> DataFrame:
+    """DataFrame form: keep the first copy of ``name`` when ``name.k`` also exists."""
+    keep = drop_duplicate_columns(df.columns)
+    return df.select(*[qcol(df.columns[i]) for i in keep])

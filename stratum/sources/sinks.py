@@ -64,10 +64,11 @@ RESULT_DOC_SCHEMA = T.StructType([
 ])
 
 
-def read_result_documents(spark: SparkSession, path: str, name_filter: str = "stacking") -> DataFrame:
+def read_result_documents(spark: SparkSession, path: str, name_filter: str = "stacking",
+                          multi_line: bool = True) -> DataFrame:
     """One row per document: source file, method, threshold (``threshold`` or
     ``optimal_threshold``), test metrics preferred over validation ones."""
-    docs = (spark.read.option("multiLine", True).schema(RESULT_DOC_SCHEMA).json(path)
+    docs = (spark.read.option("multiLine", multi_line).schema(RESULT_DOC_SCHEMA).json(path)
                  .withColumn("source", F.input_file_name())
                  .where(F.col("source").contains(name_filter)))
     p = F.col("performance")
@@ -78,9 +79,10 @@ def read_result_documents(spark: SparkSession, path: str, name_filter: str = "st
                        "predictions")
 
 
-def read_predictions_json(spark: SparkSession, path: str, name_filter: str = "stacking") -> DataFrame:
+def read_predictions_json(spark: SparkSession, path: str, name_filter: str = "stacking",
+                          multi_line: bool = True) -> DataFrame:
     """Per-row stored predictions of each document: (source, method, position, proba, pred)."""
-    d = read_result_documents(spark, path, name_filter)
+    d = read_result_documents(spark, path, name_filter, multi_line)
     pr = F.col("predictions")
     proba = F.coalesce(pr["test_proba"], pr["test"])
     z = d.select("source", "method", "threshold", F.posexplode_outer(proba).alias("position", "proba"),
