@@ -28,84 +28,109 @@ from ..session import cut_lineage
 INF = float("inf")
 
 
-def _edges(df: DataFrame, cols: list[str], n_cells: int) -> dict[str, list[float]]:
-    if n_cells <= 1:
-        return {c: [] for c in cols}
-    probs = [i / n_cells for i in range(1, n_cells)]
-    row = df.agg(*[F.percentile_approx(qcol(c), probs, 10000).alias(f"e{i}") for i, c in enumerate(cols)]).first()
-    return {c: sorted(set(float(v) for v in (row[f"e{i}"] or []))) for i, c in enumerate(cols)}
-
-
-def _cell(x, edges: list[float]):
-    if not edges:
-        return F.when(x.isNotNull(), F.lit(0))
-    return F.when(x.isNotNull(), F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda b: b <= x)))
+def _fine_cells(base: DataFrame, cols: list[str], n_fine: int) -> tuple[DataFrame, list[list[float]]]:
+    """Quantile edges (deduplicated) per column and the fine cell index of every value
+    (``Bucketizer``: binary search). Cell t holds values in [edge[t-1], edge[t])."""
+    from pyspark.ml.feature import Bucketizer
+    probs = [i / n_fine for i in range(1, n_fine)]
+    row = base.agg(*[F.percentile_approx(F.col(f"x{j}"), probs, 10000).alias(f"e{j}") for j in range(len(cols))]).first()
+    edges = [sorted(set(float(v) for v in (row[f"e{j}"] or []))) if n_fine > 1 else [] for j in range(len(cols))]
+    tmp = base.withColumns({f"_b{j}": F.coalesce(F.col(f"x{j}"), F.lit(float("nan"))) for j in range(len(cols))})
+    splits = [[-INF] + e + [INF] for e in edges]
+    bz = Bucketizer(splitsArray=splits, inputCols=[f"_b{j}" for j in range(len(cols))],
+                    outputCols=[f"_c{j}" for j in range(len(cols))], handleInvalid="keep")
+    out = bz.transform(tmp).withColumns({f"i{j}": F.when(F.col(f"x{j}").isNotNull(), F.col(f"_c{j}").cast("int"))
+                                        for j in range(len(cols))})
+    return out.drop(*[f"_b{j}" for j in range(len(cols))], *[f"_c{j}" for j in range(len(cols))]), edges
 
 
 def _bits(mask: int, p: int) -> list[int]:
     return [j for j in range(p) if mask >> j & 1]
 
 
+def _coarsening(sm: int, n_donors: int, nfine: list[int], cell_rows: int, p: int) -> list[int]:
+    """Per-column coarsening factors (powers of two) for one pattern pair: starting from the
+    fine grids on the common columns, halve the column with the most cells until the grid has
+    at most n_donors / cell_rows cells. Columns with few distinct values keep their cells."""
+    dims = _bits(sm, p)
+    sh = {j: 0 for j in dims}
+    target = max(1.0, n_donors / max(cell_rows, 1))
+
+    def cells(j):
+        return -(-nfine[j] // (1 << sh[j]))
+    while math.prod(cells(j) for j in dims) > target:
+        j = max(dims, key=lambda d: (cells(d), -d))
+        if cells(j) <= 1:
+            break
+        sh[j] += 1
+    return [1 << sh[j] if j in sh else 1 for j in range(p)]
+
+
 def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_id",
-                   cell_rows: int = 64, max_rounds: int = 16, donor: str | None = None,
+                   cell_rows: int = 32, max_rounds: int = 20, donor: str | None = None,
                    receiver: str | None = None) -> DataFrame:
     """Exact k nearest donors per (receiver key, missing column).
 
     ``donor`` / ``receiver``: optional boolean columns restricting which rows may give or
     receive values (e.g. training fold vs held-out fold); by default every row may do both.
-
     Returns ``(key, column, donor, dist, value, rank)`` with the donor's value of ``column``.
-    Receivers sharing no column with any donor are absent (callers use the column mean)."""
+    Receivers sharing no column with any donor are absent (callers use the column mean).
+
+    Cells: one fine quantile grid per column (up to 2^14 cells); for each (receiver pattern,
+    donor pattern) pair with common columns S, cells are coarsened by a power of two so that
+    a cell of the |S|-dimensional grid holds about ``cell_rows`` donors of that pattern."""
     spark = df.sparkSession
     p = len(cols)
+    empty = f"{key} long, column string, donor long, dist double, value double, rank int"
     base = df.select(qcol(key).alias("_id"), *[qcol(c).cast("double").alias(f"x{j}") for j, c in enumerate(cols)],
                      (qcol(donor) if donor else F.lit(True)).alias("_isd"),
                      (qcol(receiver) if receiver else F.lit(True)).alias("_isr"))
     n = base.count()
-    n_cells = max(1, min(256, round((n / max(cell_rows, 1)) ** (1.0 / p))))
-    edges = _edges(base.select(*[F.col(f"x{j}").alias(c) for j, c in enumerate(cols)]), cols, n_cells)
-    ncell = [len(edges[c]) + 1 for c in cols]
+    n_fine = 1 << max(0, min(14, math.ceil(math.log2(max(n / max(cell_rows, 1), 1)))))
     pat = sum((F.col(f"x{j}").isNotNull().cast("int") * (1 << j) for j in range(p)), F.lit(0))
-    base = cut_lineage(base.select("*", pat.alias("_pat"),
-                                   *[_cell(F.col(f"x{j}"), edges[c]).alias(f"i{j}") for j, c in enumerate(cols)]))
-    pr_pats = sorted(r[0] for r in base.where("_isr").select("_pat").distinct().collect())
-    pd_pats = sorted(r[0] for r in base.where("_isd").select("_pat").distinct().collect())
-    # per dimension, min and max value held by each cell (empty cells: +inf/-inf)
+    base, edges = _fine_cells(base.withColumn("_pat", pat), cols, n_fine)
+    base = cut_lineage(base)
+    nfine = [len(e) + 1 for e in edges]
+    stats = base.groupBy("_pat").agg(F.count_if("_isd").alias("nd"), F.count_if("_isr").alias("nr")).collect()
+    pd_count = {r["_pat"]: r["nd"] for r in stats if r["nd"] > 0}
+    pr_pats = sorted(r["_pat"] for r in stats if r["nr"] > 0)
+    # per column: suffix minimum / prefix maximum of the values held by each fine cell
     cell_min, cell_max = [], []
     for j in range(p):
         mm = {r[0]: (r[1], r[2]) for r in base.where(F.col(f"x{j}").isNotNull())
               .groupBy(f"i{j}").agg(F.min(f"x{j}"), F.max(f"x{j}")).collect()}
-        lo = [mm.get(t, (INF, -INF))[0] for t in range(ncell[j])]
-        hi = [mm.get(t, (INF, -INF))[1] for t in range(ncell[j])]
-        # suffix minimum / prefix maximum: empty cells defer to the next non-empty one
+        lo = [mm.get(t, (INF, -INF))[0] for t in range(nfine[j])]
+        hi = [mm.get(t, (INF, -INF))[1] for t in range(nfine[j])]
         cell_min.append(list(itertools.accumulate(lo[::-1], min))[::-1])
         cell_max.append(list(itertools.accumulate(hi, max)))
-    empty = f"{key} long, column string, donor long, dist double, value double, rank int"
 
-    pairs = {}  # (c, receiver pattern, donor pattern) -> common set S
+    pairs = {}  # (c, receiver pattern, donor pattern) -> (S mask, coarsening shift)
     for c in range(p):
         for pr in pr_pats:
             if pr >> c & 1:
                 continue
-            for pd in pd_pats:
+            for pd, nd in pd_count.items():
                 if pd >> c & 1 and (pr & pd):
-                    pairs[(c, pr, pd)] = pr & pd
+                    sm = pr & pd
+                    pairs[(c, pr, pd)] = (sm, _coarsening(sm, nd, nfine, cell_rows, p))
     if not pairs:
         return spark.createDataFrame([], empty)
     bit = lambda m, j: F.shiftright(F.col(m), j) % 2 == 1
 
-    # donors: one row per (c, receiver pattern) they can serve; cells kept on S only
+    def coarse(j, p2):
+        return F.floor(F.col(f"i{j}") / p2[j]).cast("int")
+
     d_opts: dict[int, list] = {}
-    for (c, pr, pd), sm in pairs.items():
-        d_opts.setdefault(pd, []).append((c, pr, sm))
+    for (c, pr, pd), (sm, p2s) in pairs.items():
+        d_opts.setdefault(pd, []).append((c, pr, sm, p2s))
     d_map = F.create_map(*[v for pd, lst in d_opts.items() for v in (
-        F.lit(pd), F.array(*[F.struct(F.lit(c).alias("c"), F.lit(pr).alias("pr"), F.lit(sm).alias("s"))
-                             for c, pr, sm in lst]))])
+        F.lit(pd), F.array(*[F.struct(F.lit(c).alias("c"), F.lit(pr).alias("pr"), F.lit(sm).alias("s"),
+                                      F.array(*[F.lit(v) for v in p2]).alias("p2")) for c, pr, sm, p2 in lst]))])
     don = (base.where(F.col("_isd") & F.col("_pat").isin(list(d_opts)))
                .select("*", F.explode(d_map[F.col("_pat")]).alias("o"))
                .select(F.col("_id").alias("_did"), F.col("_pat").alias("_pd"), F.col("o.c").alias("_c"),
                        F.col("o.pr").alias("_pr"), *[F.col(f"x{j}").alias(f"y{j}") for j in range(p)],
-                       F.array(*[F.when(bit("o.s", j), F.col(f"i{j}")).otherwise(-1) for j in range(p)]).alias("_cell"),
+                       F.array(*[F.when(bit("o.s", j), coarse(j, F.col("o.p2"))).otherwise(-1) for j in range(p)]).alias("_cell"),
                        F.element_at(F.array(*[F.col(f"x{j}") for j in range(p)]), F.col("o.c") + 1).alias("_v"),
                        F.array(*[F.when(bit("o.s", j), F.col(f"x{j}")) for j in range(p)]).alias("_pt")))
     # donors at the same point of S are equidistant from every receiver: only the k smallest
@@ -113,10 +138,9 @@ def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_i
     wpt = Window.partitionBy("_c", "_pr", "_pd", "_pt").orderBy("_did")
     don = cut_lineage(don.withColumn("_k", F.row_number().over(wpt)).where(F.col("_k") <= k).drop("_k", "_pt"))
 
-    # receivers: one row per missing column that some donor pattern can serve
     r_opts: dict[int, list] = {}
-    for (c, pr, pd), sm in pairs.items():
-        r_opts.setdefault(pr * 64 + c, []).append((pd, sm))
+    for (c, pr, pd), (sm, p2s) in pairs.items():
+        r_opts.setdefault(pr * 64 + c, []).append((pd, sm, p2s))
     rc = F.array(*[F.lit(c) for c in range(p)])
     pending = (base.where("_isr").select("*", F.explode(rc).alias("_c"))
                    .where(F.expr("shiftright(_pat, _c) % 2 = 0"))
@@ -124,11 +148,14 @@ def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_i
                    .select(F.col("_id").alias("_rid"), F.col("_pat").alias("_pr"), "_c",
                            *[F.col(f"x{j}") for j in range(p)], *[F.col(f"i{j}") for j in range(p)]))
     o_map = F.create_map(*[v for kk, lst in r_opts.items() for v in (
-        F.lit(kk), F.array(*[F.struct(F.lit(pd).alias("pd"), F.lit(sm).alias("s")) for pd, sm in lst]))])
+        F.lit(kk), F.array(*[F.struct(F.lit(pd).alias("pd"), F.lit(sm).alias("s"),
+                                      F.array(*[F.lit(v) for v in p2]).alias("p2"))
+                             for pd, sm, p2 in lst]))])
+    amin = [F.lit(cm) for cm in cell_min]
+    amax = [F.lit(cm) for cm in cell_max]
     results = []
     ring = 0  # own cell first; most receivers are final there, the rest widen 1, 2, 4, ...
     for _ in range(max_rounds):
-        covers_all = all(ring >= nc - 1 for nc in ncell)
         pr_ = pending.select("*", F.explode(o_map[F.col("_pr") * 64 + F.col("_c")]).alias("o"))
         probes = pr_
         for j in range(p):  # offsets only along the common columns
@@ -136,7 +163,7 @@ def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_i
             probes = probes.withColumn(f"_o{j}", F.explode(rng))
         probes = probes.select("_rid", "_c", "_pr", F.col("o.pd").alias("_pd"), F.col("o.s").alias("_s"),
                                *[F.col(f"x{j}") for j in range(p)],
-                               F.array(*[F.when(bit("o.s", j), F.col(f"i{j}") + F.col(f"_o{j}")).otherwise(-1)
+                               F.array(*[F.when(bit("o.s", j), coarse(j, F.col("o.p2")) + F.col(f"_o{j}")).otherwise(-1)
                                          for j in range(p)]).alias("_cell"))
         cand = probes.join(don, ["_c", "_pr", "_pd", "_cell"])
         sq = reduce(lambda a, b: a + b, [F.when(bit("_s", j), F.pow(F.col(f"x{j}") - F.col(f"y{j}"), 2)).otherwise(0.0)
@@ -145,22 +172,17 @@ def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_i
         cand = cand.select("_rid", "_c", "_did", "_v", F.sqrt(F.lit(float(p)) / ns * sq).alias("_d"))
         w = Window.partitionBy("_c", "_rid").orderBy("_d", "_did")
         top = cut_lineage(cand.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k))
-        if covers_all:
-            results.append(top)
-            break
         # bound: a donor outside the probed box differs on some j in S by at least the gap
-        # between the receiver and the nearest value held by the next cell outwards
+        # between the receiver and the nearest value held outside the box on that column
+        p2 = F.col("o.p2")
         gaps = []
-        for j, cname in enumerate(cols):
-            cmin, cmax = cell_min[j], cell_max[j]
-            if len(cmin) <= 1:
-                gaps.append(F.lit(INF))
-                continue
-            amin = F.array(*[F.lit(v) for v in cmin])
-            amax = F.array(*[F.lit(v) for v in cmax])
-            lo_idx, hi_idx = F.col(f"i{j}") - ring, F.col(f"i{j}") + ring
-            below = F.when(lo_idx <= 0, F.lit(INF)).otherwise(F.col(f"x{j}") - F.element_at(amax, lo_idx.cast("int")))
-            above = F.when(hi_idx >= len(cmin) - 1, F.lit(INF)).otherwise(F.element_at(amin, (hi_idx + 2).cast("int")) - F.col(f"x{j}"))
+        for j in range(p):
+            ci = coarse(j, p2)
+            lo_fine = (ci - ring) * p2[j]              # first fine cell inside the box
+            hi_fine = (ci + ring + 1) * p2[j]          # first fine cell above the box
+            below = F.when(lo_fine <= 0, F.lit(INF)).otherwise(F.col(f"x{j}") - F.element_at(amax[j], lo_fine.cast("int")))
+            above = F.when(hi_fine >= nfine[j], F.lit(INF)).otherwise(
+                F.element_at(amin[j], (hi_fine + 1).cast("int")) - F.col(f"x{j}"))
             gaps.append(F.least(below, above))
         gmin = F.array_min(F.array(*[F.when(bit("o.s", j), gaps[j]).otherwise(F.lit(INF)) for j in range(p)]))
         nso = reduce(lambda a, b: a + b, [(F.shiftright(F.col("o.s"), j) % 2).cast("double") for j in range(p)])
