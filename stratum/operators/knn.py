@@ -20,12 +20,14 @@ import itertools
 import math
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.scalar import qcol
 from ..session import cut_lineage
 
 INF = float("inf")
+_DEBUG = bool(__import__("os").environ.get("STRATUM_DEBUG"))
 
 
 def _fine_cells(base: DataFrame, cols: list[str], n_fine: int) -> tuple[DataFrame, list[list[float]]]:
@@ -132,11 +134,17 @@ def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_i
                        F.col("o.pr").alias("_pr"), *[F.col(f"x{j}").alias(f"y{j}") for j in range(p)],
                        F.array(*[F.when(bit("o.s", j), coarse(j, F.col("o.p2"))).otherwise(-1) for j in range(p)]).alias("_cell"),
                        F.element_at(F.array(*[F.col(f"x{j}") for j in range(p)]), F.col("o.c") + 1).alias("_v"),
-                       F.array(*[F.when(bit("o.s", j), F.col(f"x{j}")) for j in range(p)]).alias("_pt")))
+                       *[F.when(bit("o.s", j), F.col(f"x{j}")).alias(f"_p{j}") for j in range(p)]))
     # donors at the same point of S are equidistant from every receiver: only the k smallest
-    # keys per point can ever be chosen (bounds cells of low-cardinality columns)
-    wpt = Window.partitionBy("_c", "_pr", "_pd", "_pt").orderBy("_did")
-    don = cut_lineage(don.withColumn("_k", F.row_number().over(wpt)).where(F.col("_k") <= k).drop("_k", "_pt"))
+    # keys per point can ever be chosen (bounds cells of low-cardinality columns). Short
+    # lineage from the checkpointed base: persisted, recomputed if an executor is lost.
+    wpt = Window.partitionBy("_c", "_pr", "_pd", *[f"_p{j}" for j in range(p)]).orderBy("_did")
+    don = (don.withColumn("_k", F.row_number().over(wpt)).where(F.col("_k") <= k)
+              .drop("_k", *[f"_p{j}" for j in range(p)]).persist(StorageLevel.MEMORY_AND_DISK))
+    if _DEBUG:
+        import time as _t
+        t0 = _t.time()
+        print(f"  donors={don.count()} pairs={len(pairs)} {(_t.time() - t0):.1f}s", flush=True)
 
     r_opts: dict[int, list] = {}
     for (c, pr, pd), (sm, p2s) in pairs.items():
@@ -170,8 +178,14 @@ def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_i
                                          for j in range(p)])
         ns = reduce(lambda a, b: a + b, [(F.shiftright(F.col("_s"), j) % 2).cast("double") for j in range(p)])
         cand = cand.select("_rid", "_c", "_did", "_v", F.sqrt(F.lit(float(p)) / ns * sq).alias("_d"))
+        if _DEBUG:
+            t0 = _t.time()
+            print(f"  ring={ring} probes={probes.count()} {(_t.time() - t0):.1f}s", flush=True)
+            t0 = _t.time()
+            print(f"  candidates={cand.count()} {(_t.time() - t0):.1f}s", flush=True)
         w = Window.partitionBy("_c", "_rid").orderBy("_d", "_did")
-        top = cut_lineage(cand.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k))
+        top = cand.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k) \
+                  .persist(StorageLevel.MEMORY_AND_DISK)
         # bound: a donor outside the probed box differs on some j in S by at least the gap
         # between the receiver and the nearest value held outside the box on that column
         p2 = F.col("o.p2")
@@ -191,7 +205,8 @@ def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_i
         st = bound.join(kth, ["_rid", "_c"], "left")
         fin = cut_lineage(st.where((F.col("_bound") == INF) |
                                    ((F.col("_n") >= k) & (F.col("_dk") < F.col("_bound")))).select("_rid", "_c"))
-        results.append(top.join(fin, ["_rid", "_c"], "left_semi"))
+        results.append(cut_lineage(top.join(fin, ["_rid", "_c"], "left_semi")))
+        top.unpersist()
         pending = cut_lineage(pending.join(fin, ["_rid", "_c"], "left_anti"))
         if pending.limit(1).count() == 0:
             break

@@ -267,7 +267,8 @@ def bagging(train: DataFrame, score_on: DataFrame, feats: list[str], kind: str =
 
 
 def stack_refit(train: DataFrame, score_on: DataFrame, feats: list[str], kinds: list[str], folds: int = 5,
-                label: str = "y", key: str = "row_id", seed: int = 42, passthrough: bool = False) -> DataFrame:
+                label: str = "y", key: str = "row_id", seed: int = 42, passthrough: bool = False,
+                params: dict | None = None) -> DataFrame:
     """Out-of-fold base probabilities -> logistic meta-learner; bases refit on all training
     rows score ``score_on``. No in-fold prediction is ever used for the meta-learner."""
     data = train.withColumn("_fold", F.pmod(portable_hash(key, seed), F.lit(folds)).cast("int"))
@@ -275,13 +276,14 @@ def stack_refit(train: DataFrame, score_on: DataFrame, feats: list[str], kinds:
     for f in range(folds):
         tr, ho = data.where(F.col("_fold") != f), data.where(F.col("_fold") == f)
         for kd in kinds:
-            oof.append(predict(fit(tr, feats, kd, label), ho, kd, key, label, keep=()))
+            oof.append(predict(fit(tr, feats, kd, label, **(params or {}).get(kd, {})), ho, kd, key, label, keep=()))
     meta_in = reduce(lambda a, b: a.unionByName(b), oof).groupBy(key, label).pivot("model", kinds).agg(F.first("score"))
     if passthrough:
         meta_in = meta_in.join(train.select(key, *feats), key)
     mcols = kinds + (feats if passthrough else [])
     meta = fit(meta_in, mcols, "logistic", label, scale=False)
-    full = [predict(fit(train, feats, kd, label), score_on, kd, key, label) for kd in kinds]
+    full = [predict(fit(train, feats, kd, label, **(params or {}).get(kd, {})), score_on, kd, key, label)
+            for kd in kinds]
     keep = [c for c in ("split",) if c in score_on.columns]
     piv = reduce(lambda a, b: a.unionByName(b), full).groupBy(key, *keep, label).pivot("model", kinds).agg(F.first("score"))
     if passthrough:

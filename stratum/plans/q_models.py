@@ -128,7 +128,7 @@ def q_bagging(spark, d):
 def q_stack_refit(spark, d):
     data = model_data(spark, d)
     return md.stack_refit(data.where(F.col("split") == "train"), data.where(F.col("split") != "train"), FEATS,
-                          ["logistic", "svm"], folds=3)
+                          ["logistic", "random_forest"], folds=3, params=SMALL)
 
 
 @query("train_all_ensembles")
@@ -142,7 +142,7 @@ def q_train_all_ensembles(spark, d):
     soft = v.select("row_id", "y", F.col("soft").alias("score"))
     hard = v.select("row_id", "y", F.col("hard").cast("double").alias("score"))
     bag = md.bagging(tr, ev_rows, FEATS, "gradboost", n=2, maxIter=5, maxDepth=3)
-    stk = md.stack_refit(tr, ev_rows, FEATS, ["logistic", "svm"], folds=3)
+    stk = md.stack_refit(tr, ev_rows, FEATS, ["logistic", "random_forest"], folds=3, params=SMALL)
     parts = []
     for name, p in [("soft_vote", soft), ("hard_vote", hard), ("bagging", bag), ("stacking", stk)]:
         parts.append(ev.evaluate_scores(p.select("row_id", "y", "score"), [], threshold=0.5)
