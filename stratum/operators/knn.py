@@ -91,6 +91,10 @@ def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_i
     n_fine = 1 << max(0, min(14, math.ceil(math.log2(max(n / max(cell_rows, 1), 1)))))
     pat = sum((F.col(f"x{j}").isNotNull().cast("int") * (1 << j) for j in range(p)), F.lit(0))
     base, edges = _fine_cells(base.withColumn("_pat", pat), cols, n_fine)
+    for j in range(p):  # values held by more than k donors (small tables, joined by AQE)
+        hv = (base.where(F.col("_isd") & F.col(f"x{j}").isNotNull()).groupBy(f"x{j}").count()
+                  .where(F.col("count") > k).select(f"x{j}", F.lit(True).alias(f"_h{j}")))
+        base = base.join(hv, f"x{j}", "left").withColumn(f"_h{j}", F.coalesce(f"_h{j}", F.lit(False)))
     base = cut_lineage(base)
     nfine = [len(e) + 1 for e in edges]
     stats = base.groupBy("_pat").agg(F.count_if("_isd").alias("nd"), F.count_if("_isr").alias("nr")).collect()
@@ -134,13 +138,21 @@ def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_i
                        F.col("o.pr").alias("_pr"), *[F.col(f"x{j}").alias(f"y{j}") for j in range(p)],
                        F.array(*[F.when(bit("o.s", j), coarse(j, F.col("o.p2"))).otherwise(-1) for j in range(p)]).alias("_cell"),
                        F.element_at(F.array(*[F.col(f"x{j}") for j in range(p)]), F.col("o.c") + 1).alias("_v"),
-                       *[F.when(bit("o.s", j), F.col(f"x{j}")).alias(f"_p{j}") for j in range(p)]))
+                       *[F.when(bit("o.s", j), F.col(f"x{j}")).alias(f"_p{j}") for j in range(p)],
+                       *[F.col(f"_h{j}") for j in range(p)], F.col("o.s").alias("_s")))
     # donors at the same point of S are equidistant from every receiver: only the k smallest
-    # keys per point can ever be chosen (bounds cells of low-cardinality columns). Short
-    # lineage from the checkpointed base: persisted, recomputed if an executor is lost.
+    # keys per point can ever be chosen (bounds cells of low-cardinality columns). A point can
+    # hold more than k donors only if each of its coordinates is a value held by more than k
+    # donors ("heavy"), so only those rows are ranked; the rest pass through unsorted.
+    # Short lineage from the checkpointed base: persisted, recomputed if an executor is lost.
+    heavy = F.lit(True)
+    for j in range(p):
+        heavy = heavy & (~bit("_s", j) | F.col(f"_h{j}"))
     wpt = Window.partitionBy("_c", "_pr", "_pd", *[f"_p{j}" for j in range(p)]).orderBy("_did")
-    don = (don.withColumn("_k", F.row_number().over(wpt)).where(F.col("_k") <= k)
-              .drop("_k", *[f"_p{j}" for j in range(p)]).persist(StorageLevel.MEMORY_AND_DISK))
+    pts = [f"_p{j}" for j in range(p)] + [f"_h{j}" for j in range(p)] + ["_s"]
+    hv = don.where(heavy)
+    hv = hv.withColumn("_k", F.row_number().over(wpt)).where(F.col("_k") <= k).drop("_k", *pts)
+    don = hv.unionByName(don.where(~heavy).drop(*pts)).persist(StorageLevel.MEMORY_AND_DISK)
     if _DEBUG:
         import time as _t
         t0 = _t.time()
