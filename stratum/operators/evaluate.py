@@ -55,10 +55,8 @@ def cumulative_counts(preds: DataFrame, keys=(), y: str = "y", score: str = "sco
     if not keys:
         return cumulative_counts(preds.withColumn("_all", F.lit(0)), ["_all"], y, score, method).drop("_all")
     sc = score_counts(preds, keys, y, score)
-    cum = running_totals(sc, keys, "score", ["pos", "neg"], descending=True, method=method)
-    cum = cum.withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp"})
-    # one row per group: AQE turns this into a broadcast join
-    return cum.join(_totals(sc, keys), keys, "left")
+    cum = running_totals(sc, keys, "score", ["pos", "neg"], descending=True, method=method, totals=True)
+    return cum.withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp", "tot_pos": "n_pos", "tot_neg": "n_neg"})
 
 
 # ------------------------------------------------------------------ curves and areas
@@ -220,10 +218,10 @@ def _grid_counts(preds, keys, y, score, thresholds, method):
                    F.lit(0).cast("bigint").alias("neg"), F.lit(1).alias("is_grid")))
     u = sc.withColumn("grid_idx", F.lit(None).cast("int")).select(*g.columns).unionByName(g)
     order = [F.col("score").desc(), F.col("is_grid").asc()]
-    cum = running_totals(u, keys, order, ["pos", "neg"], method=method)
+    cum = running_totals(u, keys, order, ["pos", "neg"], method=method, totals=True)
     at = cum.where("is_grid = 1").select(*keys, "grid_idx", F.col("score").alias("threshold"),
-                                         F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"))
-    at = at.join(_totals(sc, keys), keys, "left")
+                                         F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
+                                         F.col("tot_pos").alias("n_pos"), F.col("tot_neg").alias("n_neg"))
     return at.select(*keys, "grid_idx", "threshold", "tp", "fp",
                      (F.col("n_pos") - F.col("tp")).alias("fn"), (F.col("n_neg") - F.col("fp")).alias("tn"))
 

@@ -22,16 +22,27 @@ WINDOW_LIMIT = 2_000_000
 
 def running_totals(df: DataFrame, keys: list[str], order, values: list[str],
                    descending: bool = True, method: str = "auto",
-                   prefix: str = "cum_", n_parts: int | None = None) -> DataFrame:
-    """``order``: a column name (direction from ``descending``) or a list of sort Columns."""
+                   prefix: str = "cum_", n_parts: int | None = None, totals: bool = False) -> DataFrame:
+    """``order``: a column name (direction from ``descending``) or a list of sort Columns.
+    ``totals``: also add ``tot_<v>`` (group total), from the same partitioning when windowed."""
     if method == "auto":
         biggest = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
                      .agg(F.max("n")).first()[0]) if keys else df.count()
         method = "window" if (biggest or 0) <= WINDOW_LIMIT else "blocked"
     if method == "window":
         w = Window.partitionBy(*keys).orderBy(*_order(order, descending)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.select("*", *[F.sum(v).over(w).alias(prefix + v) for v in values])
-    return _blocked(df, keys, order, values, descending, prefix, n_parts)
+        out = df.select("*", *[F.sum(v).over(w).alias(prefix + v) for v in values])
+        if totals:
+            wt = Window.partitionBy(*keys)
+            out = out.select("*", *[F.sum(v).over(wt).alias("tot_" + v) for v in values])
+        return out
+    out = _blocked(df, keys, order, values, descending, prefix, n_parts)
+    if totals:
+        tot = out.groupBy(*keys).agg(*[F.max(prefix + v).alias("tot_" + v) for v in values]) if keys else \
+            out.agg(*[F.max(prefix + v).alias("tot_" + v) for v in values])
+        out = out.join(tot, keys) if keys else \
+            out.withColumn("_k", F.lit(0)).join(tot.withColumn("_k", F.lit(0)), "_k").drop("_k")
+    return out
 
 
 def _order(order, descending):

@@ -78,8 +78,10 @@ def test_running_totals_blocked_equals_window(spark):
     df = spark.range(5000).select((F.col("id") % 3).alias("g"), ((F.col("id") * 7919) % 1000).alias("v"),
                                   F.lit(1).cast("bigint").alias("one"))
     d = df.groupBy("g", "v").agg(F.sum("one").alias("one"))
-    w = {(r["g"], r["v"]): r["cum_one"] for r in running.running_totals(d, ["g"], "v", ["one"], method="window").collect()}
-    b = {(r["g"], r["v"]): r["cum_one"] for r in running.running_totals(d, ["g"], "v", ["one"], method="blocked", n_parts=7).collect()}
+    w = {(r["g"], r["v"]): (r["cum_one"], r["tot_one"]) for r in
+         running.running_totals(d, ["g"], "v", ["one"], method="window", totals=True).collect()}
+    b = {(r["g"], r["v"]): (r["cum_one"], r["tot_one"]) for r in
+         running.running_totals(d, ["g"], "v", ["one"], method="blocked", n_parts=7, totals=True).collect()}
     assert w == b
 
 
