@@ -16,6 +16,7 @@ from ..functions.scalar import qcol, safe_div
 from .quantiles import exact_quantiles
 
 CHUNK = 200
+PAIR_CHUNK = 8
 
 
 def _numeric_cols(df: DataFrame, exclude=()) -> list[str]:
@@ -219,8 +220,10 @@ def correlation_matrix(df: DataFrame, cols: list[str], method: str = "auto") ->
     if method == "pairs":
         pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
         parts = []
-        for s in range(0, len(pairs), CHUNK):
-            ch = pairs[s:s + CHUNK]
+        # ~10 buffer fields per pair: chunks of PAIR_CHUNK pairs stay under the whole-stage
+        # codegen field limit (each chunk reads only its own Parquet columns)
+        for s in range(0, len(pairs), PAIR_CHUNK):
+            ch = pairs[s:s + PAIR_CHUNK]
             row = df.agg(*[_corr(qcol(cols[i]), qcol(cols[j])).alias(f"r{k}") for k, (i, j) in enumerate(ch)])
             parts.append(row.select(F.inline(F.array(*[
                 F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), F.col(f"r{k}").alias("corr"))
