@@ -1,8 +1,8 @@
 """Profiling aggregates (missingness, moments, quantiles, correlation, histograms).
 
 Wide tables: per-column statistics are computed as single-row aggregates in chunks of at
-most ``CHUNK`` expressions; each chunk scans only its own Parquet columns, so total I/O
-equals one pass while plans stay small. Results are unpivoted to a long
+most ``AGG_LIMIT`` aggregate functions (small enough for whole-stage codegen); each chunk
+scans only its own Parquet columns, so total I/O equals one pass while plans stay small. Results are unpivoted to a long
 ``(column, ...)`` form. Nothing but per-column statistics reaches the driver.
 """
 from __future__ import annotations
@@ -17,6 +17,7 @@ from .quantiles import exact_quantiles
 
 CHUNK = 200
 PAIR_CHUNK = 8
+AGG_LIMIT = 40   # aggregate functions per pass: keeps the buffer under the codegen field limit
 
 
 def _numeric_cols(df: DataFrame, exclude=()) -> list[str]:
@@ -27,8 +28,9 @@ def _numeric_cols(df: DataFrame, exclude=()) -> list[str]:
 def _long_stats(df: DataFrame, cols: list[str], stat_fns: dict) -> DataFrame:
     """One aggregate per chunk -> long table ``(column, <stat>...)`` (lazy, union of chunks)."""
     parts = []
-    for i in range(0, len(cols), CHUNK):
-        chunk = cols[i:i + CHUNK]
+    per = max(1, min(CHUNK, AGG_LIMIT // max(len(stat_fns), 1)))   # aggregates per pass
+    for i in range(0, len(cols), per):
+        chunk = cols[i:i + per]
         aggs = []
         for j, c in enumerate(chunk):
             aggs += [fn(qcol(c)).alias(f"{s}__{j}") for s, fn in stat_fns.items()]
