@@ -15,7 +15,26 @@ from .tables import KEYS, CONTINUOUS, BINARY, FEATURES, STUDY_SQL, PREDS_SQL, wi
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
 
+def _bigint_counts(sql: str) -> str:
+    """Wrap every ``count_if(...)`` in ``CAST(... AS BIGINT)`` (DuckDB returns HUGEINT)."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(sql[i:j] + "CAST(" + sql[j:k] + " AS BIGINT)")
+        i = k
+
+
 def query(name: str, sql: str | None = None):
+    if sql:
+        sql = _bigint_counts(sql)
+
     def deco(fn):
         def run(spark, sf_dir, _fn=fn):
             return rounded(_fn(spark, sf_dir))

@@ -111,9 +111,9 @@ def power_fit_sql(method: str, cols: list[str]) -> str:
     parts = []
     if method == "box-cox":
         parts.append("sh AS (" + union_per_column(cols, lambda c: f"""SELECT '{c}' AS col,
-            CASE WHEN min({c}) <= 0 THEN abs(min({c})) + {_dbl(tf.BOX_COX_SHIFT)} ELSE 0.0 END AS shift FROM study""") + ")")
+            CASE WHEN min({c}) <= 0 THEN abs(min({c})) + {_dbl(tf.BOX_COX_SHIFT)} ELSE CAST(0.0 AS DOUBLE) END AS shift FROM study""") + ")")
     else:
-        parts.append("sh AS (" + union_per_column(cols, lambda c: f"SELECT '{c}' AS col, 0.0 AS shift") + ")")
+        parts.append("sh AS (" + union_per_column(cols, lambda c: f"SELECT '{c}' AS col, CAST(0.0 AS DOUBLE) AS shift") + ")")
     parts.append("xs AS (" + union_per_column(cols, lambda c: f"""SELECT '{c}' AS col, CAST({c} AS DOUBLE) + (SELECT shift FROM sh WHERE col = '{c}') AS x
         FROM study WHERE {c} IS NOT NULL""") + ")")
     (s0, st0, n0), (_, st1, n1), (_, st2, n2) = tf.grid_rounds()

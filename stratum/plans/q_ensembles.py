@@ -66,7 +66,7 @@ OPT_MODELS = ["XGBoost", "GradBoost", "RandForest"]
 
 def _opt_sql():
     grid = en.weight_grid(OPT_MODELS, (1, 2, 3))
-    vals = ", ".join(f"({i}, {a:.1f}, {b:.1f}, {c:.1f})" for i, (a, b, c) in enumerate(grid))
+    vals = ", ".join(f"({i}, CAST({a} AS DOUBLE), CAST({b} AS DOUBLE), CAST({c} AS DOUBLE))" for i, (a, b, c) in enumerate(grid))
     return WITH_PREDS + f""", pv AS (SELECT row_id, {EK}, y,
    max(CASE WHEN model = 'XGBoost' THEN score END) AS XGBoost, max(CASE WHEN model = 'GradBoost' THEN score END) AS GradBoost,
    max(CASE WHEN model = 'RandForest' THEN score END) AS RandForest

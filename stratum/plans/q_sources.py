@@ -142,7 +142,7 @@ def _group_test(spark, d):
                    (F.col("imputation") == GROUP[1]) & (F.col("version") == GROUP[2]))
 
 
-@query("write_label_lines", WITH_PREDS + f"""SELECT count(*) AS n_lines, count(*) AS n_expected, 0 AS n_bad,
+@query("write_label_lines", WITH_PREDS + f"""SELECT count(*) AS n_lines, count(*) AS n_expected, CAST(0 AS BIGINT) AS n_bad,
   CAST(NULL AS BIGINT) AS first_bad_line, CAST(NULL AS VARCHAR) AS first_bad_value, true AS valid
   FROM preds WHERE {GROUP_SQL}""")
 def q_write_label_lines(spark, d):
