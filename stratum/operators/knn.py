@@ -126,16 +126,18 @@ def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_i
     def coarse(j, p2):
         return F.floor(F.col(f"i{j}") / p2[j]).cast("int")
 
-    d_opts: dict[int, list] = {}
+    # donors: one row per (target column, common set S) they can serve; receiver patterns with
+    # the same S share these rows (the grid of a pair depends only on S and the donor pattern)
+    d_opts: dict[int, dict] = {}
     for (c, pr, pd), (sm, p2s) in pairs.items():
-        d_opts.setdefault(pd, []).append((c, pr, sm, p2s))
-    d_map = F.create_map(*[v for pd, lst in d_opts.items() for v in (
-        F.lit(pd), F.array(*[F.struct(F.lit(c).alias("c"), F.lit(pr).alias("pr"), F.lit(sm).alias("s"),
-                                      F.array(*[F.lit(v) for v in p2]).alias("p2")) for c, pr, sm, p2 in lst]))])
+        d_opts.setdefault(pd, {})[(c, sm)] = p2s
+    d_map = F.create_map(*[v for pd, opts in d_opts.items() for v in (
+        F.lit(pd), F.array(*[F.struct(F.lit(c).alias("c"), F.lit(sm).alias("s"),
+                                      F.array(*[F.lit(v) for v in p2]).alias("p2")) for (c, sm), p2 in opts.items()]))])
     don = (base.where(F.col("_isd") & F.col("_pat").isin(list(d_opts)))
                .select("*", F.explode(d_map[F.col("_pat")]).alias("o"))
                .select(F.col("_id").alias("_did"), F.col("_pat").alias("_pd"), F.col("o.c").alias("_c"),
-                       F.col("o.pr").alias("_pr"), *[F.col(f"x{j}").alias(f"y{j}") for j in range(p)],
+                       F.col("o.s").alias("_sk"), *[F.col(f"x{j}").alias(f"y{j}") for j in range(p)],
                        F.array(*[F.when(bit("o.s", j), coarse(j, F.col("o.p2"))).otherwise(-1) for j in range(p)]).alias("_cell"),
                        F.element_at(F.array(*[F.col(f"x{j}") for j in range(p)]), F.col("o.c") + 1).alias("_v"),
                        *[F.when(bit("o.s", j), F.col(f"x{j}")).alias(f"_p{j}") for j in range(p)],
@@ -148,7 +150,7 @@ def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_i
     heavy = F.lit(True)
     for j in range(p):
         heavy = heavy & (~bit("_s", j) | F.col(f"_h{j}"))
-    wpt = Window.partitionBy("_c", "_pr", "_pd", *[f"_p{j}" for j in range(p)]).orderBy("_did")
+    wpt = Window.partitionBy("_c", "_sk", "_pd", *[f"_p{j}" for j in range(p)]).orderBy("_did")
     pts = [f"_p{j}" for j in range(p)] + [f"_h{j}" for j in range(p)] + ["_s"]
     hv = don.where(heavy)
     hv = hv.withColumn("_k", F.row_number().over(wpt)).where(F.col("_k") <= k).drop("_k", *pts)
@@ -181,11 +183,11 @@ def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_i
         for j in range(p):  # offsets only along the common columns
             rng = F.when(bit("o.s", j), F.sequence(F.lit(-ring), F.lit(ring))).otherwise(F.array(F.lit(0)))
             probes = probes.withColumn(f"_o{j}", F.explode(rng))
-        probes = probes.select("_rid", "_c", "_pr", F.col("o.pd").alias("_pd"), F.col("o.s").alias("_s"),
+        probes = probes.select("_rid", "_c", F.col("o.s").alias("_sk"), F.col("o.pd").alias("_pd"), F.col("o.s").alias("_s"),
                                *[F.col(f"x{j}") for j in range(p)],
                                F.array(*[F.when(bit("o.s", j), coarse(j, F.col("o.p2")) + F.col(f"_o{j}")).otherwise(-1)
                                          for j in range(p)]).alias("_cell"))
-        cand = probes.join(don, ["_c", "_pr", "_pd", "_cell"])
+        cand = probes.join(don, ["_c", "_sk", "_pd", "_cell"])
         sq = reduce(lambda a, b: a + b, [F.when(bit("_s", j), F.pow(F.col(f"x{j}") - F.col(f"y{j}"), 2)).otherwise(0.0)
                                          for j in range(p)])
         ns = reduce(lambda a, b: a + b, [(F.shiftright(F.col("_s"), j) % 2).cast("double") for j in range(p)])
