@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,26 +45,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local mode, when nothing is configured, a private temporary folder is created.
     """
     sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(d)
         return d
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    d = tempfile.mkdtemp(prefix="stratum-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", d)
-    sc.setCheckpointDir(d)
-    return d
+    if not sc.getCheckpointDir():
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="stratum-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the checkpoint folder for a written intermediate table."""
-    base = checkpoint_dir(spark)
-    if "://" in base:
-        import uuid
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    """Name of a fresh sub-folder of the checkpoint folder; Spark creates it on writing, in
+    whatever file system the checkpoint folder belongs to."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

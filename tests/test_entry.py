@@ -18,6 +18,12 @@ def test_entry_runs(spark):
     assert set(m.oracle_sql()) <= set(m.queries())
 
 
-def test_no_query_keys_named_pipeline():
-    m = _entry()
-    assert not any(k == "pipeline" or k.startswith("op") and k[2:3].isdigit() for k in m.queries())
+def test_entry_needs_no_optional_part(monkeypatch):
+    """Without the optional subpackage and pipeline, everything else is still registered."""
+    import sys
+    full = set(_entry().queries())
+    for name in ("stratum.llm", "stratum.llm.queries", "corpus_pipeline"):
+        monkeypatch.setitem(sys.modules, name, None)
+    rest = set(_entry().queries())
+    assert rest <= full and "cap_outliers" in rest
+    assert not any(k == "pipeline" or k.startswith("op") and k[2:3].isdigit() for k in rest)
