@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import bitpack
@@ -17,6 +16,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer(name: str) -> str:
+    """Path of a public tokenizer file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -25,7 +30,7 @@ def query(fn):
 @query
 def op10_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents in packed files, read back: doc_id, start, n_tokens, ids_crc32."""
-    files = bitpack.write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    files = bitpack.write_ids(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=1)
     return bitpack.read_ids(files, digest=True)
 
 
