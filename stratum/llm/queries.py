@@ -7,9 +7,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bitpack
+from . import bitpack, lengths, mixing, packing
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,76 @@ def query(fn):
     return fn
 
 
+@query
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens: one row per piece."""
+    pieces = packing.pieces(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=2, capacity=1024)
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), capacity=1024)
+
+
+@query
+def op4_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct encoded length of the documents as a context limit, with exact totals."""
+    return lengths.limits(lengths.length_histogram(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json")))
+
+
+#: Target weights among siblings: domain, then language, then source (others weigh 1).
+MIX_WEIGHTS = {"domain": {"web": 5, "books": 3, "code": 2}, "lang": {"en": 6, "de": 2, "fr": 2, "es": 1},
+               "source": {"src0": 1, "src1": 2, "src2": 3}}
+WORDS = r"[^\x20\x09-\x0D]+"
+
+
+def mix_levels() -> dict:
+    """The tree of the documents: the source's number gives the domain."""
+    number = F.try_to_number(F.regexp_extract("source", "([0-9]+)$", 1), F.lit("999999")) % 3
+    domain = F.when(number == 0, "web").when(number == 1, "books").otherwise("code")
+    return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
+
+
+def word_count():
+    return F.size(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORDS), F.lit(0)))
+
+
+@query
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents chosen, epoch by epoch, to meet the weights of their domain, language and source."""
+    docs = table(spark, sf_dir, "documents").withColumns({"domain": mix_levels()["domain"], "tokens": word_count()})
+    docs = docs.select("doc_id", "domain", "lang", "source", "tokens")
+    return mixing.mix(docs, {k: F.col(k) for k in ("domain", "lang", "source")}, F.col("tokens"), MIX_WEIGHTS)
+
+
+def _level_sql(i: int, levels: list[str]) -> str:
+    """SQL of one level of budgets: table b<i> from b<i-1> (columns: levels so far, got)."""
+    here, above = ", ".join(levels[:i + 1]), ", ".join(levels[:i])
+    w = " ".join(f"WHEN '{k}' THEN {v}" for k, v in MIX_WEIGHTS[levels[i]].items())
+    part = f"PARTITION BY {above}" if above else ""
+    on = " AND ".join(f"c{i}.{c} IS NOT DISTINCT FROM p.{c}" for c in levels[:i]) or "TRUE"
+    return f"""c{i} AS (SELECT {here}, SUM(tokens) * 4 AS c, MAX(CASE coalesce({levels[i]}, '') {w} ELSE 1 END) AS w FROM leaf GROUP BY {here}),
+f{i} AS (SELECT c{i}.*, CAST(c AS DOUBLE) / w AS r, p.got AS b FROM c{i} JOIN b{i} p ON {on}),
+l{i} AS (SELECT *, CAST(b - coalesce(SUM(c) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+           / SUM(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS v FROM f{i} WINDOW o AS ({part} ORDER BY r, {levels[i]} NULLS FIRST)),
+m{i} AS (SELECT *, min(CASE WHEN r >= v THEN {{'r': r, 'v': v}} END) OVER ({part}) AS m FROM l{i}),
+b{i + 1} AS (SELECT {here}, CASE WHEN m IS NULL THEN c ELSE least(c, CAST(floor(m.v * w + 1e-6) AS HUGEINT)) END AS got FROM m{i})"""
+
+
+_LEVELS = ["domain", "lang", "source"]
+ORACLES["op8_source_mixing"] = """WITH d AS (
+  SELECT doc_id, CASE TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'books' ELSE 'code' END AS domain,
+         lang, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS INTEGER) AS tokens FROM documents),
+leaf AS (SELECT domain, lang, source, SUM(tokens) AS tokens FROM d GROUP BY ALL),
+b0 AS (SELECT SUM(tokens) AS got FROM leaf),
+""" + ",\n".join(_level_sql(i, _LEVELS) for i in range(3)) + """,
+e AS (SELECT d.*, CASE WHEN leaf.tokens > 0 THEN got // leaf.tokens ELSE 0 END AS fulls,
+             got - (CASE WHEN leaf.tokens > 0 THEN got // leaf.tokens ELSE 0 END) * leaf.tokens AS rest
+      FROM d JOIN leaf ON d.domain IS NOT DISTINCT FROM leaf.domain AND d.lang IS NOT DISTINCT FROM leaf.lang AND d.source IS NOT DISTINCT FROM leaf.source
+      JOIN b3 ON d.domain IS NOT DISTINCT FROM b3.domain AND d.lang IS NOT DISTINCT FROM b3.lang AND d.source IS NOT DISTINCT FROM b3.source),
+p AS (SELECT *, SUM(tokens) OVER (PARTITION BY domain, lang, source
+        ORDER BY CAST('0x' || substr(md5('7|' || CAST(fulls AS BIGINT) || '|' || doc_id), 1, 15) AS BIGINT), doc_id, tokens ROWS UNBOUNDED PRECEDING) AS upto FROM e)
+SELECT doc_id, domain, lang, source, tokens, CAST(epoch AS INTEGER) AS epoch FROM (
+  SELECT *, unnest(range(CAST(fulls AS BIGINT))) AS epoch FROM e
+  UNION ALL SELECT * EXCLUDE (upto), CAST(fulls AS BIGINT) FROM p WHERE rest > 0 AND upto <= rest)"""
+
+
 @query
 def op10_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents in packed files, read back: doc_id, start, n_tokens, ids_crc32."""

@@ -3,19 +3,20 @@
 Texts are cut where the tokenizer itself always cuts (before white space that follows
 non-white space, and between a letter and a following ``.`` or ``,``), so the ids of a text are
 the ids of its pieces one after another. Pieces repeat, so each worker process keeps the ids of
-up to ``CACHE_LIMIT`` pieces and gives only new ones to the library, in batches. Tokenizers whose
-file does not guarantee those cuts are called on whole texts.
+about ``CACHE_LIMIT`` pieces and gives only new ones to the library. Tokenizers whose file does not
+guarantee those cuts are called on whole texts.
 """
 from __future__ import annotations
 
 import json
 import os
 import re
+from array import array
 
 import numpy as np
 
 #: Pieces that one worker process remembers (about 200 bytes each).
-CACHE_LIMIT = 1_000_000
+CACHE_LIMIT = 1_500_000
 #: Longer pieces are encoded each time instead of being remembered.
 LONG_PIECE = 64
 #: Characters of one text that are cut into pieces at a time.
@@ -67,20 +68,7 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             self.cuts = _cuts(json.load(f))
         self.lower = self.cuts is _NO_SPACE
-        self.cache: dict[str, bytes] = {}
-
-    def _fill(self, pieces: set[str]) -> dict[str, bytes]:
-        """Remember the ids of new pieces; returns those that are not to be remembered."""
-        new = [p for p in pieces if p not in self.cache]
-        if len(self.cache) + len(new) > CACHE_LIMIT:
-            self.cache.clear()
-            new = list(pieces)
-        own = {}
-        for i in range(0, len(new), 4096):
-            part = new[i:i + 4096]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                (self.cache if len(p) <= LONG_PIECE else own)[p] = np.array(e.ids, dtype="<u4").tobytes()
-        return own
+        self.cache = _Pieces(self.tokenizer)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as bytes; null texts are empty."""
@@ -123,22 +111,22 @@ class Encoder:
     def _join(self, texts: list[str], find) -> list[bytes]:
         if not texts:
             return []
-        lists = [find(t.lower() if self.lower and t.isascii() and "<|" not in t else t) for t in texts]
-        seen: set[str] = set()
-        seen.update(*lists)
-        own = self._fill(seen)
-        if not own:
-            get = self.cache.__getitem__
-        else:
-            both = _Both(self.cache, own)
-            get = both.__getitem__
-        return [b"".join(map(get, ps)) for ps in lists]
-
-
-class _Both:
-    def __init__(self, a: dict, b: dict):
-        self.a, self.b = a, b
-
-    def __getitem__(self, k):
-        v = self.a.get(k)
-        return self.b[k] if v is None else v
+        get = self.cache.__getitem__
+        out = [b"".join(map(get, find(t.lower() if self.lower and t.isascii() and "<|" not in t else t))) for t in texts]
+        if len(self.cache) > CACHE_LIMIT:
+            self.cache.clear()
+        return out
+
+
+class _Pieces(dict):
+    """Ids of pieces; a piece that is not there is encoded, and remembered unless it is long."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenizer = tokenizer
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+        if len(piece) <= LONG_PIECE:
+            self[piece] = ids
+        return ids
