@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bitpack, lengths, mixing, packing
+from . import bitpack, fingerprint, lengths, licences, mixing, packing
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,12 +34,28 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), capacity=1024)
 
 
+@query
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, with likenesses."""
+    return fingerprint.compare_next(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every distinct encoded length of the documents as a context limit, with exact totals."""
     return lengths.limits(lengths.length_histogram(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json")))
 
 
+@query
+def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences recognised in every document from its known licence sentences."""
+    found = licences.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licences", ",").alias("licences"), "unmatched")
+
+
+ORACLES["op6_licence_scan"] = licences.scan_sql()
+
+
 #: Target weights among siblings: domain, then language, then source (others weigh 1).
 MIX_WEIGHTS = {"domain": {"web": 5, "books": 3, "code": 2}, "lang": {"en": 6, "de": 2, "fr": 2, "es": 1},
                "source": {"src0": 1, "src1": 2, "src2": 3}}
