@@ -2,11 +2,11 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..session import scratch_path
 
@@ -64,6 +64,25 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             i = j
 
 
+def add_columns(df: DataFrame, text_col: str, fields: dict[str, str], fn: Callable[[pa.Array], list]) -> DataFrame:
+    """``df`` with the columns ``fields`` (name -> type) that ``fn`` computes from slices of ``text_col``.
+
+    All other columns are passed through; columns of the same names (in any case) are replaced.
+    """
+    ship(df.sparkSession)
+    new = {f.lower() for f in fields}
+    keep = [f for f in df.schema.fields if f.name.lower() not in new]
+    extra = T.StructType.fromDDL(", ".join(f"`{k}` {v}" for k, v in fields.items()))
+    schema = T.StructType([*keep, *extra.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, text):
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *fn(b.column(b.num_columns - 1))], names=schema.names)
+
+    text = fresh([f.name for f in keep], "_text")[0]
+    return df.select(*[f"`{f.name}`" for f in keep], F.col(f"`{text_col}`").cast("string").alias(text)).mapInArrow(run, schema)
+
+
 def raw_text(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a text column and the row offsets into them (rows + 1). Null rows are empty."""
     if column.null_count:
@@ -116,20 +135,19 @@ def ascii_lower(data: np.ndarray) -> np.ndarray:
     return data | (up.astype(np.uint8) << 5)
 
 
-def words(data: np.ndarray, offsets: np.ndarray, cut: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, on: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Spans of the words ``[^\\x20\\x09-\\x0D]+`` of every row: starts, ends, row numbers.
 
     No byte of a multi-byte UTF-8 character is a separator, so byte spans are character spans.
-    ``cut``: further byte positions at which a word ends.
+    ``on``: which bytes belong to words, where that is another rule.
     """
     if not len(data):
         z = np.zeros(0, np.int64)
         return z, z, z
-    on = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    if on is None:
+        on = ~((data == 32) | ((data >= 9) & (data <= 13)))
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
-    if cut is not None:
-        edge[cut] = True
     before = np.empty(len(data), dtype=bool)
     before[0] = False
     before[1:] = on[:-1]

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bitpack, fingerprint, lengths, licences, mixing, packing
+from . import bitpack, fingerprint, langid, lengths, licences, mixing, packing, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,20 @@ def op4_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.limits(lengths.length_histogram(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json")))
 
 
+def fold(parts: int):
+    """crc32 of the id as text, modulo the number of parts."""
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of four of five folds."""
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(fold(5) != 0))
+    scored = toxicity.score(docs.withColumn("held_out", F.coalesce(fold(5) == 0, F.lit(True))), model)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 @query
 def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences recognised in every document from its known licence sentences."""
@@ -113,6 +127,15 @@ SELECT doc_id, domain, lang, source, tokens, CAST(epoch AS INTEGER) AS epoch FRO
   UNION ALL SELECT * EXCLUDE (upto), CAST(fulls AS BIGINT) FROM p WHERE rest > 0 AND upto <= rest)"""
 
 
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the languages of two of three folds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs, fold(3) != 1)
+    named = langid.predict(docs.select("doc_id", "text").withColumn("held_out", F.coalesce(fold(3) == 1, F.lit(True))), model)
+    return named.select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query
 def op10_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents in packed files, read back: doc_id, start, n_tokens, ids_crc32."""
