@@ -24,8 +24,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import fresh, stored
 
-#: Hash buckets per leaf (16 of the 60 hash bits).
-BUCKET_BITS = 16
+#: Hash buckets per leaf (12 of the 60 hash bits).
+BUCKET_BITS = 12
 
 
 def order_hash(seed: int, epoch: Column, doc_id: Column) -> Column:

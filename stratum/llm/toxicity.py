@@ -7,7 +7,7 @@ bounded sample of labelled training rows holds clearly more often in toxic than
 
 The label model treats the true label as hidden. Expectation maximisation over the sample's votes
 estimates, for each voter, how often it fires on toxic and on clean texts, with the given label as one more
-noisy voter. Voters that fire together within a class (nested patterns do) would count twice, so
+noisy voter (it never abstains). Voters that fire together within a class (nested patterns do) would count twice, so
 each vote is divided by the sum of the voter's positive correlations within the classes. The posterior
 labels, weighted to the true share of toxic rows, train a logistic regression on the votes.
 
@@ -85,15 +85,15 @@ class Model:
 
 def label_model(votes: np.ndarray, labels: np.ndarray, weight: np.ndarray, rounds: int = 30) -> np.ndarray:
     """Posterior probability of "toxic" for each row of the vote matrix (rows x voters, zero-one)."""
-    v = np.column_stack([votes, labels]).astype(np.float64)
-    q = np.clip(0.9 * labels + 0.1 * (votes.sum(axis=1) > 0), 0.02, 0.98)
+    v = votes.astype(np.float64)
+    q = np.clip(labels, 0.05, 0.95).astype(np.float64)
     for _ in range(rounds):
         a, b = q * weight, (1 - q) * weight
-        fire1 = (a @ v + 0.5) / (a.sum() + 1)
-        fire0 = (b @ v + 0.5) / (b.sum() + 1)
+        fire1, fire0 = (a @ v + 0.1) / (a.sum() + 1), (b @ v + 0.1) / (b.sum() + 1)
         share = 1.0 / _together(v, q, fire1, fire0)
-        on, off = np.log(fire1 / fire0) * share, np.log((1 - fire1) / (1 - fire0)) * share
-        z = np.log(a.sum() / b.sum()) + v @ (on - off) + off.sum()
+        right1, right0 = (np.clip((x @ y + 9) / (x.sum() + 10), 0.6, 0.99) for x, y in ((a, labels), (b, 1 - labels)))
+        label = np.where(labels == 1, np.log(right1 / (1 - right0)), np.log((1 - right1) / right0))
+        z = np.log(a.sum() / b.sum()) + v @ (np.log(fire1 / fire0) * share) + label  # abstaining says nothing
         new = 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
         done = np.abs(new - q).max() < 1e-4
         q = new
