@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bitpack, fingerprint, langid, lengths, licences, mixing, packing, toxicity
+from . import ann, bitpack, fingerprint, langid, lengths, licences, mixing, packing, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +70,12 @@ def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op6_licence_scan"] = licences.scan_sql()
 
 
+@query
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found, by inner product, of every vector whose id is divisible by 20."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 #: Target weights among siblings: domain, then language, then source (others weigh 1).
 MIX_WEIGHTS = {"domain": {"web": 5, "books": 3, "code": 2}, "lang": {"en": 6, "de": 2, "fr": 2, "es": 1},
                "source": {"src0": 1, "src1": 2, "src2": 3}}
