@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bitpack, fingerprint, langid, lengths, licences, mixing, packing, toxicity
+from . import ann, bitpack, fingerprint, jaccard, langid, lengths, licences, mixing, packing, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,12 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_next(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 3-word shingles have similarity 0.9 or more."""
+    return jaccard.join(table(spark, sf_dir, "documents"), k=3, num=9, den=10)
+
+
 @query
 def op4_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every distinct encoded length of the documents as a context limit, with exact totals."""
