@@ -48,20 +48,19 @@ def _totals(sc: DataFrame, keys) -> DataFrame:
     return sc.groupBy(*keys).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
 
 
-def cumulative_counts(preds: DataFrame, keys=(), y: str = "y", score: str = "score",
-                      method: str = "auto") -> DataFrame:
+def cumulative_counts(preds: DataFrame, keys=(), y: str = "y", score: str = "score") -> DataFrame:
     """keys, score, pos, neg, tp, fp (counts with score >= this score), n_pos, n_neg."""
     keys = _k(keys)
     if not keys:
-        return cumulative_counts(preds.withColumn("_all", F.lit(0)), ["_all"], y, score, method).drop("_all")
+        return cumulative_counts(preds.withColumn("_all", F.lit(0)), ["_all"], y, score).drop("_all")
     sc = score_counts(preds, keys, y, score)
-    cum = running_totals(sc, keys, "score", ["pos", "neg"], descending=True, method=method, totals=True)
+    cum = running_totals(sc, keys, "score", ["pos", "neg"], descending=True, totals=True)
     return cum.withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp", "tot_pos": "n_pos", "tot_neg": "n_neg"})
 
 
 # ------------------------------------------------------------------ curves and areas
-def roc_curve(preds: DataFrame, keys=(), y="y", score="score", method="auto") -> DataFrame:
-    c = cumulative_counts(preds, keys, y, score, method)
+def roc_curve(preds: DataFrame, keys=(), y="y", score="score") -> DataFrame:
+    c = cumulative_counts(preds, keys, y, score)
     return c.select(*_k(keys), F.col("score").alias("threshold"),
                     safe_div(F.col("fp"), F.col("n_neg")).alias("fpr"),
                     safe_div(F.col("tp"), F.col("n_pos")).alias("tpr"))
@@ -82,10 +81,10 @@ def _area_terms(c: DataFrame) -> DataFrame:
         (pos * (prec + prev_prec) / 2.0).alias("_trap"))
 
 
-def areas(preds: DataFrame, keys=(), y="y", score="score", method="auto") -> DataFrame:
+def areas(preds: DataFrame, keys=(), y="y", score="score") -> DataFrame:
     """keys, n_pos, n_neg, auc_roc, average_precision, pr_auc."""
     keys = _k(keys)
-    t = _area_terms(cumulative_counts(preds, keys, y, score, method))
+    t = _area_terms(cumulative_counts(preds, keys, y, score))
     P, N = F.first("n_pos"), F.first("n_neg")
     agg = t.groupBy(*keys).agg(P.alias("n_pos"), N.alias("n_neg"), F.sum("_auc").alias("s_auc"),
                                F.sum("_ap").alias("s_ap"), F.sum("_trap").alias("s_trap"))
@@ -96,26 +95,26 @@ def areas(preds: DataFrame, keys=(), y="y", score="score", method="auto") -> Dat
                       F.when(F.col("n_pos") > 0, F.col("s_trap") / F.col("n_pos")).alias("pr_auc"))
 
 
-def roc_auc(preds, keys=(), y="y", score="score", method="auto") -> DataFrame:
-    return areas(preds, keys, y, score, method).select(*_k(keys), "auc_roc")
+def roc_auc(preds, keys=(), y="y", score="score") -> DataFrame:
+    return areas(preds, keys, y, score).select(*_k(keys), "auc_roc")
 
 
-def average_precision(preds, keys=(), y="y", score="score", method="auto") -> DataFrame:
-    return areas(preds, keys, y, score, method).select(*_k(keys), "average_precision", "pr_auc")
+def average_precision(preds, keys=(), y="y", score="score") -> DataFrame:
+    return areas(preds, keys, y, score).select(*_k(keys), "average_precision", "pr_auc")
 
 
-def pr_curve(preds, keys=(), y="y", score="score", method="auto") -> DataFrame:
-    c = cumulative_counts(preds, keys, y, score, method)
+def pr_curve(preds, keys=(), y="y", score="score") -> DataFrame:
+    c = cumulative_counts(preds, keys, y, score)
     rec = F.when(F.col("n_pos") > 0, F.col("tp") / F.col("n_pos")).otherwise(F.lit(1.0))
     return c.select(*_k(keys), F.col("score").alias("threshold"),
                     (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"), rec.alias("recall"))
 
 
-def best_threshold_pr(preds, keys=(), y="y", score="score", method="auto", digits: int = 4) -> DataFrame:
+def best_threshold_pr(preds, keys=(), y="y", score="score", digits: int = 4) -> DataFrame:
     """Threshold with maximal 2pr/(p+r+1e-9) among distinct scores (ties: smallest);
     F1/precision/recall recomputed at ``score >= threshold``; all rounded to ``digits``."""
     keys = _k(keys)
-    c = pr_curve(preds, keys, y, score, method)
+    c = pr_curve(preds, keys, y, score)
     p, r = F.col("precision"), F.col("recall")
     f1e = 2 * p * r / (p + r + F1_EPS)
     best = (c.withColumn("_f", f1e)
@@ -156,7 +155,7 @@ def with_prediction(preds: DataFrame, threshold, score="score", out="pred") -> D
 
 
 def basic_metrics(preds: DataFrame, keys=(), y="y", score="score", threshold=0.5,
-                  with_areas: bool = True, method="auto") -> DataFrame:
+                  with_areas: bool = True) -> DataFrame:
     """Counts, accuracy, precision, recall, F1, specificity, NPV (+ AUC-ROC and AP)."""
     keys = _k(keys)
     m = metrics_from_counts(confusion_counts(with_prediction(preds, threshold, score), keys, y, "pred"))
@@ -164,9 +163,9 @@ def basic_metrics(preds: DataFrame, keys=(), y="y", score="score", threshold=0.5
         return m
     if not keys:
         m = m.withColumn("_all", F.lit(0))
-        a = areas(preds.withColumn("_all", F.lit(0)), ["_all"], y, score, method)
+        a = areas(preds.withColumn("_all", F.lit(0)), ["_all"], y, score)
         return m.join(a.select("_all", "auc_roc", F.col("average_precision").alias("auc_pr")), "_all").drop("_all")
-    a = areas(preds, keys, y, score, method).select(*keys, "auc_roc", F.col("average_precision").alias("auc_pr"))
+    a = areas(preds, keys, y, score).select(*keys, "auc_roc", F.col("average_precision").alias("auc_pr"))
     return m.join(a, keys)
 
 
@@ -200,14 +199,14 @@ def class_report(preds: DataFrame, keys=(), y="y", pred="pred") -> DataFrame:
 
 
 # ------------------------------------------------------------------ threshold grids
-def _grid_counts(preds, keys, y, score, thresholds, method):
+def _grid_counts(preds, keys, y, score, thresholds):
     """tp/fp for ``score >= g`` at every grid value g, from distinct-score counts.
 
     Grid points are appended to each group's distinct-score rows (after equal scores) so one
     running total gives the counts at every grid value; no join against raw rows."""
     keys = _k(keys)
     if not keys:
-        out = _grid_counts(preds.withColumn("_all", F.lit(0)), ["_all"], y, score, thresholds, method)
+        out = _grid_counts(preds.withColumn("_all", F.lit(0)), ["_all"], y, score, thresholds)
         return out.drop("_all")
     sc = score_counts(preds, keys, y, score).withColumn("is_grid", F.lit(0))
     pts = F.array(*[F.struct(F.lit(float(t)).alias("score"), F.lit(i).alias("grid_idx"))
@@ -218,7 +217,7 @@ def _grid_counts(preds, keys, y, score, thresholds, method):
                    F.lit(0).cast("bigint").alias("neg"), F.lit(1).alias("is_grid")))
     u = sc.withColumn("grid_idx", F.lit(None).cast("int")).select(*g.columns).unionByName(g)
     order = [F.col("score").desc(), F.col("is_grid").asc()]
-    cum = running_totals(u, keys, order, ["pos", "neg"], method=method, totals=True)
+    cum = running_totals(u, keys, order, ["pos", "neg"], totals=True)
     at = cum.where("is_grid = 1").select(*keys, "grid_idx", F.col("score").alias("threshold"),
                                          F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
                                          F.col("tot_pos").alias("n_pos"), F.col("tot_neg").alias("n_neg"))
@@ -226,18 +225,18 @@ def _grid_counts(preds, keys, y, score, thresholds, method):
                      (F.col("n_pos") - F.col("tp")).alias("fn"), (F.col("n_neg") - F.col("fp")).alias("tn"))
 
 
-def threshold_sensitivity(preds, keys=(), y="y", score="score", thresholds=None, method="auto") -> DataFrame:
+def threshold_sensitivity(preds, keys=(), y="y", score="score", thresholds=None) -> DataFrame:
     """All fixed-cut metrics at each grid threshold (default 0.10..0.90 step 0.05)."""
     thresholds = thresholds or SENSITIVITY_GRID
-    return metrics_from_counts(_grid_counts(preds, keys, y, score, thresholds, method))
+    return metrics_from_counts(_grid_counts(preds, keys, y, score, thresholds))
 
 
 def best_threshold_grid(preds, keys=(), y="y", score="score", metric: str = "f1",
-                        thresholds=None, method="auto") -> DataFrame:
+                        thresholds=None) -> DataFrame:
     """First strict maximum of ``metric`` over the grid; 0.5 and score 0 when none is > 0."""
     keys = _k(keys)
     thresholds = thresholds or DEFAULT_GRID
-    m = metrics_from_counts(_grid_counts(preds, keys, y, score, thresholds, method))
+    m = metrics_from_counts(_grid_counts(preds, keys, y, score, thresholds))
     if metric == "youden":
         m = m.withColumn("youden", F.col("recall") + F.col("specificity") - 1)
     best = m.groupBy(*keys).agg(F.max(F.struct(F.col(metric).alias("s"), (-F.col("grid_idx")).alias("ni"),
@@ -276,13 +275,13 @@ def apply_thresholds(preds: DataFrame, thresholds: DataFrame, keys, score="score
 
 
 def evaluate_on_test(preds: DataFrame, thresholds: DataFrame, keys, y="y", score="score",
-                     split_col="split", split="test", digits: int = 4, method="auto") -> DataFrame:
+                     split_col="split", split="test", digits: int = 4) -> DataFrame:
     """Each group at its stored threshold on the test split: threshold, f1, precision, recall, auc."""
     keys = _k(keys)
     test = preds.where(qcol(split_col) == split)
     p = apply_thresholds(test, thresholds, keys, score)
     cc = metrics_from_counts(confusion_counts(p, keys + ["_thr"], y, "pred"))
-    a = areas(test, keys, y, score, method).select(*keys, "auc_roc")
+    a = areas(test, keys, y, score).select(*keys, "auc_roc")
     return cc.join(a, keys).select(*keys, F.col("_thr").alias("threshold"),
                                    F.round("f1", digits).alias("f1"),
                                    F.round("precision", digits).alias("precision"),

@@ -27,7 +27,6 @@ from ..functions.scalar import qcol
 from ..session import cut_lineage
 
 INF = float("inf")
-_DEBUG = bool(__import__("os").environ.get("STRATUM_DEBUG"))
 
 
 def _fine_cells(base: DataFrame, cols: list[str], n_fine: int) -> tuple[DataFrame, list[list[float]]]:
@@ -35,7 +34,7 @@ def _fine_cells(base: DataFrame, cols: list[str], n_fine: int) -> tuple[DataFram
     (``Bucketizer``: binary search). Cell t holds values in [edge[t-1], edge[t])."""
     from pyspark.ml.feature import Bucketizer
     probs = [i / n_fine for i in range(1, n_fine)]
-    row = base.agg(*[F.percentile_approx(F.col(f"x{j}"), probs, 10000).alias(f"e{j}") for j in range(len(cols))]).first()
+    row = base.agg(*[F.percentile_approx(F.col(f"x{j}"), probs, max(10000, 4 * n_fine)).alias(f"e{j}") for j in range(len(cols))]).first()
     edges = [sorted(set(float(v) for v in (row[f"e{j}"] or []))) if n_fine > 1 else [] for j in range(len(cols))]
     tmp = base.withColumns({f"_b{j}": F.coalesce(F.col(f"x{j}"), F.lit(float("nan"))) for j in range(len(cols))})
     splits = [[-INF] + e + [INF] for e in edges]
@@ -69,7 +68,7 @@ def _coarsening(sm: int, n_donors: int, nfine: list[int], cell_rows: int, p: int
 
 
 def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_id",
-                   cell_rows: int = 32, max_rounds: int = 20, donor: str | None = None,
+                   cell_rows: int = 32, donor: str | None = None,
                    receiver: str | None = None) -> DataFrame:
     """Exact k nearest donors per (receiver key, missing column).
 
@@ -78,7 +77,7 @@ def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_i
     Returns ``(key, column, donor, dist, value, rank)`` with the donor's value of ``column``.
     Receivers sharing no column with any donor are absent (callers use the column mean).
 
-    Cells: one fine quantile grid per column (up to 2^14 cells); for each (receiver pattern,
+    Cells: one fine quantile grid per column (``cell_rows`` rows a cell); for each (receiver pattern,
     donor pattern) pair with common columns S, cells are coarsened by a power of two so that
     a cell of the |S|-dimensional grid holds about ``cell_rows`` donors of that pattern."""
     spark = df.sparkSession
@@ -88,13 +87,15 @@ def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_i
                      (qcol(donor) if donor else F.lit(True)).alias("_isd"),
                      (qcol(receiver) if receiver else F.lit(True)).alias("_isr"))
     n = base.count()
-    n_fine = 1 << max(0, min(14, math.ceil(math.log2(max(n / max(cell_rows, 1), 1)))))
+    n_fine = 1 << max(0, math.ceil(math.log2(max(n / max(cell_rows, 1), 1))))
     pat = sum((F.col(f"x{j}").isNotNull().cast("int") * (1 << j) for j in range(p)), F.lit(0))
     base, edges = _fine_cells(base.withColumn("_pat", pat), cols, n_fine)
     for j in range(p):  # values held by more than k donors (small tables, joined by AQE)
         hv = (base.where(F.col("_isd") & F.col(f"x{j}").isNotNull()).groupBy(f"x{j}").count()
                   .where(F.col("count") > k).select(f"x{j}", F.lit(True).alias(f"_h{j}")))
-        base = base.join(hv, f"x{j}", "left").withColumn(f"_h{j}", F.coalesce(f"_h{j}", F.lit(False)))
+        known = base.where(F.col(f"x{j}").isNotNull()).join(hv, f"x{j}", "left")  # null rows share no join key
+        base = known.withColumn(f"_h{j}", F.coalesce(f"_h{j}", F.lit(False))).unionByName(
+            base.where(F.col(f"x{j}").isNull()).withColumn(f"_h{j}", F.lit(False)))
     base = cut_lineage(base)
     nfine = [len(e) + 1 for e in edges]
     stats = base.groupBy("_pat").agg(F.count_if("_isd").alias("nd"), F.count_if("_isr").alias("nr")).collect()
@@ -155,10 +156,6 @@ def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_i
     hv = don.where(heavy)
     hv = hv.withColumn("_k", F.row_number().over(wpt)).where(F.col("_k") <= k).drop("_k", *pts)
     don = hv.unionByName(don.where(~heavy).drop(*pts)).persist(StorageLevel.MEMORY_AND_DISK)
-    if _DEBUG:
-        import time as _t
-        t0 = _t.time()
-        print(f"  donors={don.count()} pairs={len(pairs)} {(_t.time() - t0):.1f}s", flush=True)
 
     r_opts: dict[int, list] = {}
     for (c, pr, pd), (sm, p2s) in pairs.items():
@@ -177,7 +174,7 @@ def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_i
     amax = [F.lit(cm) for cm in cell_max]
     results = []
     ring = 0  # own cell first; most receivers are final there, the rest widen 1, 2, 4, ...
-    for _ in range(max_rounds):
+    while True:  # a box that covers every cell is final, so the rounds end
         pr_ = pending.select("*", F.explode(o_map[F.col("_pr") * 64 + F.col("_c")]).alias("o"))
         probes = pr_
         for j in range(p):  # offsets only along the common columns
@@ -192,11 +189,6 @@ def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_i
                                          for j in range(p)])
         ns = reduce(lambda a, b: a + b, [(F.shiftright(F.col("_s"), j) % 2).cast("double") for j in range(p)])
         cand = cand.select("_rid", "_c", "_did", "_v", F.sqrt(F.lit(float(p)) / ns * sq).alias("_d"))
-        if _DEBUG:
-            t0 = _t.time()
-            print(f"  ring={ring} probes={probes.count()} {(_t.time() - t0):.1f}s", flush=True)
-            t0 = _t.time()
-            print(f"  candidates={cand.count()} {(_t.time() - t0):.1f}s", flush=True)
         w = Window.partitionBy("_c", "_rid").orderBy("_d", "_did")
         top = cand.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k) \
                   .persist(StorageLevel.MEMORY_AND_DISK)
@@ -222,8 +214,10 @@ def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_i
         results.append(cut_lineage(top.join(fin, ["_rid", "_c"], "left_semi")))
         top.unpersist()
         pending = cut_lineage(pending.join(fin, ["_rid", "_c"], "left_anti"))
-        if pending.limit(1).count() == 0:
+        if pending.isEmpty():
             break
+        if ring > 2 * max(nfine):
+            raise RuntimeError("neighbour search made no progress")
         ring = max(1, ring * 2)
     out = reduce(lambda a, b: a.unionByName(b), results)
     cmap = F.create_map(*[v for j, c in enumerate(cols) for v in (F.lit(j), F.lit(c))])
@@ -271,7 +265,13 @@ def tune_knn_k(df: DataFrame, cols: list[str], k_values=range(3, 20, 2), folds:
         ks = F.array(*[F.lit(k) for k in k_values])
         est = (nb.select("*", F.explode(ks).alias("k")).where(F.col("rank") <= F.col("k"))
                  .groupBy(key, "column", "k").agg(F.avg("value").alias("est")))
-        err = est.join(truth, [key, "column"])
+        # hidden cells; those without any neighbour get the mean of the other folds' rows
+        hidden = masked.where("_isr").select(key, F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(c).isNull().alias("gone")) for c in cols]))).where("gone").drop("gone")
+        means = comp.where(~held).agg(*[F.avg(c).alias(c) for c in cols]).first()
+        mean = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(means[c]).cast("double"))])
+        err = (hidden.join(truth, [key, "column"]).select("*", F.explode(ks).alias("k")).join(est, [key, "column", "k"], "left")
+               .withColumn("est", F.coalesce("est", mean[F.col("column")])))
         e = err.select("k", (F.col("est") - F.col("truth")).alias("e"))
         agg = e.groupBy("k").agg(F.avg(F.col("e") ** 2).alias("mse"), F.avg(F.abs("e")).alias("mae"),
                                  F.count(F.lit(1)).alias("n_cells"))

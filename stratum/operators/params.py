@@ -19,11 +19,14 @@ def make_params(spark: SparkSession, rows: list[tuple]) -> DataFrame:
 
 
 def read_params(params: DataFrame, step: str | None = None) -> dict[str, dict[str, float | str | None]]:
-    """{column: {param: value}} for one step (value_str used when value is null)."""
+    """{column: {param: value}} for one step.
+
+    Only ``meta`` rows and ``method`` are texts; a number that is missing stays None."""
     df = params if step is None else params.where(params.step == step)
     out: dict[str, dict] = {}
     for r in df.collect():
-        out.setdefault(r["column"], {})[r["param"]] = r["value"] if r["value"] is not None else r["value_str"]
+        text = r["value"] is None and (r["step"] == "meta" or r["param"] == "method")
+        out.setdefault(r["column"], {})[r["param"]] = r["value_str"] if text else r["value"]
     return out
 
 

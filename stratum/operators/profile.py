@@ -7,16 +7,17 @@ scans only its own Parquet columns, so total I/O equals one pass while plans sta
 """
 from __future__ import annotations
 
-import math
 from functools import reduce
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalar import qcol, safe_div
 from .quantiles import exact_quantiles
 
 CHUNK = 200
-PAIR_CHUNK = 8
 AGG_LIMIT = 40   # aggregate functions per pass: keeps the buffer under the codegen field limit
 
 
@@ -210,36 +211,49 @@ def target_correlation(df: DataFrame, cols: list[str], target: str) -> DataFrame
               .orderBy(F.desc_nulls_last("corr"), "column"))
 
 
-def correlation_matrix(df: DataFrame, cols: list[str], method: str = "auto") -> DataFrame:
-    """Long Pearson matrix ``(col_a, col_b, corr)`` for i < j.
+def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Long Pearson matrix ``(col_a, col_b, corr)`` for i < j, each pair over the rows where both are known.
 
-    ``pairs``: one aggregate of pairwise-complete r per pair (nulls allowed, p up to ~60).
-    ``gram``: null-free input, distributed Gram matrix via ``pyspark.ml.stat.Correlation``
-    (p in the thousands); constant columns give NULL.
+    One pass at every width: each partition sums masked Gram blocks (counts, sums, squares and products of
+    centred values), the partial rows are added per column, and the coefficients are computed
+    there, so the matrix never comes to the driver. A column that is constant over the pair's rows gives NULL.
     """
-    if method == "auto":
-        method = "pairs" if len(cols) <= 60 else "gram"
-    if method == "pairs":
-        pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-        parts = []
-        # ~10 buffer fields per pair: chunks of PAIR_CHUNK pairs stay under the whole-stage
-        # codegen field limit (each chunk reads only its own Parquet columns)
-        for s in range(0, len(pairs), PAIR_CHUNK):
-            ch = pairs[s:s + PAIR_CHUNK]
-            row = df.agg(*[_corr(qcol(cols[i]), qcol(cols[j])).alias(f"r{k}") for k, (i, j) in enumerate(ch)])
-            parts.append(row.select(F.inline(F.array(*[
-                F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), F.col(f"r{k}").alias("corr"))
-                for k, (i, j) in enumerate(ch)]))))
-        return reduce(lambda a, b: a.unionByName(b), parts)
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-    spark = df.sparkSession
-    va = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="error")
-    mat = Correlation.corr(va.transform(df.select(*[qcol(c).cast("double").alias(c) for c in cols])), "_v").first()[0]
-    arr = mat.toArray()
-    rows = [(cols[i], cols[j], None if math.isnan(arr[i, j]) else float(arr[i, j]))
-            for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    return spark.createDataFrame(rows, "col_a string, col_b string, corr double")
+    p, spark = len(cols), df.sparkSession
+    schema = "col_a string, col_b string, corr double"
+    if p < 2:
+        return spark.createDataFrame([], schema)
+    centre = []
+    for s in range(0, p, CHUNK):
+        centre += [0.0 if v is None else float(v) for v in df.agg(*[F.avg(qcol(c)).alias(f"m{i}") for i, c in enumerate(cols[s:s + CHUNK])]).first()]
+    centre = np.array(centre)
+    names = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+
+    def partial(batches):
+        total = np.zeros((4, p, p))
+        for b in batches:
+            x = np.column_stack([b.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(p)]) - centre
+            known = ~np.isnan(x)
+            x = np.where(known, x, 0.0)
+            m = known.astype(float)
+            total += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+        n, sx, sxx, sxy = total
+        for i in range(p - 1):  # pairs of column i with the later ones
+            values = [n[i, i + 1:], sx[i, i + 1:], sx[i + 1:, i], sxx[i, i + 1:], sxx[i + 1:, i], sxy[i, i + 1:]]
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), *[pa.array([v], pa.list_(pa.float64())) for v in values]], names=["i", *names])
+
+    def finish(key, pdf):
+        i = int(key[0])
+        n, sx, sy, sxx, syy, sxy = (np.sum(np.stack(pdf[c].to_numpy()), axis=0) for c in names)
+        with np.errstate(all="ignore"):
+            vx, vy = sxx - sx * sx / n, syy - sy * sy / n
+            r = (sxy - sx * sy / n) / np.sqrt(vx * vy)
+        r[~((vx > 1e-12 * sxx) & (vy > 1e-12 * syy))] = np.nan
+        return pd.DataFrame({"col_a": cols[i], "col_b": cols[i + 1:], "corr": pd.Series(r).astype(object).where(~np.isnan(r), None)})
+
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))  # bounds the partial rows per column
+    rows = df.select(*[qcol(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]).coalesce(parts)
+    sums = rows.mapInArrow(partial, "i int, " + ", ".join(f"{c} array<double>" for c in names))
+    return sums.groupBy("i").applyInPandas(finish, schema)
 
 
 def top_correlated(corr_long: DataFrame, n: int = 30) -> DataFrame:
@@ -253,7 +267,7 @@ def high_corr_pairs(matrix_long: DataFrame, threshold: float = 0.8) -> DataFrame
 
 
 def high_corr_groups(df: DataFrame, cols: list[str], threshold: float = 0.9,
-                     exclude: list[str] | None = None, method: str = "auto") -> DataFrame:
+                     exclude: list[str] | None = None) -> DataFrame:
     """Greedy groups: for each unvisited column in order, itself plus *earlier* columns with
     |r| > threshold, sorted by name; first kept, rest dropped. Not transitive.
 
@@ -263,7 +277,7 @@ def high_corr_groups(df: DataFrame, cols: list[str], threshold: float = 0.9,
     exclude = set(exclude or [])
     cols = [c for c in cols if c not in exclude]
     pos = {c: i for i, c in enumerate(cols)}
-    edges = (correlation_matrix(df, cols, method)
+    edges = (correlation_matrix(df, cols)
              .where(F.abs("corr") > threshold).select("col_a", "col_b").collect())
     earlier: dict[str, set] = {}
     for a, b in edges:

@@ -1,96 +1,49 @@
 """Running totals over an ordered key inside groups, without a single-partition window.
 
 ``running_totals`` expects one row per (group keys, order value) – e.g. counts per distinct
-score – and returns inclusive running sums in the requested direction.
+score – and returns inclusive running sums in the requested direction. One form for every size:
 
-* ``window``: ``sum() OVER (PARTITION BY keys ORDER BY v ROWS UNBOUNDED PRECEDING)``.
-  One task per group: right when every group holds at most ``WINDOW_LIMIT`` rows.
-* ``blocked``: range-partition on (keys, v); each partition sums locally (Arrow batches);
-  the per-partition totals (#partitions x #groups rows) give exclusive offsets that are
-  joined back. Work is spread over all partitions even when one group holds everything.
-* ``auto``: measures the largest group and chooses.
+1. range-partition on (keys, order value) and checkpoint, which fixes the partitions;
+2. sum inside (partition, group);
+3. per-partition totals (one row per partition and group) give the offset of each partition
+   and the group total, joined back null-safe.
+
+Work is spread over all partitions even when one group holds everything. NULL keys are a group.
 """
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from functools import reduce
 
-from ..session import cut_lineage
+from pyspark.sql import DataFrame, Window, functions as F
 
-WINDOW_LIMIT = 2_000_000
+from ..functions.scalar import qcol
+from ..session import cut_lineage
 
 
-def running_totals(df: DataFrame, keys: list[str], order, values: list[str],
-                   descending: bool = True, method: str = "auto",
+def running_totals(df: DataFrame, keys: list[str], order, values: list[str], descending: bool = True,
                    prefix: str = "cum_", n_parts: int | None = None, totals: bool = False) -> DataFrame:
     """``order``: a column name (direction from ``descending``) or a list of sort Columns.
-    ``totals``: also add ``tot_<v>`` (group total), from the same partitioning when windowed."""
-    if method == "auto":
-        biggest = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-                     .agg(F.max("n")).first()[0]) if keys else df.count()
-        method = "window" if (biggest or 0) <= WINDOW_LIMIT else "blocked"
-    if method == "window":
-        w = Window.partitionBy(*keys).orderBy(*_order(order, descending)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = df.select("*", *[F.sum(v).over(w).alias(prefix + v) for v in values])
-        if totals:
-            wt = Window.partitionBy(*keys)
-            out = out.select("*", *[F.sum(v).over(wt).alias("tot_" + v) for v in values])
-        return out
-    out = _blocked(df, keys, order, values, descending, prefix, n_parts)
-    if totals:
-        tot = out.groupBy(*keys).agg(*[F.max(prefix + v).alias("tot_" + v) for v in values]) if keys else \
-            out.agg(*[F.max(prefix + v).alias("tot_" + v) for v in values])
-        out = out.join(tot, keys) if keys else \
-            out.withColumn("_k", F.lit(0)).join(tot.withColumn("_k", F.lit(0)), "_k").drop("_k")
-    return out
+    ``totals``: also add ``tot_<v>`` (group total). ``n_parts``: number of range partitions."""
+    by = _order(order, descending)
+    ranges = [qcol(k) for k in keys] + by
+    parted = df.repartitionByRange(n_parts, *ranges) if n_parts else df.repartitionByRange(*ranges)
+    parted = cut_lineage(parted.withColumn("_pid", F.spark_partition_id()))
+    own = Window.partitionBy("_pid", *keys).orderBy(*by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = parted.select("*", *[F.sum(v).over(own).alias(prefix + v) for v in values])
+    sums = parted.groupBy("_pid", *keys).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))  # one row per partition
+    before = group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = sums.select(F.col("_pid").alias("_p"), *[qcol(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                       *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}") for v in values],
+                       *[F.sum(f"_t_{v}").over(group).alias(f"tot_{v}") for v in values])
+    same = reduce(lambda a, b: a & b, [qcol(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)],
+                  F.col("_pid") == F.col("_p"))
+    out = local.join(offs, same).withColumns({prefix + v: F.col(prefix + v) + F.col(f"_o_{v}") for v in values})
+    return out.select(*[qcol(c) for c in df.columns], *[prefix + v for v in values],
+                      *([f"tot_{v}" for v in values] if totals else []))
 
 
 def _order(order, descending):
     if isinstance(order, str):
         return [F.col(order).desc() if descending else F.col(order).asc()]
     return list(order)
-
-
-def _blocked(df, keys, order, values, descending, prefix, n_parts):
-    spark = df.sparkSession
-    n_parts = n_parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    sort_cols = [F.col(k) for k in keys] + _order(order, descending)
-    parted = df.repartitionByRange(n_parts, *sort_cols).sortWithinPartitions(*sort_cols) \
-               .withColumn("_pid", F.spark_partition_id())
-    out_fields = parted.schema.fields + [T.StructField(prefix + v, T.DoubleType()) for v in values]
-    schema = T.StructType(out_fields)
-
-    def local(batches):
-        # partitions arrive sorted by (keys, order): only the first group of a batch can
-        # continue the previous batch, so one carried value per column is enough
-        last_key, last_vals = None, {}
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if keys:
-                g = pdf.groupby(keys, sort=False, dropna=False)
-                cs = {v: g[v].cumsum().astype("float64") for v in values}
-                first = tuple(pdf[keys].iloc[0])
-                if last_key is not None and first == last_key:
-                    same = (pdf[keys] == pd.Series(first, index=keys)).all(axis=1).astype("float64")
-                    for v in values:
-                        cs[v] = cs[v] + same * last_vals[v]
-                for v in values:
-                    pdf[prefix + v] = cs[v]
-                last_key = tuple(pdf[keys].iloc[-1])
-            else:
-                for v in values:
-                    pdf[prefix + v] = pdf[v].astype("float64").cumsum() + last_vals.get(v, 0.0)
-            last_vals = {v: float(pdf[prefix + v].iloc[-1]) for v in values}
-            yield pdf
-
-    loc = cut_lineage(parted.mapInPandas(local, schema))
-    tot = loc.groupBy("_pid", *keys).agg(*[F.sum(v).alias("_t_" + v) for v in values])
-    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select("_pid", *keys, *[F.coalesce(F.sum("_t_" + v).over(w), F.lit(0.0)).alias("_o_" + v)
-                                       for v in values])
-    # offsets hold one row per (partition, group): AQE broadcasts them when small
-    res = loc.join(offs, ["_pid", *keys], "left")
-    cols = [c for c in df.columns] + [(F.col(prefix + v) + F.col("_o_" + v)).cast(df.schema[v].dataType)
-                                      .alias(prefix + v) for v in values]
-    return res.select(*cols)

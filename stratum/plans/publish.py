@@ -7,11 +7,11 @@ from ..functions.scalar import LABEL_CODES, qcol
 from ..operators.running import running_totals
 
 
-def with_position(df: DataFrame, order: str, out: str = "position", method: str = "auto") -> DataFrame:
+def with_position(df: DataFrame, order: str, out: str = "position") -> DataFrame:
     """0-based position in ``order`` (a running count: a window when small, range-partitioned
     blocks with offsets when large – never one task for a large table)."""
     r = running_totals(df.withColumn("_one", F.lit(1).cast("bigint")), [], order, ["_one"],
-                       descending=False, method=method)
+                       descending=False)
     return r.withColumn(out, F.col("cum__one") - 1).drop("_one", "cum__one")
 
 

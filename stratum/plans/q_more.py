@@ -41,11 +41,12 @@ def q_peek_structure(spark, d):
 
 @query("read_predictions_json")
 def q_read_predictions_json(spark, d):
-    """Mean-probability predictions written as JSON documents of at most 512 rows each
+    """Mean-probability predictions written as JSON documents of about 400 rows each
     (per imputation/version and row block), then read back and exploded."""
     p = tb.preds(spark, d).where(F.col("split") == "test")
     mp = en.mean_probability(p, ["imputation", "version"])
-    blk = F.floor(F.abs(F.hash("row_id")) % 1_000_000 / 512)
+    n = p.select("row_id").distinct().count()
+    blk = F.pmod(F.col("row_id"), F.lit(max(1, n // 400)))  # row_id is an md5 prefix: blocks of about 400 rows
     docs = (mp.withColumn("_blk", blk)
               .groupBy("imputation", "version", "_blk")
               .agg(F.sort_array(F.collect_list(F.struct("row_id", "score"))).alias("_r"))

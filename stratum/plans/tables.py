@@ -28,7 +28,8 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _row_id() -> F.Column:
-    return row_key("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    price = F.round(F.col("l_extendedprice") * 100).cast("long")
+    return row_key("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("long"), price)
 
 
 def _target() -> F.Column:
@@ -54,7 +55,7 @@ def study(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STUDY_SQL = """study AS (
-  SELECT CAST(('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 15)) AS BIGINT) AS row_id,
+  SELECT CAST(('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT), CAST(round(l_extendedprice * 100) AS BIGINT))), 1, 15)) AS BIGINT) AS row_id,
          CASE WHEN l_partkey % 4 = 0 THEN NULL ELSE l_extendedprice * l_discount END AS X1,
          CASE WHEN l_suppkey % 5 = 0 THEN NULL ELSE l_quantity END AS X2,
          CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_tax * 100 END AS X3,
@@ -86,7 +87,7 @@ def preds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PREDS_SQL = """preds_base AS (
-  SELECT CAST(('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 15)) AS BIGINT) AS row_id,
+  SELECT CAST(('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT), CAST(round(l_extendedprice * 100) AS BIGINT))), 1, 15)) AS BIGINT) AS row_id,
          CAST(l_returnflag = 'R' AND l_discount < 0.05 AS INTEGER) AS y,
          CASE WHEN l_linestatus = 'F' THEN 'KNN' ELSE 'MICE' END AS imputation,
          CASE WHEN l_linenumber <= 4 THEN 'FULL' ELSE 'REDUCED' END AS version

@@ -1,15 +1,16 @@
 """Delimited-file ingestion with the source project's rules.
 
-* separator sniffing on the first 100 lines: the candidate giving the most columns wins
+* separator sniffing on the first 100 lines: the candidate giving the most header columns wins
   (strict '>', first tie wins), it must give more than one column and the mean length of the
-  first field must stay under 100;
+  first field of the lines that are not over-long must stay under 100;
 * header cleaning (strip, quotes/whitespace collapsed to one space) and duplicate headers
   ``name.k`` dropped when ``name`` exists (first copy kept);
 * NA tokens -> NULL, over-long lines dropped, short lines padded with NULL;
 * a file that parses into a single column is split on tab, comma, semicolon or space.
 
-Parsing is ``from_csv`` over ``spark.read.text`` lines: a field count on the raw line
-decides over-long lines, and every part file's header line is skipped.
+Parsing is ``from_csv`` over ``spark.read.text`` lines. Over-long lines are those with more
+fields than the header when quoted sections are taken as text. The first non-blank line
+of every part file is skipped if it is the header; equal lines further down are data.
 """
 from __future__ import annotations
 
@@ -24,6 +25,7 @@ from ..functions.scalar import qcol
 # Fixed values of the source format.
 SEPARATORS = [",", ";", "\t", "|"]
 NA_TOKENS = ["", "NULL", "null", "NA", "N/A", "NaN", "nan", "#N/A"]
+QUOTED = '"(?:[^"]|"")*"'
 SPLIT_SEPARATORS = ["\t", ",", ";", " "]
 
 
@@ -42,8 +44,9 @@ def sniff_separator(lines: list[str], seps=SEPARATORS) -> str | None:
         rows = [_fields(l, sep) for l in lines]
         if not rows:
             continue
-        n = max(len(r) for r in rows)
-        first_len = sum(len(r[0]) if r else 0 for r in rows) / len(rows)
+        n = len(rows[0])
+        data = [r for r in rows[1:] if len(r) <= n]
+        first_len = sum(len(r[0]) if r else 0 for r in data) / max(len(data), 1)
         if n > best_n and first_len < 100:
             best, best_n = sep, n
     return best
@@ -96,11 +99,12 @@ def read_delimited(spark: SparkSession, path: str, sep: str | None = None, heade
     n = len(names)
     text = spark.read.text(path).where(F.trim(F.col("value")) != "")
     if header:
-        text = text.where(F.col("value") != F.lit(first))
-    n_fields = F.size(F.split(F.col("value"), re.escape(sep)))
+        text = _without_headers(text, first)
+    unquoted = F.regexp_replace(F.col("value"), QUOTED, "q")
+    n_fields = F.size(F.split(unquoted, re.escape(sep)))
     schema = ", ".join(f"c{i} string" for i in range(n))
     parsed = (text.where(n_fields <= n)
-                  .select(F.from_csv(F.col("value"), schema, {"sep": sep}).alias("r")))
+                  .select(F.from_csv(F.col("value"), schema, {"sep": sep, "escape": "\""}).alias("r")))
     cols = []
     for i in keep:
         v = F.col(f"r.c{i}")
@@ -109,6 +113,16 @@ def read_delimited(spark: SparkSession, path: str, sep: str | None = None, heade
     return parsed.select(*cols)
 
 
+def _without_headers(text: DataFrame, header: str) -> DataFrame:
+    """Drop the first non-blank line of every file where it is ``header`` (one row per file is broadcast)."""
+    place = F.struct(F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("m"))
+    lines = text.select("value", F.col("_metadata.file_path").alias("_f"), place.alias("_at"))
+    heads = (lines.groupBy("_f").agg(F.min_by("value", "_at").alias("_v"), F.min("_at").alias("_h"))
+             .where(F.col("_v") == F.lit(header)).select(F.col("_f").alias("_g"), "_h"))
+    return (lines.join(F.broadcast(heads), (F.col("_f") == F.col("_g")) & (F.col("_at") == F.col("_h")), "left_anti")
+            .select("value"))
+
+
 def split_single_column(df: DataFrame, seps=SPLIT_SEPARATORS, prefix: str = "X") -> DataFrame:
     """If the frame has one column, split it on the first separator found in its values."""
     if len(df.columns) != 1:

@@ -80,13 +80,17 @@ def read_result_documents(spark: SparkSession, path: str, name_filter: str = "st
 
 
 def read_predictions_json(spark: SparkSession, path: str, name_filter: str = "stacking",
-                          multi_line: bool = True) -> DataFrame:
-    """Per-row stored predictions of each document: (source, method, position, proba, pred)."""
+                          multi_line: bool = True, part: str = "test") -> DataFrame:
+    """Per-row stored predictions of each document: (source, method, threshold, position, proba, pred).
+
+    ``part``: ``test`` or ``validation`` (whose labels follow from the threshold)."""
     d = read_result_documents(spark, path, name_filter, multi_line)
     pr = F.col("predictions")
-    proba = F.coalesce(pr["test_proba"], pr["test"])
-    z = d.select("source", "method", "threshold", F.posexplode_outer(proba).alias("position", "proba"),
-                 pr["test_pred"].alias("_pred"))
-    return z.select("source", "method", "threshold", "position", "proba",
-                    F.coalesce(F.element_at("_pred", F.col("position") + 1),
-                               (F.col("proba") >= F.col("threshold")).cast("int")).alias("pred"))
+    if part not in ("test", "validation"):
+        raise ValueError(f"unknown part {part!r}")
+    proba = F.coalesce(pr["test_proba"], pr["test"]) if part == "test" else pr["validation"]
+    given = pr["test_pred"] if part == "test" else F.lit(None).cast("array<int>")
+    rows = F.transform(proba, lambda x, i: F.struct(x.alias("proba"), F.get(given, i).alias("pred")))
+    z = d.select("source", "method", "threshold", F.posexplode_outer(rows).alias("position", "r"))
+    return z.select("source", "method", "threshold", "position", F.col("r.proba").alias("proba"),
+                    F.coalesce(F.col("r.pred"), (F.col("r.proba") >= F.col("threshold")).cast("int")).alias("pred"))

@@ -1,7 +1,7 @@
 """Properties of fit/apply operators, scalable paths vs simple paths."""
 import numpy as np
 import pandas as pd
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from stratum.operators import clean, evaluate as ev, quantiles as qt, running, splits as sp, transform as tf
 from stratum.plans import tables as tb
@@ -74,15 +74,17 @@ def test_quantile_selection_path_equals_percentile(spark, sf_dir):
         assert np.allclose(a[c], b[c], rtol=0, atol=1e-9), (c, a[c], b[c])
 
 
-def test_running_totals_blocked_equals_window(spark):
-    df = spark.range(5000).select((F.col("id") % 3).alias("g"), ((F.col("id") * 7919) % 1000).alias("v"),
+def test_running_totals_in_blocks(spark):
+    """Small range partitions, a NULL group and the form without keys against a plain window."""
+    df = spark.range(5000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"), ((F.col("id") * 7919) % 1000).alias("v"),
                                   F.lit(1).cast("bigint").alias("one"))
-    d = df.groupBy("g", "v").agg(F.sum("one").alias("one"))
-    w = {(r["g"], r["v"]): (r["cum_one"], r["tot_one"]) for r in
-         running.running_totals(d, ["g"], "v", ["one"], method="window", totals=True).collect()}
-    b = {(r["g"], r["v"]): (r["cum_one"], r["tot_one"]) for r in
-         running.running_totals(d, ["g"], "v", ["one"], method="blocked", n_parts=7, totals=True).collect()}
-    assert w == b
+    for keys in (["g"], []):
+        d = df.groupBy(*keys, "v").agg(F.sum("one").alias("one"))
+        w = Window.partitionBy(*keys)
+        up = w.orderBy(F.desc("v")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        want = d.select("*", F.sum("one").over(up).alias("cum_one"), F.sum("one").over(w).alias("tot_one")).collect()
+        got = running.running_totals(d, keys, "v", ["one"], n_parts=7, totals=True).collect()
+        assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) == d.count()
 
 
 def test_class_rank_is_exact_with_buckets(spark, monkeypatch):

@@ -7,8 +7,14 @@ from stratum.session import scratch_path
 from stratum.sources import delimited as dl, sinks
 
 
+def _folder(spark, name):
+    d = scratch_path(spark, name).removeprefix("file://").removeprefix("file:")
+    os.makedirs(d)
+    return d
+
+
 def _write(spark, name, text):
-    d = scratch_path(spark, name)
+    d = _folder(spark, name)
     with open(os.path.join(d, "data.csv"), "w") as f:
         f.write(text)
     return d
@@ -30,6 +36,33 @@ def test_read_delimited_rules(spark):
     assert rows["4"]["value"] is None and rows["4"]["note"] is None
 
 
+def test_quoted_separators_and_rows_like_the_header(spark):
+    text = 'name;note\n"Smith; John";a\nname;note\n"x;y;z";"q"";r"\na;b;c\n'
+    rows = [tuple(r) for r in dl.read_delimited(spark, _write(spark, "quoted", text)).collect()]
+    assert sorted(rows) == sorted([("Smith; John", "a"), ("name", "note"), ("x;y;z", 'q";r')])
+
+
+def test_every_file_loses_its_header_once(spark):
+    d = _folder(spark, "parts")
+    for i, text in enumerate(("a,b\n1,2\n", "\na,b\n3,4\na,b\n", "5,6\n")):
+        with open(os.path.join(d, f"part-{i}.csv"), "w") as f:
+            f.write(text)
+    got = sorted(tuple(r) for r in dl.read_delimited(spark, d, sep=",").collect())
+    assert got == [("1", "2"), ("3", "4"), ("5", "6"), ("a", "b")]
+
+
+def test_sniffing_counts_header_columns():
+    assert dl.sniff_separator(["a;b", "1;some, text, with, commas", "2;x"]) == ";"
+
+
+def test_validation_scores_of_documents(spark):
+    d = _folder(spark, "val-docs")
+    with open(os.path.join(d, "stacking.json"), "w") as f:
+        json.dump({"method": "m", "threshold": 0.5, "predictions": {"validation": [0.2, 0.7], "test": [0.9]}}, f)
+    read = lambda part: [(r.position, r.proba, r.pred) for r in sinks.read_predictions_json(spark, d, part=part).collect()]
+    assert sorted(read("validation")) == [(0, 0.2, 0), (1, 0.7, 1)] and read("test") == [(0, 0.9, 1)]
+
+
 def test_separator_sniffing():
     assert dl.sniff_separator(["a,b,c", "1,2,3"]) == ","
     assert dl.sniff_separator(["a\tb\tc", "1\t2\t3"]) == "\t"
@@ -65,7 +98,7 @@ def test_validate_submission_cases(spark):
 
 
 def test_read_predictions_json(spark):
-    d = scratch_path(spark, "docs")
+    d = _folder(spark, "docs")
     doc = {"method": "stacking_refit", "threshold": 0.2,
            "performance": {"f1_score_val": 0.9, "f1_score_test": 0.9077, "precision_test": 0.9672,
                            "recall_test": 0.8551, "confusion_matrix_test": [[421, 2], [10, 59]]},
