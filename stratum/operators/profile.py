@@ -315,17 +315,13 @@ def histogram(df: DataFrame, col: str, bins: int = 30, by: str | None = None) ->
 
 def five_number(df: DataFrame, cols: list[str], by: str | None = None) -> DataFrame:
     """min, q1, median, q3, max and Tukey whiskers per column (and per class)."""
-    parts = []
-    for c in cols:
-        x = qcol(c)
-        g = df.groupBy(qcol(by).alias("group")) if by else df.groupBy(F.lit(None).cast("string").alias("group"))
-        parts.append(g.agg(F.min(x).cast("double").alias("min"),
-                           F.percentile(x, [0.25, 0.5, 0.75]).alias("q"),
-                           F.max(x).cast("double").alias("max"))
-                      .select(F.lit(c).alias("column"), F.col("group").cast("string").alias("group"), "min",
-                              F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                              F.col("q")[2].alias("q3"), "max"))
-    out = reduce(lambda a, b: a.unionByName(b), parts)
+    groups = [r[0] for r in df.select(qcol(by)).distinct().collect()] if by else [None]
+    cells = [(c, g) for c in cols for g in groups]
+    own = {f"v{i}": (F.when(qcol(by).eqNullSafe(F.lit(g)), qcol(c)) if by else qcol(c)).cast("double") for i, (c, g) in enumerate(cells)}
+    view = df.select(*[v.alias(k) for k, v in own.items()])
+    q = exact_quantiles(view, list(own), [0.0, 0.25, 0.5, 0.75, 1.0])
+    rows = [(c, None if g is None else str(g), *q[f"v{i}"]) for i, (c, g) in enumerate(cells)]
+    out = df.sparkSession.createDataFrame(rows, "column string, group string, min double, q1 double, median double, q3 double, max double")
     iqr = F.col("q3") - F.col("q1")
     return (out.withColumn("whisker_low", F.greatest(F.col("min"), F.col("q1") - 1.5 * iqr))
                .withColumn("whisker_high", F.least(F.col("max"), F.col("q3") + 1.5 * iqr)))

@@ -1,112 +1,101 @@
-"""Exact quantiles that stay bounded at any scale.
+"""Exact quantiles that stay bounded at any scale, by one method at every size.
 
-``percentile`` (exact, linear interpolation) keeps every value of a group in one
-aggregation buffer. That is fine up to a few million values per column; beyond
-``small_limit`` the values at the needed ranks are found by selection instead:
+For all columns together, the values at the needed ranks are found by selection:
 
-1. one pass: ``percentile_approx`` brackets [lo, hi] around each needed rank;
-2. one pass: count values below lo and inside [lo, hi] for every rank at once;
-3. brackets holding at most ``collect_limit`` values are resolved in one more pass by
-   sorting just that window inside the aggregate; larger ones recurse on the filtered
-   subset. No step holds more than ``collect_limit`` values in one task.
+1. one pass counts the values of every column;
+2. while a rank's interval holds more than ``window`` values: one pass of ``percentile_approx``
+   brackets the rank inside its interval, one pass counts the values below, at and between
+   the bracket's ends, which narrows the interval (each round by about ``APPROX_ACCURACY / 8``);
+3. one pass sorts the few values of each remaining interval inside the aggregate.
 
-Both paths return the same numbers (linear interpolation between order statistics).
+No step holds more than ``window`` values per rank, on executors or the driver. Results are linear
+interpolations between order statistics.
 """
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalar import qcol
 
-SMALL_LIMIT = 5_000_000
-COLLECT_LIMIT = 1_000_000
-APPROX_ACCURACY = 100_000
+WINDOW = 2_000
+APPROX_ACCURACY = 10_000
+#: Columns or intervals in one aggregate (keeps it under the code generation limits).
+CHUNK = 50
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    small_limit: int = SMALL_LIMIT,
-                    collect_limit: int = COLLECT_LIMIT) -> dict[str, list[float | None]]:
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], window: int = WINDOW) -> dict[str, list[float | None]]:
     """Return {col: [q(p) for p in probs]} over non-null values (None when empty)."""
-    if not cols:
-        return {}
-    counts = df.agg(*[F.count(qcol(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    n = {c: counts[f"n{i}"] for i, c in enumerate(cols)}
-    out: dict[str, list] = {c: [None] * len(probs) for c in cols if n[c] == 0}
-    small = [c for c in cols if 0 < n[c] <= small_limit]
-    large = [c for c in cols if n[c] > small_limit]
-    for i in range(0, len(small), 100):
-        chunk = small[i:i + 100]
-        row = df.agg(*[F.percentile(qcol(c), list(map(float, probs))).alias(f"q{j}")
-                       for j, c in enumerate(chunk)]).first()
-        for j, c in enumerate(chunk):
-            out[c] = [float(v) for v in row[f"q{j}"]]
-    for c in large:
-        needed = set()
-        pos = []
-        for p in probs:
-            x = (n[c] - 1) * p
-            r0, r1 = int(math.floor(x)), int(math.ceil(x))
-            needed.update((r0, r1))
-            pos.append((x, r0, r1))
-        vals = values_at_ranks(df.select(qcol(c).alias("v")).where(F.col("v").isNotNull()),
-                               "v", sorted(needed), n[c], collect_limit)
-        out[c] = [vals[r0] + (x - r0) * (vals[r1] - vals[r0]) for x, r0, r1 in pos]
+    n = {}
+    for part in _chunks(cols):
+        row = df.agg(*[F.count(qcol(c)).alias(f"n{i}") for i, c in enumerate(part)]).first()
+        n.update({c: row[f"n{i}"] for i, c in enumerate(part)})
+    place = {c: [(n[c] - 1) * p for p in probs] for c in cols if n[c]}
+    ranks = {c: sorted({int(f(x)) for x in xs for f in (math.floor, math.ceil)}) for c, xs in place.items()}
+    at = values_at_ranks(df, ranks, n, window)
+    out: dict[str, list] = {c: [None] * len(probs) for c in cols}
+    for c, xs in place.items():
+        pairs = [(x, at[c, int(math.floor(x))], at[c, int(math.ceil(x))]) for x in xs]
+        out[c] = [a + (x - math.floor(x)) * (b - a) if a != b else a for x, a, b in pairs]
     return out
 
 
-def values_at_ranks(df: DataFrame, col: str, ranks: list[int], n: int,
-                    collect_limit: int = COLLECT_LIMIT) -> dict[int, float]:
-    """Order statistics (0-based ranks) of non-null ``col`` with ``n`` values."""
-    x = F.col(col)
-    result: dict[int, float] = {}
-    pending = {r: (df, r, n) for r in ranks}
-    while pending:
-        # Pass 1: approximate brackets for every pending rank (per distinct subset).
-        groups: dict[int, list[int]] = {}
-        for r, (sub, rr, nn) in pending.items():
-            groups.setdefault(id(sub), []).append(r)
-        nxt = {}
-        for _, rs in groups.items():
-            sub, _, nn = pending[rs[0]]
-            if nn <= collect_limit:
-                idx = [pending[r][1] for r in rs]
-                row = sub.agg(F.array_sort(F.collect_list(x)).alias("a")).first()["a"]
-                for r, k in zip(rs, idx):
-                    result[r] = float(row[k])
-                continue
+def _chunks(items: list) -> list[list]:
+    return [items[i:i + CHUNK] for i in range(0, len(items), CHUNK)]
+
+
+def _inside(col: str, lo: float | None, hi: float | None) -> Column:
+    """The column's values strictly between lo and hi (None: no limit), else NULL."""
+    x = qcol(col)
+    keep = F.lit(True)
+    if lo is not None:
+        keep = keep & (x > F.lit(lo))
+    if hi is not None:
+        keep = keep & (x < F.lit(hi))
+    return F.when(keep, x)
+
+
+def values_at_ranks(df: DataFrame, ranks: dict[str, list[int]], n: dict[str, int], window: int = WINDOW) -> dict[tuple[str, int], float]:
+    """Order statistics {(col, rank): value}, 0-based, of columns with ``n`` non-null values."""
+    found: dict[tuple[str, int], float] = {}
+    # (column, rank) -> (lo, hi, rank inside the interval, values inside)
+    todo = {(c, r): (None, None, r, n[c]) for c, rs in ranks.items() for r in rs}
+    while wide := [k for k, s in todo.items() if s[3] > window]:
+        brackets = {}
+        for part in _chunks(wide):
             eps = 2.0 / APPROX_ACCURACY
-            ps = []
-            for r in rs:
-                q = pending[r][1] / max(nn - 1, 1)
-                ps += [max(q - eps, 0.0), min(q + eps, 1.0)]
-            br = sub.agg(F.percentile_approx(x, ps, APPROX_ACCURACY).alias("b"),
-                         F.min(x).alias("mn"), F.max(x).alias("mx")).first()
-            b = br["b"]
-            # Pass 2: exact counts around each bracket (strict inner part guarantees progress).
+            row = df.agg(*[F.percentile_approx(_inside(c, lo, hi), [max(r / (m - 1) - eps, 0.0), min(r / (m - 1) + eps, 1.0)], APPROX_ACCURACY).alias(f"b{i}")
+                           for i, (c, (lo, hi, r, m)) in enumerate((k[0], todo[k]) for k in part)]).first()
+            brackets.update({k: row[f"b{i}"] for i, k in enumerate(part)})
+        for part in _chunks(wide):
             aggs = []
-            for i, r in enumerate(rs):
-                lo, hi = F.lit(b[2 * i]), F.lit(b[2 * i + 1])
-                aggs += [F.count_if(x < lo).alias(f"b{i}"), F.count_if(x == lo).alias(f"l{i}"),
-                         F.count_if((x > lo) & (x < hi)).alias(f"i{i}"),
-                         F.count_if((x == hi) & (hi != lo)).alias(f"h{i}")]
-            cnt = sub.agg(*aggs).first()
-            for i, r in enumerate(rs):
-                k = pending[r][1]
-                lo, hi = b[2 * i], b[2 * i + 1]
-                c_b, c_l, c_i, c_h = (cnt[f"b{i}"], cnt[f"l{i}"], cnt[f"i{i}"], cnt[f"h{i}"])
-                if k < c_b:
-                    nxt[r] = (sub.where(x < F.lit(lo)), k, c_b)
-                elif k < c_b + c_l:
-                    result[r] = float(lo)
-                elif k < c_b + c_l + c_i:
-                    nxt[r] = (sub.where((x > F.lit(lo)) & (x < F.lit(hi))), k - c_b - c_l, c_i)
-                elif k < c_b + c_l + c_i + c_h:
-                    result[r] = float(hi)
+            for i, k in enumerate(part):
+                lo, hi, _, _ = todo[k]
+                x, (a, b) = _inside(k[0], lo, hi), brackets[k]
+                aggs += [F.count_if(x < F.lit(a)).alias(f"u{i}"), F.count_if(x == F.lit(a)).alias(f"a{i}"),
+                         F.count_if((x > F.lit(a)) & (x < F.lit(b))).alias(f"m{i}"), F.count_if((x == F.lit(b)) & F.lit(a != b)).alias(f"b{i}")]
+            row = df.agg(*aggs).first()
+            for i, k in enumerate(part):
+                lo, hi, r, m = todo.pop(k)
+                a, b = brackets[k]
+                under, at_a, mid, at_b = (row[f"{x}{i}"] for x in "uamb")
+                if r < under:
+                    todo[k] = (lo, a, r, under)
+                elif r < under + at_a:
+                    found[k] = float(a)
+                elif r < under + at_a + mid:
+                    todo[k] = (a, b, r - under - at_a, mid)
+                elif r < under + at_a + mid + at_b:
+                    found[k] = float(b)
                 else:
-                    done = c_b + c_l + c_i + c_h
-                    nxt[r] = (sub.where(x > F.lit(max(lo, hi))), k - done, nn - done)
-        # Ranks that share a subset keep sharing it (same object) in the next round.
-        pending = nxt
-    return result
+                    rest = under + at_a + mid + at_b
+                    todo[k] = (b, hi, r - rest, m - rest)
+    spans = sorted({(c, s[0], s[1]) for (c, _), s in todo.items()}, key=str)
+    for part in _chunks(spans):
+        row = df.agg(*[F.sort_array(F.collect_list(_inside(c, lo, hi))).alias(f"v{i}") for i, (c, lo, hi) in enumerate(part)]).first()
+        values = {span: row[f"v{i}"] for i, span in enumerate(part)}
+        for k, (lo, hi, r, _) in todo.items():
+            if (k[0], lo, hi) in values:
+                found[k] = float(values[k[0], lo, hi][r])
+    return found

@@ -104,9 +104,16 @@ def stratified_folds(df: DataFrame, target: str, n_folds: int = 5, key: str = "r
 def sample_rows(df: DataFrame, n: int, key: str = "row_id", seed: int = 42,
                 with_replacement: bool = False, fraction: float | None = None) -> DataFrame:
     """n rows without replacement: the n smallest (hash, key) – a TakeOrdered, no full sort.
-    With replacement: Poisson sampling of ``fraction`` (Spark ``sample``)."""
+    With replacement: n draws (``fraction``: that share of the rows), each the row at a hashed position."""
     if with_replacement:
-        return df.sample(True, fraction if fraction is not None else 1.0, seed)
+        total = df.count()
+        n = n if fraction is None else int(round(fraction * total))
+        if not total:
+            return df
+        at = class_rank(df.withColumn("_one", F.lit(1)), "_one", key, seed, counts={1: total}, out="_at").drop("_one")
+        wide = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:draw|"), F.col("id").cast("string"))), 1, 15), 16, 10).cast("long")
+        draws = df.sparkSession.range(n).select((wide % total).alias("_at"))
+        return draws.join(at, "_at").drop("_at")
     return df.orderBy(portable_hash(key, seed), key).limit(n)
 
 

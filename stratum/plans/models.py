@@ -8,20 +8,24 @@ trees, MLP hidden layers use sigmoid without L2, SVM is linear with Platt scalin
 """
 from __future__ import annotations
 
+import hashlib
 import itertools
 import json
+import math
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.hashing import portable_hash
+from ..functions.hashing import uniform
 from ..functions.scalar import qcol
+from ..operators import clean
+from ..operators.splits import stratified_folds
+from ..session import cut_lineage
 
 FEATURES_COL = "_features"
 
@@ -60,8 +64,14 @@ def estimator(kind: str, label: str = "y", seed: int = 42, **params):
     raise ValueError(f"unknown model kind {kind!r}")
 
 
-def fit(df: DataFrame, feats: list[str], kind: str, label: str = "y", scale: bool = True, **params) -> PipelineModel:
-    """assemble -> (scale by population-free std, no centring) -> classifier; SVM adds Platt."""
+def fit(df: DataFrame, feats: list[str], kind: str, label: str = "y", scale: bool = True,
+        positive_weight: float | None = None, **params) -> PipelineModel:
+    """assemble -> (scale by population-free std, no centring) -> classifier; SVM adds Platt.
+
+    ``positive_weight``: weight of the rows of class 1 (not for ``mlp``). All stages can be saved."""
+    if positive_weight is not None:
+        df = df.withColumn("_weight", F.when(qcol(label) == 1, F.lit(float(positive_weight))).otherwise(1.0))
+        params["weightCol"] = "_weight"
     stages = [assembler(feats)]
     if scale:
         stages = [VectorAssembler(inputCols=feats, outputCol="_raw", handleInvalid="keep"),
@@ -71,93 +81,91 @@ def fit(df: DataFrame, feats: list[str], kind: str, label: str = "y", scale: boo
     stages.append(estimator(kind, label, **params))
     model = Pipeline(stages=stages).fit(df)
     if kind == "svm":   # Platt scaling: logistic regression on the margin
-        margin = model.transform(df).select(label, vector_to_array("rawPrediction")[1].alias("_m"))
-        platt = Pipeline(stages=[VectorAssembler(inputCols=["_m"], outputCol="_pm"),
-                                 LogisticRegression(featuresCol="_pm", labelCol=label, regParam=0.0,
-                                                    predictionCol="_pp", probabilityCol="_platt_prob",
-                                                    rawPredictionCol="_praw")]).fit(margin)
-        model = PipelineModel(stages=[model, _MarginColumn(), platt])
+        platt = LogisticRegression(featuresCol="rawPrediction", labelCol=label, regParam=0.0, predictionCol="_pp",
+                                   probabilityCol="_platt_prob", rawPredictionCol="_praw").fit(model.transform(df).select(label, "rawPrediction"))
+        model = PipelineModel(stages=[*model.stages, platt])
     return model
 
 
-class _MarginColumn:
-    """Tiny transformer stage: margin of a LinearSVC as a column ``_m``."""
-    def transform(self, df):
-        return df.withColumn("_m", vector_to_array("rawPrediction")[1])
+def save_model(model: PipelineModel, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
 
 
 def predict(model, df: DataFrame, name: str, key: str = "row_id", label: str = "y",
             keep=("split",)) -> DataFrame:
     """Long predictions ``(row_id, model, [split], y, score)``; score = P(class 1)."""
-    out = model.transform(df) if not isinstance(model, PipelineModel) else _transform(model, df)
+    out = model.transform(df)
     prob = F.col("_platt_prob") if "_platt_prob" in out.columns else F.col("probability")
     return out.select(qcol(key), F.lit(name).alias("model"), *[qcol(k) for k in keep if k in df.columns],
                       qcol(label), vector_to_array(prob)[1].alias("score"))
 
 
-def _transform(model: PipelineModel, df: DataFrame) -> DataFrame:
-    out = df
-    for st in model.stages:
-        out = st.transform(out)
-    return out
-
-
 # ------------------------------------------------------------------ search
-def grid_search_cv(df: DataFrame, feats: list[str], kind: str, grid: dict, folds: int = 5,
-                   label: str = "y", key: str = "row_id", seed: int = 42, parallelism: int = 4):
-    """Exhaustive grid, mean positive-class F1 over stratified hash folds, refit of the best.
-
+def cross_validate(df: DataFrame, feats: list[str], kind: str, points: list[dict], folds: int = 5, label: str = "y",
+                   key: str = "row_id", seed: int = 42, scale: bool = True, smote: float | None = None,
+                   positive_weight: float | None = None) -> list[list[float]]:
+    """F1 of class 1 per grid point and stratified fold: scale -> (Borderline-SMOTE) -> classifier, fitted on
+    the other folds only. ``smote``: minority share of the majority; synthetic rows are never validated on."""
+    from ..operators import evaluate as ev
+    from ..operators.resample import borderline_smote
+    data = cut_lineage(stratified_folds(df.select(key, *feats, label), label, folds, key, seed))
+    scores: list[list[float]] = [[] for _ in points]
+    for f in range(folds):
+        train, held = data.where(F.col("fold") != f).drop("fold"), data.where(F.col("fold") == f)
+        if smote is not None:
+            if scale:  # neighbours are those of the scaled features
+                params = clean.fit_scale_std(train, feats)
+                train, held = (clean.apply_scale_std(x, params) for x in (train, held))
+            train = cut_lineage(borderline_smote(train, feats, label, smote, key=key, seed=seed))
+        for i, p in enumerate(points):
+            m = fit(train, feats, kind, label, scale and smote is None, positive_weight, **p)
+            pred = predict(m, held, kind, key, label, keep=())
+            scores[i].append(ev.basic_metrics(pred, [], label, "score", 0.5, with_areas=False).first()["f1"])
+    return scores
+
+
+def grid_search_cv(df: DataFrame, feats: list[str], kind: str, grid: dict, folds: int = 5, label: str = "y",
+                   key: str = "row_id", seed: int = 42, fixed: dict | None = None, **how):
+    """Exhaustive grid, mean positive-class F1 over stratified folds, refit of the best on all rows.
+
+    ``fixed``: parameters of every point; ``how``: ``scale``, ``smote`` and ``positive_weight`` as in ``cross_validate``.
     Returns (best model, best params dict, per-point table DataFrame)."""
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-    spark = df.sparkSession
-    data = df.withColumn("_fold", F.pmod(portable_hash(key, seed), F.lit(folds)).cast("int"))
-    n_feat = len(feats)
-    est = estimator(kind, label, **({"n_features": n_feat} if kind == "mlp" else {}))
-    pg = ParamGridBuilder()
-    for name, values in grid.items():
-        pg = pg.addGrid(est.getParam(name), values)
-    maps = pg.build()
-    pipe = Pipeline(stages=[assembler(feats), est])
-    ev = MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0)
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=ev, foldCol="_fold",
-                        parallelism=parallelism, seed=seed)
-    cvm = cv.fit(data)
-    rows = []
-    best_i = max(range(len(maps)), key=lambda i: (cvm.avgMetrics[i], -i))
-    for i, pm in enumerate(maps):
-        params = {p.name: v for p, v in pm.items()}
-        rows.append((kind, json.dumps(params, sort_keys=True), float(cvm.avgMetrics[i]), i == best_i))
-    table = spark.createDataFrame(rows, "model string, params string, f1_cv double, best boolean")
-    best = {p.name: v for p, v in maps[best_i].items()}
-    return cvm.bestModel, best, table
-
-
-def sweep_models(datasets: dict[str, DataFrame], feats: dict[str, list[str]], kinds: list[str],
-                 grids: dict[str, dict] | None = None, folds: int = 3, label: str = "y") -> DataFrame:
-    """Every model x dataset: CV F1 on train, then metrics on validation at 0.5:
+    points = [dict(zip(grid, v)) for v in itertools.product(*grid.values())]
+    scores = cross_validate(df, feats, kind, [{**(fixed or {}), **p} for p in points], folds, label, key, seed, **how)
+    means = [sum(x) / len(x) for x in scores]
+    best = max(range(len(points)), key=lambda i: (means[i], -i))
+    rows = [(kind, json.dumps(p, sort_keys=True), float(m), i == best) for i, (p, m) in enumerate(zip(points, means))]
+    table = df.sparkSession.createDataFrame(rows, "model string, params string, f1_cv double, best boolean")
+    train, scale, smote = df.select(key, *feats, label), how.get("scale", True), how.get("smote")
+    if smote is not None:
+        from ..operators.resample import borderline_smote
+        train = cut_lineage(borderline_smote(train, feats, label, smote, key=key, seed=seed))
+    model = fit(train, feats, kind, label, scale, how.get("positive_weight"), **{**(fixed or {}), **points[best]})
+    return model, points[best], table
+
+
+def sweep_models(datasets: dict[str, DataFrame], feats: dict[str, list[str]], kinds: list[str], grids: dict[str, dict] | None = None,
+                 folds: int = 3, label: str = "y", fixed: dict[str, dict] | None = None, **how) -> DataFrame:
+    """Every model x dataset: CV F1 on train (one point without a grid), then metrics on validation at 0.5:
     ``model, dataset, f1_cv, f1_val, precision, recall, auc, f1_weighted, gap, best_params``."""
     from ..operators import evaluate as ev
     out = []
     for dname, df in datasets.items():
-        train = df.where(F.col("split") == "train")
-        val = df.where(F.col("split") == "val")
+        train, val = df.where(F.col("split") == "train"), df.where(F.col("split") == "val")
         for kind in kinds:
-            grid = (grids or {}).get(kind) or {}
-            if grid:
-                model, best, table = grid_search_cv(train, feats[dname], kind, grid, folds, label)
-                f1_cv = table.where("best").select("f1_cv").first()[0]
-            else:
-                model, best = Pipeline(stages=[assembler(feats[dname]), estimator(
-                    kind, label, **({"n_features": len(feats[dname])} if kind == "mlp" else {}))]).fit(train), {}
-                f1_cv = None
-            p = predict(model, val, kind)
+            model, best, table = grid_search_cv(train, feats[dname], kind, (grids or {}).get(kind) or {}, folds, label,
+                                                fixed=(fixed or {}).get(kind), **how)
+            f1_cv = table.where("best").select("f1_cv").first()[0]
+            p = cut_lineage(predict(model, val, kind))
             m = ev.basic_metrics(p, [], label, "score", 0.5)
             w = ev.class_report(ev.with_prediction(p, 0.5), [], label, "pred").where(F.col("label") == "weighted avg")
-            row = m.withColumn("_k", F.lit(1)).join(
-                w.select(F.col("f1").alias("f1_weighted")).withColumn("_k", F.lit(1)), "_k")
-            out.append(row.select(F.lit(kind).alias("model"), F.lit(dname).alias("dataset"),
-                                  F.lit(f1_cv).cast("double").alias("f1_cv"), F.col("f1").alias("f1_val"),
-                                  "precision", "recall", F.col("auc_roc").alias("auc"), "f1_weighted",
+            row = m.withColumn("_k", F.lit(1)).join(w.select(F.col("f1").alias("f1_weighted")).withColumn("_k", F.lit(1)), "_k")
+            out.append(row.select(F.lit(kind).alias("model"), F.lit(dname).alias("dataset"), F.lit(f1_cv).cast("double").alias("f1_cv"),
+                                  F.col("f1").alias("f1_val"), "precision", "recall", F.col("auc_roc").alias("auc"), "f1_weighted",
                                   F.lit(json.dumps(best, sort_keys=True)).alias("best_params")))
     res = reduce(lambda a, b: a.unionByName(b), out)
     return res.withColumn("gap", F.col("f1_cv") - F.col("f1_val"))
@@ -198,7 +206,7 @@ def permutation_importance(model, df: DataFrame, feats: list[str], repeats: int
     base_pred = predict(model, df, "m", key, label, keep=())
     base_f1 = ev.basic_metrics(base_pred, [], label, "score", threshold, with_areas=False).first()["f1"]
     n = df.count()
-    ranked = class_rank(df.withColumn("_one", F.lit(1)), "_one", key, seed, counts={1: n}, out="_r").drop("_one").cache()
+    ranked = cut_lineage(class_rank(df.withColumn("_one", F.lit(1)), "_one", key, seed, counts={1: n}, out="_r").drop("_one"))
     rows = []
     for f in feats:
         for r in range(repeats):
@@ -219,7 +227,7 @@ def rfecv(df: DataFrame, feats: list[str], kind: str = "gradboost", folds: int =
     """Recursive elimination by importance (drop ``step`` share of the remaining, at least one)
     with fold-averaged F1 at each size. Returns (best feature list, curve DataFrame)."""
     from ..operators import evaluate as ev
-    data = df.withColumn("_fold", F.pmod(portable_hash(key, seed), F.lit(folds)).cast("int")).cache()
+    data = cut_lineage(stratified_folds(df, label, folds, key, seed).withColumnRenamed("fold", "_fold"))
     cur = list(feats)
     curve = []
     while True:
@@ -252,18 +260,25 @@ def reduced_datasets(df: DataFrame, feats: list[str], keep=("row_id", "y", "spli
 
 # ------------------------------------------------------------------ ensembles needing fits
 def bagging(train: DataFrame, score_on: DataFrame, feats: list[str], kind: str = "gradboost", n: int = 10,
-            max_samples: float = 1.0, max_features: float = 1.0, label: str = "y", seed: int = 42, **params) -> DataFrame:
-    """n fits on bootstrap samples (and feature subsets); mean probability per row."""
-    import random
-    rnd = random.Random(seed)
+            max_samples: float = 1.0, max_features: float = 1.0, label: str = "y", seed: int = 42, key: str = "row_id", **params) -> DataFrame:
+    """n fits on bootstrap samples (and feature subsets), both drawn by hashes; mean probability per row.
+
+    A row's number of copies in a sample is the Poisson quantile of its hash, whatever the partitioning."""
+    size = max(1, int(round(max_features * len(feats))))
     preds = []
     for i in range(n):
-        fs = sorted(rnd.sample(feats, max(1, int(round(max_features * len(feats))))))
-        sample = train.sample(True, max_samples, seed + i)
+        fs = sorted(sorted(feats, key=lambda c: hashlib.md5(f"{seed}:{i}|{c}".encode()).hexdigest())[:size])
+        u, copies, below, term = uniform(key, f"{seed}:{i}"), F.lit(0), 0.0, math.exp(-max_samples)
+        for k in range(1, 12):
+            below += term
+            copies = F.when(u >= below, k).otherwise(copies)
+            term *= max_samples / k
+        sample = train.withColumn("_c", F.explode(F.array_repeat(F.lit(0), copies))).drop("_c")
         m = fit(sample, fs, kind, label, scale=False, **params)
-        preds.append(predict(m, score_on, f"bag{i}", keep=("split",)))
+        preds.append(predict(m, score_on, f"bag{i}", key, label, keep=("split",)))
     allp = reduce(lambda a, b: a.unionByName(b), preds)
-    return allp.groupBy("row_id", "split", label).agg(F.avg("score").alias("score")).withColumn("model", F.lit("bagging"))
+    keep = ["split"] if "split" in score_on.columns else []
+    return allp.groupBy(key, *keep, label).agg(F.avg("score").alias("score")).withColumn("model", F.lit("bagging"))
 
 
 def stack_refit(train: DataFrame, score_on: DataFrame, feats: list[str], kinds: list[str], folds: int = 5,
@@ -271,7 +286,7 @@ def stack_refit(train: DataFrame, score_on: DataFrame, feats: list[str], kinds:
                 params: dict | None = None) -> DataFrame:
     """Out-of-fold base probabilities -> logistic meta-learner; bases refit on all training
     rows score ``score_on``. No in-fold prediction is ever used for the meta-learner."""
-    data = train.withColumn("_fold", F.pmod(portable_hash(key, seed), F.lit(folds)).cast("int"))
+    data = cut_lineage(stratified_folds(train, label, folds, key, seed).withColumnRenamed("fold", "_fold"))
     oof = []
     for f in range(folds):
         tr, ho = data.where(F.col("_fold") != f), data.where(F.col("_fold") == f)
@@ -297,11 +312,55 @@ def ensemble_importance(models: list, feats: list[str], top: int = 20) -> DataFr
 
 
 def score_batch(model, df: DataFrame, feats: list[str], threshold: float = 0.5, key: str = "row_id",
-                label_codes: bool = True) -> DataFrame:
-    """probability -> 0/1 at ``threshold`` -> label text; keeps the row key."""
+                label_codes: bool = True, params: DataFrame | None = None) -> DataFrame:
+    """(preparation by fitted ``params``) -> probability -> 0/1 at ``threshold`` -> label text; keeps the row key."""
     from ..functions.scalar import decode_label
-    out = _transform(model, df) if isinstance(model, PipelineModel) else model.transform(df)
+    if params is not None:
+        from .prepare import prepare_apply
+        df = prepare_apply(df, params, key)
+    out = model.transform(df)
     prob = F.col("_platt_prob") if "_platt_prob" in out.columns else F.col("probability")
     o = out.select(qcol(key), vector_to_array(prob)[1].alias("score"))
     o = o.withColumn("pred", (F.col("score") >= threshold).cast("int"))
     return o.withColumn("outcome", decode_label(F.col("pred"))) if label_codes else o
+
+
+# ------------------------------------------------------------------ whole runs
+def train_all_ensembles(train: DataFrame, score_on: DataFrame, feats: list[str], kinds: list[str], params: dict | None = None,
+                        threshold: float = 0.5, folds: int = 3, bag: dict | None = None, label: str = "y", key: str = "row_id") -> DataFrame:
+    """Soft vote, hard vote, bagging and stacking scored on the same rows; one row of metrics each."""
+    from ..operators import evaluate as ev
+    from . import ensembles as en
+    long = reduce(lambda a, b: a.unionByName(b), [predict(fit(train, feats, k, label, **(params or {}).get(k, {})), score_on, k, key, label) for k in kinds])
+    v = en.vote(cut_lineage(long), row_key=key, y=label)
+    scored = {"soft_vote": v.select(key, label, F.col("soft").alias("score")), "hard_vote": v.select(key, label, F.col("hard").cast("double").alias("score")),
+              "bagging": bagging(train, score_on, feats, label=label, key=key, **(bag or {})),
+              "stacking": stack_refit(train, score_on, feats, kinds, folds, label, key, params=params)}
+    parts = [ev.evaluate_scores(p.select(key, label, "score"), [], threshold=threshold).withColumn("ensemble", F.lit(n)) for n, p in scored.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def auto_select_and_score(new: DataFrame, feats: list[str], models: dict[str, object] | None = None, results: DataFrame | None = None,
+                          documents: str | None = None, params: DataFrame | None = None, key: str = "row_id") -> DataFrame:
+    """Score ``new`` with the champion, at its own threshold, and publish labels: ``(key, score, pred, outcome, model)``.
+
+    ``results``: a table (model, threshold, f1, ...) whose best row names one of ``models``. ``documents``: a folder of
+    result documents; the one with the best F1 gives its stored test probabilities, by position of the rows
+    in key order. With both, the better of the two."""
+    from ..operators import results as rs
+    from ..sources import sinks
+    from .publish import with_position
+    from ..functions.scalar import decode_label
+    champ = None if results is None else rs.select_champion(results, tie=("model",)).first()
+    doc = None
+    if documents is not None:
+        doc = sinks.read_result_documents(new.sparkSession, documents, name_filter="").orderBy(F.desc_nulls_last("f1"), "source").first()
+    if champ is None and doc is None:
+        raise ValueError("neither a result table nor result documents")
+    if doc is not None and (champ is None or (doc["f1"] or 0.0) > champ["f1"]):
+        stored = (sinks.read_predictions_json(new.sparkSession, documents, name_filter="").where(F.col("source") == doc["source"])
+                  .select("position", F.col("proba").alias("score"), "pred"))
+        rows = with_position(new.select(key), key).join(stored, "position").drop("position")
+        return rows.withColumn("outcome", decode_label(F.col("pred"))).withColumn("model", F.lit(doc["method"]))
+    name = next(k for k in models if k.lower() == champ["model"].lower())
+    return score_batch(models[name], new, feats, champ["threshold"], key, params=params).withColumn("model", F.lit(name))

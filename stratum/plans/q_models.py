@@ -6,8 +6,8 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from ..operators import clean, splits as sp, evaluate as ev, results as rs
-from . import tables as tb, models as md, ensembles as en
+from ..operators import clean, splits as sp, evaluate as ev
+from . import tables as tb, models as md
 from .catalog import query
 
 FEATS = ["X1", "X2", "X3", "X4", "X5", "X6", "X8", "X9"]
@@ -67,8 +67,9 @@ def q_grid_search_cv(spark, d):
 
 def _sweep(spark, d):
     data = model_data(spark, d)
-    return md.sweep_models({"median": data}, {"median": FEATS}, ["random_forest", "logistic"],
-                           grids={"random_forest": {"maxDepth": [3, 5], "numTrees": [20]}}, folds=3)
+    plain = data.drop("X8", "X9")
+    return md.sweep_models({"median": data, "reduced": plain}, {"median": FEATS, "reduced": [c for c in FEATS if c not in ("X8", "X9")]},
+                           ["random_forest", "logistic"], grids={"random_forest": {"maxDepth": [3, 5]}}, fixed={"random_forest": {"numTrees": 20}})
 
 
 @query("sweep_models")
@@ -78,7 +79,7 @@ def q_sweep_models(spark, d):
 
 @query("generalisation_gap")
 def q_generalisation_gap(spark, d):
-    return md.generalisation_gap(_sweep(spark, d).where(F.col("f1_cv").isNotNull()))
+    return md.generalisation_gap(_sweep(spark, d))
 
 
 @query("rfecv")
@@ -135,19 +136,8 @@ def q_stack_refit(spark, d):
 def q_train_all_ensembles(spark, d):
     """Soft vote, hard vote, bagging and stacking scored on validation rows; one row each."""
     data = model_data(spark, d)
-    tr, ev_rows = data.where(F.col("split") == "train"), data.where(F.col("split") == "val")
-    members = [md.predict(md.fit(tr, FEATS, k, **SMALL.get(k, {})), ev_rows, k) for k in ("random_forest", "logistic")]
-    long = reduce(lambda a, b: a.unionByName(b), members)
-    v = en.vote(long)
-    soft = v.select("row_id", "y", F.col("soft").alias("score"))
-    hard = v.select("row_id", "y", F.col("hard").cast("double").alias("score"))
-    bag = md.bagging(tr, ev_rows, FEATS, "gradboost", n=2, maxIter=5, maxDepth=3)
-    stk = md.stack_refit(tr, ev_rows, FEATS, ["logistic", "random_forest"], folds=3, params=SMALL)
-    parts = []
-    for name, p in [("soft_vote", soft), ("hard_vote", hard), ("bagging", bag), ("stacking", stk)]:
-        parts.append(ev.evaluate_scores(p.select("row_id", "y", "score"), [], threshold=0.5)
-                       .withColumn("ensemble", F.lit(name)))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    tr, val = data.where(F.col("split") == "train"), data.where(F.col("split") == "val")
+    return md.train_all_ensembles(tr, val, FEATS, ["random_forest", "logistic"], SMALL, bag=dict(n=2, maxIter=5, maxDepth=3))
 
 
 @query("ensemble_importance")
@@ -173,6 +163,4 @@ def q_auto_select_and_score(spark, d):
     models = {k: md.fit(tr, FEATS, k, **SMALL.get(k, {})) for k in kinds}
     vp = reduce(lambda a, b: a.unionByName(b), [md.predict(m, val, k) for k, m in models.items()])
     th = ev.best_threshold_pr(vp, ["model"])
-    champ = rs.select_champion(th, tie=("model",)).first()
-    kind = [k for k in kinds if k.lower() == champ["model"]][0]
-    return md.score_batch(models[kind], test, FEATS, threshold=champ["threshold"]).withColumn("model", F.lit(kind))
+    return md.auto_select_and_score(test, FEATS, models, th)

@@ -1,11 +1,14 @@
 """Model rows: predictions cover the scored rows and clear a metric floor
 (the target depends on X5, so any working learner separates the classes)."""
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
-from stratum.operators import evaluate as ev
+from stratum.operators import evaluate as ev, splits as sp
 from stratum.plans import models as md
 from stratum.plans.q_models import model_data, FEATS, SMALL
+from stratum.session import scratch_path
 
 
 @pytest.mark.parametrize("kind", ["random_forest", "gradboost", "logistic", "svm"])
@@ -24,3 +27,49 @@ def test_stacking_scores_every_row(spark, sf_dir):
     p = md.stack_refit(tr, rest, FEATS, ["logistic", "random_forest"], folds=3, params=SMALL)
     assert p.count() == rest.count()
     assert p.where(F.col("score").isNull() | (F.col("score") < 0) | (F.col("score") > 1)).count() == 0
+
+
+def test_svm_is_saved_and_loaded(spark, sf_dir):
+    data = model_data(spark, sf_dir).where(F.col("row_id") % 8 == 0)
+    m = md.fit(data, FEATS, "svm", maxIter=10, positive_weight=3.0)  # all stages are Spark's own
+    path = scratch_path(spark, "svm-model")
+    md.save_model(m, path)
+    a, b = (sorted(tuple(r) for r in md.predict(x, data, "svm").select("row_id", "score").collect()) for x in (m, md.load_model(path)))
+    assert a == b
+
+
+def test_cross_validation_never_validates_on_synthetic_rows(spark, sf_dir, monkeypatch):
+    data = model_data(spark, sf_dir).where(F.col("split") == "train").select("row_id", "X1", "X5", "y").where(F.col("row_id") % 6 == 0)
+    seen = []
+    real = md.predict
+
+    def predict(model, df, *a, **k):
+        seen.append((df.count(), df.where("row_id < 0").count()))
+        return real(model, df, *a, **k)
+
+    monkeypatch.setattr(md, "predict", predict)
+    scores = md.cross_validate(data, ["X1", "X5"], "logistic", [{}], folds=2, smote=0.8)
+    assert len(scores[0]) == 2 and all(0 <= s <= 1 for s in scores[0])
+    assert sum(n for n, _ in seen) == data.count() and all(syn == 0 for _, syn in seen)
+
+
+def test_bootstrap_draws_do_not_depend_on_partitions(spark, sf_dir):
+    data = model_data(spark, sf_dir).where(F.col("row_id") % 12 == 0)
+    a, b = ({r.row_id: round(r.score, 9) for r in md.bagging(d, data, FEATS, "logistic", n=2, max_features=0.5).collect()}
+            for d in (data.repartition(1), data.repartition(5)))
+    assert a.keys() == b.keys() and max(abs(a[k] - b[k]) for k in a) < 1e-4
+    s = sp.sample_rows(data, 50, with_replacement=True)
+    assert s.count() == 50 and s.columns == data.columns
+
+
+def test_auto_select_prefers_the_better_source(spark, sf_dir):
+    data = model_data(spark, sf_dir).where(F.col("row_id") % 15 == 0)
+    models = {"logistic": md.fit(data, FEATS, "logistic")}
+    table = spark.createDataFrame([("logistic", 0.4, 0.8)], "model string, threshold double, f1 double")
+    got = md.auto_select_and_score(data, FEATS, models, table)
+    assert got.count() == data.count() and {r.model for r in got.collect()} == {"logistic"}
+    path = scratch_path(spark, "champion-docs")
+    spark.createDataFrame([(json.dumps({"method": "stack", "threshold": 0.5, "performance": {"f1_score_test": 0.9},
+                                        "predictions": {"test": [0.1, 0.9, 0.7]}}),)], "value string").write.text(path)
+    rows = md.auto_select_and_score(data.limit(3), FEATS, models, table.withColumn("f1", F.lit(0.2)), path).orderBy("row_id").collect()
+    assert [r.pred for r in rows] == [0, 1, 1] and {r.model for r in rows} == {"stack"}

@@ -68,8 +68,11 @@ def test_best_threshold_pr_matches_numpy(spark):
 def test_quantile_selection_path_equals_percentile(spark, sf_dir):
     s = tb.study(spark, sf_dir).select("X1", "X2", "X3")
     probs = [0.1, 0.25, 0.5, 0.75, 0.9]
-    a = qt.exact_quantiles(s, ["X1", "X2", "X3"], probs)
-    b = qt.exact_quantiles(s, ["X1", "X2", "X3"], probs, small_limit=0, collect_limit=200)
+    row = s.agg(*[F.percentile(c, probs).alias(c) for c in ("X1", "X2", "X3")]).first()
+    a = {c: row[c] for c in ("X1", "X2", "X3")}
+    plain = qt.exact_quantiles(s, ["X1", "X2", "X3"], probs)
+    assert all(np.allclose(a[c], plain[c], rtol=0, atol=1e-9) for c in a)
+    b = qt.exact_quantiles(s, ["X1", "X2", "X3"], probs, window=20)
     for c in a:
         assert np.allclose(a[c], b[c], rtol=0, atol=1e-9), (c, a[c], b[c])
 
