@@ -1,24 +1,26 @@
 """Exact Jaccard join of documents on word shingles, by partitioning the shingle universe.
 
-A document is the set of its distinct k-word shingles (64-bit hashes). Equal sets form a class, and only
-classes are joined. Two sets of similarity t or more differ in at most H elements, where H follows from
-the largest size of their size band. Shingles are hashed into segments, more of them for larger
-bands; by the pigeonhole principle two linked sets agree, or nearly agree, in some of them:
+A document is the set of its distinct k-word shingles (64-bit hashes). Equal sets form a class (by a 64-bit
+digest), and only classes are joined. A set of n elements differs from any set that it links with in
+at most D(n) = n (1 - t) / t elements. Shingles are hashed into segments, more of them in bands of larger
+sets; by the pigeonhole principle two linked sets agree, or nearly agree, in some of them:
 
 * ``eq`` segments are indexed by their content. ``near`` segments are indexed by their content and by
   each of its one-deletion neighbours, which also finds contents that differ by one element, and so count
-  twice. With eq + 2 near = H + 1 + spare, linked sets agree in more than ``spare`` of that budget.
-* Therefore each set leaves out its ``spare`` most frequent eq signatures and still shares one with every
-  linked set: of the signatures they share, the least frequent is left out by neither. This keeps empty and
-  common segments (boilerplate, the unchanged parts of widely copied texts) out of the candidate search.
-* How many near segments and spares a band gets is chosen by cost: signatures to write against weak
-  ones (segments with at most one element) left in the index.
-
-A set is indexed in its own band and, for larger partners, in the next; sets of one or adjacent
-bands can link, no others. All candidates are verified exactly on the whole sets. They are not
-expanded into all pairs: in each signature's bucket, every member is compared with one pivot; buckets whose
-members are then in one component are done; in the others, the members outside the pivot's
-component are compared in blocks with the members of other components, inside tasks that return only links.
+  twice. Linked sets agree in at least eq + 2 near - D of that budget.
+* So a set may leave out all but D + 1 of it, as long as all sets prefer the same signatures: of those that
+  two linked sets share, the last in a common order is then left out by neither. First go the
+  signatures with the fewest elements (by size, then hash), before anything is written; ``RARE`` parts in
+  all are written on top, and the most frequent ones of these go once frequencies are known. This keeps empty
+  and common segments (boilerplate, the unchanged parts of widely copied texts) out of the candidate search.
+* How many segments and how many near ones a band gets is chosen by cost: signatures to write against weak
+  ones (at most one element) that stay.
+
+A set is indexed in its own band and, if sets of the next band can link with it, in that, too. All candidates
+are verified exactly on the whole sets. They are not expanded into all pairs: in each signature's
+bucket, every member is compared with one pivot; buckets whose members are then in one component are done; in
+the others, the members outside the pivot's component are compared in blocks with the members of other
+components, inside tasks that return only links.
 
 Results: ``component_id`` is the smallest id reachable by links. Texts that are null or have no word have an
 empty set and link with nothing; fewer than k words count as one shingle; repeated rows are one class.
@@ -39,7 +41,11 @@ from .common import ascii_lower, mix, raw_text, shingles, ship, slices, span_has
 #: Members of a block in the comparison of buckets with several components.
 BLOCK = 512
 #: Cost of one weak signature, in signatures.
-WEAK_COST = 40.0
+WEAK_COST = 20.0
+#: Signatures written beyond the D + 1 needed, as a share of these; the most frequent ones are left out again.
+RARE = 0.25
+#: A band's sizes span this power of 1 / t.
+SPAN = 3
 _LOW = -(1 << 63)
 
 
@@ -47,37 +53,50 @@ class Bands:
     """Size bands for sets of up to ``largest`` elements and how each is cut into segments (similarity num/den)."""
 
     def __init__(self, num: int, den: int, largest: int):
+        self.num, self.den = num, den
         low = [1]
-        while low[-1] <= largest:
-            low.append(low[-1] * den // num + 1)
-        low.append(low[-1] * den // num + 1)
+        while len(low) < 2 or low[-2] <= largest:
+            low.append(low[-1] * den ** SPAN // num ** SPAN + 1)
         self.low = np.array(low, dtype=np.int64)
         top = self.low[1:] - 1
-        self.gap = 2 * top * (den - num) // (den + num)  # H of each band
-        cuts = [_allocate(int(h), int(s)) for h, s in zip(self.gap, top)]
-        self.eq, self.near, self.spare = (np.array(x, dtype=np.int64) for x in zip(*cuts))
+        cuts = [_allocate(int(d), int(n)) for d, n in zip(self.gap(top), top)]
+        self.eq, self.near = (np.array(x, dtype=np.int64) for x in zip(*cuts))
+
+    def gap(self, sizes: np.ndarray) -> np.ndarray:
+        """D: in how many elements a set can differ from a set that it links with."""
+        return sizes * (self.den - self.num) // self.num
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.low, sizes, side="right") - 1
 
+    def meets_next(self, sizes: np.ndarray, band: np.ndarray) -> np.ndarray:
+        """Whether sets of the next band can be similar enough."""
+        return self.den * sizes >= self.num * self.low[band + 1]
+
+    def budget(self, sizes: np.ndarray, band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """eq signatures that a set leaves out before writing, and of those written, once frequencies are known."""
+        gap = self.gap(sizes)
+        spare = np.clip(self.eq[band] + 2 * self.near[band] - 1 - gap, 0, self.eq[band])
+        late = np.minimum(spare, np.ceil(RARE * (gap + 1)).astype(np.int64))
+        return spare - late, late
 
-def _allocate(gap: int, size: int) -> tuple[int, int, int]:
-    """(eq, near, spare) segments of least cost for sets of ``size`` elements that may differ in ``gap``."""
-    if gap == 0:
-        return 0, 0, 0  # different sets cannot link
+
+def _allocate(gap: int, size: int) -> tuple[int, int]:
+    """(eq, near) segments of least cost for sets of ``size`` elements that differ in up to ``gap``."""
     best = None
-    for spare in sorted({0, 1, 2, *(math.ceil((gap + 1) * s / 4) for s in (1, 2, 3))}):
+    written = math.ceil((1 + RARE) * (gap + 1))
+    for total in sorted({math.ceil(written * x) for x in (1.0, 1.25, 1.5, 2.0)}):
         for near in sorted({0, 1, 2, (gap + 1) // 4, (gap + 1) // 2}):
-            eq = gap + 1 + spare - 2 * near
-            if eq < 0 or eq < spare or eq + near == 0:
+            eq = total - 2 * near
+            if eq < 0 or eq + near == 0:
                 continue
             mean = size / (eq + near)
             weak = math.exp(-mean) * (1 + mean)  # share of segments with at most one element (Poisson)
-            left = max(0.0, eq * weak - spare) + 0.5 * math.sqrt(eq * weak) * (spare < eq * weak + 1) + near * math.exp(-mean) * (1 + mean + mean * mean / 2)
-            # near copies differ in few segments: spares also take the shared contents out of large groups
-            cost = eq + near * (1 + mean) + WEAK_COST * left + 0.5 * gap * (2 * spare < gap)
+            dropped = min(eq, total - 1 - gap)
+            left = max(0.0, eq * weak - dropped) + near * math.exp(-mean) * (1 + mean + mean * mean / 2)
+            cost = max(0, min(eq, written - 2 * near)) + near * (1 + mean) + WEAK_COST * left + 0.1 * total
             if best is None or cost < best[0]:
-                best = (cost, eq, near, spare)
+                best = (cost, eq, near)
     return best[1:]
 
 
@@ -104,14 +123,19 @@ def _sums(index: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     return lo.astype(np.uint64) + (hi.astype(np.uint64) << np.uint64(32))
 
 
-def digests(h: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """128-bit digest of each row's set, as two 64-bit halves (0 for empty sets)."""
-    return _sums(rows, mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), n), _sums(rows, mix(h + np.uint64(0x1234567890ABCDEF)), n)
+def digests(h: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """64-bit digest of each row's set (0 for empty sets)."""
+    return mix(_sums(rows, mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), n))
 
 
-def signatures(h: np.ndarray, rows: np.ndarray, n: int, band: np.ndarray, bands: Bands) -> tuple[pa.Array, pa.Array]:
-    """Signatures (eq lists, near lists) of every row's set under the given band of each row."""
-    eq, near = bands.eq[band], bands.near[band]
+def signatures(h: np.ndarray, rows: np.ndarray, sizes: np.ndarray, band: np.ndarray, bands: Bands) -> tuple[pa.Array, pa.Array, np.ndarray]:
+    """Signatures (eq lists, near lists) of every row's set in the given band of each row (below 0: none), and
+    how many of the eq ones may be left out later."""
+    n = len(sizes)
+    live = band >= 0
+    band = np.maximum(band, 0)
+    eq, near = np.where(live, bands.eq[band], 0), np.where(live, bands.near[band], 0)
+    early, late = bands.budget(sizes, band)
     parts = eq + near
     use = parts[rows] > 0
     h, rows = h[use], rows[use]
@@ -119,56 +143,74 @@ def signatures(h: np.ndarray, rows: np.ndarray, n: int, band: np.ndarray, bands:
     inner = mix(h + salt[rows])
     first = np.r_[0, np.cumsum(parts)]
     part = (mix(inner) >> np.uint64(11)).astype(np.int64) % np.maximum(parts, 1)[rows]
-    content = _sums(first[rows] + part, inner, int(first[-1]))
+    spot = first[rows] + part
+    content, count = _sums(spot, inner, int(first[-1])), np.bincount(spot, minlength=int(first[-1]))
     owner = np.repeat(np.arange(n), parts)
     number = np.arange(first[-1]) - first[owner]
     place = mix(salt[owner] + number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     key = mix(content ^ place)
     is_eq = number < eq[owner]
-    eq_lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(eq)].astype(np.int32)), pa.array(key[is_eq].view(np.int64)))
-    # near segments: the content, and the content without each one of its elements
+    # eq: the contents with the fewest elements go first, equal ones by their key
+    who, values = owner[is_eq], key[is_eq]
+    order = np.lexsort((values, count[is_eq], who))
+    who, values = who[order], values[order]
+    start = np.r_[0, np.cumsum(eq)]
+    keep = np.arange(len(who)) - start[who] >= early[who]
+    eq_lists = _lists(who[keep], values[keep], n)
+    # near: the content, and the content without each one of its elements
     own = part >= eq[rows]
-    at = (first[rows] + part)[own]
+    at = spot[own]
     values = np.concatenate([key[~is_eq], mix((content[at] - inner[own]) ^ place[at])])
     who = np.concatenate([owner[~is_eq], rows[own]])
     order = np.argsort(who, kind="stable")
-    counts = np.bincount(who, minlength=n)
-    near_lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(values[order].view(np.int64)))
-    return eq_lists, near_lists
+    return eq_lists, _lists(who[order], values[order], n), late
+
+
+def _lists(who: np.ndarray, values: np.ndarray, n: int) -> pa.Array:
+    """Lists of the values of each of n rows (``who`` ascending)."""
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.bincount(who, minlength=n))].astype(np.int32)), pa.array(values.view(np.int64)))
 
 
 def _indexed(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Every document: id, set size, set digest, and its signatures in its own band and in the next."""
+    """Every document: id, set size, node (digest of the set), and the signatures of its set in its own band and in the next.
+
+    A task writes the signatures of equal sets once.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(num, den, 1 << 20)
+        bands, seen = Bands(num, den, 1 << 16), set()
         for b in slices(batches, "t"):
             h, rows = shingle_sets(b.column("t"), k)
             n = np.bincount(rows, minlength=b.num_rows)
-            if n.max(initial=0) > bands.low[-3]:
+            if n.max(initial=0) >= bands.low[-2]:
                 bands = Bands(num, den, int(n.max()))
-            h1, h2 = digests(h, rows, b.num_rows)
-            band = bands.of(np.maximum(n, 1))
-            own, up = (signatures(h, rows, b.num_rows, x, bands) for x in (band, band + 1))
+            node = digests(h, rows, b.num_rows)
+            new = np.zeros(b.num_rows, dtype=bool)
+            for i, x in enumerate(node.tolist()):
+                if n[i] and x not in seen:
+                    seen.add(x)
+                    new[i] = True
+            size = np.maximum(n, 1)
+            band = bands.of(size)
+            new &= bands.gap(size) > 0  # smaller sets cannot link with different ones
+            up = np.where(new & bands.meets_next(size, band), band + 1, -1)
+            own_eq, own_near, own_late = signatures(h, rows, size, np.where(new, band, -1), bands)
+            up_eq, up_near, up_late = signatures(h, rows, size, up, bands)
             yield pa.RecordBatch.from_arrays(
-                [b.column("d"), pa.array(n), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), *own, *up,
-                 pa.array(bands.spare[band]), pa.array(bands.spare[band + 1])],
-                names=["doc_id", "n", "h1", "h2", "own_eq", "own_near", "up_eq", "up_near", "own_spare", "up_spare"])
+                [b.column("d"), pa.array(n), pa.array(node.view(np.int64)), own_eq, own_near, up_eq, up_near, pa.array(own_late), pa.array(up_late)],
+                names=["doc_id", "n", "node", "own_eq", "own_near", "up_eq", "up_near", "own_late", "up_late"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, own_eq array<long>, own_near array<long>, "
-                                "up_eq array<long>, up_near array<long>, own_spare long, up_spare long")
+    return docs.mapInArrow(run, "doc_id long, n long, node long, own_eq array<long>, own_near array<long>, "
+                                "up_eq array<long>, up_near array<long>, own_late long, up_late long")
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
-    """(h1, h2, items) of documents: the digest and the sorted elements of each set."""
+    """(node, items) of documents: the digest and the sorted elements of each set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "t"):
             h, rows = shingle_sets(b.column("t"), k)
-            h1, h2 = digests(h, rows, b.num_rows)
-            first = np.searchsorted(rows, np.arange(b.num_rows + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)),
-                                              pa.ListArray.from_arrays(pa.array(first), pa.array(h.view(np.int64)))], names=["h1", "h2", "items"])
+            yield pa.RecordBatch.from_arrays([pa.array(digests(h, rows, b.num_rows).view(np.int64)), _lists(rows, h, b.num_rows)], names=["node", "items"])
 
-    return docs.select("t").mapInArrow(run, "h1 long, h2 long, items array<long>")
+    return docs.select("t").mapInArrow(run, "node long, items array<long>")
 
 
 # ------------------------------------------------------------------ components
@@ -197,35 +239,32 @@ def join(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col: str =
     spark = docs.sparkSession
     ship(spark)
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("d"), F.col(f"`{text_col}`").cast("string").alias("t"))
-    index = stored(_indexed(texts, k, num, den).withColumn("rid", F.monotonically_increasing_id()), "jaccard-index")
-    classes = stored(index.where("n > 0").groupBy("h1", "h2").agg(F.min("rid").alias("node"), F.min("doc_id").alias("least")), "jaccard-classes")
-    links = _links(texts, index, classes, k, num, den)
-    roots = components(links).select(F.col("node"), "root")
+    index = stored(_indexed(texts, k, num, den), "jaccard-index")
+    classes = stored(index.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least")), "jaccard-classes")
+    roots = components(_links(texts, index, classes, k, num, den))
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "root").select("h1", "h2", "component_id")
-    # empty sets have no class; they come back through the left join
-    keyed = index.select("doc_id", F.col("n").alias("n_shingles"), "h1", "h2")
-    full = keyed.where("n_shingles > 0").join(named, ["h1", "h2"]).select("doc_id", "n_shingles", "component_id")
+    named = named.join(least, "root").select("node", "component_id")
+    keyed = index.select("doc_id", F.col("n").alias("n_shingles"), "node")
+    full = keyed.where("n_shingles > 0").join(named, "node").select("doc_id", "n_shingles", "component_id")
     return full.unionByName(keyed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
 def _links(texts: DataFrame, index: DataFrame, classes: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Edges (a, b) between class nodes that connect exactly the classes connected by links."""
-    nodes = classes.select(F.col("node").alias("rid"))
-    kept = index.join(nodes, "rid", "left_semi")
+    """Edges (a, b) between nodes (sets) that connect exactly the nodes connected by links."""
     rows = None
     for own, eq in ((True, True), (True, False), (False, True), (False, False)):
         name = "own" if own else "up"
-        part = kept.select("rid", F.explode(f"{name}_{'eq' if eq else 'near'}").alias("sig"), F.lit(own).alias("own"), F.lit(eq).alias("eq"),
-                           F.col(f"{name}_spare").cast("int").alias("spare"))
+        late = F.col(f"{name}_late").cast("int") if eq else F.lit(-1)  # -1: a near signature, never left out
+        part = index.select(F.col("node").alias("rid"), F.explode(f"{name}_{'eq' if eq else 'near'}").alias("sig"), F.lit(own).alias("own"), late.alias("late"))
         rows = part if rows is None else rows.unionByName(part)
-    counts = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c"), F.max("own").alias("o")).where("c > 1 and o").select("sig", "c")
-    shared = stored(rows.join(counts, "sig"), "jaccard-shared")
-    # each set leaves out its most frequent eq signatures, as many as its band spares
+    counts = (rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c"), F.min("rid").alias("r1"), F.max("rid").alias("r2"), F.max("own").alias("o"))
+              .where("r1 <> r2 and o").select("sig", "c"))
+    shared = stored(rows.join(counts, "sig").dropDuplicates(["sig", "rid", "own"]), "jaccard-shared")
+    # each set leaves out its most frequent eq signatures, as many as it may
     by = Window.partitionBy("rid", "own").orderBy(F.desc("c"), "sig")
-    eqs = shared.where("eq").withColumn("n", F.row_number().over(by)).where(F.col("n") > F.col("spare")).drop("n")
-    left = eqs.unionByName(shared.where("not eq").dropDuplicates(["sig", "rid", "own"]))
+    eqs = shared.where("late >= 0").withColumn("n", F.row_number().over(by)).where(F.col("n") > F.col("late")).drop("n")
+    left = eqs.unionByName(shared.where("late < 0"))
     size = Window.partitionBy("rid")
     members = stored(left.withColumn("p", F.sum("c").over(size)).select("sig", "rid", "own", "p"), "jaccard-members")
     # the pivot of a bucket: the member of the own band whose signatures are the most frequent
@@ -238,10 +277,10 @@ def _links(texts: DataFrame, index: DataFrame, classes: DataFrame, k: int, num:
     pairs = stored(buckets.where("rid <> pivot").select("rid", "pivot").distinct(), "jaccard-pairs")
 
     used = stored(pairs.select("rid").union(pairs.select("pivot")).distinct(), "jaccard-used")
-    found = classes.join(used, classes.node == used.rid, "left_semi")
+    found = stored(classes.join(used, classes.node == used.rid, "left_semi"), "jaccard-found")
     wanted = found.select(F.coalesce("least", F.lit(_LOW)).alias("d")).distinct()
     whole = texts.withColumn("d", F.coalesce("d", F.lit(_LOW))).join(wanted, "d", "left_semi")
-    sets = stored(_sets(whole, k).join(found.select("h1", "h2", "node"), ["h1", "h2"]).groupBy("node").agg(F.first("items").alias("items")), "jaccard-sets")
+    sets = stored(_sets(whole, k).join(found.select("node"), "node", "left_semi").groupBy("node").agg(F.first("items").alias("items")), "jaccard-sets")
 
     a, b = (sets.select(F.col("node").alias(n), F.col("items").alias(f"i{n}")) for n in ("rid", "pivot"))
     same = F.size(F.array_intersect("irid", "ipivot"))

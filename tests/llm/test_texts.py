@@ -94,10 +94,20 @@ def test_jaccard_null_ids_and_empty(spark, docs):
     assert jaccard.join(docs.limit(0), 3, 9, 10).count() == 0
 
 
-def test_allocation_covers_the_gap():
-    bands = jaccard.Bands(4, 5, 5000)
-    live = bands.gap > 0
-    assert (bands.eq + 2 * bands.near == bands.gap + 1 + bands.spare)[live].all() and (bands.spare <= bands.eq)[live].all()
+@pytest.mark.parametrize("num,den", [(9, 10), (4, 5), (1, 2)])
+def test_allocation_covers_the_gap(num, den):
+    """What is left of the segments' budget, after all that may be left out, exceeds the possible difference."""
+    bands = jaccard.Bands(num, den, 5000)
+    sizes = np.arange(1, 5001)
+    band = bands.of(sizes)
+    early, late = bands.budget(sizes, band)
+    whole = bands.eq[band] + 2 * bands.near[band]
+    assert (whole - np.minimum(early + late, bands.eq[band]) >= bands.gap(sizes) + 1).all()
+    assert (bands.eq[band] - early - late >= 0).all()
+    for a in range(1, 300):  # linked sizes lie in one band or in neighbours that the smaller set is indexed in
+        b = np.arange(a, a * den // num + 1)
+        step = bands.of(b) - bands.of(np.array([a]))
+        assert (step <= 1).all() and (~(step == 1) | bands.meets_next(np.full(len(b), a), bands.of(np.full(len(b), a)))).all()
 
 
 def test_intersections():
