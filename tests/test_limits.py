@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from stratum.operators import clean, evaluate as ev, features as ft, knn, mice, profile as pf, transform as tf
 from stratum.plans import prepare, tables as tb
+from stratum.session import scratch_path
 
 
 def test_curves_keep_null_groups(spark):
@@ -69,3 +70,22 @@ def test_tuning_counts_every_hidden_cell(spark):
     df = spark.createDataFrame(rows, "row_id long, a double, b double")
     got = knn.tune_knn_k(df, ["a", "b"], k_values=[1, 3], folds=3, hide=0.95).collect()
     assert len(got) == 2 and sum(r.best for r in got) == 1 and all(r["mean"] > 0 for r in got)
+
+
+def test_saved_knn_preparation_and_correlated_drop(spark, sf_dir):
+    s = tb.study(spark, sf_dir).limit(400)
+    x, params = prepare.prepare_fit(s, impute="knn", corr_threshold=0.95)
+    path = scratch_path(spark, "prepared")
+    prepare.save_prepared(params, path)
+    new = tb.study(spark, sf_dir).where("row_id % 50 = 0")
+    out = prepare.prepare_apply(new, prepare.load_prepared(spark, path))
+    assert out.columns == x.columns and out.count() == new.count()
+    assert out.where("X1_transformed is null").count() == 0
+
+
+def test_variants_impute_once_each(spark, sf_dir):
+    s = tb.study(spark, sf_dir).limit(400)
+    got = prepare.variant_matrix(s, impute=("median", "mice"), max_iter=2)
+    assert set(got) == {(m, c) for m in ("median", "mice") for c in ("capped", "uncapped")}
+    a, b = got["mice", "capped"], got["mice", "uncapped"]
+    assert a.columns == b.columns and a.count() == b.count() == 400
