@@ -16,7 +16,7 @@ leaf is.
 Null levels are a node of their own; null or negative token counts are 0; rows that repeat are separate
 rows. Weights that are missing are ``default``; a weight of 0 gets tokens only where no sibling can
 take them (it then counts as a minute weight). An empty table gives no rows. All columns of the documents
-are returned, and ``epoch``.
+are returned, and ``epoch`` (in place of a column of that name).
 """
 from __future__ import annotations
 
@@ -82,6 +82,7 @@ def mix(docs: DataFrame, levels: dict[str, Column], tokens: Column, weights: dic
     node name -> whole-number weight among its siblings. ``budget``: tokens in all (default: as many as
     ``docs`` has).
     """
+    docs = docs.drop(*[c for c in docs.columns if c.lower() == "epoch"])
     cols = docs.columns
     names = fresh([*cols, "tokens", "budget", "epoch"], *[f"_level_{k}" for k in levels])
     size, eps, pos = fresh([*cols, *names, "tokens", "budget"], "_size", "_epochs", "_pos")
