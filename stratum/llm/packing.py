@@ -242,6 +242,7 @@ def pack(items: DataFrame, capacity: int, length_col: str = "length", groups: in
     """``items`` with ``sequence_id`` and ``offset``: each in one sequence of at most ``capacity``, without gaps."""
     spark = items.sparkSession
     ship(spark)
+    items = items.drop(*[c for c in items.columns if c.lower() in ("sequence_id", "offset")])  # replaced
     part, row, first, at = fresh(items.columns, "_part", "_row", "_first", "_at")
     size = f"`{length_col}`"
     kept = stored(items.withColumns({part: F.spark_partition_id(), row: F.monotonically_increasing_id()}), "packing-items")
