@@ -20,7 +20,7 @@ A set is indexed in its own band and, if sets of the next band can link with it,
 are verified exactly on the whole sets. They are not expanded into all pairs: in each signature's
 bucket, every member is compared with one pivot; buckets whose members are then in one component are done; in
 the others, the members outside the pivot's component are compared in blocks with the members of other
-components, inside tasks that return only links.
+components (all buckets of a pivot together), inside tasks that return only links.
 
 Results: ``component_id`` is the smallest id reachable by links. Texts that are null or have no word have an
 empty set and link with nothing; fewer than k words count as one shingle; repeated rows are one class.
@@ -285,19 +285,25 @@ def _links(texts: DataFrame, index: DataFrame, classes: DataFrame, k: int, num:
     a, b = (sets.select(F.col("node").alias(n), F.col("items").alias(f"i{n}")) for n in ("rid", "pivot"))
     same = F.size(F.array_intersect("irid", "ipivot"))
     linked = den * same >= num * (F.size("irid") + F.size("ipivot") - same)
-    short = (num * F.greatest(F.size("irid"), F.size("ipivot")) <= den * F.least(F.size("irid"), F.size("ipivot")))
-    stars = stored(pairs.join(a, "rid").join(b, "pivot").where(short & linked).select(F.col("rid").alias("a"), F.col("pivot").alias("b")), "jaccard-stars")
-    return stars.unionByName(_rest(buckets, sets, components(stars), num, den))
+    # sizes first: most unlinked pairs differ too much, and need no elements moved
+    sizes = stored(sets.select("node", F.size("items").alias("n")), "jaccard-sizes")
+    sa, sb = (sizes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}")) for x in ("rid", "pivot"))
+    close = pairs.join(sa, "rid").join(sb, "pivot").where(num * F.greatest("nrid", "npivot") <= den * F.least("nrid", "npivot")).select("rid", "pivot")
+    stars = stored(close.join(a, "rid").join(b, "pivot").where(linked).select(F.col("rid").alias("a"), F.col("pivot").alias("b")), "jaccard-stars")
+    return stars.unionByName(_rest(pairs, sets, components(stars), num, den))
 
 
-def _rest(buckets: DataFrame, sets: DataFrame, roots: DataFrame, num: int, den: int) -> DataFrame:
-    """Links between members of one bucket that the comparisons with pivots left in different components."""
-    named = (buckets.join(roots, buckets.rid == roots.node, "left").withColumn("root", F.coalesce("root", "rid")).drop("node")
+def _rest(pairs: DataFrame, sets: DataFrame, roots: DataFrame, num: int, den: int) -> DataFrame:
+    """Links between members of one bucket that the comparisons with pivots left in different components.
+
+    All buckets of a pivot are taken together, so that the elements of a member move once per pivot.
+    """
+    named = (pairs.join(roots, pairs.rid == roots.node, "left").withColumn("root", F.coalesce("root", "rid")).drop("node")
              .join(roots.select(F.col("node").alias("pivot"), F.col("root").alias("main")), "pivot", "left")
-             .withColumn("main", F.coalesce("main", "pivot")).where("rid <> pivot"))
+             .withColumn("main", F.coalesce("main", "pivot")).withColumnRenamed("pivot", "sig"))
     many = (named.groupBy("sig").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count_if(F.col("root") != F.col("main")).alias("out"))
             .where("r1 <> r2").select("sig", F.ceil(F.col("out") / BLOCK).cast("int").alias("blocks")))
-    named = named.join(many, "sig")
+    named = stored(named.join(many, "sig"), "jaccard-open")
     items = sets.select(F.col("node").alias("rid"), "items")
     key = F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
     outside = named.where(F.col("root") != F.col("main")).withColumn("block", key).withColumn("part", F.lit(-1))

@@ -17,7 +17,7 @@ where nothing could be learned. Ties go to the first language in alphabetical or
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -79,16 +79,21 @@ class Model:
         return names, scores
 
 
-def solve(rows: np.ndarray, labels: list[str], landmark: np.ndarray) -> Model:
-    """Kernel ridge regression on Nyström features; ``landmark`` marks the rows used as landmarks."""
+def solve(rows: Callable[[np.ndarray], np.ndarray], labels: list[str], landmark: np.ndarray) -> Model:
+    """Kernel ridge regression on Nyström features; ``rows`` gives presence rows by number, ``landmark`` marks
+    those used as landmarks."""
     languages = sorted(set(labels))
-    rows = rows.astype(np.float32)
-    unit = rows / np.sqrt(np.maximum(rows.sum(axis=1, keepdims=True), 1.0))
-    marks = unit[landmark]
+
+    def unit(part: np.ndarray) -> np.ndarray:
+        part = part.astype(np.float32)
+        return part / np.sqrt(np.maximum(part.sum(axis=1, keepdims=True), 1.0))
+
+    marks = unit(rows(np.flatnonzero(landmark)))
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     use = values > 1e-6 * values.max()
     root = vectors[:, use] / np.sqrt(values[use])  # inverse root of the landmarks' kernel matrix
-    phi = (unit @ marks.T).astype(np.float64) @ root
+    kernel = [unit(rows(np.arange(i, min(i + _BATCH, len(labels))))) @ marks.T for i in range(0, len(labels), _BATCH)]
+    phi = np.concatenate(kernel).astype(np.float64) @ root
     y = np.where(np.array(labels)[:, None] == np.array(languages)[None, :], 1.0, -1.0)
     mean, shift = phi.mean(axis=0), y.mean(axis=0)
     x = phi - mean
@@ -124,13 +129,13 @@ def fit(docs: DataFrame, eligible: Column | None = None, id_col: str = "doc_id",
     if not got:
         return None
     got.sort(key=lambda r: (r["lang"], r["n"], bytes(r["bits"])))
-    bits = np.unpackbits(np.frombuffer(b"".join(bytes(r["bits"]) for r in got), dtype=np.uint8).reshape(len(got), -1), axis=1)
+    bits = np.frombuffer(b"".join(bytes(r["bits"]) for r in got), dtype=np.uint8).reshape(len(got), -1)
     rank: dict[str, int] = {}
     marks = []
     for r in got:
         rank[r["lang"]] = rank.get(r["lang"], 0) + 1
         marks.append(rank[r["lang"]] <= landmarks)
-    return solve(bits, [r["lang"] for r in got], np.array(marks))
+    return solve(lambda i: np.unpackbits(bits[i], axis=1), [r["lang"] for r in got], np.array(marks))
 
 
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:

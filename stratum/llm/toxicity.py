@@ -85,7 +85,7 @@ class Model:
 
 def label_model(votes: np.ndarray, labels: np.ndarray, weight: np.ndarray, rounds: int = 30) -> np.ndarray:
     """Posterior probability of "toxic" for each row of the vote matrix (rows x voters, zero-one)."""
-    v = votes.astype(np.float64)
+    v = votes.astype(np.float32)
     q = np.clip(labels, 0.05, 0.95).astype(np.float64)
     for _ in range(rounds):
         a, b = q * weight, (1 - q) * weight
@@ -105,11 +105,11 @@ def label_model(votes: np.ndarray, labels: np.ndarray, weight: np.ndarray, round
 def _together(v: np.ndarray, q: np.ndarray, fire1: np.ndarray, fire0: np.ndarray) -> np.ndarray:
     """For each voter, the sum of its positive correlations with all voters within the classes (itself 1)."""
     total = np.zeros((v.shape[1], v.shape[1]))
-    spread = np.zeros(v.shape[1])
     for w, p in ((q, fire1), (1 - q, fire0)):
-        c = (v - p) * np.sqrt(w)[:, None]
-        total += c.T @ c
-        spread += (w[:, None] * (v - p) ** 2).sum(axis=0)
+        both = (v * w[:, None].astype(np.float32)).T @ v
+        m = w @ v
+        total += both - np.outer(p, m) - np.outer(m, p) + w.sum() * np.outer(p, p)
+    spread = np.diag(total).copy()
     corr = total / np.sqrt(np.outer(spread, spread) + 1e-12)
     np.fill_diagonal(corr, 1.0)
     corr[corr < 0.1] = 0.0
@@ -118,13 +118,13 @@ def _together(v: np.ndarray, q: np.ndarray, fire1: np.ndarray, fire0: np.ndarray
 
 def logistic(x: np.ndarray, q: np.ndarray, weight: np.ndarray, ridge: float = 1.0, rounds: int = 40) -> tuple[np.ndarray, float]:
     """Ridge logistic regression on soft labels by Newton steps; the bias is not penalised."""
-    x = np.column_stack([x, np.ones(len(x))])
+    x = np.column_stack([x, np.ones(len(x), dtype=x.dtype)])
     pen = np.r_[np.full(x.shape[1] - 1, ridge), 1e-6]
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1.0 / (1.0 + np.exp(-np.clip(x @ w, -30, 30)))
         grad = x.T @ (weight * (p - q)) + pen * w
-        hess = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + np.diag(pen)
+        hess = ((x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None].astype(x.dtype)).T @ x).astype(np.float64) + np.diag(pen)
         step = np.linalg.solve(hess, grad)
         step *= min(1.0, 4.0 / max(np.abs(step).max(), 1e-12))
         w -= step
@@ -184,7 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     weight = np.where(y == 1, sizes[1] / n[1], sizes[0] / n[0])
     weight /= weight.mean()
     q = label_model(bits, y, weight)
-    w, bias = logistic(bits.astype(np.float64), q, weight)
+    w, bias = logistic(bits.astype(np.float32), q, weight)
     return Model(all_voters, w, bias)
 
 
