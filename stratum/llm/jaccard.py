@@ -11,7 +11,8 @@ sets; by the pigeonhole principle two linked sets agree, or nearly agree, in som
 * So a set may leave out all but D + 1 of it, as long as all sets prefer the same signatures: of those that
   two linked sets share, the last in a common order is then left out by neither. First go the
   signatures with the fewest elements (by size, then hash), before anything is written; ``RARE`` parts in
-  all are written on top, and the most frequent ones of these go once frequencies are known. This keeps empty
+  all are written on top, and the most frequent ones of these go once frequencies are known. As the two orders
+  differ, the second number is one for the whole band (or all that a set has to spare). This keeps empty
   and common segments (boilerplate, the unchanged parts of widely copied texts) out of the candidate search.
 * How many segments and how many near ones a band gets is chosen by cost: signatures to write against weak
   ones (at most one element) that stay.
@@ -61,6 +62,7 @@ class Bands:
         top = self.low[1:] - 1
         cuts = [_allocate(int(d), int(n)) for d, n in zip(self.gap(top), top)]
         self.eq, self.near = (np.array(x, dtype=np.int64) for x in zip(*cuts))
+        self.late = np.ceil(RARE * (self.gap(top) + 1)).astype(np.int64)
 
     def gap(self, sizes: np.ndarray) -> np.ndarray:
         """D: in how many elements a set can differ from a set that it links with."""
@@ -77,7 +79,7 @@ class Bands:
         """eq signatures that a set leaves out before writing, and of those written, once frequencies are known."""
         gap = self.gap(sizes)
         spare = np.clip(self.eq[band] + 2 * self.near[band] - 1 - gap, 0, self.eq[band])
-        late = np.minimum(spare, np.ceil(RARE * (gap + 1)).astype(np.int64))
+        late = np.minimum(spare, self.late[band])
         return spare - late, late
 
 

@@ -110,6 +110,21 @@ def test_allocation_covers_the_gap(num, den):
         assert (step <= 1).all() and (~(step == 1) | bands.meets_next(np.full(len(b), a), bands.of(np.full(len(b), a)))).all()
 
 
+@pytest.mark.parametrize("num,den,low,high", [(9, 10, 33, 38), (4, 5, 12, 19)])
+def test_jaccard_links_isolated_pairs(spark, num, den, low, high):
+    """Pairs of short texts as different as they may be, their sizes on both sides of a step of the late count."""
+    rows = []
+    for a in range(low, high + 1):
+        for b in range(a, high + 1):
+            both = -(-num * (a + b) // (num + den))
+            for _ in range(300 if both <= a else 0):
+                i = len(rows)
+                w = [f"w{i}x{j}" for j in range(a + b - both)]
+                rows += [(i, " ".join(w[:a])), (i + 1, " ".join(w[a - both:]))]
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string"), 1, num, den).collect()
+    assert len(got) == len(rows) and [r.doc_id for r in got if r.component_id != r.doc_id - r.doc_id % 2] == []
+
+
 def test_intersections():
     rng = np.random.default_rng(0)
     x, y = ([np.unique(rng.integers(0, 60, n)) for n in sizes] for sizes in ((5, 40, 0, 9), (50, 3, 20)))
