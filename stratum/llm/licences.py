@@ -1,9 +1,11 @@
 """Licence recognition by sentences: texts become sequences of known licence-sentence identifiers,
 and ordered rules over those identifiers name the licences.
 
-A text is split into sentences at line ends and after ``. ! ? ;`` before white space; a sentence is
-lower-cased and every run of other characters than a-z and 0-9 becomes one space. Sentences
-equal to a known one give its identifier, in order; all others are left out. Rules are tried
+A text is lower-cased and every run of other characters than a-z and 0-9 becomes one space. A known
+sentence is found where it starts and ends at a boundary: a line end or ``. ! ? ;`` before white space.
+It may run over single line ends and ``;`` (texts are wrapped, comment marks that begin a line
+do not count), but not over blank lines and other ends of sentences. At each boundary
+the longest one counts. Those found give their identifiers, in order; all else is left out. Rules are tried
 in order, the most specific first; a rule matches where its identifiers stand next to each other
 in the sequence, and uses them up, so the general rules see only what is left.
 
@@ -13,6 +15,8 @@ results; repeated rows give equal rows; all other columns are passed through.
 """
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import fresh
@@ -78,14 +82,32 @@ RULES = [
     ("All-rights-reserved", ["AllRights"]),
 ]
 
+#: Sentence ends of ``scan_sql``, which knows sentences of one line only.
 SPLIT = r"[\r\n]+|[.!?;]+(?:[ \t]+|$)"
+#: What bounds sentences: marks that a known sentence cannot run over, and marks that it can.
+HARD, SOFT = "\x01", "\x02"
+
+
+def bounded(text: Column) -> Column:
+    """The normalised text with its boundaries marked, one at either end."""
+    out = F.concat(F.lit("\n"), F.translate(F.lower(text), HARD + SOFT, "  "), F.lit("\n"))
+    for pattern, by in ((r"\r\n?", "\n"),
+                        (r"\n[ \t/*#!;%<>|-]*+(?:(?:dnl|rem)[ \t]+)?", "\n"),  # comment marks
+                        (r"\n[^a-z0-9\n]*+(?=\n)", HARD), (r"[.!?](?=[ \t\n])", HARD),
+                        (r"\n|;(?=[ \t\n])", SOFT), (f"[^a-z0-9{HARD}{SOFT}]+", " ")):
+        out = F.regexp_replace(out, pattern, by)
+    return out
 
 
 def sentence_ids(text: Column, sentences: dict[str, str] | None = None) -> Column:
     """Identifiers of the known sentences of a text, in order (array of strings)."""
-    known = F.create_map(*[F.lit(x) for kv in (sentences or SENTENCES).items() for x in kv])
-    norm = F.transform(F.split(text, SPLIT), lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
-    found = F.transform(F.filter(norm, lambda s: F.map_contains_key(known, s)), lambda s: F.element_at(known, s))
+    table = sentences or SENTENCES
+    known = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
+    gap = f"[ {SOFT}]+"
+    any_of = "|".join(gap.join(map(re.escape, s.split(" "))) for s in sorted(table, key=len, reverse=True))
+    pattern = f"[{HARD}{SOFT}] ?({any_of})(?= ?[{HARD}{SOFT}])"
+    found = F.transform(F.regexp_extract_all(bounded(text), F.lit(pattern), F.lit(1)),
+                        lambda s: F.element_at(known, F.regexp_replace(s, gap, " ")))
     if sentences is not None:  # other sentences need not hold an anchor
         return found
     return F.when(text.rlike("(?i)" + ANCHORS), found).otherwise(F.array().cast("array<string>"))

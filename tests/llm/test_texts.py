@@ -148,6 +148,56 @@ def test_every_known_sentence_has_an_anchor_and_is_found(spark):
     assert {x for _, ids in licences.RULES for x in ids} <= set(licences.SENTENCES.values())
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission."""
+GPL = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful. See the
+GNU General Public License for more details."""
+
+
+def test_licences_of_wrapped_headers(spark):
+    want = {MIT: "MIT", BSD: "BSD-3-Clause", GPL: "GPL-3.0-or-later", GPL.replace("version 3", "version 2"): "GPL-2.0-or-later"}
+    rows, names = [], []
+    for text, name in want.items():
+        lines = text.split("\n")
+        for t in (text, text.replace("\n", "\r\n"), "int a;\n/*\n" + "\n".join(" * " + x for x in lines) + "\n */\nint b;",
+                  "\n".join(("# " + x).rstrip() for x in lines), "\n".join("!! " + x for x in lines), "\n".join("dnl " + x for x in lines)):
+            rows.append((len(rows), t))
+            names.append([name])
+    # a notice of one line stays one beside other lines; blank lines and ends of sentences are not run over
+    rows += [(len(rows), "SPDX-License-Identifier: MIT\nimport os"), (len(rows) + 1, "Licensed under\n#\n# the MIT License"), (len(rows) + 2, "All rights. Reserved")]
+    names += [["MIT"], [], []]
+    got = {r.doc_id: (r.licences, r.unmatched) for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(rows))] == [(n, 0) for n in names]
+
+
 def test_licences_of_edge_documents(docs):
     out = licences.scan(docs)
     assert out.count() == len(ROWS) and set(docs.columns) <= set(out.columns)
