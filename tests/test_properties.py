@@ -96,3 +96,16 @@ def test_class_rank_is_exact_with_buckets(spark, monkeypatch):
     r = sp.class_rank(df, "y").toPandas()
     for _, g in r.groupby("y"):
         assert sorted(g["_rank"]) == list(range(len(g)))
+
+
+def test_rows_with_nulls_are_projected_and_resampled(spark, sf_dir):
+    from stratum.operators import splits as sp
+    from stratum.plans import q_features, q_impute, tables as tb
+    study = tb.study(spark, sf_dir)
+    train = sp.stratified_split(study, "y").where("split = 'train'")
+    smote = q_impute.q_borderline_smote(spark, sf_dir).where("not synthetic").cache()
+    pca = q_features.q_pca_2d(spark, sf_dir).cache()
+    rows = {"pca": pca.count(), "smote": smote.count()}
+    assert rows == {"pca": study.count(), "smote": train.count()}
+    assert pca.dropna().count() == rows["pca"] and smote.dropna().count() == rows["smote"]
+    assert smote.join(train, "row_id", "left_anti").isEmpty() and pca.join(study, "row_id", "left_anti").isEmpty()
