@@ -1,4 +1,4 @@
-"""Queries over the documents, embeddings and labels tables: one per operation of this package.
+"""Queries over the documents, embeddings, labels and conversations tables: one per operation of this package.
 
 Each reads its whole table and derives the digest columns of its result from the operation's
 own output. ``ORACLES`` holds DuckDB SQL where SQL can express a query.
@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bitpack, fingerprint, jaccard, langid, lengths, licences, mixing, packing, toxicity
+from . import ann, bitpack, collocations, fingerprint, jaccard, langid, lengths, licences, mixing, packing, pii, prefix_trie, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,6 +155,44 @@ def op10_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitpack.read_ids(files, digest=True)
 
 
+@query
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2,000 strongest phrases of 2 to 5 words that occur 100 times or more."""
+    return collocations.collocations(collocations.frequent_phrases(table(spark, sf_dir, "documents"), min_count=100, max_words=5), top=2000)
+
+
+ORACLES["op11_phrase_collocations"] = r"""WITH p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                                     '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+g AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+      FROM p, (VALUES (1), (2), (3), (4), (5)) v(m) WHERE len(w) >= m),
+f AS (SELECT lang, m, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+c AS (SELECT * FROM f WHERE m > 1 AND NOT EXISTS (SELECT 1 FROM f AS b WHERE b.lang = f.lang AND b.m > f.m AND b.a >= f.a
+        AND contains(' ' || b.phrase || ' ', ' ' || f.phrase || ' '))),
+k AS (SELECT c.*, unnest(range(1, m)) AS k, string_split(phrase, ' ') AS w FROM c),
+s AS (SELECT k.lang, k.phrase, k.a, x.a AS l, y.a AS r, n.n, k.k, CAST(CAST(1000 AS HUGEINT) * k.a * n.n // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+      FROM k JOIN f AS x ON x.lang = k.lang AND x.phrase = array_to_string(k.w[1:k.k], ' ')
+      JOIN f AS y ON y.lang = k.lang AND y.phrase = array_to_string(k.w[k.k + 1:], ' ') JOIN n ON n.lang = k.lang),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM b QUALIFY rank <= 2000"""
+
+
+@query
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct opening of the rebuilt conversations, with its members, children, leaves and words saved."""
+    return prefix_trie.trie(prefix_trie.rebuild(prefix_trie.sequences(table(spark, sf_dir, "conversations"))))
+
+
+@query
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: spans of the patterns and those that the skip-chain CRF adds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find(docs, pii.fit(docs)).drop("text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
