@@ -3,15 +3,17 @@
 Texts are cut into pieces at ``[.,;:!?\\x0A-\\x0D]`` and pieces into words ``[^\\x20\\x09]+`` (A-Z lower-cased); a
 phrase is 1 to ``max_words`` words in a row within a piece, counted per language with overlaps.
 
-A shard is a run of texts of one task, of about ``SHARD_WORDS`` words. If a phrase occurs ``min_count`` times in all,
-then some shard holds it at least ``min_count * share`` times, ``share`` being the shard's part of the
-language's text bytes. So each shard is mined completely at that support (``mine``); the union of what the shards find
-is kept as one bit per hash in a table of fixed size (``BITS``; a false hit costs work, never a result); a
-second pass counts all phrases of the union in all shards, exactly and by their text (``count``). This is done
-in two stages, for 1 and 2 words and for the rest: the second looks only where all pairs of neighbouring
-words are frequent, so that little is left even where shards are so many that the local support is one.
-
-Nothing but the two bit tables (16 MB each, at any size) goes through the driver. Counts are summed within a shard
+A shard is a run of texts of one task, of about ``SHARD_WORDS`` words; ``share`` is its part of the language's text
+bytes. A phrase that occurs ``min_count`` times in all occurs at least ``min_count * share`` times in some shard. Each
+shard is mined completely at half that support (``mine``) and reports how far each phrase found passes it.
+Of a phrase, the shards that do not report it hold less than ``min_count / 2`` in all, so that only phrases whose
+reports sum to more than the other half stay in the union. The union is kept as one bit per hash in a table of
+fixed size (``BITS``; a false hit costs work, never a result), and a second pass counts its phrases in all
+shards exactly (``count``). Where the whole support is reached (in one shard at least), the count carries the text.
+This is done for single words, then pairs, then the rest; each stage looks only where all shorter phrases are
+frequent, so that little is left even where shards are so many that the local support is one.
+
+Nothing but the bit tables (16 MB each, at any size) goes through the driver. Counts are summed within a shard
 before they are shuffled, so that a very common phrase is one row per shard.
 
 Null texts are empty, null languages are ``und``; repeated rows count as often as they occur; an empty table gives no
@@ -20,13 +22,14 @@ rows. Other columns are not read.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import ascii_lower, mix, raw_text, ship, slices, span_hashes, stored, words
+from .common import ascii_lower, raw_text, ship, slices, span_hashes, stored, words
 
 #: Words of a shard, about; a task holds one shard at a time.
 SHARD_WORDS = 1 << 22
@@ -40,33 +43,46 @@ _BREAKS[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
 # ------------------------------------------------------------------ one shard
 
 class Shard:
-    """The words of a run of texts of one language: bytes, word spans, word hashes, piece numbers."""
+    """The words of a run of texts of one language: bytes, word spans, word hashes, piece numbers. Takes the parts over."""
 
-    def __init__(self, parts: list[tuple]):
+    def __init__(self, lang: str, parts: list[tuple]):
         at = np.cumsum([0] + [len(p[0]) for p in parts])
         pieces = np.cumsum([0] + [int(p[4][-1]) + 1 if len(p[4]) else 0 for p in parts])
-        self.data = np.concatenate([p[0] for p in parts])
-        self.starts = np.concatenate([p[1] + o for p, o in zip(parts, at)])
-        self.ends = np.concatenate([p[2] + o for p, o in zip(parts, at)])
-        self.h = np.concatenate([p[3] for p in parts])
-        self.piece = np.concatenate([p[4] + o for p, o in zip(parts, pieces)])
-        self.bytes = int(sum(p[5] for p in parts))
+        self.lang, self.bytes = lang, int(at[-1])
+        cols = [list(c) for c in zip(*parts)]
+        parts.clear()
+        self.data = np.concatenate(cols[0])
+        self.starts, self.ends, self.piece = (np.concatenate([p + o.astype(p.dtype) for p, o in zip(c, off)]) for c, off in ((cols[1], at), (cols[2], at), (cols[4], pieces)))
+        self.h = np.concatenate(cols[3])
 
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the n-word phrase at each position, and the positions that have one."""
         m = max(0, len(self.h) - n + 1)
-        g = self.h[:m].copy()
+        g = self.h[:m] ^ np.uint64(zlib.crc32(self.lang.encode()) << 16)
         for i in range(1, n):
-            g = mix(g * np.uint64(0x9E3779B97F4A7C15) + self.h[i:i + m] + np.uint64(n))
+            g *= np.uint64(0x9E3779B97F4A7C15)
+            g += self.h[i:i + m]
+            _mix(g)
         return g, self.piece[:m] == self.piece[n - 1:n - 1 + m]
 
+    def known(self, table: np.ndarray, k: int, n: int) -> np.ndarray:
+        """Positions of n words in a row of which all k neighbours are in the table."""
+        g, ok = self.grams(k)
+        ok &= hit(table, g)
+        m = max(0, len(self.h) - n + 1)
+        out = np.ones(m, dtype=bool)
+        for i in range(n - k + 1):
+            out &= ok[i:i + m]
+        return out
+
     def texts(self, first: np.ndarray, n: int) -> pa.Array:
         """The phrases of n words at the given positions, joined by single spaces."""
         at = (first[:, None] + np.arange(n)).ravel()
-        size = self.ends[at] - self.starts[at] + 1
+        start = self.starts[at].astype(np.int64)
+        size = self.ends[at] - start + 1
         size[n - 1::n] -= 1  # no space after the last word
         out = np.r_[0, np.cumsum(size)]
-        spot = np.repeat(self.starts[at] - out[:-1], size) + np.arange(out[-1])
+        spot = np.repeat(start - out[:-1], size) + np.arange(out[-1])
         chars = self.data[np.minimum(spot, len(self.data) - 1)]
         inner = np.ones(len(at), dtype=bool)
         inner[n - 1::n] = False
@@ -74,8 +90,15 @@ class Shard:
         return pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(np.ascontiguousarray(out[::n])), pa.py_buffer(chars)).cast(pa.string())
 
 
-def _shards(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[tuple[str, Shard]]:
-    """(language, shard) of the rows (lang, t) of a task; a language's texts close a shard when there are enough."""
+def _mix(g: np.ndarray) -> None:
+    """``common.mix`` in place."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+        g ^= g >> np.uint64(shift)
+        g *= np.uint64(factor)
+
+
+def _shards(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[Shard]:
+    """Shards of the rows (lang, t) of a task; all languages' texts close their shards when there are enough words."""
     held: dict[str, list] = {}
     size = 0
     for b in slices(batches, "t"):
@@ -87,114 +110,107 @@ def _shards(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[tup
             broken = _BREAKS[low]
             starts, ends, rows = words(low, offsets, ~(broken | (low == 32) | (low == 9)))
             piece = (np.cumsum(broken)[starts] + rows) if len(starts) else starts
-            held.setdefault(lang, []).append((low, starts, ends, span_hashes(low, starts, ends), piece, len(low)))
+            held.setdefault(lang, []).append((low, starts.astype(np.int32), ends.astype(np.int32), span_hashes(low, starts, ends), piece.astype(np.int32)))
             size += len(starts)
         if size >= shard_words:
-            yield from ((k, Shard(v)) for k, v in held.items())
-            held, size = {}, 0
-    yield from ((k, Shard(v)) for k, v in held.items())
-
+            yield from (Shard(k, held.pop(k)) for k in list(held))
+            size = 0
+    yield from (Shard(k, held.pop(k)) for k in list(held))
 
-def _counts(g: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashes at the positions ``at``, a position of each, and how often each occurs."""
-    order = np.argsort(g[at], kind="stable")
-    h = g[at][order]
-    if not len(h):
-        return h, at, np.zeros(0, np.int64)
-    edge = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-    return h[edge], at[order][edge], np.diff(np.r_[edge, len(h)])
 
+def _counts(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, ascending, and how often each occurs."""
+    h = np.sort(h)
+    edge = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
+    return h[edge], np.diff(np.r_[edge, len(h)])
 
-def _salted(g: np.ndarray, lang: str) -> np.ndarray:
-    import zlib
-    return mix(g ^ np.uint64(zlib.crc32(lang.encode()) << 16))
 
-
-def _hit(table: np.ndarray, g: np.ndarray) -> np.ndarray:
+def hit(table: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """Whether each hash's bit is set."""
     slot = (g >> np.uint64(8)) & np.uint64(64 * len(table) - 1)
     return (table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 
-def _both_frequent(shard: Shard, lang: str, pairs: np.ndarray | None, n: int) -> np.ndarray:
-    """Positions of n words in a row where all neighbouring pairs are frequent."""
-    g, ok = shard.grams(2)
-    ok = ok & _hit(pairs, _salted(g, lang))
-    m = max(0, len(shard.h) - n + 1)
-    out = np.ones(m, dtype=bool)
-    for i in range(n - 1):
-        out &= ok[i:i + m]
-    return out
-
-
 # ------------------------------------------------------------------ the two passes
 
-def _mine(texts: DataFrame, lengths: list[int], min_count: int, totals: dict[str, int], pairs, shard_words: int, size: int) -> np.ndarray:
-    """Bit table of the phrases that are locally frequent in some shard."""
+def _mine(texts: DataFrame, lengths: list[int], min_count: int, totals: dict[str, int], known, shard_words: int, size: int) -> np.ndarray:
+    """Bit table of the phrases that can be frequent, from what the shards report at half the proportional support."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, s in _shards(batches, shard_words):
-            support = max(1, math.ceil(min_count * s.bytes / totals[lang] - 1e-9)) if s.bytes else 1
-            found, ok, mask = [], None, np.uint64(_LOCAL - 1)
+        mask = np.uint64(_LOCAL - 1)
+        for s in _shards(batches, shard_words):
+            half = max(1, math.ceil(min_count * s.bytes / max(totals[s.lang], 1) / 2 - 1e-9))
+            ok = None
             for n in lengths:
                 g, whole = s.grams(n)
-                if pairs is not None and n == lengths[0]:
-                    whole &= _both_frequent(s, lang, pairs.value, n)
-                if ok is not None:  # both parts of n - 1 words are locally frequent
+                if known is not None and n == lengths[0]:
+                    whole &= s.known(known.value, n - 1, n)
+                if ok is not None:  # both parts of n - 1 words reach the support
                     whole &= ok[:len(g)] & ok[1:len(g) + 1]
-                h, _, c = _counts(g, np.flatnonzero(whole))
-                h = h[c >= support]
-                found.append(_salted(h, lang))
+                h, c = _counts(g[whole])
+                h, c = h[c >= half], c[c >= half]
                 flags = np.zeros(_LOCAL, dtype=bool)
                 flags[(h & mask).astype(np.int64)] = True
                 ok = whole & flags[(g & mask).astype(np.int64)]
-            slot = np.unique((np.concatenate(found) >> np.uint64(8)) & np.uint64(size - 1))
-            if len(slot):
-                word = (slot >> np.uint64(6)).astype(np.int32)
-                first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-                bits = np.bitwise_or.reduceat(np.uint64(1) << (slot & np.uint64(63)), first)
-                yield pa.RecordBatch.from_arrays([pa.array(word[first]), pa.array(bits.view(np.int64))], names=["word", "bits"])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c - half + 1)], names=["h", "over"])
 
-    return _table(texts.mapInArrow(run, "word int, bits long"), size)
+    reports = texts.mapInArrow(run, "h long, over long").groupBy("h").agg(F.sum("over").alias("over"))
+    return _table(reports.where(F.col("over") * 2 > min_count), size)
 
 
-def _table(bits: DataFrame, size: int) -> np.ndarray:
-    """The table of ``size`` bits from rows (word, bits): at most size / 64 rows come to the driver."""
-    rows = bits.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+def _table(hashes: DataFrame, size: int) -> np.ndarray:
+    """Bit table of hashes (h); at most ``size`` / 64 rows come to the driver."""
+    slot = F.shiftrightunsigned(F.col("h"), 8).bitwiseAND(F.lit(size - 1))
+    bit = hashes.select(F.shiftright(slot, 6).cast("int").alias("word"), slot.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+    rows = bit.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toArrow()
     table = np.zeros(size // 64, dtype=np.uint64)
     table[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
     return table
 
 
-def _count(texts: DataFrame, lengths: list[int], union, pairs, min_count: int, shard_words: int) -> DataFrame:
+def _count(texts: DataFrame, lengths: list[int], min_count: int, totals: dict[str, int], union, known, shard_words: int) -> DataFrame:
     """(lang, words, phrase, h, a) of all phrases of the union that occur ``min_count`` times or more.
 
-    Of lengths from 1 up, one row of zero words tells each language's number of words.
+    Of lengths from 1 up, one row of zero words tells each language's number of words. A phrase's language, number of words and
+    text come from the shards that hold its proportional share; one at least does.
     """
+    names = ["h", "a", "lang", "words", "phrase"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["lang", "words", "phrase", "h", "a"]
-        for lang, s in _shards(batches, shard_words):
+        for s in _shards(batches, shard_words):
+            whole_support = min_count * s.bytes / max(totals[s.lang], 1) - 1e-9
             if lengths[0] == 1 and len(s.h):
-                yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([0], pa.int32()), pa.array([""]), pa.array([0], pa.int64()), pa.array([len(s.h)])], names=names)
+                key = pa.array([zlib.crc32(s.lang.encode())], pa.int64())  # phrases' hashes are mixed
+                yield pa.RecordBatch.from_arrays([key, pa.array([len(s.h)]), pa.array([s.lang]), pa.array([0], pa.int32()), pa.array([""])], names=names)
             for n in lengths:
-                g, whole = s.grams(n)
-                if pairs is not None:
-                    whole &= _both_frequent(s, lang, pairs.value, n)
-                at = np.flatnonzero(whole)
-                at = at[_hit(union.value, _salted(g[at], lang))]
-                h, first, c = _counts(g, at)
-                for lo in range(0, len(h), 1 << 16):
-                    cut = slice(lo, lo + (1 << 16))
-                    k = len(h[cut])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * k), pa.array(np.full(k, n, np.int32)), s.texts(first[cut], n),
-                         pa.array(_salted(h[cut], lang).view(np.int64)), pa.array(c[cut])], names=names)
-
-    rows = texts.mapInArrow(run, "lang string, words int, phrase string, h long, a long")
-    return rows.groupBy("lang", "words", "phrase").agg(F.min("h").alias("h"), F.sum("a").alias("a")).where((F.col("a") >= min_count) | (F.col("words") == 0))
+                g, at = s.grams(n)
+                if known is not None:
+                    at &= s.known(known.value, lengths[0] - 1, n)
+                at = np.flatnonzero(at)
+                at = at[hit(union.value, g[at])]
+                h, c = _counts(g[at])
+                first = np.zeros(len(h), dtype=np.int64)
+                first[np.searchsorted(h, g[at])] = at
+                told = c >= whole_support
+                for which, named in ((~told, False), (told, True)):
+                    for lo in range(0, int(which.sum()), 1 << 16):
+                        cut = np.flatnonzero(which)[lo:lo + (1 << 16)]
+                        none = pa.nulls(len(cut), pa.string())
+                        text = [pa.array([s.lang]).take(pa.array(np.zeros(len(cut), np.int64))), pa.array(np.full(len(cut), n, np.int32)), s.texts(first[cut], n)]
+                        yield pa.RecordBatch.from_arrays([pa.array(h[cut].view(np.int64)), pa.array(c[cut]), *(text if named else [none, pa.nulls(len(cut), pa.int32()), none])], names=names)
+
+    rows = texts.mapInArrow(run, "h long, a long, lang string, words int, phrase string")
+    told = F.when(F.col("words").isNotNull(), F.struct("lang", "words", "phrase"))
+    found = rows.groupBy("h").agg(F.sum("a").alias("a"), F.first(told, ignorenulls=True).alias("p"))
+    return found.where((F.col("a") >= min_count) | (F.col("p.words") == 0)).select("p.lang", "p.words", "p.phrase", "h", "a")
+
+
+#: Lengths that are mined and counted together; each stage starts from the frequent phrases of one word less.
+STAGES = ((1,), (2,), (3, 4, 5, 6, 7, 8))
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = 100, max_words: int = 5, lang_col: str = "lang", text_col: str = "text",
                      shard_words: int = SHARD_WORDS, bits: int = BITS) -> DataFrame:
-    """(lang, words, phrase, a) of all phrases of 1 to ``max_words`` words with a >= ``min_count`` occurrences.
+    """(lang, words, phrase, a) of all phrases of 1 to ``max_words`` (at most 8) words with a >= ``min_count`` occurrences.
 
     The empty phrase (words = 0) holds each language's number of words.
     """
@@ -203,20 +219,16 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, max_words: int = 5,
     texts = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
                         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("t"))
     totals = {r.lang: int(r.b) for r in texts.groupBy("lang").agg(F.sum(F.octet_length("t").cast("long")).alias("b")).collect()}
-    done, pairs = [], None
-    for lengths in ([1, 2], list(range(3, max_words + 1))):
-        lengths = [n for n in lengths if n <= max_words]
+    out, known = None, None
+    for stage in STAGES:
+        lengths = [n for n in stage if n <= max_words]
         if not lengths:
             break
-        union = spark.sparkContext.broadcast(_mine(texts, lengths, min_count, totals, pairs, shard_words, bits))
-        done.append(stored(_count(texts, lengths, union, pairs, min_count, shard_words), "phrases"))
-        slot = F.col("h").bitwiseAND(F.lit(bits * 256 - 1))
-        twos = done[0].where("words = 2").select(F.shiftrightunsigned(slot, 14).cast("int").alias("word"),
-                                                 F.expr("shiftleft(1L, cast(shiftrightunsigned(h, 8) & 63 as int))").alias("bits"))
-        pairs = spark.sparkContext.broadcast(_table(twos, bits))
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
+        if out is not None:
+            known = spark.sparkContext.broadcast(_table(out.where(F.col("words") == lengths[0] - 1).select("h"), bits))
+        union = spark.sparkContext.broadcast(_mine(texts, lengths, min_count, totals, known, shard_words, bits))
+        new = stored(_count(texts, lengths, min_count, totals, union, known, shard_words), "phrases")
+        out = new if out is None else out.unionByName(new)
     return out.select("lang", "words", "phrase", "a")
 
 
