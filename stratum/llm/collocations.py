@@ -13,8 +13,8 @@ shards exactly (``count``). Where the whole support is reached (in one shard at
 This is done for single words, then pairs, then the rest; each stage looks only where all shorter phrases are
 frequent, so that little is left even where shards are so many that the local support is one.
 
-Nothing but the bit tables (16 MB each, at any size) goes through the driver. Counts are summed within a shard
-before they are shuffled, so that a very common phrase is one row per shard.
+Nothing but the bit tables (16 MB each, at any size) goes through the driver. Counts are summed within a task
+before they are shuffled, so that a very common phrase is one row per task.
 
 Null texts are empty, null languages are ``und``; repeated rows count as often as they occur; an empty table gives no
 rows. Other columns are not read.
@@ -33,6 +33,10 @@ from .common import ascii_lower, raw_text, ship, slices, span_hashes, stored, wo
 
 #: Words of a shard, about; a task holds one shard at a time.
 SHARD_WORDS = 1 << 22
+#: Text bytes of a task, about; a task works on several shards in turn and adds their rows up before they are shuffled.
+TASK_BYTES = 64 << 20
+#: Rows that a task adds up before it passes them on.
+HELD_ROWS = 1 << 21
 #: Bits of the table that holds the union of locally frequent phrases.
 BITS = 1 << 27
 _LOCAL = 1 << 24
@@ -125,6 +129,46 @@ def _counts(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h[edge], np.diff(np.r_[edge, len(h)])
 
 
+class Sums:
+    """Sums of values by hash, and a (words, phrase) for some of the hashes, over the shards of a task."""
+
+    def __init__(self):
+        self.rows, self.named, self.size = [], [], 0
+
+    def add(self, h: np.ndarray, values: np.ndarray, named: np.ndarray | None = None, words: int = 0, phrases: pa.Array | None = None) -> None:
+        self.rows.append((h, values))
+        self.size += len(h)
+        if named is not None and len(named):
+            self.named.append((named, np.full(len(named), words, np.int32), phrases))
+        if self.size > 2 * HELD_ROWS:
+            self.merge()
+
+    def merge(self) -> None:
+        h, inverse = np.unique(np.concatenate([r[0] for r in self.rows]), return_inverse=True)
+        total = np.zeros(len(h), dtype=np.int64)
+        np.add.at(total, inverse, np.concatenate([r[1] for r in self.rows]))
+        self.rows, self.size = [(h, total)], len(h)
+        if self.named:
+            named, first = np.unique(np.concatenate([x[0] for x in self.named]), return_index=True)
+            self.named = [(named, np.concatenate([x[1] for x in self.named])[first], pa.concat_arrays([x[2] for x in self.named]).take(pa.array(first)))]
+
+    def take(self) -> tuple:
+        """(h, sum, words, phrase) of all rows; words and phrase are null for hashes without a name."""
+        if not self.rows:
+            self.rows = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        self.merge()
+        h, total = self.rows[0]
+        at = pa.nulls(len(h), pa.int64())
+        words, phrases = pa.array([], pa.int32()), pa.array([], pa.string())
+        if self.named:
+            named, n, phrases = self.named[0]
+            spot = np.searchsorted(named, h)
+            spot[spot == len(named)] = 0
+            at, words = pa.array(spot, mask=named[spot] != h), pa.array(n)
+        self.__init__()
+        return h, total, words.take(at), phrases.take(at)
+
+
 def hit(table: np.ndarray, g: np.ndarray) -> np.ndarray:
     """Whether each hash's bit is set."""
     slot = (g >> np.uint64(8)) & np.uint64(64 * len(table) - 1)
@@ -136,7 +180,7 @@ def hit(table: np.ndarray, g: np.ndarray) -> np.ndarray:
 def _mine(texts: DataFrame, lengths: list[int], min_count: int, totals: dict[str, int], known, shard_words: int, size: int) -> np.ndarray:
     """Bit table of the phrases that can be frequent, from what the shards report at half the proportional support."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask = np.uint64(_LOCAL - 1)
+        mask, sums = np.uint64(_LOCAL - 1), Sums()
         for s in _shards(batches, shard_words):
             half = max(1, math.ceil(min_count * s.bytes / max(totals[s.lang], 1) / 2 - 1e-9))
             ok = None
@@ -151,7 +195,14 @@ def _mine(texts: DataFrame, lengths: list[int], min_count: int, totals: dict[str
                 flags = np.zeros(_LOCAL, dtype=bool)
                 flags[(h & mask).astype(np.int64)] = True
                 ok = whole & flags[(g & mask).astype(np.int64)]
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c - half + 1)], names=["h", "over"])
+                sums.add(h, c - half + 1)
+            if sums.size > HELD_ROWS:
+                yield from told(sums)
+        yield from told(sums)
+
+    def told(sums: Sums) -> Iterator[pa.RecordBatch]:
+        h, over, _, _ = sums.take()
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(over)], names=["h", "over"])
 
     reports = texts.mapInArrow(run, "h long, over long").groupBy("h").agg(F.sum("over").alias("over"))
     return _table(reports.where(F.col("over") * 2 > min_count), size)
@@ -176,11 +227,13 @@ def _count(texts: DataFrame, lengths: list[int], min_count: int, totals: dict[st
     names = ["h", "a", "lang", "words", "phrase"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, Sums] = {}
         for s in _shards(batches, shard_words):
-            whole_support = min_count * s.bytes / max(totals[s.lang], 1) - 1e-9
+            share = min_count * s.bytes / max(totals[s.lang], 1) - 1e-9
+            sums = held.setdefault(s.lang, Sums())
             if lengths[0] == 1 and len(s.h):
-                key = pa.array([zlib.crc32(s.lang.encode())], pa.int64())  # phrases' hashes are mixed
-                yield pa.RecordBatch.from_arrays([key, pa.array([len(s.h)]), pa.array([s.lang]), pa.array([0], pa.int32()), pa.array([""])], names=names)
+                key = np.array([zlib.crc32(s.lang.encode())], np.uint64)  # phrases' hashes are mixed
+                sums.add(key, np.array([len(s.h)]), key, 0, pa.array([""]))
             for n in lengths:
                 g, at = s.grams(n)
                 if known is not None:
@@ -190,13 +243,20 @@ def _count(texts: DataFrame, lengths: list[int], min_count: int, totals: dict[st
                 h, c = _counts(g[at])
                 first = np.zeros(len(h), dtype=np.int64)
                 first[np.searchsorted(h, g[at])] = at
-                told = c >= whole_support
-                for which, named in ((~told, False), (told, True)):
-                    for lo in range(0, int(which.sum()), 1 << 16):
-                        cut = np.flatnonzero(which)[lo:lo + (1 << 16)]
-                        none = pa.nulls(len(cut), pa.string())
-                        text = [pa.array([s.lang]).take(pa.array(np.zeros(len(cut), np.int64))), pa.array(np.full(len(cut), n, np.int32)), s.texts(first[cut], n)]
-                        yield pa.RecordBatch.from_arrays([pa.array(h[cut].view(np.int64)), pa.array(c[cut]), *(text if named else [none, pa.nulls(len(cut), pa.int32()), none])], names=names)
+                named = c >= share
+                sums.add(h, c, h[named], n, s.texts(first[named], n))
+            if sum(x.size for x in held.values()) > HELD_ROWS:
+                for lang in list(held):
+                    yield from told(lang, held.pop(lang))
+        for lang in list(held):
+            yield from told(lang, held.pop(lang))
+
+    def told(lang: str, sums: Sums) -> Iterator[pa.RecordBatch]:
+        h, a, words, phrases = sums.take()
+        langs = pa.array([lang]).take(pa.array(np.zeros(len(h), np.int64)))
+        batch = pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(a), langs, words, phrases], names=names)
+        for lo in range(0, len(h), 1 << 16):
+            yield batch.slice(lo, 1 << 16)
 
     rows = texts.mapInArrow(run, "h long, a long, lang string, words int, phrase string")
     told = F.when(F.col("words").isNotNull(), F.struct("lang", "words", "phrase"))
@@ -219,6 +279,8 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, max_words: int = 5,
     texts = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
                         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("t"))
     totals = {r.lang: int(r.b) for r in texts.groupBy("lang").agg(F.sum(F.octet_length("t").cast("long")).alias("b")).collect()}
+    tasks = max(math.ceil(sum(totals.values()) / TASK_BYTES), spark.sparkContext.defaultParallelism)
+    texts = texts.coalesce(tasks)
     out, known = None, None
     for stage in STAGES:
         lengths = [n for n in stage if n <= max_words]
