@@ -32,11 +32,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import ascii_lower, raw_text, ship, slices, span_hashes, stored, words
 
 #: Words of a shard, about; a task holds one shard at a time.
-SHARD_WORDS = 1 << 22
+SHARD_WORDS = 3 << 20
 #: Text bytes of a task, about; a task works on several shards in turn and adds their rows up before they are shuffled.
 TASK_BYTES = 64 << 20
 #: Rows that a task adds up before it passes them on.
-HELD_ROWS = 1 << 21
+HELD_ROWS = 1 << 20
 #: Bits of the table that holds the union of locally frequent phrases.
 BITS = 1 << 27
 _LOCAL = 1 << 24
@@ -144,10 +144,12 @@ class Sums:
             self.merge()
 
     def merge(self) -> None:
-        h, inverse = np.unique(np.concatenate([r[0] for r in self.rows]), return_inverse=True)
-        total = np.zeros(len(h), dtype=np.int64)
-        np.add.at(total, inverse, np.concatenate([r[1] for r in self.rows]))
-        self.rows, self.size = [(h, total)], len(h)
+        h, values = (np.concatenate(c) for c in zip(*self.rows))
+        self.rows = []
+        order = np.argsort(h)
+        h, values = h[order], values[order]
+        edge = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
+        self.rows, self.size = [(h[edge], np.add.reduceat(values, edge) if len(h) else values)], len(edge)
         if self.named:
             named, first = np.unique(np.concatenate([x[0] for x in self.named]), return_index=True)
             self.named = [(named, np.concatenate([x[1] for x in self.named])[first], pa.concat_arrays([x[2] for x in self.named]).take(pa.array(first)))]
