@@ -21,6 +21,7 @@ rows. Other columns are not read.
 """
 from __future__ import annotations
 
+import ctypes
 import math
 import zlib
 from collections.abc import Iterator
@@ -101,8 +102,16 @@ def _mix(g: np.ndarray) -> None:
         g *= np.uint64(factor)
 
 
+def _free_at_once() -> None:
+    """Have the C library give freed arrays back to the system, so that a reused worker does not keep a shard's memory."""
+    mallopt = getattr(ctypes.CDLL(None), "mallopt", None)  # only glibc has it
+    if mallopt:
+        mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+
+
 def _shards(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[Shard]:
     """Shards of the rows (lang, t) of a task; all languages' texts close their shards when there are enough words."""
+    _free_at_once()
     held: dict[str, list] = {}
     size = 0
     for b in slices(batches, "t"):
@@ -123,8 +132,8 @@ def _shards(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[Sha
 
 
 def _counts(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct values, ascending, and how often each occurs."""
-    h = np.sort(h)
+    """Distinct values, ascending, and how often each occurs. Sorts ``h`` in place."""
+    h.sort()
     edge = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
     return h[edge], np.diff(np.r_[edge, len(h)])
 
@@ -244,7 +253,9 @@ def _count(texts: DataFrame, lengths: list[int], min_count: int, totals: dict[st
                 at = at[hit(union.value, g[at])]
                 h, c = _counts(g[at])
                 first = np.zeros(len(h), dtype=np.int64)
-                first[np.searchsorted(h, g[at])] = at
+                for lo in range(0, len(at), 1 << 18):
+                    some = at[lo:lo + (1 << 18)]
+                    first[np.searchsorted(h, g[some])] = some
                 named = c >= share
                 sums.add(h, c, h[named], n, s.texts(first[named], n))
             if sum(x.size for x in held.values()) > HELD_ROWS:

@@ -260,9 +260,10 @@ def _links(texts: DataFrame, index: DataFrame, classes: DataFrame, k: int, num:
         late = F.col(f"{name}_late").cast("int") if eq else F.lit(-1)  # -1: a near signature, never left out
         part = index.select(F.col("node").alias("rid"), F.explode(f"{name}_{'eq' if eq else 'near'}").alias("sig"), F.lit(own).alias("own"), late.alias("late"))
         rows = part if rows is None else rows.unionByName(part)
-    counts = (rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c"), F.min("rid").alias("r1"), F.max("rid").alias("r2"), F.max("own").alias("o"))
-              .where("r1 <> r2 and o").select("sig", "c"))
-    shared = stored(rows.join(counts, "sig").dropDuplicates(["sig", "rid", "own"]), "jaccard-shared")
+    # one exchange by signature: rows are counted where they are kept, and those of one set alone go
+    of_sig = Window.partitionBy("sig")
+    told = rows.withColumns({"c": F.count(F.lit(1)).over(of_sig), "r1": F.min("rid").over(of_sig), "r2": F.max("rid").over(of_sig), "o": F.max("own").over(of_sig)})
+    shared = stored(told.where("r1 <> r2 and o").drop("r1", "r2", "o").dropDuplicates(["sig", "rid", "own"]), "jaccard-shared")
     # each set leaves out its most frequent eq signatures, as many as it may
     by = Window.partitionBy("rid", "own").orderBy(F.desc("c"), "sig")
     eqs = shared.where("late >= 0").withColumn("n", F.row_number().over(by)).where(F.col("n") > F.col("late")).drop("n")

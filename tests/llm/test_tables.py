@@ -98,6 +98,14 @@ def test_pipeline_stages(spark, sf_dir):
     assert ids[5] == ids[4]
 
 
+def test_near_duplicates_keep_one_row_of_each_group(spark, sf_dir):
+    a, b, c = ("".join(w + x for w in (" alpha", " beta", " gamma", " delta", " eps", " zeta")) for x in "abc")
+    rows = [(6, a), (9, a), (2, b), (6, b), (None, c), (20, c), (None, c), (None, "lone text of some words here"), (None, ""), (None, None), (7, a), (7, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "1L AS n_chars")
+    got = sorted((r.doc_id or 0, r.text or "") for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir).collect())
+    assert got == sorted([(6, a), (2, b), (20, c), (0, "lone text of some words here"), (0, ""), (0, "")])
+
+
 def test_pipeline_edges(spark, plain, sf_dir):
     docs = plain
     for name, stage in corpus_pipeline.STAGES:
