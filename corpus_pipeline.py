@@ -5,11 +5,12 @@ Parquet in the shared scratch folder and reads it back as the next stage's input
 return the columns of ``documents``.
 
 1. toxicity: drops documents that the classifier, learned from the labels of the documents at hand, calls
-   toxic; documents labelled toxic go, too.
+   toxic; documents labelled toxic go, too, so that of those the classifier's misses do not show.
 2. language: drops documents without a letter and those whose language is not clear (score below
    ``MIN_LANGUAGE_SCORE``).
-3. near_duplicates: of each group linked by similarity 0.8 or more of 5-word shingles, the document with the
-   smallest id stays (of repeated ids, one row). Documents without words all stay.
+3. near_duplicates: of each group linked by similarity 0.8 or more of 5-word shingles, the row with the
+   smallest id stays (of several with that id, one; one without an id only where the whole group has
+   none). Documents without words all stay.
 4. mixing: chooses documents to the target weights of domain, language and source, in epochs; a document chosen
    for two epochs is there twice.
 5. packing: the pieces of all chosen documents in sequences of at most 1024 tokens. ``copy`` numbers the
@@ -41,16 +42,19 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = jaccard.join(docs, k=5, num=4, den=5)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
-    # rows that repeat an id are one group: one of them stays
-    many = stored(groups.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
+    # rows, not ids, are joined and decided on, as ids may repeat or be null; equal rows are one
+    rows = docs.select(*COLUMNS).withColumn("_row", F.xxhash64(*COLUMNS))
+    groups = jaccard.join(rows, k=5, num=4, den=5, id_col="_row").where("n_shingles > 0").select(F.col("doc_id").alias("_row"), "component_id").distinct()
+    named = stored(rows.select("doc_id", "_row").join(groups, "_row"), "pipeline-groups")
+    # without an id only where nothing of the group has one
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("s")).select("component_id", F.col("s._row").alias("stays"))
+    gone = named.join(first, "component_id").where("_row <> stays").select("_row").distinct()
+    kept = rows.join(gone, "_row", "left_anti")
+    many = stored(named.groupBy("_row").count().where("count > 1").select("_row"), "pipeline-repeated")
     if many.isEmpty():
         return kept.select(*COLUMNS)
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64(*COLUMNS))
-    again = kept.join(many, "doc_id", "left_semi").withColumn("_n", F.row_number().over(one)).where("_n = 1")
-    return kept.join(many, "doc_id", "left_anti").select(*COLUMNS).unionByName(again.select(*COLUMNS))
+    again = kept.join(many, "_row", "left_semi").dropDuplicates(["_row"])
+    return kept.join(many, "_row", "left_anti").unionByName(again).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
