@@ -1,4 +1,4 @@
-"""Exact k-nearest-neighbour imputation as blocked equi-joins (no all-pairs join).
+"""Exact k-nearest-neighbour imputation as a search over pivot cells (no all-pairs join).
 
 Distance between a receiver (row missing column c) and a donor (row with c observed) is
 the NaN-aware Euclidean distance over the feature columns both rows have:
@@ -6,229 +6,309 @@ the NaN-aware Euclidean distance over the feature columns both rows have:
 The imputed value is the mean of c over the k nearest donors (ties: smaller donor key);
 a receiver without any donor sharing a column gets the donors' mean of c. No scaling.
 
-Blocking: every column gets quantile cell edges (cells hold ~``cell_rows`` rows in the
-densest case). A donor is keyed by (c, receiver pattern, donor pattern, its cells on the
-common columns S); a receiver probes the cells within ``ring`` of its own on S. Candidate
-distances are ranked per receiver. A receiver is final when its k-th distance is below
-``sqrt(p/|S|) * gap`` for every donor pattern, gap being its distance to the edge of the
-probed box (or when the box covers every cell); other receivers repeat with a doubled
-ring. Each round is one shuffle join plus one window partitioned by receiver.
+Donors of one null pattern, seen through one set S of common columns, form a group, which is a point set of a
+true metric space. Each group is cut into Voronoi cells around pivots (a hash sample of its points, about one
+per ``cell_rows`` donors); a cell knows its size, radius and bounding box. The search has two steps:
+
+1. Every receiver is compared with the donors of its nearest cell of each group that it can use,
+   which gives an upper bound of its k-th distance for each missing column.
+2. It is sent to just those further cells that the triangle inequality (distance to the pivot less radius) and the
+   box do not rule out at this bound.
+
+Cells adapt to the data in any number of columns, so that a receiver meets a few cells of constant size. Equal
+receivers are searched once, and of donors at one point the k smallest keys are kept, so that common values
+(a median that filled a quarter of a column) are neither a large cell nor a large join key. Cells
+and their receivers meet in cogroups of bounded size. Only the cells' summaries (``MAX_PIVOTS`` at most) and the
+distinct null patterns are on the driver. The input is read once, into a checkpoint.
 """
 from __future__ import annotations
 
-import itertools
 import math
-from functools import reduce
 
-from pyspark import StorageLevel
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.scalar import qcol
-from ..session import cut_lineage
+from ..session import cut_lineage, ship
+
+#: Pivots in all; beyond, cells grow.
+MAX_PIVOTS = 1 << 15
+#: Receivers that meet a cell in one block, and rows of a cogroup, about.
+BLOCK_ROWS, GROUP_ROWS = 4096, 50_000
+_Q = ["q1", "q2"]
+
+
+class Cells:
+    """The cells of every group: pivots, radii, sizes and boxes as arrays; knows which groups a null pattern can use."""
+
+    def __init__(self, p: int, groups: dict[tuple[str, str], int], receivers: list[str]):
+        self.p = p
+        self.common = {g: np.array([b == "1" for b in s]) for (s, _), g in groups.items()}
+        self.targets = {g: [j for j in range(p) if pd_[j] == "1" and s[j] == "0"] for (s, pd_), g in groups.items()}
+        self.of = {r: [g for (s, pd_), g in groups.items() if s == _meet(r, pd_)] for r in receivers}
+        self.pivots: dict[int, np.ndarray] = {}
+        self.first: dict[int, int] = {}  # number of a group's first cell
+        self.radius = self.size = self.low = self.high = None
+
+    def set_pivots(self, pivots: dict[int, np.ndarray]) -> None:
+        self.pivots, at = pivots, 0
+        for g, x in pivots.items():
+            self.first[g], at = at, at + len(x)
+        self.radius, self.size = np.full(at, -np.inf), np.zeros(at, np.int64)
+        self.low, self.high = np.full((at, self.p), np.inf), np.full((at, self.p), -np.inf)
+
+    def span(self, g: int) -> slice:
+        return slice(self.first[g], self.first[g] + len(self.pivots[g]))
+
+    def scale(self, g: int) -> float:
+        return math.sqrt(self.p / self.common[g].sum())
+
+    def centre_distances(self, g: int, x: np.ndarray) -> np.ndarray:
+        """Distances to the group's pivots, never above the true ones by rounding."""
+        c = self.pivots[g]
+        shift = c.mean(axis=0)
+        a, b = x - shift, c - shift
+        na, nb = (a * a).sum(axis=1)[:, None], (b * b).sum(axis=1)[None, :]
+        return np.sqrt(np.maximum(na + nb - 2 * (a @ b.T) - 1e-12 * (na + nb), 0.0))
+
+    def nearest(self, g: int, x: np.ndarray, k: int) -> np.ndarray:
+        """Mask of the cells of the first step: the nearest one, and more where that holds less than k donors."""
+        d, size = self.centre_distances(g, x), self.size[self.span(g)]
+        d[:, size == 0] = np.inf
+        take = np.zeros(d.shape, dtype=bool)
+        best = d.argmin(axis=1)
+        take[np.arange(len(x)), best] = True
+        few = np.flatnonzero(size[best] < k)
+        if len(few):
+            order = np.argsort(d[few], axis=1, kind="stable")
+            need = np.cumsum(size[order], axis=1) - size[order] < k
+            take[few[:, None], order] = need
+        return take & (size > 0)
+
+    def possible(self, g: int, x: np.ndarray, bound: np.ndarray) -> np.ndarray:
+        """Mask of the cells that can hold a donor at the bound or nearer."""
+        s = self.span(g)
+        reach = bound / self.scale(g) * (1 + 1e-9) + 1e-12
+        ok = (self.centre_distances(g, x) - self.radius[s] * (1 + 1e-9) <= reach[:, None]) & (self.size[s] > 0)
+        i, j = np.nonzero(ok)
+        for lo in range(0, len(i), 1 << 18):
+            a, b = i[lo:lo + (1 << 18)], j[lo:lo + (1 << 18)]
+            off = np.maximum(np.maximum(self.low[s][b] - x[a], x[a] - self.high[s][b]), 0.0)
+            ok[a, b] = np.sqrt((off * off).sum(axis=1)) <= reach[a]
+        return ok
+
+
+def _meet(a: str, b: str) -> str:
+    return "".join("1" if x == y == "1" else "0" for x, y in zip(a, b))
+
+
+def _matrix(column: pa.Array, p: int) -> np.ndarray:
+    return np.nan_to_num(column.flatten().to_numpy(zero_copy_only=False).astype(float), nan=np.nan).reshape(-1, p)
+
 
-INF = float("inf")
+def _chunks(n: int, width: int):
+    step = max(1, 2_000_000 // max(width, 1))
+    return ((lo, min(lo + step, n)) for lo in range(0, n, step))
 
 
-def _fine_cells(base: DataFrame, cols: list[str], n_fine: int) -> tuple[DataFrame, list[list[float]]]:
-    """Quantile edges (deduplicated) per column and the fine cell index of every value
-    (``Bucketizer``: binary search). Cell t holds values in [edge[t-1], edge[t])."""
-    from pyspark.ml.feature import Bucketizer
-    probs = [i / n_fine for i in range(1, n_fine)]
-    row = base.agg(*[F.percentile_approx(F.col(f"x{j}"), probs, max(10000, 4 * n_fine)).alias(f"e{j}") for j in range(len(cols))]).first()
-    edges = [sorted(set(float(v) for v in (row[f"e{j}"] or []))) if n_fine > 1 else [] for j in range(len(cols))]
-    tmp = base.withColumns({f"_b{j}": F.coalesce(F.col(f"x{j}"), F.lit(float("nan"))) for j in range(len(cols))})
-    splits = [[-INF] + e + [INF] for e in edges]
-    bz = Bucketizer(splitsArray=splits, inputCols=[f"_b{j}" for j in range(len(cols))],
-                    outputCols=[f"_c{j}" for j in range(len(cols))], handleInvalid="keep")
-    out = bz.transform(tmp).withColumns({f"i{j}": F.when(F.col(f"x{j}").isNotNull(), F.col(f"_c{j}").cast("int"))
-                                        for j in range(len(cols))})
-    return out.drop(*[f"_b{j}" for j in range(len(cols))], *[f"_c{j}" for j in range(len(cols))]), edges
+def _assign(don: DataFrame, cells) -> DataFrame:
+    """Donors with their cell and the distance to its pivot."""
+    p = cells.value.p
 
+    def run(batches):
+        c = cells.value
+        for b in batches:
+            gid, x = b.column("gid").to_numpy(), _matrix(b.column("coords"), p)
+            cell, dist = np.zeros(len(gid), np.int32), np.zeros(len(gid))
+            for g in np.unique(gid):
+                rows = np.flatnonzero(gid == g)
+                for lo, hi in _chunks(len(rows), len(c.pivots[g])):
+                    r = rows[lo:hi]
+                    best = c.centre_distances(g, x[r]).argmin(axis=1)
+                    cell[r] = c.first[g] + best
+                    dist[r] = np.sqrt(((x[r] - c.pivots[g][best]) ** 2).sum(axis=1))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell), pa.array(dist)], names=[*b.schema.names, "cell", "off"])
 
-def _bits(mask: int, p: int) -> list[int]:
-    return [j for j in range(p) if mask >> j & 1]
+    return don.mapInArrow(run, don._jdf.schema().toDDL() + ", cell int, off double")
 
 
-def _coarsening(sm: int, n_donors: int, nfine: list[int], cell_rows: int, p: int) -> list[int]:
-    """Per-column coarsening factors (powers of two) for one pattern pair: starting from the
-    fine grids on the common columns, halve the column with the most cells until the grid has
-    at most n_donors / cell_rows cells. Columns with few distinct values keep their cells."""
-    dims = _bits(sm, p)
-    sh = {j: 0 for j in dims}
-    target = max(1.0, n_donors / max(cell_rows, 1))
+def _probes(queries: DataFrame, cells, k: int, second: bool) -> DataFrame:
+    """(q1, q2, tag, cell, coords): the cells that each receiver is compared with in the first or the second step."""
+    p = cells.value.p
+    names = ["q1", "q2", "tag", "cell", "coords"]
 
-    def cells(j):
-        return -(-nfine[j] // (1 << sh[j]))
-    while math.prod(cells(j) for j in dims) > target:
-        j = max(dims, key=lambda d: (cells(d), -d))
-        if cells(j) <= 1:
-            break
-        sh[j] += 1
-    return [1 << sh[j] if j in sh else 1 for j in range(p)]
+    def run(batches):
+        c = cells.value
+        for b in batches:
+            pats = b.column("pat").dictionary_encode()
+            codes = pats.indices.to_numpy(zero_copy_only=False)
+            vals = _matrix(b.column("vals"), p)
+            dk = _matrix(b.column("dk"), p) if second else None
+            for code, pat in enumerate(pats.dictionary.to_pylist()):
+                rows = np.flatnonzero(codes == code)
+                for g in c.of.get(pat, ()):
+                    for lo, hi in _chunks(len(rows), len(c.pivots[g])):
+                        r = rows[lo:hi]
+                        x = np.where(c.common[g], vals[r], 0.0)
+                        take = c.nearest(g, x, k)
+                        if second:
+                            take = c.possible(g, x, dk[r][:, c.targets[g]].max(axis=1)) & ~take
+                        i, j = np.nonzero(take)
+                        for a in range(0, len(i), 1 << 15):
+                            s = slice(a, a + (1 << 15))
+                            at = pa.array(r[i[s]])
+                            coords = pa.ListArray.from_arrays(pa.array(np.arange(len(i[s]) + 1) * p, pa.int32()), pa.array(x[i[s]].ravel()))
+                            yield pa.RecordBatch.from_arrays([b.column("q1").take(at), b.column("q2").take(at), b.column("tag").take(at),
+                                                              pa.array((c.first[g] + j[s]).astype(np.int32)), coords], names=names)
+
+    return queries.mapInArrow(run, "q1 long, q2 long, tag int, cell int, coords array<double>")
+
+
+def nearest_in_block(x: np.ndarray, y: np.ndarray, ids: np.ndarray, k: int, scale2: float, barred: np.ndarray | None = None):
+    """For each row of x its k nearest rows of y (equal distances: smaller id): (row, position, distance), by row and rank."""
+    order = np.argsort(ids, kind="stable")
+    d = np.zeros((len(x), len(y)))
+    for j in range(x.shape[1]):
+        d += (x[:, j, None] - y[order, j][None, :]) ** 2
+    d = np.sqrt(scale2 * d)
+    if barred is not None:
+        d[barred[:, order]] = np.inf
+    kth = np.partition(d, k - 1, axis=1)[:, k - 1] if len(y) > k else np.full(len(x), np.inf)
+    i, j = np.nonzero((d <= kth[:, None]) & np.isfinite(d))
+    v = d[i, j]
+    o = np.lexsort((v, i))
+    i, j, v = i[o], j[o], v[o]
+    rank = np.arange(len(i)) - np.searchsorted(i, i)
+    keep = rank < k
+    return i[keep], order[j[keep]], v[keep]
+
+
+def _compare(probes: DataFrame, don: DataFrame, cells, k: int, tags: bool) -> DataFrame:
+    """(q1, q2, gid, donor, dist, vals): the k nearest donors of each probed cell."""
+    spark, p = don.sparkSession, cells.value.p
+    counts = {r.cell: r.n for r in probes.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return spark.createDataFrame([], "q1 long, q2 long, gid int, donor long, dist double, vals array<double>")
+    size = cells.value.size
+    blocks = {c: -(-n // BLOCK_ROWS) for c, n in counts.items()}
+    packs = max(1, (sum(counts.values()) + sum(int(size[c]) * b for c, b in blocks.items())) // GROUP_ROWS)
+    table = F.broadcast(spark.createDataFrame([(int(c), int(b)) for c, b in blocks.items()], "cell int, blocks int"))
+    pack = F.pmod(F.xxhash64("cell", "block"), F.lit(packs)).cast("int")
+    left = probes.join(table, "cell").withColumn("block", F.pmod(F.xxhash64(*_Q), F.col("blocks")).cast("int")).withColumn("pack", pack)
+    left = left.select("pack", "block", "cell", "tag", "coords", *_Q)
+    right = don.join(table, "cell").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("pack", pack)
+    right = right.select("pack", "block", "cell", "gid", "donor", "tag", "coords", "vals")
+    names = ["q1", "q2", "gid", "donor", "dist", "vals"]
+
+    def run(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        ours = dict(list(a.groupby(["block", "cell"])))
+        for unit, donors in b.groupby(["block", "cell"]):
+            if unit not in ours:
+                continue
+            mine, g = ours[unit], int(donors["gid"].iloc[0])
+            common = cells.value.common[g]
+            y, ids, values = np.stack(donors["coords"].to_numpy())[:, common], donors["donor"].to_numpy(), donors["vals"].to_numpy()
+            x = np.stack(mine["coords"].to_numpy())[:, common]
+            for lo, hi in _chunks(len(x), len(y)):
+                barred = mine["tag"].to_numpy()[lo:hi, None] == donors["tag"].to_numpy()[None, :] if tags else None
+                i, j, v = nearest_in_block(x[lo:hi], y, ids, k, p / common.sum(), barred)
+                q = mine.iloc[lo:hi]
+                out.append(pd.DataFrame({"q1": q["q1"].to_numpy()[i], "q2": q["q2"].to_numpy()[i], "gid": np.full(len(i), g, np.int32),
+                                         "donor": ids[j], "dist": v, "vals": values[j]}))
+        return pd.concat(out) if out else pd.DataFrame({n: pd.Series(dtype="object" if n == "vals" else "float64" if n == "dist" else "int64") for n in names})
+
+    return left.groupBy("pack").cogroup(right.groupBy("pack")).applyInPandas(run, "q1 long, q2 long, gid int, donor long, dist double, vals array<double>")
 
 
 def knn_neighbours(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_id",
-                   cell_rows: int = 32, donor: str | None = None,
-                   receiver: str | None = None) -> DataFrame:
+                   cell_rows: int = 256, donor: str | None = None,
+                   receiver: str | None = None, exclude: str | None = None) -> DataFrame:
     """Exact k nearest donors per (receiver key, missing column).
 
     ``donor`` / ``receiver``: optional boolean columns restricting which rows may give or
     receive values (e.g. training fold vs held-out fold); by default every row may do both.
+    ``exclude``: optional integer column; rows of equal numbers there never match (e.g. folds, all searched at once).
     Returns ``(key, column, donor, dist, value, rank)`` with the donor's value of ``column``.
-    Receivers sharing no column with any donor are absent (callers use the column mean).
-
-    Cells: one fine quantile grid per column (``cell_rows`` rows a cell); for each (receiver pattern,
-    donor pattern) pair with common columns S, cells are coarsened by a power of two so that
-    a cell of the |S|-dimensional grid holds about ``cell_rows`` donors of that pattern."""
+    Receivers sharing no column with any donor are absent (callers use the column mean). NaN counts as missing."""
     spark = df.sparkSession
+    ship(spark)
     p = len(cols)
     empty = f"{key} long, column string, donor long, dist double, value double, rank int"
-    base = df.select(qcol(key).alias("_id"), *[qcol(c).cast("double").alias(f"x{j}") for j, c in enumerate(cols)],
-                     (qcol(donor) if donor else F.lit(True)).alias("_isd"),
-                     (qcol(receiver) if receiver else F.lit(True)).alias("_isr"))
-    n = base.count()
-    n_fine = 1 << max(0, math.ceil(math.log2(max(n / max(cell_rows, 1), 1))))
-    pat = sum((F.col(f"x{j}").isNotNull().cast("int") * (1 << j) for j in range(p)), F.lit(0))
-    base, edges = _fine_cells(base.withColumn("_pat", pat), cols, n_fine)
-    for j in range(p):  # values held by more than k donors (small tables, joined by AQE)
-        hv = (base.where(F.col("_isd") & F.col(f"x{j}").isNotNull()).groupBy(f"x{j}").count()
-                  .where(F.col("count") > k).select(f"x{j}", F.lit(True).alias(f"_h{j}")))
-        known = base.where(F.col(f"x{j}").isNotNull()).join(hv, f"x{j}", "left")  # null rows share no join key
-        base = known.withColumn(f"_h{j}", F.coalesce(f"_h{j}", F.lit(False))).unionByName(
-            base.where(F.col(f"x{j}").isNull()).withColumn(f"_h{j}", F.lit(False)))
-    base = cut_lineage(base)
-    nfine = [len(e) + 1 for e in edges]
-    stats = base.groupBy("_pat").agg(F.count_if("_isd").alias("nd"), F.count_if("_isr").alias("nr")).collect()
-    pd_count = {r["_pat"]: r["nd"] for r in stats if r["nd"] > 0}
-    pr_pats = sorted(r["_pat"] for r in stats if r["nr"] > 0)
-    # per column: suffix minimum / prefix maximum of the values held by each fine cell
-    cell_min, cell_max = [], []
-    for j in range(p):
-        mm = {r[0]: (r[1], r[2]) for r in base.where(F.col(f"x{j}").isNotNull())
-              .groupBy(f"i{j}").agg(F.min(f"x{j}"), F.max(f"x{j}")).collect()}
-        lo = [mm.get(t, (INF, -INF))[0] for t in range(nfine[j])]
-        hi = [mm.get(t, (INF, -INF))[1] for t in range(nfine[j])]
-        cell_min.append(list(itertools.accumulate(lo[::-1], min))[::-1])
-        cell_max.append(list(itertools.accumulate(hi, max)))
-
-    pairs = {}  # (c, receiver pattern, donor pattern) -> (S mask, coarsening shift)
-    for c in range(p):
-        for pr in pr_pats:
-            if pr >> c & 1:
-                continue
-            for pd, nd in pd_count.items():
-                if pd >> c & 1 and (pr & pd):
-                    sm = pr & pd
-                    pairs[(c, pr, pd)] = (sm, _coarsening(sm, nd, nfine, cell_rows, p))
-    if not pairs:
+    x = [F.when(~F.isnan(qcol(c).cast("double")), qcol(c).cast("double") + F.lit(0.0)) for c in cols]
+    base = df.select(qcol(key).cast("long").alias("_id"), F.array(*x).alias("vals"), (qcol(donor) if donor else F.lit(True)).alias("_isd"),
+                     (qcol(receiver) if receiver else F.lit(True)).alias("_isr"), (qcol(exclude).cast("int") if exclude else F.lit(-1)).alias("tag"))
+    pat = F.array_join(F.transform("vals", lambda v: F.when(v.isNull(), "0").otherwise("1")), "")
+    filled = F.transform("vals", lambda v: F.coalesce(v, F.lit(0.0)))
+    base = base.where("_isd or _isr").withColumn("pat", pat)
+    base = cut_lineage(base.withColumns({"q1": F.xxhash64("pat", filled, "tag"), "q2": F.xxhash64(F.lit(1), "tag", filled, "pat")}))
+    stats = base.groupBy("pat").agg(F.count_if("_isd").alias("nd"), F.count_if("_isr").alias("nr")).collect()
+    receivers = sorted(r.pat for r in stats if r.nr and "0" in r.pat)
+    groups: dict[tuple[str, str], int] = {}
+    for d in sorted(r.pat for r in stats if r.nd):
+        for r in receivers:
+            s = _meet(r, d)
+            if "1" in s and s != d:
+                groups.setdefault((s, d), len(groups))
+    if not groups:
         return spark.createDataFrame([], empty)
-    bit = lambda m, j: F.shiftright(F.col(m), j) % 2 == 1
-
-    def coarse(j, p2):
-        return F.floor(F.col(f"i{j}") / p2[j]).cast("int")
-
-    # donors: one row per (target column, common set S) they can serve; receiver patterns with
-    # the same S share these rows (the grid of a pair depends only on S and the donor pattern)
-    d_opts: dict[int, dict] = {}
-    for (c, pr, pd), (sm, p2s) in pairs.items():
-        d_opts.setdefault(pd, {})[(c, sm)] = p2s
-    d_map = F.create_map(*[v for pd, opts in d_opts.items() for v in (
-        F.lit(pd), F.array(*[F.struct(F.lit(c).alias("c"), F.lit(sm).alias("s"),
-                                      F.array(*[F.lit(v) for v in p2]).alias("p2")) for (c, sm), p2 in opts.items()]))])
-    don = (base.where(F.col("_isd") & F.col("_pat").isin(list(d_opts)))
-               .select("*", F.explode(d_map[F.col("_pat")]).alias("o"))
-               .select(F.col("_id").alias("_did"), F.col("_pat").alias("_pd"), F.col("o.c").alias("_c"),
-                       F.col("o.s").alias("_sk"), *[F.col(f"x{j}").alias(f"y{j}") for j in range(p)],
-                       F.array(*[F.when(bit("o.s", j), coarse(j, F.col("o.p2"))).otherwise(-1) for j in range(p)]).alias("_cell"),
-                       F.element_at(F.array(*[F.col(f"x{j}") for j in range(p)]), F.col("o.c") + 1).alias("_v"),
-                       *[F.when(bit("o.s", j), F.col(f"x{j}")).alias(f"_p{j}") for j in range(p)],
-                       *[F.col(f"_h{j}") for j in range(p)], F.col("o.s").alias("_s")))
-    # donors at the same point of S are equidistant from every receiver: only the k smallest
-    # keys per point can ever be chosen (bounds cells of low-cardinality columns). A point can
-    # hold more than k donors only if each of its coordinates is a value held by more than k
-    # donors ("heavy"), so only those rows are ranked; the rest pass through unsorted.
-    # Short lineage from the checkpointed base: persisted, recomputed if an executor is lost.
-    heavy = F.lit(True)
-    for j in range(p):
-        heavy = heavy & (~bit("_s", j) | F.col(f"_h{j}"))
-    wpt = Window.partitionBy("_c", "_sk", "_pd", *[f"_p{j}" for j in range(p)]).orderBy("_did")
-    pts = [f"_p{j}" for j in range(p)] + [f"_h{j}" for j in range(p)] + ["_s"]
-    hv = don.where(heavy)
-    hv = hv.withColumn("_k", F.row_number().over(wpt)).where(F.col("_k") <= k).drop("_k", *pts)
-    don = hv.unionByName(don.where(~heavy).drop(*pts)).persist(StorageLevel.MEMORY_AND_DISK)
-
-    r_opts: dict[int, list] = {}
-    for (c, pr, pd), (sm, p2s) in pairs.items():
-        r_opts.setdefault(pr * 64 + c, []).append((pd, sm, p2s))
-    rc = F.array(*[F.lit(c) for c in range(p)])
-    pending = (base.where("_isr").select("*", F.explode(rc).alias("_c"))
-                   .where(F.expr("shiftright(_pat, _c) % 2 = 0"))
-                   .where((F.col("_pat") * 64 + F.col("_c")).isin(list(r_opts)))
-                   .select(F.col("_id").alias("_rid"), F.col("_pat").alias("_pr"), "_c",
-                           *[F.col(f"x{j}") for j in range(p)], *[F.col(f"i{j}") for j in range(p)]))
-    o_map = F.create_map(*[v for kk, lst in r_opts.items() for v in (
-        F.lit(kk), F.array(*[F.struct(F.lit(pd).alias("pd"), F.lit(sm).alias("s"),
-                                      F.array(*[F.lit(v) for v in p2]).alias("p2"))
-                             for pd, sm, p2 in lst]))])
-    amin = [F.lit(cm) for cm in cell_min]
-    amax = [F.lit(cm) for cm in cell_max]
-    results = []
-    ring = 0  # own cell first; most receivers are final there, the rest widen 1, 2, 4, ...
-    while True:  # a box that covers every cell is final, so the rounds end
-        pr_ = pending.select("*", F.explode(o_map[F.col("_pr") * 64 + F.col("_c")]).alias("o"))
-        probes = pr_
-        for j in range(p):  # offsets only along the common columns
-            rng = F.when(bit("o.s", j), F.sequence(F.lit(-ring), F.lit(ring))).otherwise(F.array(F.lit(0)))
-            probes = probes.withColumn(f"_o{j}", F.explode(rng))
-        probes = probes.select("_rid", "_c", F.col("o.s").alias("_sk"), F.col("o.pd").alias("_pd"), F.col("o.s").alias("_s"),
-                               *[F.col(f"x{j}") for j in range(p)],
-                               F.array(*[F.when(bit("o.s", j), coarse(j, F.col("o.p2")) + F.col(f"_o{j}")).otherwise(-1)
-                                         for j in range(p)]).alias("_cell"))
-        cand = probes.join(don, ["_c", "_sk", "_pd", "_cell"])
-        sq = reduce(lambda a, b: a + b, [F.when(bit("_s", j), F.pow(F.col(f"x{j}") - F.col(f"y{j}"), 2)).otherwise(0.0)
-                                         for j in range(p)])
-        ns = reduce(lambda a, b: a + b, [(F.shiftright(F.col("_s"), j) % 2).cast("double") for j in range(p)])
-        cand = cand.select("_rid", "_c", "_did", "_v", F.sqrt(F.lit(float(p)) / ns * sq).alias("_d"))
-        w = Window.partitionBy("_c", "_rid").orderBy("_d", "_did")
-        top = cand.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k) \
-                  .persist(StorageLevel.MEMORY_AND_DISK)
-        # bound: a donor outside the probed box differs on some j in S by at least the gap
-        # between the receiver and the nearest value held outside the box on that column
-        p2 = F.col("o.p2")
-        gaps = []
-        for j in range(p):
-            ci = coarse(j, p2)
-            lo_fine = (ci - ring) * p2[j]              # first fine cell inside the box
-            hi_fine = (ci + ring + 1) * p2[j]          # first fine cell above the box
-            below = F.when(lo_fine <= 0, F.lit(INF)).otherwise(F.col(f"x{j}") - F.element_at(amax[j], lo_fine.cast("int")))
-            above = F.when(hi_fine >= nfine[j], F.lit(INF)).otherwise(
-                F.element_at(amin[j], (hi_fine + 1).cast("int")) - F.col(f"x{j}"))
-            gaps.append(F.least(below, above))
-        gmin = F.array_min(F.array(*[F.when(bit("o.s", j), gaps[j]).otherwise(F.lit(INF)) for j in range(p)]))
-        nso = reduce(lambda a, b: a + b, [(F.shiftright(F.col("o.s"), j) % 2).cast("double") for j in range(p)])
-        bound = pr_.groupBy("_rid", "_c").agg(F.min(F.sqrt(F.lit(float(p)) / nso) * gmin).alias("_bound"))
-        kth = top.groupBy("_rid", "_c").agg(F.count(F.lit(1)).alias("_n"), F.max("_d").alias("_dk"))
-        st = bound.join(kth, ["_rid", "_c"], "left")
-        fin = cut_lineage(st.where((F.col("_bound") == INF) |
-                                   ((F.col("_n") >= k) & (F.col("_dk") < F.col("_bound")))).select("_rid", "_c"))
-        results.append(cut_lineage(top.join(fin, ["_rid", "_c"], "left_semi")))
-        top.unpersist()
-        pending = cut_lineage(pending.join(fin, ["_rid", "_c"], "left_anti"))
-        if pending.isEmpty():
-            break
-        if ring > 2 * max(nfine):
-            raise RuntimeError("neighbour search made no progress")
-        ring = max(1, ring * 2)
-    out = reduce(lambda a, b: a.unionByName(b), results)
-    cmap = F.create_map(*[v for j, c in enumerate(cols) for v in (F.lit(j), F.lit(c))])
-    return out.select(F.col("_rid").alias(key), cmap[F.col("_c")].alias("column"), F.col("_did").alias("donor"),
-                      F.col("_d").alias("dist"), F.col("_v").alias("value"), F.col("_rank").alias("rank"))
+    cells = Cells(p, groups, receivers)
+
+    uses = spark.createDataFrame([(d, s, g) for (s, d), g in groups.items()], "pat string, s string, gid int")
+    seen = F.expr("transform(vals, (v, i) -> if(substr(s, i + 1, 1) = '1', v, 0D))")
+    don = base.where("_isd").join(F.broadcast(uses), "pat").select("gid", F.col("_id").alias("donor"), "tag", seen.alias("coords"), "vals")
+    point = Window.partitionBy("gid", "coords", "tag").orderBy("donor")
+    don = cut_lineage(don.withColumn("_n", F.row_number().over(point)).where(F.col("_n") <= k).drop("_n"))
+
+    # pivots: a hash sample of each group's donors
+    n = {r.gid: r.n for r in don.groupBy("gid").agg(F.count(F.lit(1)).alias("n")).collect()}
+    shrink = min(1.0, MAX_PIVOTS / max(1.0, sum(math.ceil(v / cell_rows) for v in n.values())))
+    rates = spark.createDataFrame([(g, min(1.0, shrink / cell_rows)) for g in n], "gid int, rate double")
+    drawn = don.join(F.broadcast(rates), "gid").where(F.pmod(F.xxhash64("donor", "gid"), F.lit(1 << 30)) < F.col("rate") * (1 << 30))
+    pivots: dict[int, list] = {g: [] for g in n}
+    for r in drawn.select("gid", "coords").distinct().collect():
+        pivots[r.gid].append(r.coords)
+    cells.set_pivots({g: np.array(sorted(v) or [[0.0] * p]) for g, v in pivots.items()})
+    cells.of = {r: [g for g in gs if g in n] for r, gs in cells.of.items()}
+    sc = spark.sparkContext
+    don = cut_lineage(_assign(don, sc.broadcast(cells)))
+    extent = [f(F.col("coords")[j]).alias(f"{a}{j}") for j in range(p) for a, f in (("l", F.min), ("h", F.max))]
+    for r in don.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("off").alias("r"), *extent).collect():
+        cells.size[r.cell], cells.radius[r.cell] = r.n, r.r
+        cells.low[r.cell], cells.high[r.cell] = [r[f"l{j}"] for j in range(p)], [r[f"h{j}"] for j in range(p)]
+    shared = sc.broadcast(cells)
+
+    queries = cut_lineage(base.where("_isr").where(F.col("pat").isin([r for r, gs in cells.of.items() if gs]))
+                          .select("q1", "q2", "tag", "pat", "vals").dropDuplicates(_Q))
+    wants = F.broadcast(spark.createDataFrame([(g, j) for g, t in cells.targets.items() for j in t], "gid int, c int"))
+    best = Window.partitionBy(*_Q, "c").orderBy("dist", "donor")
+
+    def told(found: DataFrame) -> DataFrame:
+        return found.join(wants, "gid").select(*_Q, "c", "donor", "dist", F.expr("element_at(vals, c + 1)").alias("value"))
+
+    def top(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+    first = cut_lineage(top(told(_compare(cut_lineage(_probes(queries, shared, k, False)), don, shared, k, exclude is not None))))
+    kth = first.groupBy(*_Q, "c").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("d")).where(F.col("n") == k)
+    kth = kth.groupBy(*_Q).agg(F.map_from_entries(F.collect_list(F.struct("c", "d"))).alias("m"))
+    far = F.lit(float("inf"))
+    bounds = F.transform(F.sequence(F.lit(0), F.lit(p - 1)), lambda c: F.coalesce(F.element_at("m", c), far))
+    bounded = queries.join(kth, _Q, "left").withColumn("dk", F.when(F.col("m").isNull(), F.array_repeat(far, p)).otherwise(bounds)).drop("m")
+    second = _compare(cut_lineage(_probes(bounded, shared, k, True)), don, shared, k, exclude is not None)
+    out = top(first.drop("rank").unionByName(told(second)))
+    name = F.create_map(*[v for j, c in enumerate(cols) for v in (F.lit(j), F.lit(c))])
+    keys = base.where("_isr").select("_id", *_Q)
+    return keys.join(out, _Q).select(F.col("_id").alias(key), name[F.col("c")].alias("column"), "donor", "dist", "value", "rank")
 
 
 def impute_knn(df: DataFrame, cols: list[str], k: int = 5, key: str = "row_id", **kw) -> DataFrame:
     """Fill the missing cells of ``cols`` with the mean over the k nearest donors."""
     nb = knn_neighbours(df, cols, k, key, **kw)
     fill = nb.groupBy(key).pivot("column", cols).agg(F.avg("value"))
+    fill = cut_lineage(fill)
     means = df.agg(*[F.avg(qcol(c)).alias(c) for c in cols]).first()
     fill = fill.select(key, *[F.col(c).alias(f"_f_{c}") for c in cols])
     j = df.join(fill, key, "left")
@@ -241,44 +321,34 @@ def tune_knn_k(df: DataFrame, cols: list[str], k_values=range(3, 20, 2), folds:
     """Choose k for KNN imputation by hiding cells of held-out complete rows.
 
     Complete rows get a hash fold; in each held-out fold ``hide`` of the cells (hash per
-    row and column) are hidden and imputed from the other folds' rows. The neighbour list is
-    computed once per fold for ``max(k)`` and every k is scored from its prefix. Returns
+    row and column) are hidden and imputed from the other folds' rows. The neighbour lists of all
+    folds come from one search for ``max(k)`` and every k is scored from its prefix. Returns
     ``(k, mean, std, best)`` with the population std over folds; folds without hidden cells
     are skipped; the smallest mean wins (ties: smaller k)."""
     from ..functions.hashing import portable_hash
     k_values = sorted(k_values)
     kmax = k_values[-1]
     comp = df.dropna(subset=cols).select(qcol(key).alias(key), *[qcol(c) for c in cols])
-    comp = comp.withColumn("_fold", F.pmod(portable_hash(key, seed), F.lit(folds)).cast("int"))
-    spark = df.sparkSession
-    per_fold = []
-    for f in range(folds):
-        u = lambda c: portable_hash(F.concat(F.col(key).cast("string"), F.lit("|" + c)), seed) / F.lit(4294967296.0)  # noqa
-        held = F.col("_fold") == f
-        masked = comp.select(key, "_fold", *[F.when(held & (u(c) < hide), F.lit(None)).otherwise(F.col(c)).alias(c)
-                                             for c in cols],
-                             (~held).alias("_isd"), held.alias("_isr"))
-        nb = knn_neighbours(masked, cols, kmax, key, donor="_isd", receiver="_isr")
-        truth = comp.where(held).select(key, F.inline(F.array(*[F.struct(F.lit(c).alias("column"),
-                                                                        F.col(c).cast("double").alias("truth"))
-                                                               for c in cols])))
-        ks = F.array(*[F.lit(k) for k in k_values])
-        est = (nb.select("*", F.explode(ks).alias("k")).where(F.col("rank") <= F.col("k"))
-                 .groupBy(key, "column", "k").agg(F.avg("value").alias("est")))
-        # hidden cells; those without any neighbour get the mean of the other folds' rows
-        hidden = masked.where("_isr").select(key, F.inline(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(c).isNull().alias("gone")) for c in cols]))).where("gone").drop("gone")
-        means = comp.where(~held).agg(*[F.avg(c).alias(c) for c in cols]).first()
-        mean = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(means[c]).cast("double"))])
-        err = (hidden.join(truth, [key, "column"]).select("*", F.explode(ks).alias("k")).join(est, [key, "column", "k"], "left")
-               .withColumn("est", F.coalesce("est", mean[F.col("column")])))
-        e = err.select("k", (F.col("est") - F.col("truth")).alias("e"))
-        agg = e.groupBy("k").agg(F.avg(F.col("e") ** 2).alias("mse"), F.avg(F.abs("e")).alias("mae"),
-                                 F.count(F.lit(1)).alias("n_cells"))
-        per_fold.append(agg.withColumn("fold", F.lit(f)))
-    allf = per_fold[0]
-    for a in per_fold[1:]:
-        allf = allf.unionByName(a)
+    comp = cut_lineage(comp.withColumn("_fold", F.pmod(portable_hash(key, seed), F.lit(folds)).cast("int")))
+    u = lambda c: portable_hash(F.concat(F.col(key).cast("string"), F.lit("|" + c)), seed) / F.lit(4294967296.0)
+    # all folds in one search: whole rows give, masked rows receive, and rows of one fold never match
+    masked = comp.select(key, "_fold", *[F.when(u(c) >= hide, F.col(c)).alias(c) for c in cols], F.lit(False).alias("_isd"), F.lit(True).alias("_isr"))
+    both = comp.withColumns({"_isd": F.lit(True), "_isr": F.lit(False)}).unionByName(masked)
+    nb = knn_neighbours(both, cols, kmax, key, donor="_isd", receiver="_isr", exclude="_fold")
+    ks = F.array(*[F.lit(k) for k in k_values])
+    est = (nb.select("*", F.explode(ks).alias("k")).where(F.col("rank") <= F.col("k"))
+             .groupBy(key, "column", "k").agg(F.avg("value").alias("est")))
+    # hidden cells; those without any neighbour get the mean of the other folds' rows
+    hidden = comp.select(key, "_fold", F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("truth"),
+                                                                   (u(c) < hide).alias("gone")) for c in cols]))).where("gone").drop("gone")
+    sums = comp.groupBy("_fold").agg(F.count(F.lit(1)).alias("_n"), *[F.sum(F.col(c).cast("double")).alias(c) for c in cols]).collect()
+    total = {c: sum(r[c] or 0.0 for r in sums) for c in cols}
+    rows = sum(r["_n"] for r in sums)
+    means = [(r["_fold"], c, (total[c] - (r[c] or 0.0)) / (rows - r["_n"]) if rows > r["_n"] else None) for r in sums for c in cols]
+    other = df.sparkSession.createDataFrame(means, "_fold int, column string, _mean double")
+    err = (hidden.select("*", F.explode(ks).alias("k")).join(est, [key, "column", "k"], "left").join(F.broadcast(other), ["_fold", "column"])
+           .select("k", F.col("_fold").alias("fold"), (F.coalesce("est", "_mean") - F.col("truth")).alias("e")))
+    allf = err.groupBy("k", "fold").agg(F.avg(F.col("e") ** 2).alias("mse"), F.avg(F.abs("e")).alias("mae"), F.count(F.lit(1)).alias("n_cells"))
     allf = allf.withColumn("rmse", F.sqrt("mse")).where(F.col("n_cells") > 0)
     res = allf.groupBy("k").agg(F.avg(metric).alias("mean"), F.stddev_pop(metric).alias("std"))
     best = res.orderBy("mean", "k").limit(1).select(F.col("k").alias("_best"))

@@ -38,6 +38,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
