@@ -1,9 +1,10 @@
 """Projections, label codes, row identity and column kinds (§2.2)."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..functions.scalar import decode_label as _dec, encode_label as _enc, qcol
+from ..session import cut_lineage
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -38,15 +39,19 @@ def drop_listed(df: DataFrame, cols: list[str]) -> tuple[DataFrame, list[str]]:
 
 
 def attach_row_id(df: DataFrame, id_col: str = "id", out: str = "row_id", contiguous: bool = True) -> DataFrame:
-    """``id_col`` when present, else 0..n-1 in scan order (``zipWithIndex``: exact and
-    contiguous, one extra job to count partitions), or ``monotonically_increasing_id``."""
+    """``id_col`` when present, else 0..n-1 in scan order, or ``monotonically_increasing_id``.
+
+    Contiguous numbers: a row's place in its split (from a checkpoint, so that splits stay as they are) plus the rows of
+    the splits before, one count per split."""
     if id_col in df.columns:
         return df.withColumn(out, qcol(id_col).cast("long"))
     if not contiguous:
         return df.withColumn(out, F.monotonically_increasing_id())
-    schema = T.StructType(df.schema.fields + [T.StructField(out, T.LongType(), False)])
-    rdd = df.rdd.zipWithIndex().map(lambda ri: (*ri[0], ri[1]))
-    return df.sparkSession.createDataFrame(rdd, schema)
+    marked = cut_lineage(df.withColumn("_place", F.monotonically_increasing_id())).withColumn("_split", F.shiftright("_place", 33))
+    before = Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    first = marked.groupBy("_split").agg(F.count(F.lit(1)).alias("_n")).select("_split", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    number = F.col("_first") + F.col("_place") - F.shiftleft("_split", 33)
+    return marked.join(first, "_split").select(*[qcol(c) for c in df.columns if c != out], number.cast("long").alias(out))
 
 
 def infer_column_kinds(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

@@ -28,13 +28,13 @@ def q_read_delimited(spark, d):
     return out.select(F.col("row_id").cast("bigint").alias("row_id"), "X1", "X2", "outcome")
 
 
-@query("split_single_column", R(WITH_STUDY + "SELECT row_id AS X1, X2, y AS X3 FROM study WHERE X2 IS NOT NULL",
+@query("split_single_column", R(WITH_STUDY + "SELECT row_id AS X1, X2, y AS X3 FROM study",
                                 ["X2"]))
 def q_split_single_column(spark, d):
-    """Tab-joined single-column text -> split -> X1..Xn -> numbers."""
+    """Tab-joined single-column text ('NA' for NULL) -> split -> X1..Xn -> numbers."""
     path = scratch_path(spark, "single")
-    s = tb.study(spark, d).where(F.col("X2").isNotNull())
-    s.select(F.concat_ws("\t", F.col("row_id").cast("string"), F.col("X2").cast("string"),
+    s = tb.study(spark, d)
+    s.select(F.concat_ws("\t", F.col("row_id").cast("string"), F.coalesce(F.col("X2").cast("string"), F.lit("NA")),
                          F.col("y").cast("string"))).write.mode("overwrite").text(path)
     single = spark.read.text(path)
     parts = dl.split_single_column(single)
