@@ -18,6 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalar import qcol, safe_div
+from ..session import cut_lineage
 from .running import running_totals
 
 F1_EPS = 1e-9
@@ -83,8 +84,12 @@ def _area_terms(c: DataFrame) -> DataFrame:
 
 def areas(preds: DataFrame, keys=(), y="y", score="score") -> DataFrame:
     """keys, n_pos, n_neg, auc_roc, average_precision, pr_auc."""
+    return _areas_of(cumulative_counts(preds, keys, y, score), keys)
+
+
+def _areas_of(cumulative: DataFrame, keys=()) -> DataFrame:
     keys = _k(keys)
-    t = _area_terms(cumulative_counts(preds, keys, y, score))
+    t = _area_terms(cumulative)
     P, N = F.first("n_pos"), F.first("n_neg")
     agg = t.groupBy(*keys).agg(P.alias("n_pos"), N.alias("n_neg"), F.sum("_auc").alias("s_auc"),
                                F.sum("_ap").alias("s_ap"), F.sum("_trap").alias("s_trap"))
@@ -199,30 +204,37 @@ def class_report(preds: DataFrame, keys=(), y="y", pred="pred") -> DataFrame:
 
 
 # ------------------------------------------------------------------ threshold grids
+def _reached(score: Column, cuts: list[float], below: int = 0) -> Column:
+    """How many of the ascending cuts a score reaches (null: none), as a binary search in one compiled expression."""
+    if not cuts:
+        return F.lit(below)
+    mid = len(cuts) // 2
+    return F.when(score >= cuts[mid], _reached(score, cuts[mid + 1:], below + mid + 1)).otherwise(_reached(score, cuts[:mid], below))
+
+
 def _grid_counts(preds, keys, y, score, thresholds):
-    """tp/fp for ``score >= g`` at every grid value g, from distinct-score counts.
+    """tp/fp for ``score >= g`` at every grid value g, by binning: one scan and one aggregate.
 
-    Grid points are appended to each group's distinct-score rows (after equal scores) so one
-    running total gives the counts at every grid value; no join against raw rows."""
+    A row's bin is the number of grid values that its score reaches; there are len(thresholds) + 1 bins, so that each
+    group becomes an array of that length, whose sums from a bin on are the counts at a grid value."""
     keys = _k(keys)
     if not keys:
         out = _grid_counts(preds.withColumn("_all", F.lit(0)), ["_all"], y, score, thresholds)
         return out.drop("_all")
-    sc = score_counts(preds, keys, y, score).withColumn("is_grid", F.lit(0))
-    pts = F.array(*[F.struct(F.lit(float(t)).alias("score"), F.lit(i).alias("grid_idx"))
-                    for i, t in enumerate(thresholds)])
-    g = (sc.select(*keys).distinct()
-           .select(*keys, F.inline(pts))
-           .select(*keys, "score", "grid_idx", F.lit(0).cast("bigint").alias("pos"),
-                   F.lit(0).cast("bigint").alias("neg"), F.lit(1).alias("is_grid")))
-    u = sc.withColumn("grid_idx", F.lit(None).cast("int")).select(*g.columns).unionByName(g)
-    order = [F.col("score").desc(), F.col("is_grid").asc()]
-    cum = running_totals(u, keys, order, ["pos", "neg"], totals=True)
-    at = cum.where("is_grid = 1").select(*keys, "grid_idx", F.col("score").alias("threshold"),
-                                         F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
-                                         F.col("tot_pos").alias("n_pos"), F.col("tot_neg").alias("n_neg"))
-    return at.select(*keys, "grid_idx", "threshold", "tp", "fp",
-                     (F.col("n_pos") - F.col("tp")).alias("fn"), (F.col("n_neg") - F.col("fp")).alias("tn"))
+    values = [float(t) for t in thresholds]
+    bins = (preds.groupBy(*keys, _reached(qcol(score), sorted(values)).alias("bin"))
+                 .agg(F.count_if(qcol(y) == 1).alias("pos"), F.count_if(qcol(y) != 1).alias("neg")))
+    one = bins.groupBy(*keys).agg(F.collect_list(F.struct("bin", "pos", "neg")).alias("_bins"))
+
+    def total(what: str, least) -> Column:
+        return F.aggregate("_bins", F.lit(0).cast("long"), lambda n, x: n + F.when(x["bin"] >= least, x[what]).otherwise(F.lit(0)))
+
+    points = F.array(*[F.struct(F.lit(t).alias("threshold"), F.lit(i).alias("grid_idx"), F.lit(sum(u <= t for u in values)).alias("least"))
+                       for i, t in enumerate(values)])
+    at = one.select("*", F.inline(points))
+    at = at.select(*keys, "grid_idx", "threshold", total("pos", F.col("least")).alias("tp"), total("neg", F.col("least")).alias("fp"),
+                   total("pos", F.lit(0)).alias("_p"), total("neg", F.lit(0)).alias("_n"))
+    return at.select(*keys, "grid_idx", "threshold", "tp", "fp", (F.col("_p") - F.col("tp")).alias("fn"), (F.col("_n") - F.col("fp")).alias("tn"))
 
 
 def threshold_sensitivity(preds, keys=(), y="y", score="score", thresholds=None) -> DataFrame:
@@ -278,10 +290,13 @@ def evaluate_on_test(preds: DataFrame, thresholds: DataFrame, keys, y="y", score
                      split_col="split", split="test", digits: int = 4) -> DataFrame:
     """Each group at its stored threshold on the test split: threshold, f1, precision, recall, auc."""
     keys = _k(keys)
-    test = preds.where(qcol(split_col) == split)
-    p = apply_thresholds(test, thresholds, keys, score)
-    cc = metrics_from_counts(confusion_counts(p, keys + ["_thr"], y, "pred"))
-    a = areas(test, keys, y, score).select(*keys, "auc_roc")
+    # one table of counts per distinct score serves the threshold and the area
+    cum = cut_lineage(cumulative_counts(preds.where(qcol(split_col) == split), keys, y, score))
+    at = cum.join(thresholds.select(*keys, F.col("threshold").alias("_thr")), keys)
+    over, under = F.col("score") >= F.col("_thr"), F.col("score") < F.col("_thr")
+    counts = [F.sum(F.when(c, F.col(n)).otherwise(F.lit(0))).alias(o) for c, n, o in ((under, "neg", "tn"), (over, "neg", "fp"), (under, "pos", "fn"), (over, "pos", "tp"))]
+    cc = metrics_from_counts(at.groupBy(*keys, "_thr").agg(*counts))
+    a = _areas_of(cum, keys).select(*keys, "auc_roc")
     return cc.join(a, keys).select(*keys, F.col("_thr").alias("threshold"),
                                    F.round("f1", digits).alias("f1"),
                                    F.round("precision", digits).alias("precision"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import evaluate as ev
+from ..session import cut_lineage
 from . import tables as tb, ensembles as en
 from .catalog import query, R, WITH_PREDS
 from .q_evaluate import _grid_values_sql, _metrics_sql, METRIC_COLS
@@ -13,10 +14,6 @@ EK = "imputation, version"
 LINSPACE = [float(x) for x in __import__("numpy").linspace(0.2, 0.8, 61)]
 
 
-def _mp(spark, d, split):
-    return en.mean_probability(tb.preds(spark, d).where(F.col("split") == split), EKEYS)
-
-
 MP_SQL = f""", mp AS (SELECT row_id, {EK}, split, y, avg(score) AS score FROM preds GROUP BY row_id, {EK}, split, y)
 """
 
@@ -35,8 +32,9 @@ SELECT {EK}, threshold, tn, fp, fn, tp, f1, precision, recall FROM ({_metrics_sq
     ["threshold", "f1", "precision", "recall"]))
 def q_mean_probability(spark, d):
     """Mean of the five members' probabilities; threshold from a 61-point validation grid."""
-    th = ev.best_threshold_grid(_mp(spark, d, "val"), EKEYS, thresholds=LINSPACE).select(*EKEYS, "threshold")
-    test = _mp(spark, d, "test").join(th, EKEYS)
+    mp = cut_lineage(en.mean_probability(tb.preds(spark, d).where(F.col("split").isin("val", "test")), [*EKEYS, "split"]))
+    th = ev.best_threshold_grid(mp.where("split = 'val'"), EKEYS, thresholds=LINSPACE).select(*EKEYS, "threshold")
+    test = mp.where("split = 'test'").join(th, EKEYS)
     m = ev.metrics_from_counts(ev.confusion_counts(ev.with_prediction(test, F.col("threshold")), EKEYS + ["threshold"]))
     return m.select(*EKEYS, "threshold", "tn", "fp", "fn", "tp", "f1", "precision", "recall")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F, Window
 
 from ..operators import evaluate as ev, profile as pf, splits as sp
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sources import delimited as dl, sinks as sk
 from . import tables as tb, ensembles as en
 from .catalog import query, R, WITH_STUDY, WITH_PREDS, CONTINUOUS, BINARY
@@ -93,9 +93,8 @@ def q_reoptimise_stacking(spark, d):
     """Best 0.10..0.99 grid threshold of each stacked (mean-probability) variant on validation,
     then its test metrics."""
     keys = ["imputation", "version"]
-    p = tb.preds(spark, d)
-    val = en.mean_probability(p.where(F.col("split") == "val"), keys)
-    th = ev.best_threshold_grid(val, keys).select(*keys, "threshold")
-    test = en.mean_probability(p.where(F.col("split") == "test"), keys).join(th, keys)
+    mp = cut_lineage(en.mean_probability(tb.preds(spark, d).where(F.col("split").isin("val", "test")), [*keys, "split"]))
+    th = ev.best_threshold_grid(mp.where("split = 'val'"), keys).select(*keys, "threshold")
+    test = mp.where("split = 'test'").join(th, keys)
     m = ev.metrics_from_counts(ev.confusion_counts(ev.with_prediction(test, F.col("threshold")), keys + ["threshold"]))
     return m.select(*keys, "threshold", "f1", "precision", "recall")
