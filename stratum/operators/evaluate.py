@@ -142,6 +142,14 @@ def confusion_counts(preds: DataFrame, keys=(), y="y", pred="pred") -> DataFrame
         F.count_if((yy == 1) & (pp != 1)).alias("fn"), F.count_if((yy == 1) & (pp == 1)).alias("tp"))
 
 
+def normalised_confusion(counts: DataFrame, keys=()) -> DataFrame:
+    """Row-normalised confusion matrix of a ``confusion_counts`` result: one row per actual class with the shares of its
+    rows predicted 0 and 1 (0 for a class without rows)."""
+    rows = F.array(*[F.struct(F.lit(c).alias("actual"), (F.col(a) + F.col(b)).alias("n_rows"), safe_div(F.col(a), F.col(a) + F.col(b)).alias("predicted_0"),
+                              safe_div(F.col(b), F.col(a) + F.col(b)).alias("predicted_1")) for c, a, b in ((0, "tn", "fp"), (1, "fn", "tp"))])
+    return counts.select(*_k(keys), F.inline(rows))
+
+
 def metrics_from_counts(cc: DataFrame) -> DataFrame:
     tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
     return cc.select(

@@ -7,6 +7,7 @@ scans only its own Parquet columns, so total I/O equals one pass while plans sta
 """
 from __future__ import annotations
 
+import heapq
 from functools import reduce
 
 import numpy as np
@@ -15,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalar import qcol, safe_div
+from ..session import cut_lineage
 from .quantiles import exact_quantiles
 
 CHUNK = 200
@@ -76,13 +78,57 @@ def missing_per_row(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
               .groupBy("n_missing").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+def _pattern(cols: list[str]) -> Column:
+    return F.concat(*[F.when(qcol(c).isNull(), "1").otherwise("0") for c in cols])
+
+
 def missing_patterns(df: DataFrame, cols: list[str]) -> DataFrame:
     """Rows per null pattern ('1' = missing, in ``cols`` order)."""
-    mask = F.concat(*[F.when(qcol(c).isNull(), "1").otherwise("0") for c in cols])
-    total = F.sum("n_rows").over(Window.partitionBy())
-    return (df.select(mask.alias("pattern"))
+    total = df.count()
+    return (df.select(_pattern(cols).alias("pattern"))
               .groupBy("pattern").agg(F.count(F.lit(1)).alias("n_rows"))
-              .withColumn("pct_rows", F.round(F.col("n_rows") * 100.0 / total, 6)))
+              .withColumn("pct_rows", F.round(F.col("n_rows") * 100.0 / F.lit(total), 6)))
+
+
+def frequent_patterns(df: DataFrame, cols: list[str], share: float = 0.01) -> DataFrame:
+    """(pattern, n_rows, pct_rows) of the null patterns of at least ``share`` of all rows, exact, and a row with a null
+    pattern for all other rows (where there are any).
+
+    For wide tables, where nearly every row can have its own pattern. Each task keeps 1 / share counters of
+    the Space-Saving summary over its rows; a pattern of that share of all rows has it in some task, and is then
+    among that task's counters. A second pass counts the candidates exactly; nothing else is shuffled."""
+    spark, size = df.sparkSession, int(1 / share) + 1
+    masks = df.select(_pattern(cols).alias("pattern"))
+
+    def summary(batches):
+        held: dict[str, int] = {}
+        least: list[tuple[int, str]] = []  # a heap of possibly old counts
+        for b in batches:
+            for v in b.column(0).value_counts().to_pylist():
+                p, n = v["values"], v["counts"]
+                if p in held:
+                    held[p] += n
+                    continue
+                if len(held) >= size:
+                    while True:  # the smallest count gives its place, and its count, to the new pattern
+                        c, old = heapq.heappop(least)
+                        if held.get(old) == c:
+                            break
+                        if old in held:
+                            heapq.heappush(least, (held[old], old))
+                    del held[old]
+                    n += c
+                held[p] = n
+                heapq.heappush(least, (n, p))
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string())], names=["pattern"])
+
+    candidates = masks.mapInArrow(summary, "pattern string").distinct()
+    counts = masks.join(candidates, "pattern", "left_semi").groupBy("pattern").agg(F.count(F.lit(1)).alias("n_rows"))
+    total = df.count()
+    found = cut_lineage(counts.where(F.col("n_rows") >= share * total))
+    told = found.agg(F.sum("n_rows")).first()[0] or 0
+    rest = spark.createDataFrame([(None, total - told)] if total > told else [], "pattern string, n_rows long")
+    return found.unionByName(rest).withColumn("pct_rows", F.round(F.col("n_rows") * 100.0 / F.lit(total), 6))
 
 
 def _corr(x: Column, y: Column) -> Column:
@@ -256,6 +302,21 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     return sums.groupBy("i").applyInPandas(finish, schema)
 
 
+def correlation_study(df: DataFrame, continuous: list[str], binary: list[str], target: str, per_quartile: int = 10,
+                      threshold: float = 0.8, seed: int = 42) -> dict[str, DataFrame]:
+    """Correlations of the continuous columns and of ``per_quartile`` binaries from each quartile of presence.
+
+    ``ranking``: (column, corr) with the target, strongest first; ``pairs``: (col_a, col_b, corr) above ``threshold``;
+    ``summary``: one row (n_columns, max_abs_target_corr, n_high_pairs)."""
+    from .splits import stratified_column_sample
+    picked = [r["column"] for r in stratified_column_sample(presence_rates(df, binary), per_quartile, seed).collect()]
+    cols = list(continuous) + [c for c in binary if c in set(picked)]
+    ranking = target_correlation(df, cols, target).orderBy(F.desc_nulls_last(F.abs("corr")), "column")
+    pairs = cut_lineage(high_corr_pairs(correlation_matrix(df, cols), threshold))
+    summary = ranking.agg(F.count(F.lit(1)).alias("n_columns"), F.max(F.abs("corr")).alias("max_abs_target_corr")).withColumn("n_high_pairs", F.lit(pairs.count()))
+    return {"ranking": ranking, "pairs": pairs, "summary": summary}
+
+
 def top_correlated(corr_long: DataFrame, n: int = 30) -> DataFrame:
     """n largest |r| rows of a ``target_correlation`` result."""
     return corr_long.where(F.col("corr").isNotNull()) \

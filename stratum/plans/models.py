@@ -14,18 +14,20 @@ import json
 import math
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.hashing import uniform
 from ..functions.scalar import qcol
 from ..operators import clean
 from ..operators.splits import stratified_folds
-from ..session import cut_lineage
+from ..session import cut_lineage, ship
 
 FEATURES_COL = "_features"
 
@@ -197,29 +199,63 @@ def importance_comparison(tables: dict[str, DataFrame], top: int = 20) -> DataFr
     return wide.withColumn("mean_importance", mean).orderBy(F.desc("mean_importance"), "feature").limit(top)
 
 
+def feistel(i: np.ndarray, n: int, seed: str) -> np.ndarray:
+    """A keyed bijection of 0..n-1: four Feistel rounds on the next even number of bits, walked until the result is below n."""
+    half = max(1, ((max(n - 1, 1)).bit_length() + 1) // 2)
+    mask = np.uint64((1 << half) - 1)
+    keys = np.frombuffer(hashlib.sha256(seed.encode()).digest(), dtype=np.uint64)
+    out = i.astype(np.uint64)
+    todo = np.arange(len(out))
+    while len(todo):
+        left, right = out[todo] >> np.uint64(half), out[todo] & mask
+        for k in keys:
+            f = (right + k) * np.uint64(0x9E3779B97F4A7C15)
+            f ^= f >> np.uint64(29)
+            f = (f * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - 32)
+            left, right = right, left ^ (f & mask)
+        out[todo] = left << np.uint64(half) | right
+        todo = todo[out[todo] >= n]
+    return out.astype(np.int64)
+
+
 def permutation_importance(model, df: DataFrame, feats: list[str], repeats: int = 5, key: str = "row_id",
-                           label: str = "y", seed: int = 42, threshold: float = 0.5) -> DataFrame:
-    """F1 drop when one column is permuted: the column's values are re-attached to rows by a
-    hash-rank permutation (equi-join on rank), per (feature, repeat)."""
+                           label: str = "y", seed: int = 42, threshold: float = 0.5, inputs: list[str] | None = None) -> DataFrame:
+    """F1 drop when one column is permuted, per feature over the repeats.
+
+    Rows are numbered by hash rank; in repeat r of feature f row i takes the value of row pi(i), a keyed bijection of the
+    row numbers, so that the outcome does not depend on the partitioning. All features and repeats are
+    one join with the numbered rows and one pass of the model. ``inputs``: all columns that the model reads
+    (default: ``feats``)."""
     from ..operators import evaluate as ev
     from ..operators.splits import class_rank
-    base_pred = predict(model, df, "m", key, label, keep=())
-    base_f1 = ev.basic_metrics(base_pred, [], label, "score", threshold, with_areas=False).first()["f1"]
+    ship(df.sparkSession)
+    inputs = list(inputs or feats)
+    base_f1 = ev.basic_metrics(predict(model, df, "m", key, label, keep=()), [], label, "score", threshold, with_areas=False).first()["f1"]
     n = df.count()
-    ranked = cut_lineage(class_rank(df.withColumn("_one", F.lit(1)), "_one", key, seed, counts={1: n}, out="_r").drop("_one"))
-    rows = []
-    for f in feats:
-        for r in range(repeats):
-            src = class_rank(ranked.select(key, qcol(f).alias("_v")).withColumn("_one", F.lit(1)), "_one", key,
-                             f"{seed}:{f}:{r}", counts={1: n}, out="_r").select("_r", "_v")
-            shuffled = ranked.join(src, "_r").withColumn(f, F.col("_v")).drop("_v", "_r")
-            p = predict(model, shuffled, "m", key, label, keep=())
-            f1 = ev.basic_metrics(p, [], label, "score", threshold, with_areas=False).first()["f1"]
-            rows.append((f, r, base_f1 - f1))
-    spark = df.sparkSession
-    t = spark.createDataFrame(rows, "feature string, repeat int, drop double")
-    return t.groupBy("feature").agg(F.avg("drop").alias("mean_drop"), F.stddev_pop("drop").alias("std_drop")) \
-            .orderBy(F.desc("mean_drop"), "feature")
+    rows = df.select(qcol(key).alias(key), qcol(label).alias(label), F.array(*[qcol(c).cast("double") for c in inputs]).alias("_x")).withColumn("_one", F.lit(1))
+    ranked = cut_lineage(class_rank(rows, "_one", key, seed, counts={1: n}, out="_r").drop("_one"))
+    place = [inputs.index(f) for f in feats]
+    runs = len(feats) * repeats
+
+    def draw(batches):
+        for b in batches:
+            r = b.column("_r").to_numpy()
+            for run in range(runs):
+                f, repeat = divmod(run, repeats)
+                at = pa.array(feistel(r, n, f"{seed}:{feats[f]}:{repeat}"))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(np.full(len(r), run, np.int32)), at],
+                                                 names=[key, label, "_x", "_run", "_at"])
+
+    drawn = ranked.select(key, label, "_x", "_r").mapInArrow(draw, T.StructType([ranked.schema[key], ranked.schema[label], ranked.schema["_x"],
+                                                                                 T.StructField("_run", T.IntegerType()), T.StructField("_at", T.LongType())]))
+    lookup = ranked.select(F.col("_r").alias("_at"), F.col("_x").alias("_v"))
+    spot = F.array(*[F.lit(p) for p in place])[(F.col("_run") / repeats).cast("int")]
+    mixed = drawn.join(lookup, "_at").withColumn("_p", spot)
+    mixed = mixed.select(key, label, "_run", *[F.when(F.col("_p") == i, F.col("_v")[i]).otherwise(F.col("_x")[i]).alias(c) for i, c in enumerate(inputs)])
+    scored = ev.basic_metrics(predict(model, mixed, "m", key, label, keep=("_run",)), ["_run"], label, "score", threshold, with_areas=False)
+    name = F.array(*[F.lit(f) for f in feats])[(F.col("_run") / repeats).cast("int")]
+    return (scored.select(name.alias("feature"), (F.lit(float(base_f1)) - F.col("f1")).alias("drop")).groupBy("feature")
+            .agg(F.avg("drop").alias("mean_drop"), F.stddev_pop("drop").alias("std_drop")).orderBy(F.desc("mean_drop"), "feature"))
 
 
 def rfecv(df: DataFrame, feats: list[str], kind: str = "gradboost", folds: int = 3, step: float = 0.1,

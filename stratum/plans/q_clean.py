@@ -220,8 +220,8 @@ def q_sample_rows(spark, d):
 rq AS (SELECT r.*, CASE WHEN presence_pct <= a THEN 1 WHEN presence_pct <= b THEN 2 WHEN presence_pct <= c THEN 3 ELSE 4 END AS quartile
        FROM r, qq)
 SELECT "column", presence_pct, quartile FROM rq
-QUALIFY row_number() OVER (PARTITION BY quartile ORDER BY CAST(('0x' || substr(md5('42|' || "column"), 1, 8)) AS BIGINT), "column") <= 1""",
+QUALIFY row_number() OVER (PARTITION BY quartile ORDER BY CAST(('0x' || substr(md5('42|' || "column"), 1, 8)) AS BIGINT), "column") <= 10""",
     ["presence_pct"]))
 def q_stratified_column_sample(spark, d):
     rates = pf.presence_rates(tb.study(spark, d), BINARY)
-    return sp.stratified_column_sample(rates, per_quartile=1)
+    return sp.stratified_column_sample(rates)

@@ -50,7 +50,7 @@ def q_train_linear_svm(spark, d):
 
 @query("train_mlp")
 def q_train_mlp(spark, d):
-    return _fit_predict(spark, d, "mlp", hidden=16, maxIter=50)
+    return _fit_predict(spark, d, "mlp", hidden=50, maxIter=50)
 
 
 @query("train_logistic")
@@ -110,7 +110,7 @@ def q_importance_comparison(spark, d):
 @query("permutation_importance")
 def q_permutation_importance(spark, d):
     val = model_data(spark, d).where(F.col("split") == "val")
-    return md.permutation_importance(_rf(spark, d), val, ["X1", "X5", "X9"], repeats=2)
+    return md.permutation_importance(_rf(spark, d), val, FEATS, repeats=5)
 
 
 @query("reduced_datasets")
@@ -122,7 +122,7 @@ def q_reduced_datasets(spark, d):
 def q_bagging(spark, d):
     data = model_data(spark, d)
     return md.bagging(data.where(F.col("split") == "train"), data.where(F.col("split") != "train"), FEATS,
-                      "gradboost", n=3, max_features=0.75, maxIter=5, maxDepth=3)
+                      "gradboost", n=10, max_features=0.75, maxIter=5, maxDepth=3)
 
 
 @query("stack_refit")

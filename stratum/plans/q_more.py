@@ -2,14 +2,15 @@
 stacking threshold re-optimisation."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F, Window
+from pyspark.sql import functions as F
 
-from ..operators import evaluate as ev, profile as pf, splits as sp
+from ..operators import evaluate as ev, profile as pf
 from ..session import cut_lineage, scratch_path
-from ..sources import delimited as dl, sinks as sk
+from ..sources import coerce as co, delimited as dl, sinks as sk
 from . import tables as tb, ensembles as en
-from .catalog import query, R, WITH_STUDY, WITH_PREDS, CONTINUOUS, BINARY
+from .catalog import query, R, WITH_STUDY, WITH_PREDS, CONTINUOUS, BINARY, FEATURES, K, sql_corr, union_per_column
 from .q_evaluate import _grid_values_sql, _metrics_sql
+from .q_profile import MATRIX_SQL
 
 MESSY = [' "row_id" ', "X1", "  X2   value ", "X1.1", "y"]
 
@@ -59,17 +60,38 @@ def q_read_predictions_json(spark, d):
     return sk.read_predictions_json(spark, path, name_filter="", multi_line=False)
 
 
-@query("correlation_study")
+@query("correlation_study", R(WITH_STUDY + "SELECT * FROM (\n" + union_per_column(
+    FEATURES, lambda c: f"SELECT 'target' AS kind, '{c}' AS col_a, 'y' AS col_b, {sql_corr(c, 'y')} AS corr FROM study")
+    + f"\nUNION ALL SELECT 'pair', col_a, col_b, corr FROM ({MATRIX_SQL}) WHERE abs(corr) > 0.8)", ["corr"]))
 def q_correlation_study(spark, d):
-    """Continuous columns + quartile-sampled binaries: target ranking, |r| > 0.8 pairs, summary."""
-    s = tb.study(spark, d)
-    rates = pf.presence_rates(s, BINARY)
-    picked = [r["column"] for r in sp.stratified_column_sample(rates, per_quartile=1).collect()]
-    cols = CONTINUOUS + sorted(picked)
-    tc = pf.target_correlation(s, cols, "y")
-    pairs = pf.high_corr_pairs(pf.correlation_matrix(s, cols), 0.8)
-    return tc.agg(F.max(F.abs("corr")).alias("max_abs_target_corr"), F.count(F.lit(1)).alias("n_columns")) \
-             .withColumn("n_high_pairs", F.lit(pairs.count()))
+    """Continuous columns and binaries of each presence quartile: correlation with the target and |r| > 0.8 pairs."""
+    study = pf.correlation_study(tb.study(spark, d), CONTINUOUS, BINARY, "y")
+    target = study["ranking"].select(F.lit("target").alias("kind"), F.col("column").alias("col_a"), F.lit("y").alias("col_b"), "corr")
+    return target.unionByName(study["pairs"].select(F.lit("pair").alias("kind"), "col_a", "col_b", "corr"))
+
+
+@query("target_report", WITH_STUDY + """SELECT 'int' AS target_type, string_agg(coalesce(CAST(y AS VARCHAR), 'NULL'), ',' ORDER BY row_id) AS target_head
+FROM (SELECT row_id, y FROM study ORDER BY row_id LIMIT 10)""")
+def q_target_report(spark, d):
+    return co.target_report(tb.study(spark, d), "y", "row_id")
+
+
+@query("confusion_normalised", R(WITH_PREDS + f"""SELECT {K}, CAST(y AS INTEGER) AS actual, count(*) AS n_rows, avg(CAST(score < 0.5 AS DOUBLE)) AS predicted_0,
+       avg(CAST(score >= 0.5 AS DOUBLE)) AS predicted_1 FROM preds WHERE split = 'test' GROUP BY {K}, y""", ["predicted_0", "predicted_1"]))
+def q_confusion_normalised(spark, d):
+    p = tb.preds(spark, d).where(F.col("split") == "test")
+    return ev.normalised_confusion(ev.confusion_counts(ev.with_prediction(p, 0.5), tb.KEYS), tb.KEYS)
+
+
+@query("frequent_patterns", R(WITH_STUDY + """, c AS (SELECT concat(CASE WHEN X1 IS NULL THEN '1' ELSE '0' END, CASE WHEN X2 IS NULL THEN '1' ELSE '0' END,
+   CASE WHEN X3 IS NULL THEN '1' ELSE '0' END, CASE WHEN X4 IS NULL THEN '1' ELSE '0' END) AS pattern, count(*) AS n_rows FROM study GROUP BY 1),
+t AS (SELECT CAST(sum(n_rows) AS BIGINT) AS n FROM c),
+f AS (SELECT pattern, n_rows FROM c, t WHERE n_rows >= 0.05 * n),
+a AS (SELECT * FROM f UNION ALL SELECT NULL, n - (SELECT CAST(sum(n_rows) AS BIGINT) FROM f) FROM t)
+SELECT pattern, n_rows, CAST(n_rows AS DOUBLE) * 100.0 / n AS pct_rows FROM a, t WHERE n_rows > 0""", ["pct_rows"]))
+def q_frequent_patterns(spark, d):
+    """Null patterns of at least 5 % of the rows, exact, and the rest."""
+    return pf.frequent_patterns(tb.study(spark, d), [*CONTINUOUS, "X4"], 0.05)
 
 
 LIN = ev.DEFAULT_GRID

@@ -50,3 +50,10 @@ def source_report(df: DataFrame, target: str | None = None) -> DataFrame:
     if target:
         r = r.withColumn("target_null_pct", F.col("target_null") * 100.0 / F.col("n_rows"))
     return r
+
+
+def target_report(df: DataFrame, target: str, order_by: str, n: int = 10) -> DataFrame:
+    """One row: the target's type and its first ``n`` values in the order of a column (nulls as 'NULL'), joined by commas."""
+    first = df.select(qcol(order_by).alias("o"), qcol(target).cast("string").alias("v")).orderBy("o").limit(n)
+    head = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o", "v"))), lambda x: x["v"]), ",", "NULL")
+    return first.agg(F.lit(df.schema[target].dataType.simpleString()).alias("target_type"), head.alias("target_head"))
