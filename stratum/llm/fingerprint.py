@@ -1,7 +1,7 @@
 """Document fingerprints that add up: a homomorphic multiset hash of paragraphs.
 
 A text is the multiset of its lines. Each line is hashed to a wide vector, and the
-fingerprint vector of a text is the sum of its lines' vectors modulo 2**16 in every lane.
+fingerprint vector of a text is the sum of its lines' vectors modulo 2**32 in every lane.
 So the order of lines does not matter, and a line is inserted or deleted by adding or
 subtracting its vector (``insert``, ``delete``), without the rest of the text.
 
@@ -30,15 +30,15 @@ LANES, SKETCH, SHINGLE = 512, 1024, 2
 
 
 def vectors(texts: list[str]) -> np.ndarray:
-    """Fingerprint vectors (texts x (LANES + SKETCH), unsigned 16-bit)."""
-    out = np.zeros((len(texts), LANES + SKETCH), dtype=np.uint16)
+    """Fingerprint vectors (texts x (LANES + SKETCH), unsigned 32-bit)."""
+    out = np.zeros((len(texts), LANES + SKETCH), dtype=np.uint32)
     if not texts:
         return out
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     lines = [b.split(b"\n") for b in raw]
     digests = b"".join(hashlib.shake_128(p).digest(2 * LANES) for ps in lines for p in ps)
     first = np.cumsum([0, *map(len, lines)])[:-1]
-    np.add.reduceat(np.frombuffer(digests, dtype="<u2").reshape(-1, LANES), first, axis=0, dtype=np.uint16, out=out[:, :LANES])
+    np.add.reduceat(np.frombuffer(digests, dtype="<u2").reshape(-1, LANES), first, axis=0, dtype=np.uint32, out=out[:, :LANES])
     data = np.frombuffer(b"".join(raw), dtype=np.uint8)
     if len(data):
         docs = np.cumsum([0, *map(len, raw)])
@@ -50,7 +50,7 @@ def vectors(texts: list[str]) -> np.ndarray:
             cell = doc * SKETCH + (h % np.uint64(SKETCH)).astype(np.int64)
             sign = 1.0 - 2.0 * (h >> np.uint64(63)).astype(np.float64)
             sums = np.bincount(cell, weights=sign, minlength=len(texts) * SKETCH).astype(np.int64)
-            out[:, LANES:] = sums.astype(np.uint16).reshape(len(texts), SKETCH)
+            out[:, LANES:] = sums.astype(np.uint32).reshape(len(texts), SKETCH)
     return out
 
 
@@ -63,12 +63,12 @@ def delete(vector: np.ndarray, line: str) -> np.ndarray:
 
 
 def digest(vector: np.ndarray) -> str:
-    return hashlib.sha256(vector.astype("<u2").tobytes()).hexdigest()
+    return hashlib.sha256(vector.astype("<u4").tobytes()).hexdigest()
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Likeness (0 to 1) of the vectors in the rows of ``a`` and ``b``."""
-    x, y = (v[:, LANES:].view(np.int16).astype(np.float64) for v in (a, b))
+    x, y = (v[:, LANES:].view(np.int32).astype(np.float64) for v in (a, b))
     dot, xx, yy = (x * y).sum(1), (x * x).sum(1), (y * y).sum(1)
     size = np.sqrt(xx * yy)
     cos = np.divide(dot, size, out=np.zeros(len(dot)), where=size > 0)
@@ -83,7 +83,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "t"):
             v = vectors([t or "" for t in b.column("t").to_pylist()])
-            yield pa.RecordBatch.from_arrays([b.column("d"), pa.array([x.astype("<u2").tobytes() for x in v], pa.binary()),
+            yield pa.RecordBatch.from_arrays([b.column("d"), pa.array([x.astype("<u4").tobytes() for x in v], pa.binary()),
                                               pa.array([digest(x) for x in v])], names=["doc_id", "vector", "fingerprint"])
 
     return (docs.select(F.col(f"`{id_col}`").alias("d"), F.col(f"`{text_col}`").cast("string").alias("t"))

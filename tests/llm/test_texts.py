@@ -265,3 +265,24 @@ def test_language_edges(spark, docs):
 def test_presence_is_of_distinct_lower_case_ngrams():
     a, b, c = langid.presence(["abcab", "ABCAB", "abcabcab"])
     assert (a == b).all() and c.sum() >= a.sum() and langid.presence([""]).sum() == 0
+
+
+def test_likeness_of_long_repetitive_texts():
+    """Counts far beyond 16 bits do not wrap."""
+    v = fp.vectors(["word " * 70_000, "word " * 60_000, "word " * 200_000 + "other " * 200_000])
+    assert fp.likeness(v[:1], v[1:2])[0] == pytest.approx(1.0)
+    assert 0.5 < fp.likeness(v[:1], v[2:])[0] < 0.9
+
+
+def test_likeness_estimates_the_cosine_of_shingle_counts():
+    from collections import Counter
+    rng = np.random.default_rng(12)
+    vocabulary = [f"w{i}" for i in range(400)]
+    for share in (0.0, 0.3, 0.7, 0.95):
+        a = rng.choice(vocabulary, 900)
+        b = np.where(rng.random(900) < share, a, rng.choice(vocabulary, 900))
+        x, y = (Counter(zip(w, w[1:])) for w in (a.tolist(), b.tolist()))
+        norm = lambda c: sum(n * n for n in c.values()) ** 0.5
+        want = sum(n * y[k] for k, n in x.items()) / norm(x) / norm(y)
+        v = fp.vectors([" ".join(a), " ".join(b)])
+        assert abs(fp.likeness(v[:1], v[1:])[0] - want) < 0.12
