@@ -5,7 +5,7 @@ A text is lower-cased and every run of other characters than a-z and 0-9 becomes
 sentence is found where it starts and ends at a boundary: a line end or ``. ! ? ;`` before white space.
 It may run over single line ends and ``;`` (texts are wrapped, comment marks that begin a line
 do not count), but not over blank lines and other ends of sentences. At each boundary
-the longest one counts. Those found give their identifiers, in order; all else is left out. Rules are tried
+the longest one counts. Some sentences have a place for a name (``NAMED``). Those found give their identifiers, in order; all else is left out. Rules are tried
 in order, the most specific first; a rule matches where its identifiers stand next to each other
 in the sequence, and uses them up, so the general rules see only what is left.
 
@@ -53,6 +53,11 @@ SENTENCES = {
     "spdx license identifier gpl 3 0 or later": "SPDXGPL3",
     "all rights reserved": "AllRights",
 }
+# Known sentences with a place for names (normalised; up to twelve words), and the sentence that stands for each.
+NAMED = {
+    r"neither the names? of ([a-z0-9]+(?: [a-z0-9]+){0,11}) nor the names of (?:its|their|any) contributors may be used to endorse or promote products derived from this software without specific prior written permission":
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+}
 ANCHORS = "licen[sc]e|permission|permitted|warrant|redistribut|reserved|software|mpl"
 
 # Ordered rules, licence name and the identifiers it needs next to each other.
@@ -99,15 +104,24 @@ def bounded(text: Column) -> Column:
     return out
 
 
+def _unnamed(sentence: Column) -> Column:
+    """A sentence with a name as the sentence that stands for it."""
+    for pattern, plain in NAMED.items():
+        sentence = F.regexp_replace(sentence, f"^{pattern}$", plain)
+    return sentence
+
+
 def sentence_ids(text: Column, sentences: dict[str, str] | None = None) -> Column:
     """Identifiers of the known sentences of a text, in order (array of strings)."""
     table = sentences or SENTENCES
     known = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
     gap = f"[ {SOFT}]+"
     any_of = "|".join(gap.join(map(re.escape, s.split(" "))) for s in sorted(table, key=len, reverse=True))
+    if sentences is None:
+        any_of = "|".join([any_of, *(s.replace("(", "(?:").replace("(?:?:", "(?:").replace(" ", gap) for s in NAMED)])
     pattern = f"[{HARD}{SOFT}] ?({any_of})(?= ?[{HARD}{SOFT}])"
     found = F.transform(F.regexp_extract_all(bounded(text), F.lit(pattern), F.lit(1)),
-                        lambda s: F.element_at(known, F.regexp_replace(s, gap, " ")))
+                        lambda s: F.element_at(known, _unnamed(F.regexp_replace(s, gap, " "))))
     if sentences is not None:  # other sentences need not hold an anchor
         return found
     return F.when(text.rlike("(?i)" + ANCHORS), found).otherwise(F.array().cast("array<string>"))
@@ -139,6 +153,9 @@ def scan(docs: DataFrame, text_col: str = "text", rules: list[tuple[str, list[st
 def scan_sql() -> str:
     """DuckDB SQL of ``scan`` over documents, with the arrays joined by commas."""
     known = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in SENTENCES.items()) + "}"
+    plain = "trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))"
+    for pattern, stands in NAMED.items():
+        plain = f"regexp_replace({plain}, '^{pattern}$', '{stands}')"
     ctes = []
     for i, (name, ids) in enumerate(RULES):
         key = "".join(f"<{x}>" for x in ids)
@@ -148,7 +165,7 @@ def scan_sql() -> str:
     return f"""WITH k AS (SELECT {known} AS known),
 s AS (SELECT doc_id, ids, array_to_string(list_transform(ids, lambda x: '<' || x || '>'), '') AS seq, CAST([] AS VARCHAR[]) AS names FROM (
   SELECT doc_id, CASE WHEN regexp_matches(text, '(?i){ANCHORS}') THEN list_filter(list_transform(
-      string_split_regex(text, '{SPLIT}'), lambda x: known[trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))]), lambda x: x IS NOT NULL)
+      string_split_regex(text, '{SPLIT}'), lambda x: known[{plain}]), lambda x: x IS NOT NULL)
     ELSE [] END AS ids FROM documents, k)),
 {", ".join(ctes)}
 SELECT doc_id, coalesce(array_to_string(ids, ','), '') AS sentence_ids, coalesce(array_to_string(list_sort(list_distinct(names)), ','), '') AS licences,

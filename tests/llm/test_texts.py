@@ -286,3 +286,19 @@ def test_likeness_estimates_the_cosine_of_shingle_counts():
         want = sum(n * y[k] for k, n in x.items()) / norm(x) / norm(y)
         v = fp.vectors([" ".join(a), " ".join(b)])
         assert abs(fp.likeness(v[:1], v[1:])[0] - want) < 0.12
+
+
+def test_licences_with_named_holders(spark):
+    """A BSD-3 text names its holder; without the last condition it is BSD-2."""
+    head = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n"
+            "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n"
+            "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+            "documentation and/or other materials provided with the distribution.\n")
+    tail = "3. Neither the name{} of {} nor the names of {} contributors may be used to endorse or promote products\n   derived from this software without specific prior written permission.\n"
+    texts = [head, head + tail.format("", "Example Inc.", "its").replace("Inc.", "Inc"), head + tail.format("", "the copyright holder", "its"), head + tail.format("s", "the Example\n   University and others", "their"),
+             tail.format("", "Example", "any"), tail.format("", " ".join("abcdefghijklmno"), "its")]
+    got = {r.doc_id: (r.sentence_ids, r.licences) for r in licences.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    plain = [x for x in ("BSDpre", "BSDsource", "BSDbinary") if x in got[2][0]]
+    assert [got[i][1] for i in (1, 2, 3)] == [got[2][1]] * 3
+    assert got[4][0] == ["BSDendorse"] and got[5][0] == []
+    assert all("BSDendorse" in got[i][0] for i in (1, 2, 3)) and got[0][0] == plain
