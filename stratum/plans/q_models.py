@@ -164,3 +164,12 @@ def q_auto_select_and_score(spark, d):
     vp = reduce(lambda a, b: a.unionByName(b), [md.predict(m, val, k) for k, m in models.items()])
     th = ev.best_threshold_pr(vp, ["model"])
     return md.auto_select_and_score(test, FEATS, models, th)
+
+
+@query("smote_cross_validation")
+def q_smote_cross_validation(spark, d):
+    """Scale, Borderline-SMOTE (0.8 of the majority) and logistic regression, fitted inside each of three folds; held-out F1."""
+    data = model_data(spark, d).where(F.col("split") == "train").drop("split")
+    scores = md.cross_validate(data, FEATS, "logistic", [{"regParam": 0.01}, {"regParam": 0.1}], folds=3, smote=0.8)
+    rows = [(p, f, float(s)) for p, found in zip((0.01, 0.1), scores) for f, s in enumerate(found)]
+    return spark.createDataFrame(rows, "reg_param double, fold int, f1 double")
