@@ -8,12 +8,13 @@ however many items there are, and the packing is planned from it alone:
 2. Configurations (how many items of each group share a sequence) are optimised for these few
    sizes by column generation: a linear programme over the groups, priced by a knapsack.
 3. Each configuration is used a whole number of times and its slots are filled with the actual items of
-   the group, longest first, so the room left in a run of sequences is known exactly.
-4. What is left (small items and the fractional rest) goes, longest first, into the
+   the group, longest first, so the room left in a run of sequences is known exactly. A sequence left
+   with a room too narrow for most items (rounding up makes such rooms) is undone.
+4. What is left (small items, the fractional rest and undone sequences) goes, longest first, into the
    fullest sequence that still has room, and into new sequences when none has.
 
-Several limits between small and large are tried (``SMALL``, fractions of the capacity; at one half a
-configuration is a single item) and the plan with the fewest sequences is used.
+Several limits between small and large (``SMALL``) and widths of a usable room (``USABLE``), fractions of the
+capacity, are tried and the plan with the fewest sequences is used.
 
 The plan says, for runs of equal-length items by rank, in which sequence and at which offset they
 lie. Ranks come from per-partition counts, so no length is ordered in one task, and the plan is a
@@ -34,7 +35,8 @@ from . import tokens
 from .common import fresh, ship, slices, stored
 
 GROUPS = 64
-SMALL = (8, 4, 2)
+SMALL = (3, 4, 8)
+USABLE = (16, 8)
 
 
 # ------------------------------------------------------------------ plan over the histogram
@@ -98,25 +100,26 @@ def _best_configuration(sizes: np.ndarray, worth: np.ndarray, capacity: int) ->
 class Plan:
     """Runs of placed items: columns length, rank, count, sequence, per_sequence, offset."""
 
-    def __init__(self, counts: dict[int, int], capacity: int, small: int | None = None, groups: int = GROUPS):
-        self.capacity = capacity
+    def __init__(self, counts: dict[int, int], capacity: int, small: int | None = None, groups: int = GROUPS, usable: int = 0):
+        self.capacity, self.usable = capacity, usable
         self.rows: list[tuple[int, int, int, int, int, int]] = []
         self.sequences = 0
         small = capacity // 8 if small is None else small
         if counts.get(capacity):
             self._place(capacity, 0, counts[capacity], self._new(counts[capacity]), 1, 0)
         large = sorted((l for l in counts if small < l < capacity and counts[l]), reverse=True)
-        rest = {l: (0, counts[l]) for l in counts if l <= small and counts[l]}
+        rest = [(l, 0, counts[l]) for l in counts if l <= small and counts[l]]
         self.rooms: dict[int, list[tuple[int, int]]] = {}
-        for group, taken in self._configured(large, counts, groups):
+        self.configured = 0  # sequences begun by configurations of two items or more
+        for group, taken in self._configured(large, counts, groups, rest):
             left = taken
             for l in group:  # ranks beyond the slots, from the longest length on
                 used = min(left, counts[l])
                 left -= used
                 if used < counts[l]:
-                    rest[l] = (used, counts[l] - used)
-        for l in sorted(rest, reverse=True):
-            self._best_fit(l, *rest[l])
+                    rest.append((l, used, counts[l] - used))
+        for l, rank, n in sorted(rest, key=lambda r: (-r[0], r[1])):
+            self._best_fit(l, rank, n)
         self.rows.sort()
 
     def _new(self, count: int) -> int:
@@ -126,8 +129,12 @@ class Plan:
     def _place(self, length, rank, count, sequence, per, offset):
         self.rows.append((length, rank, count, sequence, per, offset))
 
-    def _configured(self, large: list[int], counts: dict[int, int], groups: int):
-        """Place whole uses of the optimal configurations; yields (lengths of the group, items placed)."""
+    def _configured(self, large: list[int], counts: dict[int, int], groups: int, rest: list[tuple[int, int, int]]):
+        """Place whole uses of the optimal configurations; gives (lengths of the group, items taken).
+
+        A sequence whose actual items leave a room that is neither nothing nor enough for ``self.usable`` ids
+        is undone: its items go to ``rest``.
+        """
         target = -(-sum(counts[l] for l in large) // groups) if large else 0
         grouped: list[list[int]] = []
         size = target
@@ -160,14 +167,22 @@ class Plan:
                         cuts.add(b - begin)
                     lo += counts[l]
                 spans.append(runs)
-            first, marks = self._new(n), sorted(cuts)
+            marks = sorted(cuts)
             for a, b in zip(marks, marks[1:]):
-                at = 0
+                held = []
                 for runs in spans:
                     lo, _, l, rank = next(r for r in runs if r[0] <= a < r[1])
-                    self._place(l, rank + a - lo, b - a, first + a, 1, at)
+                    held.append((l, rank + a - lo, b - a))
+                room = self.capacity - sum(l for l, _, _ in held)
+                if 0 < room < self.usable:
+                    rest.extend(held)
+                    continue
+                first, at = self._new(b - a), 0
+                for l, rank, m in held:
+                    self._place(l, rank, m, first, 1, at)
                     at += l
-                self._room(self.capacity - at, first + a, b - a)
+                self._room(room, first, b - a)
+                self.configured += (b - a) * (len(held) > 1)
         return list(zip(grouped, taken))
 
     def _room(self, room: int, sequence: int, count: int) -> None:
@@ -201,7 +216,9 @@ class Plan:
 
 
 def best_plan(counts: dict[int, int], capacity: int, groups: int = GROUPS) -> Plan:
-    return min((Plan(counts, capacity, capacity // d, groups) for d in SMALL), key=lambda p: p.sequences)
+    """The plan with the fewest sequences; of equals the one with most sequences from configurations."""
+    plans = (Plan(counts, capacity, capacity // d, groups, capacity // u) for d in SMALL for u in USABLE)
+    return min(plans, key=lambda p: (p.sequences, -p.configured))
 
 
 # ------------------------------------------------------------------ on Spark
