@@ -70,17 +70,6 @@ def test_plan_is_a_packing_as_good_as_best_fit(n):
     assert len(used) == plan.sequences <= best_fit_decreasing(sizes.tolist(), 1024)
 
 
-@pytest.mark.parametrize("capacity", [64, 1024])
-@pytest.mark.parametrize("draw", [lambda r, c: r.integers(1, c + 1, 2000), lambda r, c: r.integers(c // 4, c + 1, 2000),
-                                  lambda r, c: np.clip(r.lognormal(0, 1, 2000) * c / 4, 1, c).astype(int),
-                                  lambda r, c: r.choice([c // 2 + 1, c // 3 + 1, c // 4 + 2, c // 7], 500)])
-def test_configurations_give_the_plan(draw, capacity):
-    sizes = draw(np.random.default_rng(capacity), capacity).tolist()
-    plan = packing.best_plan(Counter(sizes), capacity)
-    assert plan.configured > 0
-    assert plan.sequences <= best_fit_decreasing(sizes, capacity)
-
-
 def test_linear_grouping_uses_configurations():
     found = packing.configurations([600, 400, 300], [10, 10, 10], 1000)
     assert sum(t for _, t in found) == pytest.approx(10 + 10 / 3)
