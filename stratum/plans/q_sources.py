@@ -28,6 +28,18 @@ def q_read_delimited(spark, d):
     return out.select(F.col("row_id").cast("bigint").alias("row_id"), "X1", "X2", "outcome")
 
 
+@query("read_delimited_line_ends", f"""SELECT doc_id, CASE WHEN trim(t) NOT IN ({', '.join("'" + x + "'" for x in dl.NA_TOKENS)}) THEN t END AS text, lang
+  FROM (SELECT doc_id, replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS t, lang FROM documents)""")
+def q_read_delimited_line_ends(spark, d):
+    """documents -> ','-separated files with line ends inside quoted texts -> records."""
+    path = scratch_path(spark, "line-ends")
+    text = F.regexp_replace("text", "\r\n?", "\n").alias("text")
+    (tb.read(spark, d, "documents").select("doc_id", text, "lang").write.option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    out = dl.read_delimited(spark, path, sep=",", quoted_line_ends=True, max_lines=1_000_000)
+    return out.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang")
+
+
 @query("split_single_column", R(WITH_STUDY + "SELECT row_id AS X1, X2, y AS X3 FROM study",
                                 ["X2"]))
 def q_split_single_column(spark, d):

@@ -11,6 +11,9 @@
 Parsing is ``from_csv`` over ``spark.read.text`` lines. Over-long lines are those with more
 fields than the header when quoted sections are taken as text. The first non-blank line
 of every part file is skipped if it is the header; equal lines further down are data.
+
+With ``quoted_line_ends`` a quoted field may hold line ends (they become ``\n``). Files are still read in splits: a
+line starts inside quotes if an odd number of lines before it in the file have an odd number of quote marks.
 """
 from __future__ import annotations
 
@@ -18,15 +21,17 @@ import csv
 import io
 import re
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.scalar import qcol
 
 # Fixed values of the source format.
 SEPARATORS = [",", ";", "\t", "|"]
 NA_TOKENS = ["", "NULL", "null", "NA", "N/A", "NaN", "nan", "#N/A"]
-QUOTED = '"(?:[^"]|"")*"'
+QUOTED = '"[^"]*"'
 SPLIT_SEPARATORS = ["\t", ",", ";", " "]
+#: Most files whose header places (about 100 bytes each) are broadcast.
+BROADCAST_FILES = 100_000
 
 
 def sample_lines(spark: SparkSession, path: str, n: int = 100) -> list[str]:
@@ -37,6 +42,17 @@ def _fields(line: str, sep: str) -> list[str]:
     return next(csv.reader(io.StringIO(line), delimiter=sep), [])
 
 
+def _joined(lines: list[str]) -> list[str]:
+    """Sampled lines as records: lines are joined while a quoted field is open (an unfinished last record is left out)."""
+    out, held = [], []
+    for l in lines:
+        held.append(l)
+        if sum(h.count('"') for h in held) % 2 == 0:
+            out.append("\n".join(held))
+            held = []
+    return out or lines
+
+
 def sniff_separator(lines: list[str], seps=SEPARATORS) -> str | None:
     best, best_n = None, 1
     lines = [l for l in lines if l.strip()]
@@ -88,19 +104,26 @@ def _dedupe(names: list[str]) -> list[str]:
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str | None = None, header: bool = True,
-                   na_tokens=NA_TOKENS) -> DataFrame:
-    """All-string DataFrame with cleaned, de-duplicated names (coerce types afterwards)."""
+                   na_tokens=NA_TOKENS, quoted_line_ends: bool = False, max_lines: int = 10_000) -> DataFrame:
+    """All-string DataFrame with cleaned, de-duplicated names (coerce types afterwards).
+
+    ``quoted_line_ends``: see ``_records``; costs a shuffle of the lines by file split."""
     lines = sample_lines(spark, path)
+    if quoted_line_ends:
+        lines = _joined(lines)
     sep = sep or sniff_separator(lines) or ","
     first = next((l for l in lines if l.strip()), "")
     raw_names = _fields(first, sep) if header else [f"X{i + 1}" for i in range(len(_fields(first, sep)))]
     names = _dedupe(clean_column_names(raw_names))
     keep = drop_duplicate_columns(names)
     n = len(names)
-    text = spark.read.text(path).where(F.trim(F.col("value")) != "")
+    source = spark.read.text(path)
+    text = _records(source, max_lines) if quoted_line_ends else _placed(source)
+    text = text.where(F.trim(F.col("value")) != "")
     if header:
-        text = _without_headers(text, first)
-    unquoted = F.regexp_replace(F.col("value"), QUOTED, "q")
+        text = _without_headers(text, first, len(source.inputFiles()) <= BROADCAST_FILES)
+    # doubled marks go first: one pattern for both recurses in long fields
+    unquoted = F.regexp_replace(F.replace("value", F.lit('""'), F.lit("")), QUOTED, "q")
     n_fields = F.size(F.split(unquoted, re.escape(sep)))
     schema = ", ".join(f"c{i} string" for i in range(n))
     parsed = (text.where(n_fields <= n)
@@ -113,13 +136,49 @@ def read_delimited(spark: SparkSession, path: str, sep: str | None = None, heade
     return parsed.select(*cols)
 
 
-def _without_headers(text: DataFrame, header: str) -> DataFrame:
-    """Drop the first non-blank line of every file where it is ``header`` (one row per file is broadcast)."""
+def _placed(text: DataFrame) -> DataFrame:
+    """Lines with their file (``_f``) and place in it (``_at``: start of the split, then order within it)."""
     place = F.struct(F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("m"))
-    lines = text.select("value", F.col("_metadata.file_path").alias("_f"), place.alias("_at"))
+    return text.select("value", F.col("_metadata.file_path").alias("_f"), place.alias("_at"))
+
+
+def _records(text: DataFrame, max_lines: int) -> DataFrame:
+    """Records of all files, in the form of ``_placed``: lines joined where a quoted field goes on.
+
+    Every quote mark counts, as in RFC 4180. The number of odd lines (an odd number of marks) before a line is
+    the number in earlier splits, from one row per split, and the number earlier in its own split; an odd line after 2k odd
+    lines opens a record, and all lines after 2k + 1 odd lines belong to it. Lines of a file whose marks do not pair up
+    stay single, as do those of a "record" of more than ``max_lines`` lines (two stray marks), so that no group is unbounded.
+    """
+    odd = F.length(F.regexp_replace("value", '[^"]', "")) % 2
+    lines = _placed(text).withColumn("_odd", odd).withColumn("_b", F.col("_at.b"))
+    splits = lines.groupBy("_f", "_b").agg(F.sum("_odd").alias("_n"))
+    file = Window.partitionBy("_f")
+    earlier = file.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("_f", "_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n0"),
+                           (F.sum("_n").over(file) % 2 == 1).alias("_stray"))
+    within = Window.partitionBy("_f", "_b").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    lines = (lines.join(splits, ["_f", "_b"])
+             .withColumn("_before", F.col("_n0") + F.coalesce(F.sum("_odd").over(within), F.lit(0))))
+    single = F.col("_stray") | ((F.col("_before") % 2 == 0) & (F.col("_odd") == 0))
+    record = F.when(~single, F.floor(F.col("_before") / 2)).alias("_record")
+    lines = lines.select("value", "_f", "_at", record)
+    parts = lines.where("_record is not null")
+    long = (parts.groupBy("_f", "_record").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > max_lines)
+            .select("_f", "_record"))
+    held = F.sort_array(F.collect_list(F.struct("_at", "value")))
+    joined = (parts.join(long, ["_f", "_record"], "left_anti").groupBy("_f", "_record").agg(held.alias("_l"))
+              .select(F.array_join(F.col("_l.value"), "\n").alias("value"), "_f", F.col("_l")[0]["_at"].alias("_at")))
+    torn = parts.join(long, ["_f", "_record"], "left_semi")
+    out = ["value", "_f", "_at"]
+    return lines.where("_record is null").select(*out).unionByName(joined.select(*out)).unionByName(torn.select(*out))
+
+
+def _without_headers(lines: DataFrame, header: str, few: bool) -> DataFrame:
+    """Drop the first non-blank record of every file where it is ``header`` (one row per file, broadcast where they are few)."""
     heads = (lines.groupBy("_f").agg(F.min_by("value", "_at").alias("_v"), F.min("_at").alias("_h"))
              .where(F.col("_v") == F.lit(header)).select(F.col("_f").alias("_g"), "_h"))
-    return (lines.join(F.broadcast(heads), (F.col("_f") == F.col("_g")) & (F.col("_at") == F.col("_h")), "left_anti")
+    return (lines.join(F.broadcast(heads) if few else heads, (F.col("_f") == F.col("_g")) & (F.col("_at") == F.col("_h")), "left_anti")
             .select("value"))
 
 

@@ -51,6 +51,54 @@ def test_every_file_loses_its_header_once(spark):
     assert got == [("1", "2"), ("3", "4"), ("5", "6"), ("a", "b")]
 
 
+def test_quoted_fields_with_line_ends(spark):
+    """Against Python's csv module, with splits of 64 bytes, so that records cross splits."""
+    import csv
+    import io
+    import random
+    rng = random.Random(5)
+    cell = lambda: "".join(rng.choice(["a", "b", ";", '"', "\n", "\n\n", " x"]) for _ in range(rng.randint(0, 12)))
+    files, want = [], []
+    for _ in range(3):
+        rows = [(f"k{rng.random()}", cell(), "z" + cell()) for _ in range(60)]
+        out = io.StringIO()
+        w = csv.writer(out, delimiter=";", lineterminator="\n")
+        w.writerows([("key", "note", "more"), *rows])
+        files.append(out.getvalue())
+        want += [tuple(None if v.strip(" ") in dl.NA_TOKENS else v for v in r) for r in rows]
+    d = _folder(spark, "line-ends")
+    for i, text in enumerate(files):
+        with open(os.path.join(d, f"part-{i}.csv"), "w") as f:
+            f.write(text)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+        df = dl.read_delimited(spark, d, sep=";", quoted_line_ends=True)
+        assert spark.read.text(d).rdd.getNumPartitions() > 30
+        got = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    key = lambda r: tuple(v or "" for v in r)
+    assert sorted(got, key=key) == sorted(want, key=key)
+
+
+def test_long_quoted_fields(spark):
+    text = 'a;b\n1;"' + 'x;""y' * 40_000 + '"\n2;z\n'
+    rows = {r["a"]: r["b"] for r in dl.read_delimited(spark, _write(spark, "long", text), sep=";").collect()}
+    assert rows == {"1": 'x;"y' * 40_000, "2": "z"}
+
+
+def test_stray_quotes_leave_lines_single(spark):
+    odd = _write(spark, "stray", 'a;b\n1;5" pipe\n2;y\n3;z\n')           # marks do not pair up
+    rows = {r["a"]: r["b"] for r in dl.read_delimited(spark, odd, quoted_line_ends=True).collect()}
+    assert set(rows) == {"1", "2", "3"} and rows["3"] == "z"
+    far = _write(spark, "far", 'a;b\n1;5" pipe\n' + "".join(f"{i};y\n" for i in range(2, 9)) + '9;6" pipe\n')
+    rows = {r["a"]: r["b"] for r in dl.read_delimited(spark, far, quoted_line_ends=True, max_lines=5).collect()}
+    assert set(rows) == {str(i) for i in range(1, 10)} and rows["5"] == "y"
+    empty = _write(spark, "none", "a;b\n")
+    assert dl.read_delimited(spark, empty, quoted_line_ends=True).count() == 0
+
+
 def test_sniffing_counts_header_columns():
     assert dl.sniff_separator(["a;b", "1;some, text, with, commas", "2;x"]) == ";"
 
