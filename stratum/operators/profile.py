@@ -61,9 +61,8 @@ def missing_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def missing_totals(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """One row: cells, missing cells, % missing."""
     cols = cols or df.columns
-    miss = reduce(lambda a, b: a + b, [F.count_if(qcol(c).isNull()).cast("bigint") for c in cols])
-    return (df.agg((F.count(F.lit(1)) * len(cols)).cast("bigint").alias("n_cells"),
-                   miss.alias("n_missing"))
+    counts = _long_stats(df, cols, {"n": lambda c: F.count(F.lit(1)), "m": lambda c: F.count_if(c.isNull())})
+    return (counts.agg(F.sum("n").alias("n_cells"), F.sum("m").alias("n_missing"))
               .withColumn("pct_missing", F.round(safe_div(F.col("n_missing") * 100, F.col("n_cells")), 6)))
 
 
@@ -140,14 +139,8 @@ def _corr(x: Column, y: Column) -> Column:
 
 
 def nullity_correlation(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Correlation of null indicators for every column pair (i < j)."""
-    ind = df.select(*[qcol(c).isNull().cast("int").alias(f"m{i}") for i, c in enumerate(cols)])
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    aggs = [_corr(F.col(f"m{i}"), F.col(f"m{j}")).alias(f"r{k}") for k, (i, j) in enumerate(pairs)]
-    row = ind.agg(*aggs)
-    structs = [F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"),
-                        F.col(f"r{k}").alias("corr")) for k, (i, j) in enumerate(pairs)]
-    return row.select(F.inline(F.array(*structs)))
+    """Correlation of null indicators for every column pair (i < j); NULL where one never or always is null."""
+    return correlation_matrix(df.select(*[qcol(c).isNull().cast("int").alias(c) for c in cols]), cols)
 
 
 def missing_vs_target(df: DataFrame, cols: list[str], target: str) -> DataFrame:
@@ -180,9 +173,9 @@ def presence_summary(rates: DataFrame) -> DataFrame:
 
 def sparsity(df: DataFrame, cols: list[str]) -> DataFrame:
     """% of cells equal to zero over all listed binary columns."""
-    zeros = reduce(lambda a, b: a + b, [F.count_if(qcol(c) == 0).cast("bigint") for c in cols])
-    return df.agg(zeros.alias("n_zero"), (F.count(F.lit(1)) * len(cols)).cast("bigint").alias("n_cells")) \
-             .withColumn("pct_zero", F.round(F.col("n_zero") * 100.0 / F.col("n_cells"), 6))
+    counts = _long_stats(df, cols, {"z": lambda c: F.count_if(c == 0), "n": lambda c: F.count(F.lit(1))})
+    return (counts.agg(F.sum("z").alias("n_zero"), F.sum("n").alias("n_cells"))
+            .withColumn("pct_zero", F.round(F.col("n_zero") * 100.0 / F.col("n_cells"), 6)))
 
 
 # ---------------------------------------------------------------- moments

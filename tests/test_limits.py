@@ -31,6 +31,26 @@ def test_correlation_of_many_nullable_columns(spark):
     assert ft.reduce_correlated(df, cols)[0].columns
 
 
+def test_nulls_and_zeros_of_many_columns(spark):
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 3, (200, 130)).astype(float)
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:, 7] = 1.0                        # never null
+    x[:, 8] = np.nan                     # always null
+    cols = [f"c{i}" for i in range(130)]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x], ", ".join(f"{c} double" for c in cols)).repartition(3)
+    null = np.isnan(x)
+    r = pf.missing_totals(df, cols).first()
+    assert (r.n_cells, r.n_missing) == (200 * 130, null.sum()) and r.pct_missing == pytest.approx(100 * null.mean(), abs=1e-6)
+    z = pf.sparsity(df, cols).first()
+    assert (z.n_zero, z.n_cells) == ((x == 0).sum(), 200 * 130)
+    got = {(r.col_a, r.col_b): r["corr"] for r in pf.nullity_correlation(df, cols).collect()}
+    assert len(got) == 130 * 129 // 2 and got["c0", "c7"] is None and got["c8", "c9"] is None
+    for i, j in ((0, 1), (6, 100), (128, 129)):
+        assert got[cols[i], cols[j]] == pytest.approx(np.corrcoef(null[:, i], null[:, j])[0, 1])
+    assert pf.missing_totals(df.limit(0), cols).first().n_cells == 0
+
+
 def test_empty_and_constant_columns(spark):
     df = spark.range(50).select(F.col("id").cast("double").alias("a"), F.lit(None).cast("double").alias("b"), F.lit(2.0).alias("c"))
     assert clean.cap_outliers(df, ["a", "b", "c"])[0].count() == 50
