@@ -73,3 +73,35 @@ def test_auto_select_prefers_the_better_source(spark, sf_dir):
                                         "predictions": {"test": [0.1, 0.9, 0.7]}}),)], "value string").write.text(path)
     rows = md.auto_select_and_score(data.limit(3), FEATS, models, table.withColumn("f1", F.lit(0.2)), path).orderBy("row_id").collect()
     assert [r.pred for r in rows] == [0, 1, 1] and {r.model for r in rows} == {"stack"}
+
+
+def _two_useful_columns(spark, n=400):
+    """y follows a and b; c and d are noise."""
+    u = lambda k: (F.abs(F.xxhash64(F.lit(k), "id")) % 1000) / 1000
+    return (spark.range(n).select(F.col("id").alias("row_id"), *[u(k).alias(k) for k in "abcd"])
+            .withColumn("y", (F.col("a") + F.col("b") > 1).cast("int")))
+
+
+def test_rfecv_drops_the_least_important(spark):
+    df = _two_useful_columns(spark)
+    best, curve = md.rfecv(df, list("abcd"), "random_forest", folds=2, step=0.3, min_features=2, numTrees=10, maxDepth=4)
+    rows = {r.n_features: r for r in curve.collect()}
+    assert sorted(rows) == [2, 3, 4]
+    assert rows[2].features.split(",") == ["a", "b"] and set(rows[3].features.split(",")) > {"a", "b"}
+    assert best == max(rows.values(), key=lambda r: (r.f1_mean, -r.n_features)).features.split(",")
+    # the score of one size from the folds by hand
+    folds = sp.stratified_folds(df, "y", 2, "row_id", 42)
+    f1 = []
+    for f in (0, 1):
+        m = md.fit(folds.where(F.col("fold") != f), ["a", "b"], "random_forest", scale=False, numTrees=10, maxDepth=4)
+        got = [(r.y, int(r.score >= 0.5)) for r in md.predict(m, folds.where(F.col("fold") == f), "m").collect()]
+        tp, wrong = sum(y and p for y, p in got), sum(y != p for y, p in got)
+        f1.append(2 * tp / (2 * tp + wrong))
+    assert rows[2].f1_mean == pytest.approx(sum(f1) / 2, abs=0.03)  # forests draw their own samples
+
+
+def test_mlp_learns(spark):
+    df = _two_useful_columns(spark)
+    m = md.fit(df.where("row_id < 300"), list("abcd"), "mlp", hidden=8, maxIter=60)
+    p = md.predict(m, df.where("row_id >= 300"), "mlp")
+    assert p.count() == 100 and ev.roc_auc(p).first()[0] > 0.95
