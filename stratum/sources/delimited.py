@@ -24,6 +24,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.scalar import qcol
+from ..session import cut_lineage
 
 # Fixed values of the source format.
 SEPARATORS = [",", ";", "\t", "|"]
@@ -162,7 +163,7 @@ def _records(text: DataFrame, max_lines: int) -> DataFrame:
              .withColumn("_before", F.col("_n0") + F.coalesce(F.sum("_odd").over(within), F.lit(0))))
     single = F.col("_stray") | ((F.col("_before") % 2 == 0) & (F.col("_odd") == 0))
     record = F.when(~single, F.floor(F.col("_before") / 2)).alias("_record")
-    lines = lines.select("value", "_f", "_at", record)
+    lines = cut_lineage(lines.select("value", "_f", "_at", record))  # read several times below
     parts = lines.where("_record is not null")
     long = (parts.groupBy("_f", "_record").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > max_lines)
             .select("_f", "_record"))
