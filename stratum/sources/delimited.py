@@ -21,10 +21,13 @@ import csv
 import io
 import re
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.scalar import qcol
-from ..session import cut_lineage
+from ..session import cut_lineage, ship
 
 # Fixed values of the source format.
 SEPARATORS = [",", ";", "\t", "|"]
@@ -33,6 +36,10 @@ QUOTED = '"[^"]*"'
 SPLIT_SEPARATORS = ["\t", ",", ";", " "]
 #: Most files whose header places (about 100 bytes each) are broadcast.
 BROADCAST_FILES = 100_000
+#: Most file splits whose counts (about 100 bytes each) are broadcast.
+BROADCAST_SPLITS = 100_000
+#: Characters of joined records in an Arrow batch, about.
+JOINED_CHARS = 1 << 23
 
 
 def sample_lines(spark: SparkSession, path: str, n: int = 100) -> list[str]:
@@ -108,7 +115,7 @@ def read_delimited(spark: SparkSession, path: str, sep: str | None = None, heade
                    na_tokens=NA_TOKENS, quoted_line_ends: bool = False, max_lines: int = 10_000) -> DataFrame:
     """All-string DataFrame with cleaned, de-duplicated names (coerce types afterwards).
 
-    ``quoted_line_ends``: see ``_records``; costs a shuffle of the lines by file split."""
+    ``quoted_line_ends``: see ``_records``; the files are read three times, their lines are not shuffled."""
     lines = sample_lines(spark, path)
     if quoted_line_ends:
         lines = _joined(lines)
@@ -119,10 +126,12 @@ def read_delimited(spark: SparkSession, path: str, sep: str | None = None, heade
     keep = drop_duplicate_columns(names)
     n = len(names)
     source = spark.read.text(path)
-    text = _records(source, max_lines) if quoted_line_ends else _placed(source)
-    text = text.where(F.trim(F.col("value")) != "")
-    if header:
-        text = _without_headers(text, first, len(source.inputFiles()) <= BROADCAST_FILES)
+    if quoted_line_ends:
+        text = _records(source, max_lines, first if header else None).where(F.trim(F.col("value")) != "")
+    else:
+        text = _placed(source).where(F.trim(F.col("value")) != "")
+        if header:
+            text = _without_headers(text, first, len(source.inputFiles()) <= BROADCAST_FILES)
     # doubled marks go first: one pattern for both recurses in long fields
     unquoted = F.regexp_replace(F.replace("value", F.lit('""'), F.lit("")), QUOTED, "q")
     n_fields = F.size(F.split(unquoted, re.escape(sep)))
@@ -143,36 +152,133 @@ def _placed(text: DataFrame) -> DataFrame:
     return text.select("value", F.col("_metadata.file_path").alias("_f"), place.alias("_at"))
 
 
-def _records(text: DataFrame, max_lines: int) -> DataFrame:
-    """Records of all files, in the form of ``_placed``: lines joined where a quoted field goes on.
+def _records(text: DataFrame, max_lines: int, header: str | None) -> DataFrame:
+    """Records of all files: lines joined where a quoted field goes on, without each file's first non-blank record if that is ``header``.
 
     Every quote mark counts, as in RFC 4180. The number of odd lines (an odd number of marks) before a line is
     the number in earlier splits, from one row per split, and the number earlier in its own split; an odd line after 2k odd
     lines opens a record, and all lines after 2k + 1 odd lines belong to it. Lines of a file whose marks do not pair up
     stay single, as do those of a "record" of more than ``max_lines`` lines (two stray marks), so that no group is unbounded.
+
+    The files are read once for the splits' counts and then in place: a task joins the lines of its splits as they come. Only
+    pieces of records that go beyond a split (or beyond ``max_lines``) are shuffled.
     """
+    spark = text.sparkSession
+    ship(spark)
     odd = F.length(F.regexp_replace("value", '[^"]', "")) % 2
-    lines = _placed(text).withColumn("_odd", odd).withColumn("_b", F.col("_at.b"))
-    splits = lines.groupBy("_f", "_b").agg(F.sum("_odd").alias("_n"))
+    lines = text.select("value", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"))
+    splits = lines.groupBy("_f", "_b").agg(F.sum(odd).alias("_n"), F.max(F.trim("value") != "").alias("_any"))
     file = Window.partitionBy("_f")
     earlier = file.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.select("_f", "_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n0"),
-                           (F.sum("_n").over(file) % 2 == 1).alias("_stray"))
-    within = Window.partitionBy("_f", "_b").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    lines = (lines.join(splits, ["_f", "_b"])
-             .withColumn("_before", F.col("_n0") + F.coalesce(F.sum("_odd").over(within), F.lit(0))))
-    single = F.col("_stray") | ((F.col("_before") % 2 == 0) & (F.col("_odd") == 0))
-    record = F.when(~single, F.floor(F.col("_before") / 2)).alias("_record")
-    lines = cut_lineage(lines.select("value", "_f", "_at", record))  # read several times below
-    parts = lines.where("_record is not null")
-    long = (parts.groupBy("_f", "_record").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > max_lines)
-            .select("_f", "_record"))
-    held = F.sort_array(F.collect_list(F.struct("_at", "value")))
-    joined = (parts.join(long, ["_f", "_record"], "left_anti").groupBy("_f", "_record").agg(held.alias("_l"))
-              .select(F.array_join(F.col("_l.value"), "\n").alias("value"), "_f", F.col("_l")[0]["_at"].alias("_at")))
-    torn = parts.join(long, ["_f", "_record"], "left_semi")
-    out = ["value", "_f", "_at"]
-    return lines.where("_record is null").select(*out).unionByName(joined.select(*out)).unionByName(torn.select(*out))
+    head = F.col("_any") & ~F.coalesce(F.max("_any").over(earlier), F.lit(False))
+    splits = cut_lineage(splits.select("_f", "_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n0"),
+                                       (F.sum("_n").over(file) % 2 == 1).alias("_stray"), head.alias("_head")))
+    if splits.count() <= BROADCAST_SPLITS:
+        placed = lines.join(F.broadcast(splits), ["_f", "_b"])
+    else:  # lines are put back in the order of their split
+        at = F.monotonically_increasing_id().alias("_at")
+        placed = lines.select("*", at).join(splits, ["_f", "_b"]).repartition("_f", "_b").sortWithinPartitions("_f", "_b", "_at")
+    whole = pa.schema([("value", pa.string()), ("_first", pa.bool_()), ("_f", pa.string()), ("_b", pa.int64()),
+                       ("_i", pa.int64()), ("_record", pa.int64()), ("_lines", pa.list_(pa.string()))])
+
+    def run(batches):
+        joiner = _Joiner(max_lines)
+        for b in batches:
+            joiner.take(b)
+            if joiner.chars > JOINED_CHARS:
+                yield joiner.batch(whole)
+        joiner.close()
+        yield joiner.batch(whole)
+
+    rows = (placed.select("value", "_f", "_b", "_n0", "_stray", "_head")
+            .mapInArrow(run, "value string, _first boolean, _f string, _b long, _i long, _record long, _lines array<string>"))
+    torn = cut_lineage(rows.where("_record is not null").drop("value"))  # read several times below
+    group = ["_f", "_record"]
+    long = torn.groupBy(*group).agg(F.sum(F.size("_lines")).alias("_c")).where(F.col("_c") > max_lines).select(*group)
+    held = F.sort_array(F.collect_list(F.struct("_b", "_i", "_lines")))
+    joined = (torn.join(long, group, "left_anti").groupBy(*group).agg(held.alias("_l"), F.max("_first").alias("_first"))
+              .select(F.array_join(F.flatten(F.col("_l._lines")), "\n").alias("value"), "_first"))
+    single = (torn.join(long, group, "left_semi").select("_first", F.posexplode("_lines").alias("_p", "value"))
+              .select("value", (F.col("_first") & (F.col("_p") == 0)).alias("_first")))
+    out = rows.where("_record is null").select("value", "_first").unionByName(joined).unionByName(single)
+    return out.where(~(F.col("_first") & (F.col("value") == F.lit(header)))).select("value") if header is not None else out.select("value")
+
+
+class _Joiner:
+    """Joins the lines of a task's splits, which come in order, to records; holds the lines of one open record."""
+
+    def __init__(self, max_lines: int):
+        self.max_lines, self.split, self.chars, self.rows = max_lines, None, 0, []
+        self.held: list[str] = []
+
+    def take(self, b: pa.RecordBatch) -> None:
+        if not b.num_rows:
+            return
+        values, starts = b.column("value").to_pylist(), b.column("_b").to_numpy()
+        files = b.column("_f").dictionary_encode()
+        codes = files.indices.to_numpy(zero_copy_only=False)
+        odd = pc.count_substring(b.column("value"), '"').to_numpy(zero_copy_only=False) % 2
+        edges = np.flatnonzero((np.diff(codes) != 0) | (np.diff(starts) != 0)) + 1
+        for lo, hi in zip([0, *edges], [*edges, len(values)]):
+            split = (files.dictionary[int(codes[lo])].as_py(), int(starts[lo]))
+            if split != self.split:
+                self.close()
+                self.split, self.index, self.before = split, 0, b.column("_n0")[lo].as_py()
+                self.stray, self.head = b.column("_stray")[lo].as_py(), b.column("_head")[lo].as_py()
+            self._lines(values[lo:hi], odd[lo:hi])
+
+    def _lines(self, values: list[str], odd: np.ndarray) -> None:
+        after = self.before + np.cumsum(odd)
+        inside = ((after - odd) % 2 == 1) | (odd == 1)
+        if self.stray:
+            inside[:] = False
+        opens = (odd == 1) & ((after - odd) % 2 == 0)
+        for i, (value, inner) in enumerate(zip(values, inside.tolist())):
+            if not inner:
+                self._emit(value, self._is_first(value))
+                continue
+            if not self.held:
+                self.at, self.record, self.opened = self.index + i, int(after[i] - odd[i]) // 2, bool(opens[i])
+                self.first = self.opened and self._is_first(value)
+            self.held.append(value)
+            if after[i] % 2 == 0:
+                self._close_record()
+            elif len(self.held) >= self.max_lines:
+                self._tear()
+        self.index += len(values)
+        self.before = int(after[-1])
+
+    def _is_first(self, value: str) -> bool:
+        if not self.head or not value.strip(" "):
+            return False
+        self.head = False
+        return True
+
+    def _close_record(self) -> None:
+        if self.opened:
+            self._emit("\n".join(self.held), self.first)
+            self.held = []
+        else:
+            self._tear()
+
+    def _tear(self) -> None:
+        """The held lines are a piece of a record that has more of them."""
+        if self.held:
+            self.chars += sum(map(len, self.held))
+            self.rows.append((None, self.first, *self.split, self.at, self.record, self.held))
+            self.at, self.opened, self.first, self.held = self.at + len(self.held), False, False, []
+
+    def _emit(self, value: str, first: bool) -> None:
+        self.chars += len(value) + 40
+        self.rows.append((value, first, None, None, None, None, None))
+
+    def close(self) -> None:
+        self._tear()
+
+    def batch(self, schema: pa.Schema) -> pa.RecordBatch:
+        columns = list(zip(*self.rows)) or [()] * len(schema)
+        self.rows, self.chars = [], 0
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 def _without_headers(lines: DataFrame, header: str, few: bool) -> DataFrame:

@@ -2,6 +2,8 @@
 import json
 import os
 
+import pytest
+
 from stratum.plans import publish as pb
 from stratum.session import scratch_path
 from stratum.sources import delimited as dl, sinks
@@ -82,6 +84,23 @@ def test_quoted_fields_with_line_ends(spark):
     assert sorted(got, key=key) == sorted(want, key=key)
 
 
+@pytest.mark.parametrize("broadcast", [100_000, 0])
+def test_quoted_line_ends_at_the_limits(spark, monkeypatch, broadcast):
+    """Blank splits before the header, records of exactly ``max_lines`` lines over many splits, joined counts and shuffled ones."""
+    monkeypatch.setattr(dl, "BROADCAST_SPLITS", broadcast)
+    long = "\n".join(f"line {i}" for i in range(20))
+    text = "\n" * 90 + f'a;b\n1;"{long}"\n2;"{long}\nmore"\na;b\n3;"x\n\ny"\n'
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "32")
+        read = lambda n: [tuple(r) for r in dl.read_delimited(spark, _write(spark, f"limits{n}", text), sep=";", quoted_line_ends=True, max_lines=n).collect()]
+        assert sorted(read(21)) == [("1", long), ("2", long + "\nmore"), ("3", "x\n\ny"), ("a", "b")]
+        torn = read(20)  # the second record's 21 lines stay single
+        assert ("1", long) in torn and ("line 7", None) in torn and ("a", "b") in torn and len(torn) == 24
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_long_quoted_fields(spark):
     text = 'a;b\n1;"' + 'x;""y' * 40_000 + '"\n2;z\n'
     rows = {r["a"]: r["b"] for r in dl.read_delimited(spark, _write(spark, "long", text), sep=";").collect()}
