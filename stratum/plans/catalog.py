@@ -78,7 +78,7 @@ def union_per_column(cols: list[str], body: Callable[[str], str]) -> str:
 
 
 # Import the query modules so their @query decorators populate REGISTRY.
-from . import q_profile, q_evaluate, q_clean, q_results, q_sources, q_ensembles, q_impute, q_features, q_models, q_more, q_sparse  # noqa: E402,F401
+from . import q_profile, q_evaluate, q_clean, q_results, q_sources, q_ensembles, q_impute, q_features, q_models, q_more, q_sparse, q_exact  # noqa: E402,F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

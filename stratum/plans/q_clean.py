@@ -161,9 +161,21 @@ def q_box_cox(spark, d):
     return _params_wide(tf.fit_power(tb.study(spark, d), BC_COLS, "box-cox"))
 
 
-@query("choose_transform")
+def choose_sql(cols: list[str]) -> str:
+    """Both fits, the transformed values, and the skewness of each (standardising does not change it)."""
+    skew = lambda t: f"(SELECT col, avg(power(v - m, 3)) / power(avg(power(v - m, 2)), 1.5) AS s FROM (SELECT col, v, avg(v) OVER (PARTITION BY col) AS m FROM {t}) GROUP BY col)"
+    return f""", yj AS (WITH {power_fit_sql('yeo-johnson', cols)} SELECT * FROM pw),
+bc AS (WITH {power_fit_sql('box-cox', cols)} SELECT * FROM pw),
+raw AS ({union_per_column(cols, lambda c: f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS v FROM study WHERE {c} IS NOT NULL")}),
+vy AS (SELECT col, {_t_sql('x', 'yeo-johnson')} AS v FROM (SELECT col, v AS x, lam FROM raw JOIN yj USING (col))),
+vb AS (SELECT col, {_t_sql('x', 'box-cox')} AS v FROM (SELECT col, v + shift AS x, lam FROM raw JOIN bc USING (col)))
+SELECT a.col AS "column", CASE WHEN abs(y.s) <= abs(b.s) THEN 'yeo-johnson' ELSE 'box-cox' END AS method,
+  a.s AS skew_before, y.s AS skew_yeo_johnson, b.s AS skew_box_cox FROM {skew('raw')} a JOIN {skew('vy')} y USING (col) JOIN {skew('vb')} b USING (col)"""
+
+
+@query("choose_transform", R(WITH_STUDY + choose_sql(CONTINUOUS), ["skew_before", "skew_yeo_johnson", "skew_box_cox"]))
 def q_choose_transform(spark, d):
-    """Both transforms fitted and applied, smaller |skew| wins (rows-only check)."""
+    """Both transforms fitted and applied, smaller |skew| wins."""
     return tf.choose_transform(tb.study(spark, d), CONTINUOUS)
 
 

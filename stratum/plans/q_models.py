@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from ..operators import clean, splits as sp, evaluate as ev
 from . import tables as tb, models as md
-from .catalog import query
+from .catalog import query, R, WITH_STUDY
+from .q_clean import _split_sql
 
 FEATS = ["X1", "X2", "X3", "X4", "X5", "X6", "X8", "X9"]
 SMALL = {"random_forest": dict(numTrees=20, maxDepth=5), "gradboost": dict(maxIter=10, maxDepth=3),
@@ -113,7 +114,8 @@ def q_permutation_importance(spark, d):
     return md.permutation_importance(_rf(spark, d), val, FEATS, repeats=5)
 
 
-@query("reduced_datasets")
+@query("reduced_datasets", R(WITH_STUDY + _split_sql() + """, med AS (SELECT quantile_cont(X1, 0.5) AS m FROM study JOIN splitted USING (row_id) WHERE split = 'train')
+SELECT row_id, s.y, split, coalesce(X1, m) AS X1, X5, X8 FROM study s JOIN splitted USING (row_id), med""", ["X1"]))
 def q_reduced_datasets(spark, d):
     return md.reduced_datasets(model_data(spark, d), ["X1", "X5", "X8"])
 

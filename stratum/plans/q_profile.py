@@ -153,9 +153,22 @@ def q_high_corr_pairs(spark, d):
     return pf.high_corr_pairs(pf.correlation_matrix(tb.study(spark, d), FEATURES), 0.8)
 
 
-@query("high_corr_groups")
+def groups_sql(cols: list[str], threshold: float) -> str:
+    """The greedy pass as a recursion over the columns in order."""
+    pairs = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, {j} AS pos, {sql_corr(a, b)} AS r FROM study"
+                               for j, b in enumerate(cols) for a in cols[:j])
+    places = ", ".join(f"({j}, '{c}')" for j, c in enumerate(cols))
+    return f"""WITH RECURSIVE {tb.STUDY_SQL}, e AS ({pairs}), p(pos, c) AS (VALUES {places}),
+g AS (SELECT p.pos, c, list_sort(list_append(list(e.a), c)) AS members FROM p JOIN e ON e.pos = p.pos AND abs(r) > {threshold} GROUP BY p.pos, c),
+st AS (SELECT -1 AS pos, CAST([] AS VARCHAR[]) AS visited, CAST(NULL AS VARCHAR[]) AS taken, 0 AS gid
+  UNION ALL SELECT p.pos, CASE WHEN ok THEN list_concat(visited, members) ELSE visited END, CASE WHEN ok THEN members END, gid + CAST(ok AS INTEGER)
+  FROM (SELECT p.pos, st.visited, st.gid, g.members, g.members IS NOT NULL AND NOT list_contains(st.visited, p.c) AS ok
+        FROM st JOIN p ON p.pos = st.pos + 1 LEFT JOIN g ON g.pos = p.pos) AS p)
+SELECT gid AS group_id, taken[i] AS "column", i = 1 AS keep FROM st, unnest(range(1, len(taken) + 1)) AS t(i) WHERE taken IS NOT NULL"""
+
+
+@query("high_corr_groups", groups_sql(BINARY, 0.9))
 def q_high_corr_groups(spark, d):
-    """Greedy grouping is order dependent (not a SQL set expression): rows-only check."""
     return pf.high_corr_groups(tb.study(spark, d), BINARY, 0.9)
 
 
