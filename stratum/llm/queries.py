@@ -46,6 +46,19 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"), k=3, num=9, den=10)
 
 
+# every pair with a common shingle is counted, and links are followed until nothing new is reached
+ORACLES["op3_jaccard_join"] = r"""WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 2], ' ') AS shingle
+      FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 1) + 1)) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(r.least, doc_id) AS component_id
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS least FROM reach GROUP BY a) r USING (doc_id)"""
+
+
 @query
 def op4_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every distinct encoded length of the documents as a context limit, with exact totals."""
@@ -186,6 +199,28 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(prefix_trie.rebuild(prefix_trie.sequences(table(spark, sf_dir, "conversations"))))
 
 
+# a node is (smallest member, depth); crc32 goes bit by bit (fixed values: its reversed polynomial and mask)
+ORACLES["op12_conversation_trie"] = r"""WITH t AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, role, text) AS seq
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+c AS (SELECT conv_id, seq, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+        lambda acc, byte: list_reduce([xor(acc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))) AS crc FROM t),
+h AS (SELECT conv_id, seq, xor(crc, 4294967295) % 4 AS h FROM c),
+r AS (SELECT h.conv_id, list_concat(coalesce(base.seq, [])[1:h], h.seq[h + 1:]) AS seq FROM h LEFT JOIN t base ON base.conv_id = h.conv_id - h.conv_id % 20),
+p AS (SELECT conv_id, d, seq[1:d] AS prefix, d = len(seq) AS ends, CASE WHEN d > 0 THEN len(regexp_extract_all(seq[d].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS words
+      FROM (SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS d FROM r)),
+m AS (SELECT conv_id, d, ends, words, min(conv_id) OVER (PARTITION BY d, prefix) AS owner FROM p),
+node AS (SELECT owner, d, count(*) AS n, max(words) AS words, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS sha
+         FROM m GROUP BY owner, d),
+link AS (SELECT node.*, up.owner AS parent FROM node LEFT JOIN m up ON up.conv_id = node.owner AND up.d = node.d - 1),
+kids AS (SELECT parent AS owner, d - 1 AS d, count(*) AS n_children FROM link WHERE parent IS NOT NULL GROUP BY ALL),
+full_node AS (SELECT link.*, coalesce(n_children, 0) AS n_children FROM link LEFT JOIN kids USING (owner, d)),
+sub AS (SELECT m.owner, m.d, count(*) FILTER (WHERE x.n_children = 0) AS n_leaves, CAST(sum((x.n - 1) * x.words) AS BIGINT) AS saved_tokens
+        FROM full_node x JOIN m ON m.conv_id = x.owner AND m.d <= x.d GROUP BY ALL)
+SELECT owner AS conv_id, d AS depth, parent AS parent_conv_id, n AS n_convs, n_children, n_leaves, saved_tokens, sha AS ends_sha256
+FROM full_node JOIN sub USING (owner, d)"""
+
+
 @query
 def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: spans of the patterns and those that the skip-chain CRF adds."""
