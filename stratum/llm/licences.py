@@ -4,8 +4,9 @@ and ordered rules over those identifiers name the licences.
 A text is lower-cased and every run of other characters than a-z and 0-9 becomes one space. A known
 sentence is found where it starts and ends at a boundary: a line end or ``. ! ? ;`` before white space.
 It may run over single line ends and ``;`` (texts are wrapped, comment marks that begin a line
-do not count), but not over blank lines and other ends of sentences. At each boundary
-the longest one counts. Some sentences have a place for a name (``NAMED``). Those found give their identifiers, in order; all else is left out. Rules are tried
+and list marks such as ``a)`` do not count), but not over blank lines and other ends of sentences. At each boundary
+the longest one counts. Some sentences have a place for a name (``NAMED``). An SPDX line may name
+several licences with OR and AND. Those found give their identifiers, in order; all else is left out. Rules are tried
 in order, the most specific first; a rule matches where its identifiers stand next to each other
 in the sequence, and uses them up, so the general rules see only what is left.
 
@@ -52,7 +53,29 @@ SENTENCES = {
     "spdx license identifier apache 2 0": "SPDXApache2",
     "spdx license identifier gpl 3 0 or later": "SPDXGPL3",
     "all rights reserved": "AllRights",
+    "license apache license version 2 0": "Apache2ref",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation": "GPL2only",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 3 as published by the free software foundation": "GPL3only",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version": "LGPL21plus",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "LGPL3plus",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "LGPL3plus",
+    "see the gnu lesser general public license for more details": "LGPLdetails",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version": "AGPL3plus",
+    "see the gnu affero general public license for more details": "AGPLdetails",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0": "EPL2form",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license v1 0 which accompanies this distribution and is available at http www eclipse org legal epl v10 html": "EPL1form",
+    "this is free and unencumbered software released into the public domain": "Unlicenseform",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": "0BSDperm",
+    "distributed under the boost software license version 1 0": "Boostref",
+    "this software is provided as is without any express or implied warranty": "Zlibwarranty",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "Zlibperm",
 }
+# Licence identifiers of SPDX lines besides those above.
+SPDX_IDS = ["0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC0-1.0",
+            "EPL-1.0", "EPL-2.0", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "ISC", "LGPL-2.1-only", "LGPL-2.1-or-later",
+            "LGPL-3.0-only", "LGPL-3.0-or-later", "MPL-2.0", "Unlicense", "Zlib"]
+SPDX_LINE = "spdx license identifier "
+SENTENCES |= {SPDX_LINE + re.sub("[^a-z0-9]+", " ", i.lower()): f"SPDX{i}" for i in SPDX_IDS}
 # Known sentences with a place for names (normalised; up to twelve words), and the sentence that stands for each.
 NAMED = {
     r"neither the names? of ([a-z0-9]+(?: [a-z0-9]+){0,11}) nor the names of (?:its|their|any) contributors may be used to endorse or promote products derived from this software without specific prior written permission":
@@ -85,7 +108,25 @@ RULES = [
     ("Apache-2.0", ["SPDXApache2"]),
     ("GPL-3.0-or-later", ["SPDXGPL3"]),
     ("All-rights-reserved", ["AllRights"]),
-]
+    ("GPL-2.0-only", ["GPL2only", "GPLdetails"]),
+    ("GPL-2.0-only", ["GPL2only"]),
+    ("GPL-3.0-only", ["GPL3only", "GPLdetails"]),
+    ("GPL-3.0-only", ["GPL3only"]),
+    ("LGPL-2.1-or-later", ["LGPL21plus", "LGPLdetails"]),
+    ("LGPL-2.1-or-later", ["LGPL21plus"]),
+    ("LGPL-3.0-or-later", ["LGPL3plus", "LGPLdetails"]),
+    ("LGPL-3.0-or-later", ["LGPL3plus"]),
+    ("AGPL-3.0-or-later", ["AGPL3plus", "AGPLdetails"]),
+    ("AGPL-3.0-or-later", ["AGPL3plus"]),
+    ("EPL-2.0", ["EPL2form"]),
+    ("EPL-1.0", ["EPL1form"]),
+    ("Unlicense", ["Unlicenseform"]),
+    ("0BSD", ["0BSDperm", "ISCwarranty"]),
+    ("0BSD", ["0BSDperm"]),
+    ("BSL-1.0", ["Boostref"]),
+    ("Zlib", ["Zlibwarranty", "Zlibperm"]),
+    ("Zlib", ["Zlibperm"]),
+] + [(i, [f"SPDX{i}"]) for i in SPDX_IDS]
 
 #: Sentence ends of ``scan_sql``, which knows sentences of one line only.
 SPLIT = r"[\r\n]+|[.!?;]+(?:[ \t]+|$)"
@@ -98,12 +139,20 @@ def bounded(text: Column) -> Column:
     out = F.concat(F.lit("\n"), F.translate(F.lower(text), HARD + SOFT, "  "), F.lit("\n"))
     for pattern, by in ((r"\r\n?", "\n"),
                         (r"\n[ \t/*#!;%<>|-]*+(?:(?:dnl|rem)[ \t]+)?", "\n"),  # comment marks
+                        (r"\n\(?(?:[0-9]{1,2}|[a-z]|[ivx]{2,4})\)[ \t]+", "\n"),  # list marks
                         (r"\n[^a-z0-9\n]*+(?=\n)", HARD), (r"[.!?](?=[ \t\n])", HARD),
                         (r"\n|;(?=[ \t\n])", SOFT), (f"[^a-z0-9{HARD}{SOFT}]+", " ")):
         out = F.regexp_replace(out, pattern, by)
     return out
 
 
+def _each_spdx(text: Column) -> Column:
+    """Bounded text in which every identifier of an SPDX expression (``a OR b AND c``) has a line of its own."""
+    ids = sorted((k.removeprefix(SPDX_LINE) for k in SENTENCES if k.startswith(SPDX_LINE)), key=len, reverse=True)
+    # \G: where the last match ended; the group is atomic, as "gpl 3 0 or later" is one identifier
+    return F.regexp_replace(text, rf"({SPDX_LINE}|\G(?<!^))((?>{'|'.join(ids)})) (?:or|and) (?={'|'.join(ids)})", f"$1$2{SOFT}{SPDX_LINE}")
+
+
 def _unnamed(sentence: Column) -> Column:
     """A sentence with a name as the sentence that stands for it."""
     for pattern, plain in NAMED.items():
@@ -120,7 +169,8 @@ def sentence_ids(text: Column, sentences: dict[str, str] | None = None) -> Colum
     if sentences is None:
         any_of = "|".join([any_of, *(s.replace("(", "(?:").replace("(?:?:", "(?:").replace(" ", gap) for s in NAMED)])
     pattern = f"[{HARD}{SOFT}] ?({any_of})(?= ?[{HARD}{SOFT}])"
-    found = F.transform(F.regexp_extract_all(bounded(text), F.lit(pattern), F.lit(1)),
+    marked = _each_spdx(bounded(text)) if sentences is None else bounded(text)
+    found = F.transform(F.regexp_extract_all(marked, F.lit(pattern), F.lit(1)),
                         lambda s: F.element_at(known, _unnamed(F.regexp_replace(s, gap, " "))))
     if sentences is not None:  # other sentences need not hold an anchor
         return found

@@ -198,6 +198,41 @@ def test_licences_of_wrapped_headers(spark):
     assert [got[i] for i in range(len(rows))] == [(n, 0) for n in names]
 
 
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+
+This library is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+Lesser General Public License for more details."""
+EPL = """This program and the accompanying materials are made
+available under the terms of the Eclipse Public License 2.0
+which is available at https://www.eclipse.org/legal/epl-2.0/"""
+ZERO = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE."""
+ISC = ZERO.replace("is hereby granted.", "is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.")
+
+
+def test_licences_of_more_families(spark):
+    lettered = BSD.replace("1. ", "a) ").replace("2. ", "b) ").replace("3. ", "(c) ")
+    agpl = GPL.replace("General Public License", "Affero General Public License")
+    cases = [(LGPL, ["LGPL-2.1-or-later"]), (EPL, ["EPL-2.0"]), (ZERO, ["0BSD"]), (ISC, ["ISC"]), (agpl, ["AGPL-3.0-or-later"]), (lettered, ["BSD-3-Clause"]),
+             ("License: Apache License, Version 2.0", ["Apache-2.0"]), ("Distributed under the Boost Software License, Version 1.0.", ["BSL-1.0"]),
+             ("This is free and unencumbered software released into the public domain.", ["Unlicense"]),
+             ("# SPDX-License-Identifier: BSD-3-Clause\nimport os", ["BSD-3-Clause"]), ("// SPDX-License-Identifier: GPL-3.0-only", ["GPL-3.0-only"]),
+             ("/* SPDX-License-Identifier: GPL-3.0-or-later */", ["GPL-3.0-or-later"]), ("SPDX-License-Identifier: Apache-2.0 OR MIT", ["Apache-2.0", "MIT"]),
+             ("SPDX-License-Identifier: (GPL-3.0-or-later OR MIT) AND BSD-2-Clause\nor ISC", ["BSD-2-Clause", "GPL-3.0-or-later", "MIT"]),
+             ("SPDX-License-Identifier: MIT or else", []), ("MIT OR Apache-2.0", [])]
+    got = {r.i: r.licences for r in licences.scan(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, text string")).collect()}
+    assert [got[i] for i in range(len(cases))] == [want for _, want in cases]
+
+
 def test_licences_of_edge_documents(docs):
     out = licences.scan(docs)
     assert out.count() == len(ROWS) and set(docs.columns) <= set(out.columns)
