@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import clean as cl, knn, profile as pf, resample
+from ..operators import clean as cl, knn, mice, profile as pf, resample
 from . import tables as tb
 from .catalog import query, R, union_per_column
 
@@ -40,12 +40,14 @@ def _distance_sql(a: str, b: str, cols: list[str], p: int) -> str:
     return f"CASE WHEN ({n}) > 0 THEN sqrt((CAST({p} AS DOUBLE) / ({n})) * ({total})) END"
 
 
-def _knn_sql(k: int) -> str:
-    """CTEs up to ``filled``: all pairs of a receiver and a donor, ranked per missing column."""
-    near = union_per_column(COLS, lambda c: f"""SELECT row_id, '{c}' AS col, avg(value) AS est FROM (
-      SELECT r.row_id, d.{c} AS value, row_number() OVER (PARTITION BY r.row_id ORDER BY {_distance_sql('r', 'd', COLS, 3)}, d.row_id) AS rk
-      FROM study r JOIN study d ON r.{c} IS NULL AND d.{c} IS NOT NULL WHERE {_distance_sql('r', 'd', COLS, 3)} IS NOT NULL) WHERE rk <= {k} GROUP BY row_id""")
-    fills = ", ".join(f"coalesce(s.{c}, (SELECT est FROM near n WHERE n.row_id = s.row_id AND n.col = '{c}'), (SELECT avg({c}) FROM study)) AS {c}" for c in COLS)
+def _knn_sql(k: int, cols: list[str] = COLS) -> str:
+    """CTEs up to ``filled``: all pairs of a receiver and a donor, ranked per missing column; columns beside ``cols`` get medians."""
+    far = _distance_sql("r", "d", cols, len(cols))
+    near = union_per_column(cols, lambda c: f"""SELECT row_id, '{c}' AS col, avg(value) AS est FROM (
+      SELECT r.row_id, d.{c} AS value, row_number() OVER (PARTITION BY r.row_id ORDER BY {far}, d.row_id) AS rk
+      FROM study r JOIN study d ON r.{c} IS NULL AND d.{c} IS NOT NULL WHERE {far} IS NOT NULL) WHERE rk <= {k} GROUP BY row_id""")
+    fill = {c: f"(SELECT est FROM near n WHERE n.row_id = s.row_id AND n.col = '{c}'), (SELECT avg({c}) FROM study)" for c in cols}
+    fills = ", ".join(f"coalesce(s.{c}, {fill.get(c, f'(SELECT quantile_cont({c}, 0.5) FROM study)')}) AS {c}" for c in COLS)
     return f", near AS ({near}), filled AS (SELECT s.row_id, {fills}, s.y FROM study s)"
 
 
@@ -54,6 +56,13 @@ def q_impute_knn_parts(spark, d):
     return knn.impute_knn(parts(spark, d), COLS, k=K)
 
 
+@query("impute_with_fallback_parts", R(f"WITH {PARTS_SQL}{_knn_sql(K, COLS[:2])} SELECT row_id, P1, P2, P3, y, 'knn' AS method FROM filled", COLS))
+def q_impute_with_fallback_parts(spark, d):
+    """Two columns by their nearest donors, the third by its median."""
+    out, tag = mice.impute_with_fallback(parts(spark, d), COLS, method="knn", strategy="mixed_mar_mcar", mcar_cols=COLS[2:], k=K)
+    return out.withColumn("method", F.lit(tag))
+
+
 @query("imputation_drift_parts", R(f"WITH {PARTS_SQL}{_knn_sql(K)}" + ", st AS (" + union_per_column(COLS, lambda c: f"""
   SELECT '{c}' AS "column", (SELECT avg({c}) FROM study) AS mean_before, (SELECT stddev_samp({c}) FROM study) AS std_before,
   avg({c}) AS mean_after, stddev_samp({c}) AS std_after FROM filled""") + """)
