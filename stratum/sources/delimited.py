@@ -147,9 +147,9 @@ def read_delimited(spark: SparkSession, path: str, sep: str | None = None, heade
 
 
 def _placed(text: DataFrame) -> DataFrame:
-    """Lines with their file (``_f``) and place in it (``_at``: start of the split, then order within it)."""
-    place = F.struct(F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("m"))
-    return text.select("value", F.col("_metadata.file_path").alias("_f"), place.alias("_at"))
+    """Lines with their file (``_f``), the start of their split (``_b``) and a number that rises within it (``_m``)."""
+    return text.select("value", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"),
+                       F.monotonically_increasing_id().alias("_m"))
 
 
 def _records(text: DataFrame, max_lines: int, header: str | None) -> DataFrame:
@@ -282,10 +282,11 @@ class _Joiner:
 
 
 def _without_headers(lines: DataFrame, header: str, few: bool) -> DataFrame:
-    """Drop the first non-blank record of every file where it is ``header`` (one row per file, broadcast where they are few)."""
-    heads = (lines.groupBy("_f").agg(F.min_by("value", "_at").alias("_v"), F.min("_at").alias("_h"))
-             .where(F.col("_v") == F.lit(header)).select(F.col("_f").alias("_g"), "_h"))
-    return (lines.join(F.broadcast(heads) if few else heads, (F.col("_f") == F.col("_g")) & (F.col("_at") == F.col("_h")), "left_anti")
+    """Drop the first non-blank record of every file where it is ``header`` (one row per file, broadcast where they are few).
+
+    Places are plain numbers, so that they are found by hash aggregation: a task holds a row per split, and sorts no lines."""
+    heads = lines.groupBy("_f", "_b").agg(F.min("_m").alias("_m")).groupBy("_f").agg(F.min_by("_m", "_b").alias("_h")).select("_h")
+    return (lines.join(F.broadcast(heads) if few else heads, (F.col("_m") == F.col("_h")) & (F.col("value") == F.lit(header)), "left_anti")
             .select("value"))
 
 

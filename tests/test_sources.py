@@ -178,3 +178,14 @@ def test_read_predictions_json(spark):
     assert [r["proba"] for r in p] == [0.1, 0.3, 0.9] and [r["pred"] for r in p] == [0, 1, 1]
     docs = sinks.read_result_documents(spark, d).first()
     assert docs["f1"] == 0.9077 and docs["threshold"] == 0.2
+
+
+def test_header_search_sorts_no_lines(spark):
+    d = _folder(spark, "headers")
+    for name, text in (("a.csv", "\n \nx;y\n1;2\nx;y\n"), ("b.csv", "x;y\n3;4\n"), ("c.csv", "5;6\nx;y\n")):
+        with open(os.path.join(d, name), "w") as f:
+            f.write(text)
+    lines = dl._placed(spark.read.text(d)).where("trim(value) <> ''")
+    out = dl._without_headers(lines, "x;y", True)
+    assert sorted(r.value for r in out.collect()) == ["1;2", "3;4", "5;6", "x;y", "x;y"]
+    assert "SortAggregate" not in out._jdf.queryExecution().toString()
