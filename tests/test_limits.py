@@ -1,9 +1,11 @@
 """Inputs beyond the oracle's: null keys, wide or constant columns, repeated keys, rows without neighbours."""
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stratum.operators import clean, evaluate as ev, features as ft, knn, mice, profile as pf, transform as tf
+from stratum.operators import clean, evaluate as ev, features as ft, knn, mice, profile as pf, splits, transform as tf
 from stratum.plans import prepare, tables as tb
 from stratum.session import scratch_path
 
@@ -109,3 +111,18 @@ def test_variants_impute_once_each(spark, sf_dir):
     assert set(got) == {(m, c) for m in ("median", "mice") for c in ("capped", "uncapped")}
     a, b = got["mice", "capped"], got["mice", "uncapped"]
     assert a.columns == b.columns and a.count() == b.count() == 400
+
+
+def test_class_rank_keeps_null_keys_and_sorts_rows_once(spark, monkeypatch):
+    monkeypatch.setattr(splits, "BUCKET_ROWS", 10)  # several buckets a class
+    cls = F.when(F.col("id") % 5 != 0, F.col("id") % 3 == 0)  # true, false and null
+    df = spark.range(300).select(F.when(F.col("id") % 7 != 0, F.col("id")).alias("row_id"), cls.alias("y"))
+    ranked = splits.class_rank(df, "y")
+    found = ranked.collect()
+    for c in (True, False, None):
+        of_class = [r for r in found if r.y is c]
+        assert sorted(r._rank for r in of_class) == list(range(sum(r.y is c for r in df.collect())))
+        ids = [r.row_id for r in sorted(of_class, key=lambda r: r._rank) if r.row_id is not None]
+        assert ids == sorted(ids, key=lambda i: (int(hashlib.md5(f"42|{i}".encode()).hexdigest()[:8], 16), i))
+    plan = ranked._jdf.queryExecution().toString()
+    assert "Window" not in plan and "hashpartitioning" not in plan  # later passes only look the bucket up

@@ -85,3 +85,9 @@ def test_correlation_study(spark):
     assert len(names) == 9 and "x" in names
     s = study["summary"].first()
     assert s.n_columns == 9 and s.n_high_pairs == study["pairs"].count()
+
+
+@pytest.mark.parametrize("n", [1, 2, 10, 1000, 4097])
+def test_feistel_inverse(n):
+    i = np.arange(n)
+    assert (md.feistel(md.feistel(i, n, "a"), n, "a", inverse=True) == i).all()
