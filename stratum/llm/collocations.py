@@ -5,9 +5,11 @@ phrase is 1 to ``max_words`` words in a row within a piece, counted per language
 
 A shard is a run of texts of one task, of about ``SHARD_WORDS`` words; ``share`` is its part of the language's text
 bytes. A phrase that occurs ``min_count`` times in all occurs at least ``min_count * share`` times in some shard. Each
-shard is mined completely at half that support (``mine``) and reports how far each phrase found passes it.
-Of a phrase, the shards that do not report it hold less than ``min_count / 2`` in all, so that only phrases whose
-reports sum to more than the other half stay in the union. The union is kept as one bit per hash in a table of
+shard is mined completely at half that support (``mine``) and tells its task how far each phrase found passes it. A
+task adds its shards up and, where there are few enough tasks for that to matter, keeps ``SLACK`` of its own
+proportional support back in the same way: it reports by how much the sum passes it. Of a phrase, what shards and tasks
+do not report is less than ``min_count * (1 / 2 + SLACK)`` in all, so that only phrases whose reports sum to more than
+the rest stay in the union. The union is kept as one bit per hash in a table of
 fixed size (``BITS``; a false hit costs work, never a result), and a second pass counts its phrases in all
 shards exactly (``count``). Where the whole support is reached (in one shard at least), the count carries the text.
 This is done for single words, then pairs, then the rest; each stage looks only where all shorter phrases are
@@ -21,7 +23,6 @@ rows. Other columns are not read.
 """
 from __future__ import annotations
 
-import ctypes
 import math
 import zlib
 from collections.abc import Iterator
@@ -30,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import ascii_lower, raw_text, ship, slices, span_hashes, stored, words
+from .common import ascii_lower, free_at_once, raw_text, ship, slices, span_hashes, stored, words
 
 #: Words of a shard, about; a task holds one shard at a time.
 SHARD_WORDS = 3 << 20
@@ -38,6 +39,8 @@ SHARD_WORDS = 3 << 20
 TASK_BYTES = 64 << 20
 #: Rows that a task adds up before it passes them on.
 HELD_ROWS = 1 << 20
+#: Part of a task's proportional support that it need not report, besides the half that its shards need not.
+SLACK = 3 / 8
 #: Bits of the table that holds the union of locally frequent phrases.
 BITS = 1 << 27
 _LOCAL = 1 << 24
@@ -102,16 +105,9 @@ def _mix(g: np.ndarray) -> None:
         g *= np.uint64(factor)
 
 
-def _free_at_once() -> None:
-    """Have the C library give freed arrays back to the system, so that a reused worker does not keep a shard's memory."""
-    mallopt = getattr(ctypes.CDLL(None), "mallopt", None)  # only glibc has it
-    if mallopt:
-        mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
-
-
 def _shards(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[Shard]:
     """Shards of the rows (lang, t) of a task; all languages' texts close their shards when there are enough words."""
-    _free_at_once()
+    free_at_once()
     held: dict[str, list] = {}
     size = 0
     for b in slices(batches, "t"):
@@ -188,11 +184,21 @@ def hit(table: np.ndarray, g: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------ the two passes
 
-def _mine(texts: DataFrame, lengths: list[int], min_count: int, totals: dict[str, int], known, shard_words: int, size: int) -> np.ndarray:
-    """Bit table of the phrases that can be frequent, from what the shards report at half the proportional support."""
+def _mine(texts: DataFrame, lengths: list[int], min_count: int, totals: dict[str, int], known, shard_words: int, size: int, slack: float) -> np.ndarray:
+    """Bit table of the phrases that can be frequent, from what is reported beyond half the proportional support and the slack."""
+    reports = _reports(texts, lengths, min_count, totals, known, shard_words, slack).groupBy("h").agg(F.sum("over").alias("over"))
+    return _table(reports.where(F.col("over") > min_count * (0.5 - slack)), size)
+
+
+def _reports(texts: DataFrame, lengths: list[int], min_count: int, totals: dict[str, int], known, shard_words: int, slack: float) -> DataFrame:
+    """(h, over): by how much a phrase passes what the shards of a task, and the task, need not report."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask, sums = np.uint64(_LOCAL - 1), Sums()
+        mask = np.uint64(_LOCAL - 1)
+        held: dict[str, Sums] = {}
+        read: dict[str, int] = {}  # text bytes behind the sums
         for s in _shards(batches, shard_words):
+            sums = held.setdefault(s.lang, Sums())
+            read[s.lang] = read.get(s.lang, 0) + s.bytes
             half = max(1, math.ceil(min_count * s.bytes / max(totals[s.lang], 1) / 2 - 1e-9))
             ok = None
             for n in lengths:
@@ -207,16 +213,18 @@ def _mine(texts: DataFrame, lengths: list[int], min_count: int, totals: dict[str
                 flags[(h & mask).astype(np.int64)] = True
                 ok = whole & flags[(g & mask).astype(np.int64)]
                 sums.add(h, c - half + 1)
-            if sums.size > HELD_ROWS:
-                yield from told(sums)
-        yield from told(sums)
+            if sum(x.size for x in held.values()) > HELD_ROWS:
+                for lang in list(held):
+                    yield told(lang, held.pop(lang), read.pop(lang))
+        for lang in list(held):
+            yield told(lang, held.pop(lang), read.pop(lang))
 
-    def told(sums: Sums) -> Iterator[pa.RecordBatch]:
+    def told(lang: str, sums: Sums, size: int) -> pa.RecordBatch:
         h, over, _, _ = sums.take()
-        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(over)], names=["h", "over"])
+        over = over - max(0, math.ceil(min_count * size / max(totals[lang], 1) * slack - 1e-9) - 1)
+        return pa.RecordBatch.from_arrays([pa.array(h[over > 0].view(np.int64)), pa.array(over[over > 0])], names=["h", "over"])
 
-    reports = texts.mapInArrow(run, "h long, over long").groupBy("h").agg(F.sum("over").alias("over"))
-    return _table(reports.where(F.col("over") * 2 > min_count), size)
+    return texts.mapInArrow(run, "h long, over long")
 
 
 def _table(hashes: DataFrame, size: int) -> np.ndarray:
@@ -294,6 +302,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, max_words: int = 5,
     totals = {r.lang: int(r.b) for r in texts.groupBy("lang").agg(F.sum(F.octet_length("t").cast("long")).alias("b")).collect()}
     tasks = max(math.ceil(sum(totals.values()) / TASK_BYTES), spark.sparkContext.defaultParallelism)
     texts = texts.coalesce(tasks)
+    slack = SLACK if min_count * SLACK > tasks else 0.0  # else a task's part would be less than one
     out, known = None, None
     for stage in STAGES:
         lengths = [n for n in stage if n <= max_words]
@@ -301,7 +310,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, max_words: int = 5,
             break
         if out is not None:
             known = spark.sparkContext.broadcast(_table(out.where(F.col("words") == lengths[0] - 1).select("h"), bits))
-        union = spark.sparkContext.broadcast(_mine(texts, lengths, min_count, totals, known, shard_words, bits))
+        union = spark.sparkContext.broadcast(_mine(texts, lengths, min_count, totals, known, shard_words, bits, slack))
         new = stored(_count(texts, lengths, min_count, totals, union, known, shard_words), "phrases")
         out = new if out is None else out.unionByName(new)
     return out.select("lang", "words", "phrase", "a")

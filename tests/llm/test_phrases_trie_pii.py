@@ -64,6 +64,19 @@ def test_collocations_equal_brute_force(spark, shard):
         assert sorted(tuple(r) for r in got.collect()) == phrase_rows(rows, least, top)
 
 
+def test_tasks_add_shards_up_before_they_report(spark):
+    """What passes a shard's support but not the task's is not reported; a frequent phrase still is."""
+    rows = [("en", " ".join([f"p{i} q{i}"] * 6 + ["common word"] * 3)) for i in range(40)]
+    texts, totals = spark.createDataFrame(rows, "lang string, t string").coalesce(1), {"en": sum(len(t) for _, t in rows)}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 5)  # a shard is five texts
+    try:
+        every, beyond = (collocations._reports(texts, [1], 80, totals, None, 90, slack).collect() for slack in (0.0, collocations.SLACK))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(every) == 82 and len(beyond) == 2
+    assert all(r.over > 80 * (0.5 - collocations.SLACK) for r in beyond)
+
+
 def test_counts_beyond_64_bits(spark):
     big = 3 * 10 ** 12
     rows = [("en", 0, "", 7 * big), ("en", 1, "a", 2 * big), ("en", 1, "b", big), ("en", 2, "a b", big - 1)]
