@@ -37,7 +37,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import ascii_lower, mix, raw_text, shingles, ship, slices, span_hashes, stored, words
+from .common import ascii_lower, free_at_once, mix, raw_text, shingles, ship, slices, span_hashes, stored, words
 
 #: Members of a block in the comparison of buckets with several components.
 BLOCK = 512
@@ -173,12 +173,27 @@ def _lists(who: np.ndarray, values: np.ndarray, n: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.bincount(who, minlength=n))].astype(np.int32)), pa.array(values.view(np.int64)))
 
 
-def _indexed(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Every document: id, set size, node (digest of the set), and the signatures of its set in its own band and in the next.
+def _indexed(docs: DataFrame, k: int) -> DataFrame:
+    """Every document: id, set size, node (digest of the set)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_at_once()
+        for b in slices(batches, "t"):
+            h, rows = shingle_sets(b.column("t"), k)
+            yield pa.RecordBatch.from_arrays([b.column("d"), pa.array(np.bincount(rows, minlength=b.num_rows)), pa.array(digests(h, rows, b.num_rows).view(np.int64))],
+                                             names=["doc_id", "n", "node"])
+
+    return docs.mapInArrow(run, "doc_id long, n long, node long")
+
+
+def _signed(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(rid, sig, own, late): the signatures of every set (node) in its own band and in the next; ``late`` is how many of
+    the set's eq signatures there may be left out later, and -1 for a near signature, which never is.
 
-    A task writes the signatures of equal sets once.
+    Signatures are many times the digests, so they are made where they are exchanged and never stored. A task writes
+    those of equal sets once.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_at_once()
         bands, seen = Bands(num, den, 1 << 16), set()
         for b in slices(batches, "t"):
             h, rows = shingle_sets(b.column("t"), k)
@@ -195,19 +210,21 @@ def _indexed(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
             band = bands.of(size)
             new &= bands.gap(size) > 0  # smaller sets cannot link with different ones
             up = np.where(new & bands.meets_next(size, band), band + 1, -1)
-            own_eq, own_near, own_late = signatures(h, rows, size, np.where(new, band, -1), bands)
-            up_eq, up_near, up_late = signatures(h, rows, size, up, bands)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("d"), pa.array(n), pa.array(node.view(np.int64)), own_eq, own_near, up_eq, up_near, pa.array(own_late), pa.array(up_late)],
-                names=["doc_id", "n", "node", "own_eq", "own_near", "up_eq", "up_near", "own_late", "up_late"])
+            for own, of in ((True, np.where(new, band, -1)), (False, up)):
+                eq, near, late = signatures(h, rows, size, of, bands)
+                for lists, spare in ((eq, late), (near, np.full(b.num_rows, -1))):
+                    who = lists.value_parent_indices().to_numpy()
+                    if len(who):
+                        yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)[who]), lists.flatten(), pa.array(np.full(len(who), own)), pa.array(spare[who].astype(np.int32))],
+                                                         names=["rid", "sig", "own", "late"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, node long, own_eq array<long>, own_near array<long>, "
-                                "up_eq array<long>, up_near array<long>, own_late long, up_late long")
+    return docs.select("t").mapInArrow(run, "rid long, sig long, own boolean, late int")
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
     """(node, items) of documents: the digest and the sorted elements of each set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_at_once()
         for b in slices(batches, "t"):
             h, rows = shingle_sets(b.column("t"), k)
             yield pa.RecordBatch.from_arrays([pa.array(digests(h, rows, b.num_rows).view(np.int64)), _lists(rows, h, b.num_rows)], names=["node", "items"])
@@ -241,9 +258,9 @@ def join(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col: str =
     spark = docs.sparkSession
     ship(spark)
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("d"), F.col(f"`{text_col}`").cast("string").alias("t"))
-    index = stored(_indexed(texts, k, num, den), "jaccard-index")
+    index = stored(_indexed(texts, k), "jaccard-index")
     classes = stored(index.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least")), "jaccard-classes")
-    roots = components(_links(texts, index, classes, k, num, den))
+    roots = components(_links(texts, classes, k, num, den))
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     named = named.join(least, "root").select("node", "component_id")
@@ -252,14 +269,9 @@ def join(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col: str =
     return full.unionByName(keyed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
-def _links(texts: DataFrame, index: DataFrame, classes: DataFrame, k: int, num: int, den: int) -> DataFrame:
+def _links(texts: DataFrame, classes: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Edges (a, b) between nodes (sets) that connect exactly the nodes connected by links."""
-    rows = None
-    for own, eq in ((True, True), (True, False), (False, True), (False, False)):
-        name = "own" if own else "up"
-        late = F.col(f"{name}_late").cast("int") if eq else F.lit(-1)  # -1: a near signature, never left out
-        part = index.select(F.col("node").alias("rid"), F.explode(f"{name}_{'eq' if eq else 'near'}").alias("sig"), F.lit(own).alias("own"), late.alias("late"))
-        rows = part if rows is None else rows.unionByName(part)
+    rows = _signed(texts, k, num, den)
     # one exchange by signature: rows are counted where they are kept, and those of one set alone go
     of_sig = Window.partitionBy("sig")
     told = rows.withColumns({"c": F.count(F.lit(1)).over(of_sig), "r1": F.min("rid").over(of_sig), "r2": F.max("rid").over(of_sig), "o": F.max("own").over(of_sig)})

@@ -131,6 +131,22 @@ def test_intersections():
     assert jaccard.intersections(x, y, cells=20).tolist() == [[len(set(a) & set(b)) for b in y] for a in x]
 
 
+def test_jaccard_signatures_are_not_stored(spark, monkeypatch):
+    """The table of all documents holds a digest a row; of the signatures only those of two sets or more are written."""
+    written, keep = {}, jaccard.stored
+
+    def kept(df, name):
+        written[name] = keep(df, name)
+        return written[name]
+
+    monkeypatch.setattr(jaccard, "stored", kept)
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(80))) for i in range(40)] + [(40, " ".join(f"w7x{j}" for j in range(79)))]
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string"), 3, 9, 10).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: 7 if i == 40 else i for i in range(41)}
+    assert written["jaccard-index"].dtypes == [("doc_id", "bigint"), ("n", "bigint"), ("node", "bigint")]
+    assert written["jaccard-shared"].select("rid").distinct().count() == 2
+
+
 # ------------------------------------------------------------------ licences
 
 def test_licence_rules(spark):
