@@ -1,6 +1,9 @@
 """Properties of fit/apply operators, scalable paths vs simple paths."""
+import hashlib
+
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import Window, functions as F
 
 from stratum.operators import clean, evaluate as ev, quantiles as qt, running, splits as sp, transform as tf
@@ -109,3 +112,49 @@ def test_rows_with_nulls_are_projected_and_resampled(spark, sf_dir):
     assert rows == {"pca": study.count(), "smote": train.count()}
     assert pca.dropna().count() == rows["pca"] and smote.dropna().count() == rows["smote"]
     assert smote.join(train, "row_id", "left_anti").isEmpty() and pca.join(study, "row_id", "left_anti").isEmpty()
+
+
+def test_split_is_exact_with_copies_and_null_keys(spark):
+    df = spark.range(3000).select(F.when(F.col("id") % 11 != 0, (F.col("id") / 6).cast("long")).alias("row_id"),  # six rows a key
+                                  (F.col("id") % 5 == 0).cast("int").alias("y"), "id").repartition(7, "id")
+    got = sp.stratified_split(df, "y").collect()
+    assert sorted(r.id for r in got) == list(range(3000))
+    test, val = sp.split_sizes({c: sum(r.y == c for r in got) for c in (0, 1)})
+    for c in (0, 1):
+        rows = [r for r in got if r.y == c]
+        assert [sum(r.split == s for r in rows) for s in ("test", "val")] == [test[c], val[c]]
+        h = {r.row_id: -1 if r.row_id is None else int(hashlib.md5(f"42|{r.row_id}".encode()).hexdigest()[:8], 16) for r in rows}
+        want = sorted((h[r.row_id], r.row_id or 0) for r in rows)
+        have = [sorted((h[r.row_id], r.row_id or 0) for r in rows if r.split == s) for s in ("test", "val", "train")]
+        assert have[0] + have[1] + have[2] == want
+
+
+def test_split_orders_equal_hashes_by_key(spark, monkeypatch):
+    monkeypatch.setattr(sp, "portable_hash", lambda key, seed: (F.col(key) % 2).cast("bigint"))
+    got = sp.stratified_split(spark.range(100).select(F.col("id").alias("row_id"), F.lit(1).alias("y")).repartition(3), "y").collect()
+    of = lambda s: sorted(r.row_id for r in got if r.split == s)
+    assert of("test") == list(range(0, 40, 2)) and of("val") == list(range(40, 80, 2))
+
+
+def test_split_shuffles_no_rows_and_keeps_their_order(spark, monkeypatch):
+    def rank(*a, **k):
+        raise AssertionError("ranks all rows")
+
+    monkeypatch.setattr(sp, "class_rank", rank)
+    s = sp.stratified_split(spark.range(0, 4000, 1, 4).select(F.col("id").alias("row_id"), (F.col("id") % 7 == 0).cast("int").alias("y")), "y")
+    assert s.rdd.getNumPartitions() == 4
+    for part in s.withColumn("h", sp.portable_hash("row_id", 42)).rdd.glom().collect():
+        assert len(part) == 1000 and [(r.y, r.h) for r in part] == sorted((r.y, r.h) for r in part)
+
+
+def test_median_takes_three_passes(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+    df = spark.range(200_000).select(((F.col("id") * 7919) % 200_003).cast("double").alias("a"), (F.col("id") % 3).alias("b"),
+                                     F.when(F.col("id") % 2 == 0, F.col("id")).alias("c"))
+    want = [np.median(x) for x in (np.arange(200_000) * 7919 % 200_003, np.arange(200_000) % 3, np.arange(0, 200_000, 2))]
+    calls, agg = [], DataFrame.agg
+    monkeypatch.setattr(DataFrame, "agg", lambda *a: calls.append(1) or agg(*a))
+    got = qt.exact_quantiles(df, ["a", "b", "c"], [0.5], window=2_000)
+    assert [got[c][0] for c in "abc"] == want and len(calls) == 3
+    narrow = qt.exact_quantiles(df, ["a", "b", "c"], [0.1, 0.5, 0.9], window=3)
+    assert [narrow[c][1] for c in "abc"] == want and narrow["c"][0] == pytest.approx(2 * 0.1 * 99_999)
