@@ -105,3 +105,19 @@ def test_mlp_learns(spark):
     m = md.fit(df.where("row_id < 300"), list("abcd"), "mlp", hidden=8, maxIter=60)
     p = md.predict(m, df.where("row_id >= 300"), "mlp")
     assert p.count() == 100 and ev.roc_auc(p).first()[0] > 0.95
+
+
+def test_rfecv_query_visits_every_size_with_whole_models(spark, sf_dir, monkeypatch):
+    from stratum.plans import q_models
+    tried, real = [], md.fit
+
+    def fit(df, feats, kind, *a, **k):
+        tried.append((kind, len(feats), k["maxIter"], k["maxDepth"]))
+        return real(df, feats, kind, *a, **{**k, "maxIter": 1, "maxDepth": 2})
+
+    monkeypatch.setattr(md, "fit", fit)
+    curve = q_models.q_rfecv(spark, sf_dir).collect()
+    assert [r.n_features for r in curve] == list(range(len(FEATS), 0, -1))  # no size is left out
+    sizes = [n for _, n, _, _ in tried]
+    assert all(sizes.count(n) == (6 if n > 1 else 5) for n in range(1, len(FEATS) + 1))  # five folds and the ranking
+    assert {(k, i, depth) for k, _, i, depth in tried} == {("gradboost", 100, 4)}
