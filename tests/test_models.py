@@ -121,3 +121,37 @@ def test_rfecv_query_visits_every_size_with_whole_models(spark, sf_dir, monkeypa
     sizes = [n for _, n, _, _ in tried]
     assert all(sizes.count(n) == (6 if n > 1 else 5) for n in range(1, len(FEATS) + 1))  # five folds and the ranking
     assert {(k, i, depth) for k, _, i, depth in tried} == {("gradboost", 100, 4)}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bagging_scores_all_members_in_one_pass(spark, monkeypatch):
+    df = _two_useful_columns(spark, 300).checkpoint()
+    rows = df.unionByName(df.where("row_id < 20").withColumn("a", F.lit(0.5))).checkpoint()  # keys that repeat get one mean
+    members, real = [], md.fit
+    monkeypatch.setattr(md, "fit", lambda *a, **k: members.append(real(*a, **k)) or members[-1])
+    got = md.bagging(df, rows, list("abcd"), "logistic", n=3)
+    assert _plan(got).count("Scan ExistingRDD") == 1
+    want = {}
+    for m in members:
+        for r in md.predict(m, rows, "m").collect():
+            want.setdefault(r.row_id, []).append(r.score)
+    found = {r.row_id: r.score for r in got.collect()}
+    assert found == pytest.approx({k: sum(v) / len(v) for k, v in want.items()})
+
+
+def test_bootstrap_copies_hash_a_row_once(spark, monkeypatch):
+    df = _two_useful_columns(spark, 2000)
+    samples, real = [], md.fit
+    monkeypatch.setattr(md, "fit", lambda df, *a, **k: samples.append(df) or real(df, *a, **k))
+    md.bagging(df, df, list("abcd"), "logistic", n=1)
+    assert samples[0]._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
+    # Poisson quantiles of the same hashes
+    from stratum.functions.hashing import uniform
+    u = {r.row_id: r.u for r in df.select("row_id", uniform("row_id", "42:0").alias("u")).collect()}
+    copies = {r.row_id: r["count"] for r in samples[0].groupBy("row_id").count().collect()}
+    e = 2.718281828459045
+    below = [1 / e, 2 / e, 2.5 / e, (2.5 + 1 / 6) / e, (2.5 + 1 / 6 + 1 / 24) / e]
+    assert all(copies.get(k, 0) == sum(x >= b for b in below) for k, x in u.items() if x < below[-1])
