@@ -155,3 +155,11 @@ def test_bootstrap_copies_hash_a_row_once(spark, monkeypatch):
     e = 2.718281828459045
     below = [1 / e, 2 / e, 2.5 / e, (2.5 + 1 / 6) / e, (2.5 + 1 / 6 + 1 / 24) / e]
     assert all(copies.get(k, 0) == sum(x >= b for b in below) for k, x in u.items() if x < below[-1])
+
+
+def test_stacking_shuffles_one_row_a_key(spark):
+    df = _two_useful_columns(spark).checkpoint()
+    got = md.stack_refit(df.where("row_id < 300"), df.where("row_id >= 300"), list("abcd"), ["logistic", "svm"], folds=2, params={"svm": {"maxIter": 5}})
+    plan = _plan(got)
+    assert plan.count("Scan ExistingRDD") == 1 and plan.count("Aggregate(key") == 2  # before and after the shuffle
+    assert got.count() == 100
