@@ -123,6 +123,17 @@ def test_rfecv_query_visits_every_size_with_whole_models(spark, sf_dir, monkeypa
     assert {(k, i, depth) for k, _, i, depth in tried} == {("gradboost", 100, 4)}
 
 
+def _recorded_fits(monkeypatch):
+    seen, real = [], md.fit
+
+    def fit(df, feats, kind, *a, **k):
+        seen.append((kind, df.storageLevel.useMemory))
+        return real(df, feats, kind, *a, **k)
+
+    monkeypatch.setattr(md, "fit", fit)
+    return seen
+
+
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -163,3 +174,13 @@ def test_stacking_shuffles_one_row_a_key(spark):
     plan = _plan(got)
     assert plan.count("Scan ExistingRDD") == 1 and plan.count("Aggregate(key") == 2  # before and after the shuffle
     assert got.count() == 100
+
+
+def test_all_ensembles_fit_no_base_twice(spark, monkeypatch):
+    df = _two_useful_columns(spark).checkpoint()
+    seen = _recorded_fits(monkeypatch)
+    got = md.train_all_ensembles(df.where("row_id < 300"), df.where("row_id >= 300"), list("abcd"), ["logistic", "random_forest"],
+                                 {"random_forest": dict(numTrees=5, maxDepth=3)}, folds=2, bag=dict(kind="svm", n=2, maxIter=5))
+    assert {r.ensemble for r in got.collect()} == {"soft_vote", "hard_vote", "bagging", "stacking"}
+    kinds = [k for k, _ in seen]
+    assert kinds.count("random_forest") == 3 and kinds.count("svm") == 2 and kinds.count("logistic") == 4  # one a fold, one on all rows
