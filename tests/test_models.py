@@ -184,3 +184,26 @@ def test_all_ensembles_fit_no_base_twice(spark, monkeypatch):
     assert {r.ensemble for r in got.collect()} == {"soft_vote", "hard_vote", "bagging", "stacking"}
     kinds = [k for k, _ in seen]
     assert kinds.count("random_forest") == 3 and kinds.count("svm") == 2 and kinds.count("logistic") == 4  # one a fold, one on all rows
+
+
+def test_sweep_makes_the_folds_of_a_dataset_once(spark, monkeypatch):
+    df = _two_useful_columns(spark).withColumn("split", F.when(F.col("row_id") < 300, "train").otherwise("val")).checkpoint()
+    made, real = [], md.stratified_folds
+    monkeypatch.setattr(md, "stratified_folds", lambda *a, **k: made.append(1) or real(*a, **k))
+    grids = {"random_forest": {"maxDepth": [2, 3]}}
+    got = {r.model: r for r in md.sweep_models({"all": df}, {"all": list("abcd")}, ["logistic", "random_forest"], grids, folds=2,
+                                               fixed={"random_forest": {"numTrees": 5}}).collect()}
+    assert len(made) == 1
+    train = df.where("split = 'train'")
+    one = md.cross_validate(train, list("abcd"), "logistic", [{}], folds=2)
+    two = md.cross_validate(train, list("abcd"), "random_forest", [{"numTrees": 5, "maxDepth": d} for d in (2, 3)], folds=2)
+    assert got["logistic"].f1_cv == pytest.approx(sum(one[0]) / 2)
+    assert got["random_forest"].f1_cv == pytest.approx(max(sum(x) / 2 for x in two))
+
+
+def test_points_of_a_grid_share_the_rows_of_a_fold(spark, monkeypatch):
+    df = _two_useful_columns(spark).checkpoint()
+    seen, before = _recorded_fits(monkeypatch), set(spark.sparkContext._jsc.getPersistentRDDs())
+    md.grid_search_cv(df, list("abcd"), "logistic", {"regParam": [0.0, 0.1]}, folds=2)
+    assert [held for _, held in seen] == [True] * 4 + [False]
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) <= before
